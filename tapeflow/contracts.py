@@ -129,9 +129,9 @@ class StreamSpec:
     def stored_schema(self) -> T.StructType:
         """Table columns plus the directory columns of the Parquet layout."""
         return (
-            self.table_schema.add("writer", T.StringType())
+            self.table_schema.add(self.partition, T.DataType.fromDDL(self.partition_type))
+            .add("writer", T.StringType())
             .add("epoch", T.LongType())
-            .add(self.partition, T.DataType.fromDDL(self.partition_type))
         )
 
     def partition_value(self) -> Column:

@@ -42,12 +42,13 @@ def latest_per_symbol(ticker: DataFrame) -> DataFrame:
     )
 
 
-def last_n_per_symbol(rows: DataFrame, n: int, *tie_break: str, salts: int = 256) -> DataFrame:
+def last_n_per_symbol(rows: DataFrame, n: int, *tie_break: str) -> DataFrame:
     """The newest ``n`` rows of every symbol, NULL times first.
 
     Up to the planner's group-limit threshold the cut happens in every task before
-    the shuffle.  Above it the rows of a symbol are first ranked in ``salts``
-    slices, so that a busy symbol is cut in parallel as well.
+    the shuffle.  Above it, the rows of a symbol are cut in three rounds: within an
+    input partition, within a bundle of partitions, and as a whole.  No round sees
+    more of one symbol at once than a partition or ``n`` rows of each part.
     """
     order = [F.col("event_time").desc_nulls_first(), *[F.col(c).desc() for c in tie_break]]
 
@@ -56,10 +57,25 @@ def last_n_per_symbol(rows: DataFrame, n: int, *tie_break: str, salts: int = 256
         return frame.withColumn("place", place).where(F.col("place") <= n)
 
     threshold = int(rows.sparkSession.conf.get(_GROUP_LIMIT_CONF, "1000"))
-    if n >= threshold:
-        salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts))
-        rows = cut(rows.withColumn("_salt", salt), "symbol", "_salt").drop("place", "_salt")
-    return cut(rows, "symbol")
+    if n < threshold:
+        return cut(rows, "symbol")
+    parts = rows.withColumn("_part", F.spark_partition_id())
+    parts = cut(parts, "symbol", "_part").withColumn("_part", F.col("_part") % 512)
+    return cut(cut(parts, "symbol", "_part").drop("_part"), "symbol")
+
+
+def newest_from(rows: DataFrame, n: int, since: int) -> DataFrame:
+    """``rows`` from ``since`` (epoch ms) on if they hold the newest ``n``, else all.
+
+    With ``n`` rows in reach nothing older can be among the newest ``n``; rows
+    without a time rank first and stay in.  The probe stops at ``n`` rows, and the
+    filter skips old row groups, or old date folders where there is a date column.
+    """
+    reach = (F.col("event_time") >= F.lit(since)) | F.col("event_time").isNull()
+    near = rows.where(reach)
+    if "event_date" in rows.columns:
+        near = near.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(since))))
+    return near if near.limit(n).count() == n else rows
 
 
 def price_series(

@@ -2,13 +2,16 @@
 
 Layout of a Parquet table::
 
-    table/writer=<query id>/epoch=<batch id>/<partition column>=<value>/part-*
+    table/<partition column>=<value>/writer=<query id>/epoch=<batch id>/part-*
 
-One query writes to a table at a time.
+The partition column comes first, so a look-up for a few partitions lists their
+folders only and does not slow down as the table grows.  One query writes to a
+table at a time.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +23,38 @@ from tapeflow.operators.quality import conflicts_with, first_per_key, reject_kno
 MAX_NAMED_PARTITIONS = 1000
 
 
+def _layout(spec: StreamSpec) -> list[str]:
+    return [spec.partition, "writer", "epoch"]
+
+
 def create_table(spark: SparkSession, spec: StreamSpec, path: str) -> None:
     """Create the table unless it exists."""
     empty = spark.createDataFrame([], spec.stored_schema)
-    empty.write.mode("ignore").partitionBy("writer", "epoch", spec.partition).parquet(path)
+    empty.write.mode("ignore").partitionBy(*_layout(spec)).parquet(path)
 
 
-def stored_rows(spark: SparkSession, spec: StreamSpec, path: str) -> DataFrame:
-    """All rows with ``writer``, ``epoch`` and the partition column."""
-    return spark.read.schema(spec.stored_schema).parquet(path)
+def stored_rows(
+    spark: SparkSession, spec: StreamSpec, path: str, folders: str | None = None
+) -> DataFrame:
+    """All rows, or those in matching folders, with the partition column, ``writer``
+    and ``epoch``."""
+    reader = spark.read.schema(spec.stored_schema).option("basePath", path)
+    return reader.parquet(f"{path}/{folders}" if folders else path)
 
 
-def read_table(spark: SparkSession, spec: StreamSpec, path: str) -> DataFrame:
-    return stored_rows(spark, spec, path).select(*spec.column_names)
+def read_table(
+    spark: SparkSession, spec: StreamSpec, path: str, since: int | None = None
+) -> DataFrame:
+    """The table's columns; ``since`` (epoch ms) leaves older rows out.
+
+    Where the table is partitioned by date, older folders are not read.
+    """
+    rows = stored_rows(spark, spec, path)
+    if since is not None:
+        rows = rows.where(F.col("event_time") >= F.lit(since))
+        if spec.partition == "event_date":
+            rows = rows.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(since))))
+    return rows.select(*spec.column_names)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
@@ -41,36 +63,45 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _touched(rows: DataFrame, spec: StreamSpec):
-    """A filter for the partitions of the table that ``rows`` fall in, or None.
+def _held_near(rows: DataFrame, spec: StreamSpec, path: str) -> DataFrame | None:
+    """What the table holds in the partitions ``rows`` fall in; None without rows.
 
-    At most ``MAX_NAMED_PARTITIONS + 1`` values, or two, come to the driver.
+    The partition depends on the key alone, so no equal key is elsewhere.  At most
+    ``MAX_NAMED_PARTITIONS + 1`` values, or two, come to the driver.
     """
+    spark = rows.sparkSession
     values = rows.select(spec.partition_value().alias("p"))
     named = [r.p for r in values.distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    column = F.col(spec.partition)
     if not named:
         return None
-    if len(named) <= MAX_NAMED_PARTITIONS:
-        return column.isin(named)
-    ends = values.agg(F.min("p").alias("low"), F.max("p").alias("high")).first()
-    return column.between(ends.low, ends.high)
+    if len(named) > MAX_NAMED_PARTITIONS:
+        ends = values.agg(F.min("p").alias("low"), F.max("p").alias("high")).first()
+        column = F.col(spec.partition)
+        return stored_rows(spark, spec, path).where(column.between(ends.low, ends.high))
+    folders = f"{spec.partition}={{{','.join(str(p) for p in sorted(named))}}}"
+    try:
+        return stored_rows(spark, spec, path, folders)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], spec.stored_schema)
 
 
 def write_epoch(rows: DataFrame, spec: StreamSpec, path: str, writer: str, epoch: int) -> None:
-    """Replace the rows of one epoch.
+    """Write the rows of one epoch; folders it wrote before are replaced.
 
     Rebalancing splits a busy partition over several tasks and packs small ones;
     sorting by symbol and time makes row-group statistics selective.
     """
-    target = f"{path}/writer={writer}/epoch={epoch}"
     (
         rows.withColumn(spec.partition, spec.partition_value())
         .hint("rebalance", spec.partition)
-        .sortWithinPartitions(spec.partition, "symbol", "event_time")
+        .withColumns({"writer": F.lit(writer), "epoch": F.lit(epoch).cast("bigint")})
+        .sortWithinPartitions(spec.partition, "writer", "epoch", "symbol", "event_time")
         .write.mode("overwrite")
-        .partitionBy(spec.partition)
-        .parquet(target)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*_layout(spec))
+        .parquet(path)
     )
 
 
@@ -87,24 +118,22 @@ def append_once(
 
     ``rows`` is read several times, so callers cache it.
     """
-    spark = rows.sparkSession
-    create_table(spark, spec, path)
+    create_table(rows.sparkSession, spec, path)
     rows = to_table_types(rows, spec)
-    touched = _touched(rows, spec)
-    if touched is None:
+    held = _held_near(rows, spec, path)
+    if held is None:
         return
     mine = (F.col("writer") == writer) & (F.col("epoch") == epoch)
-    known = stored_rows(spark, spec, path).where(touched & ~mine)
-    fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
+    fresh = reject_known(first_per_key(rows, spec.key), held.where(~mine), spec.key)
     write_epoch(fresh, spec, path, writer, epoch)
     if conflicts_path:
-        held = stored_rows(spark, spec, path).where(touched)
-        report = conflicts_with(rows, held, spec.key)
+        report = conflicts_with(rows, _held_near(rows, spec, path), spec.key)
         report.write.mode("overwrite").parquet(f"{conflicts_path}/writer={writer}/epoch={epoch}")
 
 
 def write_quarantine(bad: DataFrame, path: str, writer: str, epoch: int) -> None:
-    bad.write.mode("overwrite").parquet(f"{path}/writer={writer}/epoch={epoch}")
+    packed = bad.hint("rebalance")
+    packed.write.mode("overwrite").parquet(f"{path}/writer={writer}/epoch={epoch}")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
