@@ -53,7 +53,11 @@ def text_stream(
 
 
 def log_stream(spark: SparkSession, glob: str = LOG_GLOB) -> DataFrame:
-    """Log files as a stream of ``value, path``; the checkpoint keeps the positions."""
+    """Log files as a stream of ``value, path``; the checkpoint keeps which were read.
+
+    A file is read once, so the pattern should match files that no longer grow,
+    such as rotated ones.
+    """
     return with_path(spark.readStream.format("text").load(glob))
 
 
