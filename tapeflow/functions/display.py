@@ -31,14 +31,10 @@ def with_unit(value: Column, name: str, unit: str) -> Column:
     return value.alias(name, metadata={"unit": unit})
 
 
-def or_no_data(answer: DataFrame, column: str, **keys: str) -> DataFrame:
-    """One row for the asked key even when ``answer`` has none.
+def or_no_data(answer: DataFrame, column: str) -> DataFrame:
+    """One row where ``answer`` has at most one: an empty one reads "No data".
 
-    ``answer`` holds at most one row per key, so the join is between one literal
-    row and the rows of one key.
+    An aggregate without keys returns its row on empty input, too.
     """
-    spark = answer.sparkSession
-    asked = spark.range(1).select(*[F.lit(v).alias(k) for k, v in keys.items()])
-    return asked.join(answer, list(keys), "left").withColumn(
-        column, F.coalesce(F.col(column).cast("string"), F.lit(NO_DATA))
-    )
+    row = answer.agg(*[F.first(c).alias(c) for c in answer.columns])
+    return row.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit(NO_DATA)))

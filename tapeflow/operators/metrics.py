@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.functions.times import in_range
+from tapeflow.functions.times import floor_div, in_range
 
 SAMPLE_COLUMNS = ("metric", "labels", "ts", "value")
 
@@ -38,48 +38,49 @@ def bytes_per_second(messages: DataFrame) -> DataFrame:
     )
 
 
-def running_totals(messages: DataFrame) -> DataFrame:
-    """Messages and bytes of a topic up to the end of each minute.
+def _cumulative(
+    rows: DataFrame, group: str, block: Column, order: str, values: dict[str, str]
+) -> DataFrame:
+    """Running totals of ``values`` (column to result name) per ``group``.
 
-    Totals run inside a day and over the days before it, so that no task holds
-    more than the minutes of one day or the days of one topic.
+    Totals run inside a block and over the blocks before it, so that no task holds
+    more than one block's rows or one row per block of a group.
     """
-    minutes = _per_minute(messages).select(
-        "topic",
-        F.col("window.start").alias("window_start"),
-        F.to_date("window.start").alias("day"),
-        "messages",
-        "bytes",
-    )
+    rows = rows.withColumn("_block", block)
     before = (
-        Window.partitionBy("topic").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    days = (
-        minutes.groupBy("topic", "day")
-        .agg(F.sum("messages").alias("messages"), F.sum("bytes").alias("bytes"))
-        .select(
-            "topic",
-            "day",
-            F.coalesce(F.sum("messages").over(before), F.lit(0)).alias("messages_before"),
-            F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
-        )
-    )
-    so_far = (
-        Window.partitionBy("topic", "day")
-        .orderBy("window_start")
+    inside = (
+        Window.partitionBy(group, "_block")
+        .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        minutes.withColumn("messages", F.sum("messages").over(so_far))
-        .withColumn("bytes", F.sum("bytes").over(so_far))
-        .join(days, ["topic", "day"])
+    blocks = (
+        rows.groupBy(group, "_block")
+        .agg(*[F.sum(v).alias(v) for v in values])
         .select(
-            "topic",
-            "window_start",
-            (F.col("messages") + F.col("messages_before")).alias("messages_total"),
-            (F.col("bytes") + F.col("bytes_before")).alias("bytes_total"),
+            group,
+            "_block",
+            *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_{v}") for v in values],
         )
     )
+    totals = rows.withColumns({name: F.sum(v).over(inside) for v, name in values.items()})
+    return (
+        totals.join(blocks, [group, "_block"])
+        .withColumns({name: F.col(name) + F.col(f"_{v}") for v, name in values.items()})
+        .drop("_block", *[f"_{v}" for v in values])
+    )
+
+
+def running_totals(messages: DataFrame) -> DataFrame:
+    """Messages and bytes of a topic up to the end of each minute."""
+    minutes = _per_minute(messages).select(
+        "topic", F.col("window.start").alias("window_start"), "messages", "bytes"
+    )
+    names = {"messages": "messages_total", "bytes": "bytes_total"}
+    day = F.to_date("window_start")
+    totals = _cumulative(minutes, "topic", day, "window_start", names)
+    return totals.drop("messages", "bytes")
 
 
 def messages_per_topic(messages: DataFrame) -> DataFrame:
@@ -111,14 +112,9 @@ def rows_per_epoch(stored: DataFrame) -> DataFrame:
 
 def rows_inserted_total(stored: DataFrame) -> DataFrame:
     """The running number of inserted rows of each writer."""
-    so_far = (
-        Window.partitionBy("writer")
-        .orderBy("epoch")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return rows_per_epoch(stored).withColumn(
-        "rows_inserted_total", F.sum("rows_inserted").over(so_far)
-    )
+    block = floor_div(F.col("epoch"), 10_000)
+    names = {"rows_inserted": "rows_inserted_total"}
+    return _cumulative(rows_per_epoch(stored), "writer", block, "epoch", names)
 
 
 def liveness(

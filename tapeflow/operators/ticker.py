@@ -187,24 +187,15 @@ def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = Non
     figures = [F.col(c) for c in _FIGURES]
     instants = per_instant(trades)
 
-    t = F.col("event_time")
-    own = floor_div(t, slice_ms)
-    roles = F.explode(
-        F.array(
-            F.struct(
-                F.lit(True).alias("own"), own.alias("slice"), t.alias("seq"), t.alias("until")
-            ),
-            F.struct(
-                F.lit(False).alias("own"),
-                (own + slices).alias("slice"),
-                (-t).alias("seq"),
-                (t + period_ms).alias("until"),
-            ),
-        )
-    ).alias("role")
+    t, own = F.col("event_time"), F.col("own")
     lead = ["symbol", "own", "slice", "seq", "until"]
-    rows = instants.select("symbol", *figures, roles).select(
-        "symbol", "role.own", "role.slice", "role.seq", "role.until", *figures
+    rows = instants.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own")).select(
+        "symbol",
+        "own",
+        (floor_div(t, slice_ms) + F.when(own, 0).otherwise(slices)).alias("slice"),
+        F.when(own, t).otherwise(-t).alias("seq"),
+        F.when(own, t).otherwise(t + period_ms).alias("until"),
+        *figures,
     )
     if slices > 1:
         # The full slices open the backward run and never leave the window.
@@ -219,17 +210,17 @@ def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = Non
         rows = rows.unionByName(between)
     # One shuffle serves both windows below; left alone, the planner would shuffle
     # for the first by one more column and again for the second.
-    rows = rows.repartition("symbol", "slice")
+    rows = rows.repartition("slice", "symbol")
 
     run = (
-        Window.partitionBy("symbol", "slice", "own")
+        Window.partitionBy("slice", "symbol", "own")
         .orderBy("seq")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     runs = rows.select(
         *lead,
         # Forwards the first row opens; backwards each row is the earliest so far.
-        F.when(F.col("own"), F.first("open_price").over(run))
+        F.when(own, F.first("open_price").over(run))
         .otherwise(F.col("open_price"))
         .alias("open_price"),
         "last_price",
@@ -242,14 +233,14 @@ def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = Non
     )
 
     earlier_rows = (
-        Window.partitionBy("symbol", "slice")
+        Window.partitionBy("slice", "symbol")
         .orderBy(F.col("until").desc(), F.col("own"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     part = F.struct(
         "open_price", "high_price", "low_price", "volume", "quote_volume", "total_trades"
     )
-    earlier = F.last(F.when(~F.col("own"), part), ignorenulls=True).over(earlier_rows)
+    earlier = F.last(F.when(~own, part), ignorenulls=True).over(earlier_rows)
 
     def plus(name: str) -> Column:
         both = F.col(name) + F.col(f"earlier.{name}")

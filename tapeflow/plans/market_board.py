@@ -75,8 +75,7 @@ def price_now(ticker_1h: DataFrame, symbol: str, as_of: Column | None = None) ->
 def change_1h(ticker_1h: DataFrame, symbol: str, as_of: Column | None = None) -> DataFrame:
     """Percent change with its colour; the text for no data when there is none."""
     answer = L.latest_value(ticker_1h, symbol, "price_change_percent", as_of)
-    stat = _stat(answer, "percent", change_class(F.col("value")))
-    return or_no_data(stat.withColumn("symbol", F.lit(symbol)), "value", symbol=symbol)
+    return or_no_data(_stat(answer, "percent", change_class(F.col("value"))), "value")
 
 
 def change_1d(ticker_1d: DataFrame, symbol: str, as_of: Column | None = None) -> DataFrame:
@@ -120,17 +119,29 @@ def market_board(
     symbol: str = DEFAULT_SYMBOL,
     as_of: Column | None = None,
     choices: tuple[str, ...] = SYMBOLS,
+    since: int | None = None,
 ) -> dict[str, DataFrame]:
-    """All panels by name."""
+    """All panels by name.
+
+    With ``since`` (epoch ms) the panels of newest rows try the rows from then on
+    first; the answers are the same, the scans shorter.  Low and high are over all
+    rows either way.
+    """
     check_symbol(symbol, choices)
-    hour, day = tables["ticker_1h"], tables["ticker_1d"]
+    day = tables["ticker_1d"]
+
+    def newest(table: str, n: int) -> DataFrame:
+        rows = tables[table]
+        return rows if since is None else L.newest_from(L.for_symbol(rows, symbol), n, since)
+
+    hour_row, day_row = newest("ticker_1h", 1), newest("ticker_1d", 1)
     return {
-        "price_chart": price_chart(hour, symbol),
-        "price_now": price_now(hour, symbol, as_of),
-        "change_1h": change_1h(hour, symbol, as_of),
-        "change_1d": change_1d(day, symbol, as_of),
+        "price_chart": price_chart(newest("ticker_1h", 500), symbol),
+        "price_now": price_now(hour_row, symbol, as_of),
+        "change_1h": change_1h(hour_row, symbol, as_of),
+        "change_1d": change_1d(day_row, symbol, as_of),
         "low": low(day, symbol, as_of),
         "high": high(day, symbol, as_of),
-        "trade_count": trade_count(day, symbol, as_of),
-        "recent_trades": recent_trades(tables["trades"], symbol),
+        "trade_count": trade_count(day_row, symbol, as_of),
+        "recent_trades": recent_trades(newest("trades", 100), symbol),
     }

@@ -168,20 +168,48 @@ def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def key_spans(rows: DataFrame, spec: StreamSpec) -> list:
+    """Lowest and highest leading key per symbol, or over all of very many symbols.
+
+    At most ``MAX_NAMED_PARTITIONS + 1`` rows come to the driver.
+    """
+    ends = [F.min(spec.key[0]).alias("low"), F.max(spec.key[0]).alias("high")]
+    spans = rows.groupBy("symbol").agg(*ends).limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if len(spans) <= MAX_NAMED_PARTITIONS:
+        return spans
+    return rows.agg(F.lit(None).alias("symbol"), *ends).collect()
+
+
+def within_spans(spans: list, spec: StreamSpec):
+    """The spans as one condition."""
+    condition = F.lit(False)
+    for span in spans:
+        inside = F.col(spec.key[0]).between(span.low, span.high)
+        if span.symbol is not None:
+            inside = inside & (F.col("symbol") == span.symbol)
+        condition = condition | inside
+    return condition
+
+
 def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> None:
     """Append to a database table what it does not hold yet.
 
     Each writing task commits alone, so a failed attempt may leave a part of its
-    rows; the retry finds their keys taken.  The look-up is limited to the span of
-    the first key column, which the database evaluates.
+    rows; the retry finds their keys taken.  The look-up is limited to the key
+    spans of the batch, which the database evaluates, and is read in
+    ``numPartitions`` ranges of the leading key.
     """
     rows = to_table_types(rows, spec)
-    lead = spec.key[0]
-    ends = rows.agg(F.min(lead).alias("low"), F.max(lead).alias("high")).first()
-    if ends.low is None:
+    spans = key_spans(rows, spec)
+    if not spans:
         return
-    known = read_jdbc(rows.sparkSession, options).where(
-        F.col(lead).between(ends.low, ends.high)
-    )
+    look_up = dict(options)
+    if "numPartitions" in options:
+        look_up |= {
+            "partitionColumn": spec.key[0],
+            "lowerBound": str(min(s.low for s in spans)),
+            "upperBound": str(max(s.high for s in spans) + 1),
+        }
+    known = read_jdbc(rows.sparkSession, look_up).where(within_spans(spans, spec))
     fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
     fresh.write.format("jdbc").options(**options).mode("append").save()

@@ -136,6 +136,9 @@ def test_market_board(spark, trades, ticker):
     assert board["recent_trades"][3]["Gesamtwert (USD)"] == 14.13
     assert board["price_chart"][0]["Aktueller Kurswert BTCUSDT in USD"] == 103.46
 
+    near = B.market_board(tables, as_of=as_of, since=25 * HOUR)
+    assert {n: df.collect() for n, df in near.items()} == board
+
     silent = B.market_board(tables, "SOLUSDT")
     assert silent["change_1h"].first().value == "No data"
     assert silent["price_now"].count() == 0

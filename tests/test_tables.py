@@ -136,6 +136,19 @@ def test_jdbc_options():
     assert "numPartitions" not in S.jdbc_options("jdbc:x", "trades")
 
 
+@pytest.mark.parametrize("most", [1000, 1])
+def test_key_spans(spark, monkeypatch, most):
+    """What the database is asked for covers the batch."""
+    monkeypatch.setattr(S, "MAX_NAMED_PARTITIONS", most)
+    rows = trades(spark, (1, "A", 1, 1.0, 1.0), (5, "A", 1, 1.0, 1.0), (90, "B", 1, 1.0, 1.0))
+    spans = S.key_spans(rows, TRADES)
+    assert len(spans) == (2 if most == 1000 else 1)
+    wide = trades(spark, *[(i, s, 1, 1.0, 1.0) for i in range(100) for s in "AB"])
+    found = wide.where(S.within_spans(spans, TRADES)).count()
+    assert found == (6 if most == 1000 else 180)
+    assert S.key_spans(trades(spark), TRADES) == []
+
+
 @pytest.mark.parametrize("hot", [True, False])
 def test_busy_partition_is_written_by_several_tasks(spark, path, hot):
     """Rebalancing may split one id range; its rows stay whole."""
