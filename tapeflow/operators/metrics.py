@@ -43,32 +43,32 @@ def _cumulative(
 ) -> DataFrame:
     """Running totals of ``values`` (column to result name) per ``group``.
 
-    Totals run inside a block and over the blocks before it, so that no task holds
-    more than one block's rows or one row per block of a group.
+    Totals run inside a block.  What the blocks before it add up to comes in as the
+    block's first row.  So no task holds more than one block's rows or one row per
+    block of a group, and the rows are computed once.
     """
-    rows = rows.withColumn("_block", block)
+    rows = rows.withColumn("_block", block).withColumn("_carry", F.lit(False))
     before = (
         Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = (
-        Window.partitionBy(group, "_block")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    blocks = (
+    carried = (
         rows.groupBy(group, "_block")
         .agg(*[F.sum(v).alias(v) for v in values])
         .select(
-            group,
-            "_block",
-            *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_{v}") for v in values],
+            group, "_block", F.lit(True).alias("_carry"),
+            *[F.sum(v).over(before).alias(v) for v in values],
         )
     )
-    totals = rows.withColumns({name: F.sum(v).over(inside) for v, name in values.items()})
+    inside = (
+        Window.partitionBy(group, "_block")
+        .orderBy(F.col("_carry").desc(), order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     return (
-        totals.join(blocks, [group, "_block"])
-        .withColumns({name: F.col(name) + F.col(f"_{v}") for v, name in values.items()})
-        .drop("_block", *[f"_{v}" for v in values])
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumns({name: F.sum(v).over(inside) for v, name in values.items()})
+        .where(~F.col("_carry"))
+        .drop("_block", "_carry")
     )
 
 
