@@ -26,6 +26,11 @@ def millis_time(event_time: Column | str) -> Column:
     return F.timestamp_millis(F.col(event_time) if isinstance(event_time, str) else event_time)
 
 
+def utc_date(ms: int) -> Column:
+    """The UTC date of epoch ms, whatever the session's time zone."""
+    return F.date_from_unix_date(F.lit(ms // DAY_MS))
+
+
 def query_time(as_of: Column | None = None) -> Column:
     """The time a query is asked, or the one given."""
     return F.current_timestamp() if as_of is None else as_of

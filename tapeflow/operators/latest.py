@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.functions.times import query_time, seconds_time
+from tapeflow.functions.times import query_time, seconds_time, utc_date
 
 # The planner cuts groups before the shuffle only below this many rows
 # (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -74,7 +74,7 @@ def newest_from(rows: DataFrame, n: int, since: int) -> DataFrame:
     reach = (F.col("event_time") >= F.lit(since)) | F.col("event_time").isNull()
     near = rows.where(reach)
     if "event_date" in rows.columns:
-        near = near.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(since))))
+        near = near.where(F.col("event_date") >= utc_date(since))
     return near if near.limit(n).count() == n else rows
 
 

@@ -89,6 +89,12 @@ def ticker_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(encode(rows, TICKER_1H).alias("value"))
 
 
+def rolling_messages(rolling: DataFrame) -> DataFrame:
+    """A rolling ticker as ticker messages."""
+    rows = rolling.withColumnsRenamed({"event_time": "emitted_at"})
+    return rows.select(encode(rows, TICKER_1H).alias("value"))
+
+
 def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dirty topic: good trades, objects of another kind, prose, prices that are
     no numbers, and empty texts."""

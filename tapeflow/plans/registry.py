@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeflow.contracts import TICKER_1H, TRADES, check_schema
+from tapeflow.contracts import TICKER_1D, TICKER_1H, TRADES, check_schema
 from tapeflow.functions.decode import read_messages, to_table_types
 from tapeflow.functions.display import change_class, or_no_data, shown
 from tapeflow.functions.times import DAY_MS, HOUR_MS, millis_time
@@ -375,6 +375,42 @@ _RECENT = f"""WITH {O.TRADES} SELECT {O.seconds("event_time")} AS time, trade_id
     ORDER BY time DESC NULLS FIRST, trade_id DESC LIMIT 100"""
 
 
+@register(
+    "T1 F1 P14 P15 P18 P19",
+    _latest_sql(
+        O.TICKER_1H,
+        "coalesce(CAST(round(price_change_percent, 2) AS VARCHAR), 'No data')",
+        f", {_CLASS} AS colour",
+    ),
+)
+def panel_change_1h(spark, sf_dir):
+    return _timed(market_board.change_1h(_hour(spark, sf_dir), _SYMBOL, _as_of()))
+
+
+@register(
+    "T2 F1 P10 P13 P14 P19",
+    f"""WITH {O.TICKER_1H} SELECT {O.seconds("event_time")} AS time,
+    round(last_price, 2) AS "Aktueller Kurswert {_SYMBOL} in USD"
+    FROM ticker WHERE symbol = '{_SYMBOL}' ORDER BY time DESC, event_time DESC LIMIT 500""",
+)
+def panel_price_chart(spark, sf_dir):
+    return _timed(market_board.price_chart(_hour(spark, sf_dir), _SYMBOL))
+
+
+@register(
+    "T3 F1 P10 P11 P13 P14 P19",
+    f"""WITH {O.TRADES} SELECT {O.seconds("event_time")} AS "Timestamp", trade_id AS "Trade ID",
+    round(CAST(price AS DOUBLE), 2) AS "Aktueller Kurswert (USD)",
+    CAST(quantity AS DOUBLE) AS "Menge",
+    round(CAST(price AS DOUBLE) * CAST(quantity AS DOUBLE), 2) AS "Gesamtwert (USD)"
+    FROM trades WHERE symbol = '{_SYMBOL}'
+    ORDER BY 1 DESC NULLS FIRST, trade_id DESC LIMIT 100""",
+)
+def panel_recent_trades(spark, sf_dir):
+    rows = market_board.recent_trades(D.served_trades(spark, sf_dir), _SYMBOL)
+    return rows.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+
+
 @register("T3 F1 P10 P11", _RECENT)
 def recent_trades_100(spark, sf_dir):
     return _timed(L.recent_trades(D.served_trades(spark, sf_dir), _SYMBOL))
@@ -581,6 +617,42 @@ def dedup_watermark_stream(spark, sf_dir):
     return spark.read.schema("trade_id bigint, symbol string").parquet(out)
 
 
+@register(
+    "S2 S6 ST1 A3",
+    f"""WITH {O.TRADES}, ticks AS (SELECT DISTINCT symbol, event_time FROM trades)
+    SELECT 'trades' AS table_name, count(*) AS row_count FROM trades
+    UNION ALL SELECT 'ticker_1h', count(*) FROM ticks
+    UNION ALL SELECT 'ticker_1d', count(*) FROM ticks""",
+)
+def three_topics_stream(spark, sf_dir):
+    """Three queries side by side, each from its topic to its table."""
+    trades = D.trades(spark, sf_dir)
+    topics = {
+        TRADES: D.trade_messages(trades),
+        TICKER_1H: D.rolling_messages(K.rolling_ticker(trades, HOUR_MS)),
+        TICKER_1D: D.rolling_messages(K.rolling_ticker(trades, DAY_MS)),
+    }
+    tables, running = {}, []
+    for spec, messages in topics.items():
+        files = _message_files(messages, spec.name, files=4)
+        path = shared_dir(spark, spec.name)
+        S.create_table(spark, spec, path)
+        query = I.start_ingest(
+            text_stream(spark, files, max_files=2),
+            spec,
+            I.parquet_sink(spec, path),
+            shared_dir(spark, "quarantine"),
+            shared_dir(spark, "checkpoint"),
+            _NOW,
+        )
+        running.append(query)
+        tables[spec.name] = (spec, path)
+    for query in running:
+        query.awaitTermination()
+    stored = {name: S.read_table(spark, spec, path) for name, (spec, path) in tables.items()}
+    return M.rows_per_table(stored)
+
+
 @register("D11 ST1-ST6", O.hopping(DAY_MS, 6 * HOUR_MS))
 def hopping_ticker_stream(spark, sf_dir):
     files = _message_files(D.trade_messages(D.trades(spark, sf_dir)), "topic")

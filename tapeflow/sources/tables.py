@@ -11,16 +11,23 @@ table at a time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeflow.contracts import StreamSpec
 from tapeflow.functions.decode import to_table_types
+from tapeflow.functions.times import utc_date
 from tapeflow.operators.quality import conflicts_with, first_per_key, reject_known
 
-#: Up to this many partitions of the table are named one by one in a scan filter.
-MAX_NAMED_PARTITIONS = 1000
+#: Up to this many partitions are listed by folder, up to the second number they are
+#: named in a scan filter, beyond it the filter spans them.
+MAX_FOLDERS = 100
+MAX_NAMED = 10_000
+#: Up to this many symbols have their own key span in a database look-up.
+MAX_SPANS = 100
 
 
 def _layout(spec: StreamSpec) -> list[str]:
@@ -53,7 +60,7 @@ def read_table(
     if since is not None:
         rows = rows.where(F.col("event_time") >= F.lit(since))
         if spec.partition == "event_date":
-            rows = rows.where(F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(since))))
+            rows = rows.where(F.col("event_date") >= utc_date(since))
     return rows.select(*spec.column_names)
 
 
@@ -63,28 +70,35 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _held_near(rows: DataFrame, spec: StreamSpec, path: str) -> DataFrame | None:
-    """What the table holds in the partitions ``rows`` fall in; None without rows.
+def _lookup_of(
+    rows: DataFrame, spec: StreamSpec, path: str
+) -> Callable[[], DataFrame] | None:
+    """Reads what the table holds in the partitions ``rows`` fall in; None for no rows.
 
     The partition depends on the key alone, so no equal key is elsewhere.  At most
-    ``MAX_NAMED_PARTITIONS + 1`` values, or two, come to the driver.
+    ``MAX_NAMED + 1`` partition values come to the driver.
     """
-    spark = rows.sparkSession
+    spark, column = rows.sparkSession, F.col(spec.partition)
     values = rows.select(spec.partition_value().alias("p"))
-    named = [r.p for r in values.distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()]
+    named = [r.p for r in values.distinct().limit(MAX_NAMED + 1).collect()]
     if not named:
         return None
-    if len(named) > MAX_NAMED_PARTITIONS:
-        ends = values.agg(F.min("p").alias("low"), F.max("p").alias("high")).first()
-        column = F.col(spec.partition)
-        return stored_rows(spark, spec, path).where(column.between(ends.low, ends.high))
+    if len(named) > MAX_NAMED:
+        low, high = values.agg(F.min("p"), F.max("p")).first()
+        return lambda: stored_rows(spark, spec, path).where(column.between(low, high))
+    if len(named) > MAX_FOLDERS:
+        return lambda: stored_rows(spark, spec, path).where(column.isin(named))
     folders = f"{spec.partition}={{{','.join(str(p) for p in sorted(named))}}}"
-    try:
-        return stored_rows(spark, spec, path, folders)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], spec.stored_schema)
+
+    def read() -> DataFrame:
+        try:
+            return stored_rows(spark, spec, path, folders)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], spec.stored_schema)
+
+    return read
 
 
 def write_epoch(rows: DataFrame, spec: StreamSpec, path: str, writer: str, epoch: int) -> None:
@@ -120,14 +134,15 @@ def append_once(
     """
     create_table(rows.sparkSession, spec, path)
     rows = to_table_types(rows, spec)
-    held = _held_near(rows, spec, path)
+    held = _lookup_of(rows, spec, path)
     if held is None:
         return
     mine = (F.col("writer") == writer) & (F.col("epoch") == epoch)
-    fresh = reject_known(first_per_key(rows, spec.key), held.where(~mine), spec.key)
+    known = held().where(~mine)
+    fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
     write_epoch(fresh, spec, path, writer, epoch)
     if conflicts_path:
-        report = conflicts_with(rows, _held_near(rows, spec, path), spec.key)
+        report = conflicts_with(rows, held(), spec.key)
         report.write.mode("overwrite").parquet(f"{conflicts_path}/writer={writer}/epoch={epoch}")
 
 
@@ -171,11 +186,11 @@ def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 def key_spans(rows: DataFrame, spec: StreamSpec) -> list:
     """Lowest and highest leading key per symbol, or over all of very many symbols.
 
-    At most ``MAX_NAMED_PARTITIONS + 1`` rows come to the driver.
+    At most ``MAX_SPANS + 1`` rows come to the driver.
     """
     ends = [F.min(spec.key[0]).alias("low"), F.max(spec.key[0]).alias("high")]
-    spans = rows.groupBy("symbol").agg(*ends).limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if len(spans) <= MAX_NAMED_PARTITIONS:
+    spans = rows.groupBy("symbol").agg(*ends).limit(MAX_SPANS + 1).collect()
+    if len(spans) <= MAX_SPANS:
         return spans
     return rows.agg(F.lit(None).alias("symbol"), *ends).collect()
 

@@ -43,12 +43,17 @@ def one_topic(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def text_stream(
-    spark: SparkSession, path: str, max_files: int | None = None
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
 ) -> DataFrame:
-    """A folder of text files, one message per line, as a stream of ``value``."""
+    """A folder of text files, one message per line, as a stream of ``value``.
+
+    ``max_files`` or ``max_bytes`` limits what one batch takes in.
+    """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 

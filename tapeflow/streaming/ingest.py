@@ -69,7 +69,7 @@ def start_ingest(
 
     writer = (
         read_messages(messages, spec)
-        .writeStream.queryName(f"ingest-{spec.name}-{abs(hash(checkpoint))}")
+        .writeStream.queryName(f"ingest {spec.name}")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(on_batch)

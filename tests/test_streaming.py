@@ -1,6 +1,7 @@
 import json
 import random
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,24 @@ def test_failure_after_the_write(spark, tmp_path):
     assert total.agg(F.sum("rows_inserted")).first()[0] == 12
 
 
+def test_each_query_writes_under_its_own_id(spark, tmp_path):
+    running = []
+    for n in range(3):
+        (tmp_path / str(n)).mkdir()
+        job = Job(spark, tmp_path / str(n))
+        write_files(job.inbox, [message(i) for i in range(40)], 8)
+        query = I.start_ingest(
+            text_stream(spark, str(job.inbox), 1), replace(TRADES, name=f"trades {n}"),
+            I.parquet_sink(TRADES, job.table), job.bad, str(job.dir / "checkpoint"), NOW,
+        )
+        running.append((job, query))
+    for job, query in running:
+        query.awaitTermination()
+        stored = S.stored_rows(spark, TRADES, job.table)
+        assert {r.writer for r in stored.select("writer").collect()} == {query.id}
+        assert {r.epoch for r in stored.select("epoch").collect()} == set(range(8))
+
+
 def test_later_duplicate_loses_and_is_reported(spark, tmp_path):
     job = Job(spark, tmp_path)
     write_files(job.inbox, [message(1, price="1.0")], 1)

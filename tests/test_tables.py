@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tapeflow.contracts import IDS_PER_RANGE, TICKER_1H, TRADES
 from tapeflow.operators import metrics as M
+from tapeflow.operators.latest import newest_from
 from tapeflow.sources import tables as S
 
 SCHEMA = "trade_id bigint, symbol string, event_time bigint, price double, quantity double"
@@ -65,15 +66,17 @@ def test_layout_and_pruning(spark, path):
     assert {r.id_range for r in stored.select("id_range").collect()} == {0, 1}
     plan = stored.where("id_range = 0")._jdf.queryExecution().executedPlan().toString()
     assert "id_range" in plan[plan.index("PartitionFilters") :].split("]")[0]
-    near = S._held_near(trades(spark, (IDS_PER_RANGE + 5, "A", 1, 1.0, 1.0)), TRADES, table)
+    near = S._lookup_of(trades(spark, (IDS_PER_RANGE + 5, "A", 1, 1.0, 1.0)), TRADES, table)()
     assert [r.trade_id for r in near.collect()] == [IDS_PER_RANGE]
     assert len(near.inputFiles()) == 1
-    new_range = S._held_near(trades(spark, (9 * IDS_PER_RANGE, "A", 1, 1.0, 1.0)), TRADES, table)
-    assert new_range.count() == 0
+    new_range = S._lookup_of(trades(spark, (9 * IDS_PER_RANGE, "A", 1, 1.0, 1.0)), TRADES, table)
+    assert new_range().count() == 0
 
 
-def test_more_partitions_than_are_named(spark, path, monkeypatch):
-    monkeypatch.setattr(S, "MAX_NAMED_PARTITIONS", 2)
+@pytest.mark.parametrize("folders,named", [(100, 100), (2, 100), (2, 3)])
+def test_more_partitions_than_are_named(spark, path, monkeypatch, folders, named):
+    monkeypatch.setattr(S, "MAX_FOLDERS", folders)
+    monkeypatch.setattr(S, "MAX_NAMED", named)
     table = path("trades")
     rows = spark.range(5).select(
         (F.col("id") * IDS_PER_RANGE).alias("trade_id"),
@@ -123,6 +126,13 @@ def test_ticker_table_is_split_by_date(spark, path):
     assert S.read_table(spark, TICKER_1H, table).count() == 3
     recent = S.read_table(spark, TICKER_1H, table, since=2 * day)
     assert [r.total_trades for r in recent.collect()] == [2]
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        assert S.read_table(spark, TICKER_1H, table, since=day).count() == 2
+        near = newest_from(S.stored_rows(spark, TICKER_1H, table), 2, day)
+        assert sorted(r.total_trades for r in near.collect()) == [1, 2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan[plan.index("PartitionFilters") :].split("]")[0]
 
@@ -139,7 +149,7 @@ def test_jdbc_options():
 @pytest.mark.parametrize("most", [1000, 1])
 def test_key_spans(spark, monkeypatch, most):
     """What the database is asked for covers the batch."""
-    monkeypatch.setattr(S, "MAX_NAMED_PARTITIONS", most)
+    monkeypatch.setattr(S, "MAX_SPANS", most)
     rows = trades(spark, (1, "A", 1, 1.0, 1.0), (5, "A", 1, 1.0, 1.0), (90, "B", 1, 1.0, 1.0))
     spans = S.key_spans(rows, TRADES)
     assert len(spans) == (2 if most == 1000 else 1)
