@@ -52,10 +52,6 @@ def _plain(*columns: str) -> list[Column]:
     return [F.col(c).cast("timestamp_ntz").alias(c) for c in columns]
 
 
-def _as_doubles(rows: DataFrame) -> DataFrame:
-    return to_table_types(rows, TRADES)
-
-
 # --- messages ---------------------------------------------------------------
 
 
@@ -108,18 +104,16 @@ def decode_ticker(spark, sf_dir):
 
 @register(
     "S2",
-    f"""WITH {O.TRADES} SELECT symbol, trade_id, CAST(price AS DOUBLE) AS price,
-    'binance.trades' AS topic FROM trades""",
+    f"""WITH {O.TRADES}, {O.LINE_TRADES} SELECT symbol, trade_id, quantity FROM (
+      SELECT symbol, trade_id, CAST(quantity AS DOUBLE) AS quantity FROM trades
+      UNION ALL SELECT symbol, trade_id, quantity FROM line_trades)""",
 )
 def fan_in_union(spark, sf_dir):
-    """One source per symbol into one topic, read back as that topic."""
-    rows = D.trades(spark, sf_dir)
-    sources = [D.trade_messages(L.for_symbol(rows, s)).select("topic", "value") for s in D.SYMBOLS]
-    topic = one_topic(fan_in(sources), TRADES.topic)
-    decoded = Q.usable(read_messages(topic, TRADES), TRADES)
-    return _as_doubles(decoded).select(
-        "symbol", "trade_id", "price", F.lit(TRADES.topic).alias("topic")
-    )
+    """Two sources into one topic, read back from it."""
+    sources = [D.trades(spark, sf_dir), D.line_trades(spark, sf_dir)]
+    topic = fan_in([D.trade_messages(s).select("topic", "value") for s in sources])
+    rows = read_messages(one_topic(topic, TRADES.topic), TRADES)
+    return to_table_types(Q.usable(rows, TRADES), TRADES).select("symbol", "trade_id", "quantity")
 
 
 # --- keys and quarantine ----------------------------------------------------
@@ -525,14 +519,26 @@ def _windows_plain(windows: DataFrame) -> DataFrame:
 _NOW = {"availableNow": True}
 
 
-def _message_files(messages: DataFrame, purpose: str, files: int = 6) -> str:
-    """Messages as text files, one message per line."""
+def _message_files(messages: DataFrame, purpose: str, fewest: int = 6) -> str:
+    """Messages as text files, one message per line.
+
+    Input of few files is spread over some more, so that a stream has several
+    batches; larger input keeps its partitions.
+    """
     path = shared_dir(messages.sparkSession, purpose)
     lines = messages.select(F.col("value").cast("string").alias("value"))
-    lines.repartition(files).write.text(path)
+    if len(messages.inputFiles()) < fewest:
+        lines = lines.repartition(fewest)
+    lines.write.text(path)
     return path
 
 
+def _message_stream(spark, path: str) -> DataFrame:
+    """The files as a stream of about three batches, none of more than 1000 files."""
+    files = len(spark.read.text(path).inputFiles())
+    return text_stream(spark, path, max_files=max(1, min(1000, files // 3)))
+
+
 def _ingested(spark, messages: DataFrame, replays: int = 0) -> tuple[str, str]:
     """Stream the messages into a table; paths of table and quarantine."""
     files = _message_files(messages, "topic")
@@ -540,7 +546,7 @@ def _ingested(spark, messages: DataFrame, replays: int = 0) -> tuple[str, str]:
     S.create_table(spark, TRADES, table)
     for _ in range(1 + replays):
         query = I.start_ingest(
-            text_stream(spark, files, max_files=2),
+            _message_stream(spark, files),
             TRADES,
             I.parquet_sink(TRADES, table),
             quarantine,
@@ -600,7 +606,7 @@ def quarantine_stream(spark, sf_dir):
 def dedup_watermark_stream(spark, sf_dir):
     """First write wins inside the stream; the delay spans the whole input."""
     files = _message_files(D.trade_messages(D.line_trades(spark, sf_dir)), "topic")
-    rows = Q.usable(read_messages(text_stream(spark, files, max_files=3), TRADES), TRADES)
+    rows = Q.usable(read_messages(_message_stream(spark, files), TRADES), TRADES)
     keys = Q.drop_late_copies(
         rows.withColumn("ts", millis_time("event_time")), TRADES.key, "ts", "4000 days"
     )
@@ -634,11 +640,11 @@ def three_topics_stream(spark, sf_dir):
     }
     tables, running = {}, []
     for spec, messages in topics.items():
-        files = _message_files(messages, spec.name, files=4)
+        files = _message_files(messages, spec.name)
         path = shared_dir(spark, spec.name)
         S.create_table(spark, spec, path)
         query = I.start_ingest(
-            text_stream(spark, files, max_files=2),
+            _message_stream(spark, files),
             spec,
             I.parquet_sink(spec, path),
             shared_dir(spark, "quarantine"),
@@ -656,7 +662,7 @@ def three_topics_stream(spark, sf_dir):
 @register("D11 ST1-ST6", O.hopping(DAY_MS, 6 * HOUR_MS))
 def hopping_ticker_stream(spark, sf_dir):
     files = _message_files(D.trade_messages(D.trades(spark, sf_dir)), "topic")
-    rows = Q.usable(read_messages(text_stream(spark, files, max_files=2), TRADES), TRADES)
+    rows = Q.usable(read_messages(_message_stream(spark, files), TRADES), TRADES)
     windows = K.hopping_ticker_stream(rows, "24 hours", "6 hours", "40 days")
     out = shared_dir(spark, "hopping")
     I.start_versions(windows, out, shared_dir(spark, "checkpoint"), _NOW).awaitTermination()
@@ -694,7 +700,7 @@ def msgs_per_sec_1m(spark, sf_dir):
 def msgs_per_sec_stream(spark, sf_dir):
     """The rate of a stream, by the execution time in the message."""
     files = _message_files(_messages(spark, sf_dir), "topic")
-    rows = Q.usable(read_messages(text_stream(spark, files, max_files=2), TRADES), TRADES)
+    rows = Q.usable(read_messages(_message_stream(spark, files), TRADES), TRADES)
     arrived = rows.select(
         F.lit(TRADES.topic).alias("topic"),
         F.col("symbol").alias("value"),
