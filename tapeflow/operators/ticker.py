@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from tapeflow.functions.times import DAY_MS, HOUR_MS, MINUTE_MS, floor_div
 #: it has milliseconds, whatever the trade rate (see ``rolling_ticker``).
 SLICE_MS = {HOUR_MS: 5 * MINUTE_MS, DAY_MS: 30 * MINUTE_MS}
 
+#: More slices than this make the step over full slices dear.
+_MAX_SLICES = 1000
+
 #: What a set of trades of one symbol is reduced to.
 _FIGURES = (
     "open_price",
@@ -164,6 +169,14 @@ def _slices_between(instants: DataFrame, slice_ms: int, slices: int) -> DataFram
     )
 
 
+def default_slice(period_ms: int) -> int:
+    """A slice that divides the period and does not cut it too fine."""
+    if period_ms in SLICE_MS:
+        return SLICE_MS[period_ms]
+    common = math.gcd(period_ms, 5 * MINUTE_MS)
+    return common if period_ms // common <= _MAX_SLICES else period_ms
+
+
 def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = None) -> DataFrame:
     """Exact figures of ``[t - period, t]`` for every symbol and trade time ``t``.
 
@@ -180,7 +193,7 @@ def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = Non
     The work is a sort of twice the rows.  Trades of one symbol and millisecond are
     merged first, so a group never holds more than two slices of milliseconds.
     """
-    slice_ms = slice_ms or SLICE_MS.get(period_ms, period_ms)
+    slice_ms = slice_ms or default_slice(period_ms)
     if period_ms % slice_ms:
         raise ValueError("the period must be a multiple of the slice")
     slices = period_ms // slice_ms
@@ -308,23 +321,26 @@ def trade_order() -> Column:
 def hopping_ticker(trades: DataFrame, period_ms: int, slide_ms: int) -> DataFrame:
     """Figures of the windows ``[start, start + period)`` that begin every slide.
 
-    Trades are reduced to one row per symbol and slide first; only these rows are
-    copied to the windows that contain them.
+    Trades are reduced to one row per symbol and step, the longest that divides
+    period and slide; only these rows are copied to the windows that contain them.
     """
-    if period_ms % slide_ms:
-        raise ValueError("the period must be a multiple of the slide")
-    steps = period_ms // slide_ms
-    slides = (
+    if not 0 < slide_ms <= period_ms:
+        raise ValueError("the slide must not exceed the period")
+    step_ms = math.gcd(period_ms, slide_ms)
+    steps = (
         priced(trades)
         .withColumn("order", trade_order())
-        .groupBy("symbol", floor_div(F.col("event_time"), slide_ms).alias("slide"))
+        .groupBy("symbol", floor_div(F.col("event_time"), step_ms).alias("step"))
         .agg(*_figures_of_trades(F.col("order")))
     )
-    starts = F.sequence(F.col("slide") - (steps - 1), F.col("slide"))
+    # A window contains a step when it starts no later and ends no earlier.
+    begin = F.col("step") * step_ms
+    last = floor_div(begin, slide_ms)
+    first = floor_div(begin + (step_ms - period_ms + slide_ms - 1), slide_ms)
     windows = (
-        slides.withColumn("start", F.explode(starts))
+        steps.withColumn("start", F.explode(F.sequence(first, last)))
         .groupBy("symbol", "start")
-        .agg(*_figures_of_parts("slide"))
+        .agg(*_figures_of_parts("step"))
     )
     timed = windows.select(
         F.timestamp_millis(F.col("start") * slide_ms).alias("window_start"),

@@ -19,35 +19,33 @@ TRADE_TITLES = {
     "notional": "Gesamtwert (USD)",
 }
 
-# The panel queries, ``:symbol`` is the board's parameter.  They run
-# on the views ``trades``, ``ticker_1h`` and ``ticker_1d``.
+
+def _newest_sql(table: str, column: str) -> str:
+    """One aggregation instead of a sort; no row when the symbol has none."""
+    return f"""SELECT max_by({column}, event_time) AS value, now() AS time FROM {table}
+        WHERE symbol = :symbol HAVING count(*) > 0"""
+
+
+def _extreme_sql(function: str, column: str) -> str:
+    return f"""SELECT {function}({column}) AS value, now() AS time FROM ticker_1d
+        WHERE symbol = :symbol"""
+
+
+_CUT_TIME = "timestamp_seconds(event_time div 1000) AS time"
+
+#: The panels as SQL on the views ``trades``, ``ticker_1h`` and ``ticker_1d``;
+#: ``:symbol`` is the board's parameter.
 PANEL_SQL = {
-    "price_chart": """
-        SELECT timestamp_seconds(event_time div 1000) AS time, last_price AS value
-        FROM ticker_1h WHERE symbol = :symbol
-        ORDER BY time DESC, event_time DESC LIMIT 500""",
-    "price_now": """
-        SELECT last_price AS value, now() AS time
-        FROM ticker_1h WHERE symbol = :symbol ORDER BY event_time DESC LIMIT 1""",
-    "change_1h": """
-        SELECT price_change_percent AS value, now() AS time
-        FROM ticker_1h WHERE symbol = :symbol ORDER BY event_time DESC LIMIT 1""",
-    "change_1d": """
-        SELECT price_change_percent AS value, now() AS time
-        FROM ticker_1d WHERE symbol = :symbol ORDER BY event_time DESC LIMIT 1""",
-    "low": """
-        SELECT min(low_price) AS value, now() AS time
-        FROM ticker_1d WHERE symbol = :symbol""",
-    "high": """
-        SELECT max(high_price) AS value, now() AS time
-        FROM ticker_1d WHERE symbol = :symbol""",
-    "trade_count": """
-        SELECT total_trades AS value, now() AS time
-        FROM ticker_1d WHERE symbol = :symbol ORDER BY event_time DESC LIMIT 1""",
-    "recent_trades": """
-        SELECT timestamp_seconds(event_time div 1000) AS time, trade_id, price, quantity,
-               price * quantity AS notional
-        FROM trades WHERE symbol = :symbol
+    "price_chart": f"""SELECT {_CUT_TIME}, last_price AS value FROM ticker_1h
+        WHERE symbol = :symbol ORDER BY time DESC, event_time DESC LIMIT 500""",
+    "price_now": _newest_sql("ticker_1h", "last_price"),
+    "change_1h": _newest_sql("ticker_1h", "price_change_percent"),
+    "change_1d": _newest_sql("ticker_1d", "price_change_percent"),
+    "low": _extreme_sql("min", "low_price"),
+    "high": _extreme_sql("max", "high_price"),
+    "trade_count": _newest_sql("ticker_1d", "total_trades"),
+    "recent_trades": f"""SELECT {_CUT_TIME}, trade_id, price, quantity,
+        price * quantity AS notional FROM trades WHERE symbol = :symbol
         ORDER BY time DESC NULLS FIRST, trade_id DESC LIMIT 100""",
 }
 

@@ -71,6 +71,15 @@ def test_rolling_equals_the_definition(spark, period, slice_ms):
     assert got == brute_force(rows, period)
 
 
+def test_default_slice():
+    minute = HOUR_MS // 60
+    assert K.default_slice(90 * minute) == 5 * minute
+    assert K.default_slice(HOUR_MS) == 5 * minute
+    assert K.default_slice(86_399_999) == 86_399_999
+    for period in (1, 7, 1000, HOUR_MS, DAY_MS, 7 * DAY_MS):
+        assert period % K.default_slice(period) == 0
+
+
 def test_rolling_equals_the_range_frame(spark):
     trades = spark.createDataFrame(random_trades(5), SCHEMA)
     fast = K.rolling_ticker(trades, 20, 4)
@@ -95,7 +104,7 @@ def test_slice_must_divide_the_period(spark):
     with pytest.raises(ValueError):
         K.rolling_ticker(trades, 10, 3)
     with pytest.raises(ValueError):
-        K.hopping_ticker(trades, 10, 3)
+        K.hopping_ticker(trades, 10, 11)
 
 
 def test_incomplete_trades_are_left_out(spark):
@@ -136,10 +145,10 @@ def test_rolling_plan(spark):
     assert shuffles == 4
 
 
-def test_hopping_equals_the_definition(spark):
-    rows = random_trades(9)
+@pytest.mark.parametrize("period,slide", [(12, 4), (12, 12), (12, 5), (9, 6)])
+def test_hopping_equals_the_definition(spark, period, slide):
+    rows = random_trades(period * slide)
     trades = spark.createDataFrame(rows, SCHEMA)
-    period, slide = 12, 4
     got = {}
     for r in K.hopping_ticker(trades, period, slide).select(
         "*", F.unix_millis("window_start").alias("start")
@@ -150,9 +159,10 @@ def test_hopping_equals_the_definition(spark):
         )
     expected = {}
     for trade in rows:
-        first = trade[2] // slide * slide
-        for start in range(first - period + slide, first + 1, slide):
-            expected.setdefault((trade[1], start), []).append(trade)
+        newest = trade[2] // slide * slide
+        for start in range(newest, newest - period - slide, -slide):
+            if start <= trade[2] < start + period:
+                expected.setdefault((trade[1], start), []).append(trade)
     for key, w in expected.items():
         w.sort(key=lambda r: (r[2], r[0]))
         expected[key] = (
