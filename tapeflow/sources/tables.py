@@ -183,6 +183,10 @@ def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def write_jdbc(rows: DataFrame, options: dict[str, str]) -> None:
+    rows.write.format("jdbc").options(**options).mode("append").save()
+
+
 def key_spans(rows: DataFrame, spec: StreamSpec) -> list:
     """Lowest and highest leading key per symbol, or over all of very many symbols.
 
@@ -227,4 +231,4 @@ def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> N
         }
     known = read_jdbc(rows.sparkSession, look_up).where(within_spans(spans, spec))
     fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
-    fresh.write.format("jdbc").options(**options).mode("append").save()
+    write_jdbc(fresh, options)

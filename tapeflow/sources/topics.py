@@ -43,7 +43,7 @@ def one_topic(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def text_stream(
-    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
     """A folder of text files, one message per line, as a stream of ``value``.
 

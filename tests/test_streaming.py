@@ -14,6 +14,7 @@ from tapeflow.operators import ticker as K
 from tapeflow.sources import tables as S
 from tapeflow.sources.topics import text_stream
 from tapeflow.streaming import ingest as I
+from tapeflow.streaming import job
 
 NOW = {"availableNow": True}
 
@@ -59,48 +60,48 @@ class Job:
 
 
 def test_bad_messages_do_not_stop_the_query(spark, tmp_path):
-    job = Job(spark, tmp_path)
+    one = Job(spark, tmp_path)
     good = [message(i) for i in range(20)]
     bad = ["garbage", message(None), message(99, price="abc"), '{"t":"1","s":"A"}', ""]
-    write_files(job.inbox, good + bad, 4)
-    job.run()
-    assert [r[0] for r in job.rows()] == list(range(20))
-    assert [r for r, _ in job.reasons()] == [
+    write_files(one.inbox, good + bad, 4)
+    one.run()
+    assert [r[0] for r in one.rows()] == list(range(20))
+    assert [r for r, _ in one.reasons()] == [
         "bad_number", "empty", "malformed", "malformed", "null_key",
     ]
-    assert ("malformed", "garbage") in job.reasons()
+    assert ("malformed", "garbage") in one.reasons()
 
 
 @pytest.mark.parametrize("files,max_files", [(1, 1), (5, 2), (7, 3)])
 def test_stream_equals_batch(spark, tmp_path, files, max_files):
     rng = random.Random(files)
     messages = [message(rng.randrange(60), symbol=rng.choice("AB")) for _ in range(120)]
-    job = Job(spark, tmp_path)
-    write_files(job.inbox, messages, files)
-    job.run(max_files=max_files)
+    one = Job(spark, tmp_path)
+    write_files(one.inbox, messages, files)
+    one.run(max_files=max_files)
     batch = read_messages(spark.createDataFrame([(m,) for m in messages], "value string"), TRADES)
     first = to_table_types(Q.first_per_key(Q.usable(batch, TRADES), TRADES.key), TRADES)
-    assert job.rows() == sorted(tuple(r) for r in first.collect())
+    assert one.rows() == sorted(tuple(r) for r in first.collect())
 
 
 def test_restart_resumes_and_a_new_checkpoint_replays(spark, tmp_path):
-    job = Job(spark, tmp_path)
-    write_files(job.inbox, [message(i) for i in range(10)], 2)
-    job.run()
-    write_files(job.inbox, [message(i) for i in range(5, 15)], 1)
-    second = job.run()
+    one = Job(spark, tmp_path)
+    write_files(one.inbox, [message(i) for i in range(10)], 2)
+    one.run()
+    write_files(one.inbox, [message(i) for i in range(5, 15)], 1)
+    second = one.run()
     assert sum(p["numInputRows"] for p in second.recentProgress) == 10
-    before = job.rows()
+    before = one.rows()
     assert [r[0] for r in before] == list(range(15))
-    job.run("another")
-    assert job.rows() == before
+    one.run("another")
+    assert one.rows() == before
 
 
 def test_failure_after_the_write(spark, tmp_path):
     """The epoch is written, then the callback dies; the retry finds its own rows."""
-    job = Job(spark, tmp_path)
-    write_files(job.inbox, [message(i) for i in range(12)], 3)
-    real = I.parquet_sink(TRADES, job.table)
+    one = Job(spark, tmp_path)
+    write_files(one.inbox, [message(i) for i in range(12)], 3)
+    real = I.parquet_sink(TRADES, one.table)
     writers = []
 
     def dies_in_epoch_1(rows, epoch, writer):
@@ -110,12 +111,12 @@ def test_failure_after_the_write(spark, tmp_path):
             raise RuntimeError("lost")
 
     with pytest.raises(Exception, match="lost"):
-        job.run(sink=dies_in_epoch_1)
-    assert len(job.rows()) == 8
-    job.run()
-    assert [r[0] for r in job.rows()] == list(range(12))
+        one.run(sink=dies_in_epoch_1)
+    assert len(one.rows()) == 8
+    one.run()
+    assert [r[0] for r in one.rows()] == list(range(12))
     assert len(set(writers)) == 1 and writers[0]
-    total = M.rows_per_epoch(S.stored_rows(spark, TRADES, job.table))
+    total = M.rows_per_epoch(S.stored_rows(spark, TRADES, one.table))
     assert total.agg(F.sum("rows_inserted")).first()[0] == 12
 
 
@@ -123,37 +124,37 @@ def test_each_query_writes_under_its_own_id(spark, tmp_path):
     running = []
     for n in range(3):
         (tmp_path / str(n)).mkdir()
-        job = Job(spark, tmp_path / str(n))
-        write_files(job.inbox, [message(i) for i in range(40)], 8)
+        one = Job(spark, tmp_path / str(n))
+        write_files(one.inbox, [message(i) for i in range(40)], 8)
         query = I.start_ingest(
-            text_stream(spark, str(job.inbox), 1), replace(TRADES, name=f"trades {n}"),
-            I.parquet_sink(TRADES, job.table), job.bad, str(job.dir / "checkpoint"), NOW,
+            text_stream(spark, str(one.inbox), 1), replace(TRADES, name=f"trades {n}"),
+            I.parquet_sink(TRADES, one.table), one.bad, str(one.dir / "checkpoint"), NOW,
         )
-        running.append((job, query))
-    for job, query in running:
+        running.append((one, query))
+    for one, query in running:
         query.awaitTermination()
-        stored = S.stored_rows(spark, TRADES, job.table)
+        stored = S.stored_rows(spark, TRADES, one.table)
         assert {r.writer for r in stored.select("writer").collect()} == {query.id}
         assert {r.epoch for r in stored.select("epoch").collect()} == set(range(8))
 
 
 def test_later_duplicate_loses_and_is_reported(spark, tmp_path):
-    job = Job(spark, tmp_path)
-    write_files(job.inbox, [message(1, price="1.0")], 1)
-    job.run()
-    write_files(job.inbox, [message(1, t=10**12, price="7.0")], 1)
-    job.run()
-    assert job.rows() == [(1, "BTCUSDT", 1, 1.0, 2.0)]
+    one = Job(spark, tmp_path)
+    write_files(one.inbox, [message(1, price="1.0")], 1)
+    one.run()
+    write_files(one.inbox, [message(1, t=10**12, price="7.0")], 1)
+    one.run()
+    assert one.rows() == [(1, "BTCUSDT", 1, 1.0, 2.0)]
     (row,) = spark.read.parquet(str(tmp_path / "conflicts")).collect()
     assert (row.price, row.kept_price) == (7.0, 1.0)
 
 
 def test_ticker_topic(spark, tmp_path):
-    job = Job(spark, tmp_path, TICKER_1H)
+    one = Job(spark, tmp_path, TICKER_1H)
     ticks = [json.dumps({"E": 86_400_000 * d, "s": "X", "c": "1.5", "n": d}) for d in range(3)]
-    write_files(job.inbox, ticks + ticks, 2)
-    job.run()
-    assert [(r[0], r[4], r[9]) for r in job.rows()] == [
+    write_files(one.inbox, ticks + ticks, 2)
+    one.run()
+    assert [(r[0], r[4], r[9]) for r in one.rows()] == [
         (86_400_000 * d, 1.5, d) for d in range(3)
     ]
 
@@ -194,6 +195,28 @@ def test_rows_beyond_the_watermark_are_counted(spark, tmp_path):
     assert dropped == 1
 
 
+def test_job_from_the_command_line(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    write_files(inbox, [message(i) for i in range(6)] + ["x"], 2)
+    paths = {n: str(tmp_path / n) for n in ("table", "quarantine", "checkpoint")}
+    argv = ["trades", "--files", str(inbox), "--max-bytes", "1000", "--available-now"]
+    for name, where in paths.items():
+        argv += [f"--{name}", where]
+    for _ in range(2):
+        job.main(argv)
+        assert S.read_table(spark, TRADES, paths["table"]).count() == 6
+        assert S.read_quarantine(spark, paths["quarantine"]).count() == 1
+
+    with pytest.raises(SystemExit):
+        job.arguments(["trades", "--files", "x", "--table", "y", "--checkpoint", "z"])
+    args = job.arguments(
+        ["ticker_1h", "--servers", "b:1", "--jdbc", "jdbc:x", "--jdbc-option", "user=u",
+         "--quarantine", "q", "--checkpoint", "c", "--interval", "5 seconds"]
+    )
+    assert job.trigger(args) == {"processingTime": "5 seconds"}
+    assert args.starting == "latest" and args.jdbc_option == ["user=u"]
+
+
 def test_console_sink(spark, tmp_path):
     inbox = tmp_path / "inbox"
     write_files(inbox, [message(1)], 1)

@@ -146,6 +146,35 @@ def test_jdbc_options():
     assert "numPartitions" not in S.jdbc_options("jdbc:x", "trades")
 
 
+@pytest.fixture
+def parquet_for_jdbc(spark, path, monkeypatch):
+    """Stands in for the database; keeps the options it was asked with."""
+    asked, folder = [], path("database")
+    spark.createDataFrame([], SCHEMA).write.parquet(folder)
+
+    def read(spark, options):
+        asked.append(options)
+        return spark.read.schema(SCHEMA).parquet(folder)
+
+    monkeypatch.setattr(S, "read_jdbc", read)
+    monkeypatch.setattr(
+        S, "write_jdbc", lambda rows, options: rows.write.mode("append").parquet(folder)
+    )
+    return asked, lambda: sorted(tuple(r) for r in spark.read.parquet(folder).collect())
+
+
+def test_database_append_after_a_partial_write(spark, parquet_for_jdbc):
+    asked, held = parquet_for_jdbc
+    options = S.jdbc_options("jdbc:x", "trades", partitions=4)
+    S.write_jdbc(trades(spark, FIRST[0]), options)
+    for rows in (FIRST, FIRST, SECOND, FIRST + SECOND, []):
+        S.append_jdbc(trades(spark, *rows), TRADES, options)
+    assert held() == KEPT
+    assert asked[0]["partitionColumn"] == "trade_id"
+    assert (asked[0]["lowerBound"], asked[0]["upperBound"]) == ("1", "3")
+    assert len(asked) == 4
+
+
 @pytest.mark.parametrize("most", [1000, 1])
 def test_key_spans(spark, monkeypatch, most):
     """What the database is asked for covers the batch."""
