@@ -177,7 +177,9 @@ def default_slice(period_ms: int) -> int:
     return common if period_ms // common <= _MAX_SLICES else period_ms
 
 
-def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = None) -> DataFrame:
+def rolling_ticker(
+    trades: DataFrame, period_ms: int, slice_ms: int | None = None, since: int | None = None
+) -> DataFrame:
     """Exact figures of ``[t - period, t]`` for every symbol and trade time ``t``.
 
     A plain RANGE frame re-reads its whole window at every row, in one task per
@@ -192,12 +194,16 @@ def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = Non
 
     The work is a sort of twice the rows.  Trades of one symbol and millisecond are
     merged first, so a group never holds more than two slices of milliseconds.
+
+    ``since`` (epoch ms) asks for the times from then on and reads one period more.
     """
     slice_ms = slice_ms or default_slice(period_ms)
     if period_ms % slice_ms:
         raise ValueError("the period must be a multiple of the slice")
     slices = period_ms // slice_ms
     figures = [F.col(c) for c in _FIGURES]
+    if since is not None:
+        trades = trades.where(F.col("event_time") >= F.lit(since - period_ms))
     instants = per_instant(trades)
 
     t, own = F.col("event_time"), F.col("own")
@@ -275,6 +281,8 @@ def rolling_ticker(trades: DataFrame, period_ms: int, slice_ms: int | None = Non
             plus("total_trades"),
         )
     )
+    if since is not None:
+        whole = whole.where(F.col("event_time") >= F.lit(since))
     return _with_derived(whole, "event_time", "symbol")
 
 

@@ -87,6 +87,14 @@ def test_rolling_equals_the_range_frame(spark):
     assert fast.exceptAll(plain).count() == 0 and plain.exceptAll(fast).count() == 0
 
 
+@pytest.mark.parametrize("since", [-50, 0, 17, 1100])
+def test_rolling_since(spark, since):
+    trades = spark.createDataFrame(random_trades(8), SCHEMA)
+    part = K.rolling_ticker(trades, 20, 4, since=since)
+    whole = K.rolling_ticker(trades, 20, 4).where(F.col("event_time") >= since)
+    assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_bounds_hold(spark):
     trades = spark.createDataFrame(random_trades(6), SCHEMA)
     rows = K.rolling_ticker(trades, 20, 4)
