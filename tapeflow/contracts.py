@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeflow.functions.times import FIRST_MS, LAST_MS
+
 # Topics, tables and selectable symbols.
 TRADES_TOPIC = "binance.trades"
 TICKER_1H_TOPIC = "binance.ticker_1h"
@@ -178,7 +180,11 @@ def _ticker_spec(name: str, topic: str) -> StreamSpec:
         key=("event_time", "symbol"),
         partition="event_date",
         partition_type="date",
-        partition_sql="date_from_unix_date(cast(floor(event_time / 86400000) as int))",
+        # Times outside the years 1 to 9999 go to the first or last day.
+        partition_sql=(
+            "date_from_unix_date(cast(floor("
+            f"least(greatest(event_time, {FIRST_MS}), {LAST_MS}) / 86400000) as int))"
+        ),
     )
 
 

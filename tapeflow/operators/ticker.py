@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.functions.times import DAY_MS, HOUR_MS, MINUTE_MS, floor_div
+from tapeflow.functions.times import DAY_MS, HOUR_MS, MINUTE_MS, floor_div, is_time
 
 #: Slice length per period.  A slice of one symbol holds at most as many rows as
 #: it has milliseconds, whatever the trade rate (see ``rolling_ticker``).
@@ -50,16 +50,16 @@ _TICKER_COLUMNS = (
 
 def priced(trades: DataFrame) -> DataFrame:
     """Trades that have a time, a price and a quantity, the last two as decimals."""
-    return trades.where(
-        F.col("event_time").isNotNull()
-        & F.col("price").isNotNull()
-        & F.col("quantity").isNotNull()
-    ).select(
-        "symbol",
-        "event_time",
-        "trade_id",
-        F.col("price").try_cast("decimal(18,8)").alias("price"),
-        F.col("quantity").try_cast("decimal(18,8)").alias("quantity"),
+    return (
+        trades.select(
+            "symbol",
+            "event_time",
+            "trade_id",
+            F.col("price").try_cast("decimal(18,8)").alias("price"),
+            F.col("quantity").try_cast("decimal(18,8)").alias("quantity"),
+        )
+        .where(is_time(F.col("event_time")))
+        .where(F.col("price").isNotNull() & F.col("quantity").isNotNull())
     )
 
 
@@ -291,36 +291,13 @@ def ticker_table(rolling: DataFrame) -> DataFrame:
     return rolling.select(*_TICKER_COLUMNS)
 
 
-def rolling_ticker_plain(trades: DataFrame, period_ms: int) -> DataFrame:
-    """The definition as one RANGE frame per symbol, a yardstick for small inputs."""
-    frame = Window.partitionBy("symbol").orderBy("event_time").rangeBetween(-period_ms, 0)
-    order = F.struct("event_time", "trade_id")
-    parts = priced(trades).select(
-        "event_time", "symbol", *[c.over(frame).alias(n) for c, n in _framed(order)]
-    )
-    return _with_derived(parts.distinct(), "event_time", "symbol")
-
-
-def _framed(order: Column) -> list[tuple[Column, str]]:
-    return [
-        (F.min_by("price", order), "open_price"),
-        (F.max_by("price", order), "last_price"),
-        (F.max_by("quantity", order), "last_quantity"),
-        (F.max("price"), "high_price"),
-        (F.min("price"), "low_price"),
-        (F.sum("quantity"), "volume"),
-        (F.sum(F.col("price") * F.col("quantity")), "quote_volume"),
-        (F.count("*"), "total_trades"),
-    ]
-
-
 def trade_order() -> Column:
     """(event_time, trade_id) as one number.
 
     A number keeps the aggregation buffer fixed-width, so ``min_by``/``max_by`` run
     in a hash aggregate; ordering by a struct would sort all trades first.
     """
-    shift = F.lit("10000000000000000000").cast("decimal(20,0)")  # above every bigint
+    shift = F.lit("20000000000000000000").cast("decimal(20,0)")  # spans every bigint
     return (F.col("event_time").cast("decimal(15,0)") * shift + F.col("trade_id")).cast(
         "decimal(38,0)"
     )

@@ -297,7 +297,8 @@ def latest_price(spark, sf_dir):
     return _timed(market_board.price_now(_hour(spark, sf_dir), _SYMBOL, _as_of()))
 
 
-_CLASS = "CASE WHEN price_change_percent >= 0 THEN 'green' WHEN price_change_percent < 0 THEN 'red' END"
+_CLASS = """CASE WHEN price_change_percent >= 0 THEN 'green'
+    WHEN price_change_percent < 0 THEN 'red' END"""
 
 
 @register("T1 F1 P15", _latest_sql(O.TICKER_1H, "price_change_percent"))

@@ -159,6 +159,16 @@ def test_ticker_topic(spark, tmp_path):
     ]
 
 
+def test_absurd_ticker_times_are_stored_once(spark, tmp_path):
+    one = Job(spark, tmp_path, TICKER_1H)
+    times = [0, 2**63 - 1, -(2**63), 253_402_300_800_000]
+    ticks = [json.dumps({"E": t, "s": "X", "c": "1.5"}) for t in times]
+    write_files(one.inbox, ticks + ticks, 4)
+    one.run()
+    one.run("another")
+    assert [r[0] for r in one.rows()] == sorted(times)
+
+
 def test_hopping_stream_equals_batch(spark, tmp_path):
     rng = random.Random(3)
     messages = [

@@ -2,10 +2,12 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapeflow.functions.times import DAY_MS, HOUR_MS, floor_div
 from tapeflow.operators import ticker as K
+from tapeflow.operators.latest import recent_trades
 
 SCHEMA = (
     "trade_id bigint, symbol string, event_time bigint, "
@@ -82,11 +84,39 @@ def test_default_slice():
 
 def test_rolling_equals_the_range_frame(spark):
     trades = spark.createDataFrame(random_trades(5), SCHEMA)
-    fast = K.rolling_ticker(trades, 20, 4)
-    plain = K.rolling_ticker_plain(trades, 20).select(fast.columns)
+    frame = Window.partitionBy("symbol").orderBy("event_time").rangeBetween(-20, 0)
+    order = F.struct("event_time", "trade_id")
+    plain = trades.select(
+        "symbol",
+        "event_time",
+        F.min_by("price", order).over(frame).cast("double").alias("open_price"),
+        F.max_by("price", order).over(frame).cast("double").alias("last_price"),
+        F.max("price").over(frame).cast("double").alias("high_price"),
+        F.min("price").over(frame).cast("double").alias("low_price"),
+        F.sum("quantity").over(frame).cast("double").alias("volume"),
+        F.sum(F.col("price") * F.col("quantity")).over(frame).cast("double").alias("quote_volume"),
+        F.count("*").over(frame).alias("total_trades"),
+    ).distinct()
+    fast = K.rolling_ticker(trades, 20, 4).select(plain.columns)
     assert fast.exceptAll(plain).count() == 0 and plain.exceptAll(fast).count() == 0
 
 
+def test_absurd_times_do_not_fail_the_job(spark):
+    one = Decimal(1)
+    rows = [(1, "A", 5, one, one), (2, "A", 2**63 - 1, one, one), (3, "A", -(2**63), one, one)]
+    trades = spark.createDataFrame(rows, SCHEMA)
+    assert [r.event_time for r in K.rolling_ticker(trades, HOUR_MS).collect()] == [5]
+    assert K.hopping_ticker(trades, HOUR_MS, HOUR_MS).count() == 1
+    assert recent_trades(trades, "A").count() == 3
+
+
+def test_doubles_that_are_no_decimals_are_left_out(spark):
+    rows = [(1, "A", 5, 1.5, 2.0), (2, "A", 6, float("nan"), 1.0), (3, "A", 7, 1e300, 1.0)]
+    schema = "trade_id long, symbol string, event_time long, price double, quantity double"
+    (row,) = K.rolling_ticker(spark.createDataFrame(rows, schema), HOUR_MS).collect()
+    assert (row.event_time, row.quote_volume) == (5, 3.0)
+
+
 @pytest.mark.parametrize("since", [-50, 0, 17, 1100])
 def test_rolling_since(spark, since):
     trades = spark.createDataFrame(random_trades(8), SCHEMA)
@@ -134,8 +164,8 @@ def test_one_instant_may_hold_a_third_of_the_trades(spark):
         F.lit("0.5").cast("decimal(18,8)").alias("quantity"),
     )
     rows = K.rolling_ticker(trades, HOUR_MS)
-    hot = rows.where("symbol = 'HOT'").collect()
-    assert [(r.event_time, r.total_trades, r.quote_volume) for r in hot] == [(500, 10_000, 10_000.0)]
+    (hot,) = rows.where("symbol = 'HOT'").collect()
+    assert (hot.event_time, hot.total_trades, hot.quote_volume) == (500, 10_000, 10_000.0)
     plan = K.per_instant(trades)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan[plan.index("Exchange") :] and "SortAggregate" not in plan
 
