@@ -1,5 +1,6 @@
 import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,23 @@ def test_layout_and_pruning(spark, path):
     assert new_range().count() == 0
 
 
+def test_files_are_sorted_by_symbol_and_time(spark, path):
+    table = path("trades")
+    rows = spark.range(3000).select(
+        F.col("id").alias("trade_id"),
+        F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"),
+        F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("event_time"),
+        F.lit(1.0).alias("price"),
+        F.lit(1.0).alias("quantity"),
+    )
+    S.append_once(rows, TRADES, table, "w", 0)
+    files = S.stored_rows(spark, TRADES, table).inputFiles()
+    for name in files:
+        found = pq.read_table(name.removeprefix("file://"), partitioning=None).to_pylist()
+        order = [(r["symbol"], r["event_time"]) for r in found]
+        assert order == sorted(order)
+
+
 @pytest.mark.parametrize("folders,named", [(100, 100), (2, 100), (2, 3)])
 def test_more_partitions_than_are_named(spark, path, monkeypatch, folders, named):
     monkeypatch.setattr(S, "MAX_FOLDERS", folders)
