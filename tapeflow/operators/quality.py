@@ -50,21 +50,20 @@ def drop_late_copies(stream: DataFrame, key: tuple[str, ...], ts: str, delay: st
 
 
 def conflicts_within(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """One row per key that occurs with more than one payload.
+    """One row per key that occurs with more than one payload: the first, and how
+    many rows there are.
 
-    Two aggregations, both combined before their shuffle: copies collapse to one
-    row per (key, payload), payloads to one row per key.
+    A single aggregation, combined before its shuffle: a key has two payloads when
+    its lowest and highest differ.
     """
-    payload = [c for c in rows.columns if c not in key]
-    versions = rows.groupBy(*key, *payload).agg(F.count("*").alias("_copies"))
-    kept = F.min(F.struct(*payload)).alias("_kept")
-    return (
-        versions.groupBy(*key)
-        .agg(kept, F.count("*").alias("payloads"), F.sum("_copies").alias("copies"))
-        .where(F.col("payloads") > 1)
-        .select(
-            *key, *[F.col(f"_kept.{c}").alias(f"kept_{c}") for c in payload], "payloads", "copies"
-        )
+    payload = F.struct(*[c for c in rows.columns if c not in key])
+    ends = rows.groupBy(*key).agg(
+        F.min(payload).alias("kept"), F.max(payload).alias("last"), F.count("*").alias("copies")
+    )
+    return ends.where(~F.col("kept").eqNullSafe(F.col("last"))).select(
+        *key,
+        *[F.col(f"kept.{c}").alias(f"kept_{c}") for c in rows.columns if c not in key],
+        "copies",
     )
 
 

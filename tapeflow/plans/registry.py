@@ -173,14 +173,12 @@ def reject_known_keys(spark, sf_dir):
 
 @register(
     "K1",
-    f"""WITH {O.LINE_TRADES}, versions AS (
-      SELECT trade_id, symbol, event_time, price, quantity, count(*) AS n FROM line_trades
-      GROUP BY ALL)
-    SELECT trade_id, symbol, min((event_time, price, quantity))[1] AS kept_event_time,
-      min((event_time, price, quantity))[2] AS kept_price,
-      min((event_time, price, quantity))[3] AS kept_quantity,
-      count(*) AS payloads, CAST(sum(n) AS BIGINT) AS copies
-    FROM versions GROUP BY trade_id, symbol HAVING count(*) > 1""",
+    f"""WITH {O.LINE_TRADES}, ends AS (
+      SELECT trade_id, symbol, min((event_time, price, quantity)) AS kept,
+        max((event_time, price, quantity)) AS last, count(*) AS copies
+      FROM line_trades GROUP BY trade_id, symbol)
+    SELECT trade_id, symbol, kept[1] AS kept_event_time, kept[2] AS kept_price,
+      kept[3] AS kept_quantity, copies FROM ends WHERE kept <> last""",
 )
 def key_conflicts(spark, sf_dir):
     return Q.conflicts_within(D.line_trades(spark, sf_dir), TRADES.key)

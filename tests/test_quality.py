@@ -48,11 +48,15 @@ def test_conflicts_within(spark):
         (1, "A", 1, 5.0, 1.0),
         (1, "A", 1, 6.0, 1.0),
         (1, "A", 1, 6.0, 1.0),
-        (2, "A", 1, 5.0, 1.0),
-        (2, "A", 1, 5.0, 1.0),
+        (2, "A", None, 5.0, 1.0),
+        (2, "A", None, 5.0, 1.0),
+        (3, "A", None, 5.0, 1.0),
+        (3, "A", 7, 5.0, 1.0),
     )
-    (row,) = Q.conflicts_within(rows, KEY).collect()
-    assert (row.trade_id, row.kept_price, row.payloads, row.copies) == (1, 5.0, 2, 3)
+    report = {r.trade_id: r for r in Q.conflicts_within(rows, KEY).collect()}
+    assert set(report) == {1, 3}
+    assert (report[1].kept_price, report[1].copies) == (5.0, 3)
+    assert (report[3].kept_event_time, report[3].copies) == (None, 2)
 
 
 def test_conflicts_with_stored_rows(spark):
@@ -82,4 +86,4 @@ def test_hot_key(spark):
     assert first.count() == 20001
     assert first.where("trade_id = 0").first().event_time == 30000 - 29997
     report = Q.conflicts_within(rows, KEY).collect()
-    assert [(r.trade_id, r.payloads, r.copies) for r in report] == [(0, 10000, 10000)]
+    assert [(r.trade_id, r.copies) for r in report] == [(0, 10000)]
