@@ -11,10 +11,12 @@ table at a time.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeflow.contracts import StreamSpec
@@ -22,12 +24,22 @@ from tapeflow.functions.decode import to_table_types
 from tapeflow.functions.times import utc_date
 from tapeflow.operators.quality import conflicts_with, first_per_key, reject_known
 
-#: Up to this many partitions are listed by folder, up to the second number they are
-#: named in a scan filter, beyond it the filter spans them.
+#: Up to this many partitions are listed by folder.
 MAX_FOLDERS = 100
-MAX_NAMED = 10_000
-#: Up to this many symbols have their own key span in a database look-up.
+#: Up to this many key spans, one per partition and symbol, form a look-up's filter.
 MAX_SPANS = 100
+#: Up to this many spans come to the driver; beyond it only the ends of all.
+MAX_COLLECTED = 10_000
+
+
+class Reach(NamedTuple):
+    """Where a table may hold the keys of some rows."""
+
+    partitions: Column
+    folders: str | None
+    keys: Column
+    low: int
+    high: int
 
 
 def _layout(spec: StreamSpec) -> list[str]:
@@ -70,35 +82,60 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _lookup_of(
-    rows: DataFrame, spec: StreamSpec, path: str
-) -> Callable[[], DataFrame] | None:
-    """Reads what the table holds in the partitions ``rows`` fall in; None for no rows.
+def reach_of(rows: DataFrame, spec: StreamSpec) -> Reach | None:
+    """The partitions and the spans of the leading key that ``rows`` fall in; None
+    for no rows.
 
     The partition depends on the key alone, so no equal key is elsewhere.  At most
-    ``MAX_NAMED + 1`` partition values come to the driver.
+    ``MAX_COLLECTED + 1`` rows come to the driver.
     """
-    spark, column = rows.sparkSession, F.col(spec.partition)
-    values = rows.select(spec.partition_value().alias("p"))
-    named = [r.p for r in values.distinct().limit(MAX_NAMED + 1).collect()]
-    if not named:
+    partition, lead = F.col(spec.partition), F.col(spec.key[0])
+    placed = rows.select("symbol", lead.alias("k"), spec.partition_value().alias("p"))
+
+    def value(p) -> Column:
+        # By way of text, which carries dates of any year.
+        return F.lit(str(p)).cast(spec.partition_type)
+
+    ends = [F.min("k").alias("low"), F.max("k").alias("high")]
+    spans = placed.groupBy("p", "symbol").agg(*ends).limit(MAX_COLLECTED + 1).collect()
+    if not spans:
         return None
-    if len(named) > MAX_NAMED:
-        low, high = values.agg(F.min("p"), F.max("p")).first()
-        return lambda: stored_rows(spark, spec, path).where(column.between(low, high))
-    if len(named) > MAX_FOLDERS:
-        return lambda: stored_rows(spark, spec, path).where(column.isin(named))
-    folders = f"{spec.partition}={{{','.join(str(p) for p in sorted(named))}}}"
+    if len(spans) > MAX_COLLECTED:
+        all_ends = [F.min("p").alias("first"), F.max("p").alias("last"), *ends]
+        whole = placed.agg(*all_ends).first()
+        return Reach(
+            partition.between(value(whole.first), value(whole.last)),
+            None,
+            lead.between(whole.low, whole.high),
+            whole.low,
+            whole.high,
+        )
+    named = sorted({s.p for s in spans})
+    listed = f"{spec.partition}={{{','.join(map(str, named))}}}"
+    low, high = min(s.low for s in spans), max(s.high for s in spans)
+    keys = lead.between(low, high)
+    if len(spans) <= MAX_SPANS:
+        each = [(F.col("symbol") == s.symbol) & lead.between(s.low, s.high) for s in spans]
+        keys = reduce(or_, each)
+    return Reach(
+        partition.isin([value(p) for p in named]),
+        listed if len(named) <= MAX_FOLDERS else None,
+        keys,
+        low,
+        high,
+    )
 
-    def read() -> DataFrame:
-        try:
-            return stored_rows(spark, spec, path, folders)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], spec.stored_schema)
 
-    return read
+def held_within(spark: SparkSession, spec: StreamSpec, path: str, reach: Reach) -> DataFrame:
+    """What the table holds there.  Files are sorted by symbol and time, and epochs
+    are narrow in both, so the key spans skip most row groups."""
+    try:
+        stored = stored_rows(spark, spec, path, reach.folders)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], spec.stored_schema)
+    return stored.where(reach.partitions & reach.keys)
 
 
 def write_epoch(rows: DataFrame, spec: StreamSpec, path: str, writer: str, epoch: int) -> None:
@@ -132,17 +169,19 @@ def append_once(
 
     ``rows`` is read several times, so callers cache it.
     """
-    create_table(rows.sparkSession, spec, path)
+    spark = rows.sparkSession
+    create_table(spark, spec, path)
     rows = to_table_types(rows, spec)
-    held = _lookup_of(rows, spec, path)
-    if held is None:
+    reach = reach_of(rows, spec)
+    if reach is None:
         return
     mine = (F.col("writer") == writer) & (F.col("epoch") == epoch)
-    known = held().where(~mine)
+    known = held_within(spark, spec, path, reach).where(~mine)
     fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
     write_epoch(fresh, spec, path, writer, epoch)
     if conflicts_path:
-        report = conflicts_with(rows, held(), spec.key)
+        held = held_within(spark, spec, path, reach)
+        report = conflicts_with(rows, held, spec.key)
         report.write.mode("overwrite").parquet(f"{conflicts_path}/writer={writer}/epoch={epoch}")
 
 
@@ -187,29 +226,6 @@ def write_jdbc(rows: DataFrame, options: dict[str, str]) -> None:
     rows.write.format("jdbc").options(**options).mode("append").save()
 
 
-def key_spans(rows: DataFrame, spec: StreamSpec) -> list:
-    """Lowest and highest leading key per symbol, or over all of very many symbols.
-
-    At most ``MAX_SPANS + 1`` rows come to the driver.
-    """
-    ends = [F.min(spec.key[0]).alias("low"), F.max(spec.key[0]).alias("high")]
-    spans = rows.groupBy("symbol").agg(*ends).limit(MAX_SPANS + 1).collect()
-    if len(spans) <= MAX_SPANS:
-        return spans
-    return rows.agg(F.lit(None).alias("symbol"), *ends).collect()
-
-
-def within_spans(spans: list, spec: StreamSpec):
-    """The spans as one condition."""
-    condition = F.lit(False)
-    for span in spans:
-        inside = F.col(spec.key[0]).between(span.low, span.high)
-        if span.symbol is not None:
-            inside = inside & (F.col("symbol") == span.symbol)
-        condition = condition | inside
-    return condition
-
-
 def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> None:
     """Append to a database table what it does not hold yet.
 
@@ -219,16 +235,16 @@ def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> N
     ``numPartitions`` ranges of the leading key.
     """
     rows = to_table_types(rows, spec)
-    spans = key_spans(rows, spec)
-    if not spans:
+    reach = reach_of(rows, spec)
+    if reach is None:
         return
     look_up = dict(options)
     if "numPartitions" in options:
         look_up |= {
             "partitionColumn": spec.key[0],
-            "lowerBound": str(min(s.low for s in spans)),
-            "upperBound": str(max(s.high for s in spans) + 1),
+            "lowerBound": str(reach.low),
+            "upperBound": str(reach.high + 1),
         }
-    known = read_jdbc(rows.sparkSession, look_up).where(within_spans(spans, spec))
+    known = read_jdbc(rows.sparkSession, look_up).where(reach.keys)
     fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
     write_jdbc(fresh, options)

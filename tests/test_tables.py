@@ -67,34 +67,31 @@ def test_layout_and_pruning(spark, path):
     assert {r.id_range for r in stored.select("id_range").collect()} == {0, 1}
     plan = stored.where("id_range = 0")._jdf.queryExecution().executedPlan().toString()
     assert "id_range" in plan[plan.index("PartitionFilters") :].split("]")[0]
-    near = S._lookup_of(trades(spark, (IDS_PER_RANGE + 5, "A", 1, 1.0, 1.0)), TRADES, table)()
+    near = held(spark, table, (IDS_PER_RANGE + 5, "A"), (IDS_PER_RANGE - 0, "A"))
     assert [r.trade_id for r in near.collect()] == [IDS_PER_RANGE]
     assert len(near.inputFiles()) == 1
-    new_range = S._lookup_of(trades(spark, (9 * IDS_PER_RANGE, "A", 1, 1.0, 1.0)), TRADES, table)
-    assert new_range().count() == 0
+    assert held(spark, table, (IDS_PER_RANGE, "B")).count() == 0
+    assert held(spark, table, (2, "A"), (2, "B")).count() == 1
+    assert held(spark, table, (9 * IDS_PER_RANGE, "A")).count() == 0
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "EqualTo(symbol,A)" in pushed and "trade_id" in pushed.split("ReadSchema")[0]
 
 
-def test_files_are_sorted_by_symbol_and_time(spark, path):
-    table = path("trades")
-    rows = spark.range(3000).select(
-        F.col("id").alias("trade_id"),
-        F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"),
-        F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("event_time"),
-        F.lit(1.0).alias("price"),
-        F.lit(1.0).alias("quantity"),
-    )
-    S.append_once(rows, TRADES, table, "w", 0)
-    files = S.stored_rows(spark, TRADES, table).inputFiles()
-    for name in files:
-        found = pq.read_table(name.removeprefix("file://"), partitioning=None).to_pylist()
-        order = [(r["symbol"], r["event_time"]) for r in found]
-        assert order == sorted(order)
+def held(spark, table, *keys):
+    rows = trades(spark, *[(i, symbol, 1, 1.0, 1.0) for i, symbol in keys])
+    return S.held_within(spark, TRADES, table, S.reach_of(rows, TRADES))
 
 
-@pytest.mark.parametrize("folders,named", [(100, 100), (2, 100), (2, 3)])
-def test_more_partitions_than_are_named(spark, path, monkeypatch, folders, named):
+@pytest.mark.parametrize(
+    "folders,spans,collected", [(100, 100, 100), (2, 100, 100), (2, 2, 100), (2, 2, 3)]
+)
+def test_more_partitions_than_are_named(
+    spark, path, monkeypatch, folders, spans, collected
+):
     monkeypatch.setattr(S, "MAX_FOLDERS", folders)
-    monkeypatch.setattr(S, "MAX_NAMED", named)
+    monkeypatch.setattr(S, "MAX_SPANS", spans)
+    monkeypatch.setattr(S, "MAX_COLLECTED", collected)
     table = path("trades")
     rows = spark.range(5).select(
         (F.col("id") * IDS_PER_RANGE).alias("trade_id"),
@@ -193,17 +190,16 @@ def test_database_append_after_a_partial_write(spark, parquet_for_jdbc):
     assert len(asked) == 4
 
 
-@pytest.mark.parametrize("most", [1000, 1])
-def test_key_spans(spark, monkeypatch, most):
-    """What the database is asked for covers the batch."""
+@pytest.mark.parametrize("most", [100, 1])
+def test_reach(spark, monkeypatch, most):
+    """What a table is asked for covers the batch."""
     monkeypatch.setattr(S, "MAX_SPANS", most)
     rows = trades(spark, (1, "A", 1, 1.0, 1.0), (5, "A", 1, 1.0, 1.0), (90, "B", 1, 1.0, 1.0))
-    spans = S.key_spans(rows, TRADES)
-    assert len(spans) == (2 if most == 1000 else 1)
+    reach = S.reach_of(rows, TRADES)
     wide = trades(spark, *[(i, s, 1, 1.0, 1.0) for i in range(100) for s in "AB"])
-    found = wide.where(S.within_spans(spans, TRADES)).count()
-    assert found == (6 if most == 1000 else 180)
-    assert S.key_spans(trades(spark), TRADES) == []
+    assert wide.where(reach.keys).count() == (6 if most == 100 else 180)
+    assert (reach.low, reach.high, reach.folders) == (1, 90, "id_range={0}")
+    assert S.reach_of(trades(spark), TRADES) is None
 
 
 @pytest.mark.parametrize("hot", [True, False])
