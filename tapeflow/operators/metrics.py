@@ -1,7 +1,7 @@
 """Operational figures: rates, totals, rows per table, liveness, labels.
 
-``messages`` frames have ``topic``, ``value`` (bytes or text) and ``ts``; metric
-samples have ``metric``, ``labels`` (map), ``ts`` and ``value``.
+``messages`` frames have ``topic``, ``value`` (bytes or text) and ``ts``, which is
+what a topic source calls ``timestamp``; metric samples have ``metric``, ``labels`` (map), ``ts`` and ``value``.
 """
 
 from __future__ import annotations

@@ -94,7 +94,10 @@ def start_console(
 def start_versions(
     aggregate: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write every version of an aggregate's changed groups, one folder per epoch."""
+    """Write every version of an aggregate's changed groups, one folder per epoch.
+
+    ``path`` belongs to ``checkpoint``; another checkpoint needs another path.
+    """
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/writer={query_id(batch)}/epoch={epoch}")

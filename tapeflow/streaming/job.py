@@ -1,6 +1,6 @@
 """One ingest query as a job for ``spark-submit``.
 
-    spark-submit tapeflow/streaming/job.py trades --servers broker:9092 \\
+    spark-submit --py-files tapeflow.zip tapeflow/streaming/job.py trades --servers broker:9092 \\
         --table s3a://lake/trades --quarantine s3a://lake/bad --checkpoint s3a://lake/cp
 """
 
