@@ -12,6 +12,11 @@ def shown(value: Column, decimals: int = 2) -> Column:
     return F.round(value, decimals)
 
 
+def plain_decimal(value: Column, scale: int = 8) -> Column:
+    """A decimal as text without exponent; a cast writes ``0E-8`` outside ANSI mode."""
+    return F.translate(F.format_number(value, scale), ",", "")
+
+
 def change_class(value: Column) -> Column:
     """Red below zero, green from zero on, NULL stays NULL."""
     return F.when(value >= 0, "green").when(value < 0, "red")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tapeflow.contracts import TICKER_1D, TICKER_1H, TRADES, check_schema
 from tapeflow.functions.decode import read_messages, to_table_types
-from tapeflow.functions.display import change_class, or_no_data, shown
+from tapeflow.functions.display import change_class, or_no_data, plain_decimal, shown
 from tapeflow.functions.times import DAY_MS, HOUR_MS, millis_time
 from tapeflow.operators import latest as L
 from tapeflow.operators import logs as G
@@ -73,8 +73,8 @@ def decode_trades(spark, sf_dir):
         "trade_id",
         "symbol",
         "event_time",
-        F.col("price").cast("string").alias("price"),
-        F.col("quantity").cast("string").alias("quantity"),
+        plain_decimal(F.col("price")).alias("price"),
+        plain_decimal(F.col("quantity")).alias("quantity"),
     )
 
 

@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tapeflow.contracts import StreamSpec
+from tapeflow.functions.display import plain_decimal
 from tapeflow.operators.logs import LOG_GLOB
 
 
@@ -84,11 +86,14 @@ def fan_in(frames: Iterable[DataFrame]) -> DataFrame:
 def encode(rows: DataFrame, spec: StreamSpec, constants: dict[str, Column] | None = None) -> Column:
     """A row as message bytes; message fields without a column are left out."""
     constants = constants or {}
-    present = set(rows.columns)
+    types = {f.name: f.dataType for f in rows.schema.fields}
     fields = []
     for wire, kind, name in spec.fields:
         if name in constants:
             fields.append(constants[name].cast(kind).alias(wire))
-        elif name in present:
-            fields.append(F.col(name).cast(kind).alias(wire))
+        elif name in types:
+            column, found = F.col(name), types[name]
+            if kind == "string" and isinstance(found, DecimalType):
+                column = plain_decimal(column, found.scale)
+            fields.append(column.cast(kind).alias(wire))
     return F.to_json(F.struct(*fields)).cast("binary")

@@ -198,6 +198,18 @@ def test_fan_in_and_encode(spark):
     assert json.loads(text) == {"t": 7, "s": "A", "p": "1.5"}
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_plain_decimals(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = ["0.00000000", "0.00000001", "-1234567.50000000", "9999999999.99999999"]
+        df = spark.createDataFrame([(t,) for t in texts], "x string")
+        out = df.select(display.plain_decimal(F.col("x").cast("decimal(18,8)"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert [r[0] for r in out] == texts
+
+
 def test_display(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (1.0,), (None,)], "x double")
     got = df.select(
