@@ -20,6 +20,7 @@ from tapeflow.operators import ticker as K
 from tapeflow.plans import driver_tables as D
 from tapeflow.plans import market_board, ops_board
 from tapeflow.plans import oracle as O
+from tapeflow.plans.ticker_tables import refresh_ticker
 from tapeflow.scratch import shared_dir
 from tapeflow.sources import tables as S
 from tapeflow.sources.topics import fan_in, one_topic, text_stream
@@ -202,6 +203,7 @@ def not_null_split(spark, sf_dir):
 
 # --- tables -----------------------------------------------------------------
 
+_MID_MONTH = 1_705_300_000_000
 _ONCE = f"WITH {O.LINE_TRADES} {O.first_write('line_trades')}"
 
 
@@ -238,12 +240,26 @@ def compacted_table(spark, sf_dir):
 def ticker_table_dates(spark, sf_dir):
     """The 1-hour ticker stored by date; the count needs no column of it."""
     path = shared_dir(spark, "ticker_1h")
-    rows = K.ticker_table(K.rolling_ticker(D.trades(spark, sf_dir), HOUR_MS))
-    S.append_once(rows, TICKER_1H, path, "a", 0)
+    refresh_ticker(D.trades(spark, sf_dir), TICKER_1H, HOUR_MS, path, 0)
     stored = S.stored_rows(spark, TICKER_1H, path)
     return stored.groupBy("event_date").agg(F.count("*").alias("ticks"))
 
 
+@register(
+    "S9 K1 D1-D10",
+    f"""WITH {O.TICKER_1D} SELECT event_time, symbol, price_change, price_change_percent,
+    last_price, open_price, high_price, low_price, volume, total_trades FROM ticker""",
+)
+def ticker_table_in_two_runs(spark, sf_dir):
+    """The first half of the month, then the second."""
+    path = shared_dir(spark, "ticker_1d")
+    trades = D.trades(spark, sf_dir)
+    half = trades.where(F.col("event_time") < _MID_MONTH)
+    refresh_ticker(half, TICKER_1D, DAY_MS, path, 0)
+    refresh_ticker(trades, TICKER_1D, DAY_MS, path, 1, since=_MID_MONTH)
+    return S.read_table(spark, TICKER_1D, path)
+
+
 @register(
     "A3",
     f"""WITH {O.LINE_TRADES}, keys AS (
@@ -265,6 +281,7 @@ def rows_inserted(spark, sf_dir):
 # --- market board -----------------------------------------------------------
 
 _SYMBOL = "CLICK"
+_LAST_DAYS = 1_706_400_000_000
 _AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 
 
@@ -316,6 +333,16 @@ def latest_total_trades(spark, sf_dir):
     return _timed(market_board.trade_count(_day(spark, sf_dir), _SYMBOL, _as_of()))
 
 
+@register("T1 F1 S8 S9", _latest_sql(O.TICKER_1H, "last_price"))
+def latest_price_from_table(spark, sf_dir):
+    """From the stored ticker: the last days' folders are tried first."""
+    path = shared_dir(spark, "ticker_1h")
+    refresh_ticker(D.trades(spark, sf_dir), TICKER_1H, HOUR_MS, path, 0)
+    stored = L.for_symbol(S.stored_rows(spark, TICKER_1H, path), _SYMBOL)
+    near = L.newest_from(stored, 1, _LAST_DAYS)
+    return _timed(L.latest_value(near, _SYMBOL, "last_price", _as_of()))
+
+
 @register(
     "T1",
     f"""WITH {O.TICKER_1H} SELECT symbol, event_time, price_change, price_change_percent,

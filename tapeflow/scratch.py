@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
 
@@ -26,3 +26,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             _local_root[app] = tempfile.mkdtemp(prefix="tapeflow-")
         root = _local_root[app]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` written once and read back, for results that are used several times."""
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
