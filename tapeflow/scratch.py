@@ -11,14 +11,15 @@ _local_root: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder under the one the cluster names in ``spark.checkpoint.dir``, or
+    the context's checkpoint folder.
 
-    Without that setting a folder of this machine is used, in local mode only,
+    Without either a folder of this machine is used, in local mode only,
     where driver and executors are one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = context.applicationId

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tapeflow.contracts import IDS_PER_RANGE, TICKER_1H, TRADES
 from tapeflow.operators import metrics as M
 from tapeflow.operators.latest import newest_from
+from tapeflow.scratch import shared_dir
 from tapeflow.sources import tables as S
 
 SCHEMA = "trade_id bigint, symbol string, event_time bigint, price double, quantity double"
@@ -78,6 +79,22 @@ def test_layout_and_pruning(spark, path):
     assert "EqualTo(symbol,A)" in pushed and "trade_id" in pushed.split("ReadSchema")[0]
 
 
+def test_files_are_sorted_by_symbol_and_time(spark, path):
+    table = path("trades")
+    rows = spark.range(3000).select(
+        F.col("id").alias("trade_id"),
+        F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"),
+        F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("event_time"),
+        F.lit(1.0).alias("price"),
+        F.lit(1.0).alias("quantity"),
+    )
+    S.append_once(rows, TRADES, table, "w", 0)
+    for name in S.stored_rows(spark, TRADES, table).inputFiles():
+        found = pq.read_table(name.removeprefix("file://"), partitioning=None).to_pylist()
+        order = [(r["symbol"], r["event_time"]) for r in found]
+        assert order and order == sorted(order)
+
+
 def held(spark, table, *keys):
     rows = trades(spark, *[(i, symbol, 1, 1.0, 1.0) for i, symbol in keys])
     return S.held_within(spark, TRADES, table, S.reach_of(rows, TRADES))
@@ -215,3 +232,29 @@ def test_busy_partition_is_written_by_several_tasks(spark, path, hot):
     )
     S.append_once(rows, TRADES, table, "w", 0)
     assert S.read_table(spark, TRADES, table).distinct().count() == 20000
+
+
+class Session:
+    """As much of a session as the choice of a scratch folder reads."""
+
+    def __init__(self, master, conf=None, checkpoint=None):
+        class Context:
+            applicationId = f"app {master}"
+
+            def getCheckpointDir(self):
+                return checkpoint
+
+        self.conf, self.sparkContext = conf or {}, Context()
+        self.sparkContext.master = master
+
+
+def test_scratch_folder():
+    named = {"spark.checkpoint.dir": "s3a://lake/scratch/"}
+    one, two = (shared_dir(Session("yarn", named), "x") for _ in range(2))
+    assert one.startswith("s3a://lake/scratch/x-") and one != two
+    assert shared_dir(Session("yarn", checkpoint="hdfs:/cp"), "x").startswith("hdfs:/cp/x-")
+    with pytest.raises(ValueError):
+        shared_dir(Session("yarn"), "x")
+    local = Session("local[2]")
+    first, second = shared_dir(local, "x"), shared_dir(local, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
