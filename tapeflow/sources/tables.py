@@ -195,14 +195,23 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def compact(spark: SparkSession, spec: StreamSpec, source: str, target: str) -> None:
-    """Rewrite a table of many small epochs as one epoch of a new table.
+def compact(
+    spark: SparkSession, spec: StreamSpec, source: str, target: str, chosen: Column | None = None
+) -> None:
+    """Rewrite a table of many small epochs as one epoch of another table.
+
+    ``chosen``, a condition on the partition column, limits this to some partitions,
+    such as dates that are over; the target's other partitions stay as they are.
 
-    Stop the writing query, compact, start it again on ``target``: should its last
-    epoch be retried there, every key is found taken.  The source stays as it is.
+    To go on with the target: stop the writing query, compact, start it again on the
+    target.  Should its last epoch be retried there, every key is found taken.  The
+    source stays as it is.
     """
     create_table(spark, spec, target)
-    write_epoch(read_table(spark, spec, source), spec, target, "compacted", 0)
+    rows = stored_rows(spark, spec, source)
+    if chosen is not None:
+        rows = rows.where(chosen)
+    write_epoch(rows.select(*spec.column_names), spec, target, "compacted", 0)
 
 
 def jdbc_options(

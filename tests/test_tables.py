@@ -143,6 +143,16 @@ def test_compaction_keeps_rows_and_blocks_replays(spark, path):
     assert content(spark, target) == KEPT
 
 
+def test_compaction_by_partition(spark, path):
+    table, target = path("trades"), path("compacted")
+    S.append_once(trades(spark, *FIRST), TRADES, table, "w", 0)
+    S.append_once(trades(spark, *SECOND), TRADES, table, "w", 1)
+    for chosen in ("id_range = 0", "id_range >= 1", "id_range = 0"):
+        S.compact(spark, TRADES, table, target, F.expr(chosen))
+    assert content(spark, target) == KEPT
+    assert len(S.stored_rows(spark, TRADES, target).inputFiles()) == 2
+
+
 def test_ticker_table_is_split_by_date(spark, path):
     day = 86_400_000
     rows = spark.createDataFrame(
