@@ -45,7 +45,10 @@ def reject_known(rows: DataFrame, known: DataFrame, key: tuple[str, ...]) -> Dat
 
 
 def drop_late_copies(stream: DataFrame, key: tuple[str, ...], ts: str, delay: str) -> DataFrame:
-    """First write wins inside a stream, with state bounded by the watermark."""
+    """First write wins inside a stream, with state bounded by the watermark.
+
+    Rows without a time count as late; where there are any, use the table look-up.
+    """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
