@@ -181,13 +181,20 @@ def append_once(
     write_epoch(fresh, spec, path, writer, epoch)
     if conflicts_path:
         held = held_within(spark, spec, path, reach)
-        report = conflicts_with(rows, held, spec.key)
-        report.write.mode("overwrite").parquet(f"{conflicts_path}/writer={writer}/epoch={epoch}")
+        write_report(conflicts_with(rows, held, spec.key), conflicts_path, writer, epoch)
 
 
-def write_quarantine(bad: DataFrame, path: str, writer: str, epoch: int) -> None:
-    packed = bad.hint("rebalance")
-    packed.write.mode("overwrite").parquet(f"{path}/writer={writer}/epoch={epoch}")
+def write_report(rows: DataFrame, path: str, writer: str, epoch: int) -> None:
+    """Replace one epoch of a report (conflicts, quarantine); an empty one leaves no
+    file."""
+    (
+        rows.hint("rebalance")
+        .withColumns({"writer": F.lit(writer), "epoch": F.lit(epoch).cast("bigint")})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("writer", "epoch")
+        .parquet(path)
+    )
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tapeflow.contracts import StreamSpec
 from tapeflow.functions.decode import read_messages
 from tapeflow.operators.quality import quarantined, usable
-from tapeflow.sources.tables import append_jdbc, append_once, write_quarantine
+from tapeflow.sources.tables import append_jdbc, append_once, write_report
 
 BatchSink = Callable[[DataFrame, int, str], None]
 
@@ -63,7 +63,7 @@ def start_ingest(
         batch = batch.withColumn("raw", raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sink(usable(batch, spec), epoch, writer)
-            write_quarantine(quarantined(batch), quarantine, writer, epoch)
+            write_report(quarantined(batch), quarantine, writer, epoch)
         finally:
             batch.unpersist()
 

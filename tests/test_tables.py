@@ -53,6 +53,18 @@ def test_first_write_wins_across_epochs_retries_and_replays(spark, path):
     ]
 
 
+def test_empty_reports_leave_no_file(spark, path):
+    reports = path("bad")
+    bad = spark.createDataFrame([("malformed", "x")], "reason string, raw string")
+    S.write_report(bad.where("false"), reports, "w", 0)
+    assert S.read_quarantine(spark, reports).count() == 0
+    for rows in (bad, bad):
+        S.write_report(rows, reports, "w", 1)
+    found = S.read_quarantine(spark, reports)
+    assert [tuple(r) for r in found.collect()] == [("malformed", "x", "w", 1)]
+    assert len(found.inputFiles()) == 1
+
+
 def test_retry_of_a_half_written_epoch(spark, path):
     table = path("trades")
     S.create_table(spark, TRADES, table)
