@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tapeflow.contracts import IDS_PER_RANGE, TICKER_1H, TRADES
 from tapeflow.operators import metrics as M
 from tapeflow.operators.latest import newest_from
+from tapeflow.operators.quality import first_per_key, reject_known
 from tapeflow.scratch import shared_dir
 from tapeflow.sources import tables as S
 
@@ -107,6 +108,27 @@ def test_files_are_sorted_by_symbol_and_time(spark, path):
         assert order and order == sorted(order)
 
 
+def test_append_shuffles_each_side_once(spark, path):
+    table = path("trades")
+    every = [(i, f"S{i % 3}", 2 * i, 1.0, 1.0) for i in range(1000)]
+    rows = spark.createDataFrame(every, SCHEMA)
+    S.append_once(rows.where("trade_id < 500"), TRADES, table, "w", 0)
+    known = S.held_within(spark, TRADES, table, S.reach_of(rows, TRADES))
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(conf, "-1")
+    try:
+        fresh = reject_known(first_per_key(rows, TRADES.key), known, TRADES.key)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(conf)
+    assert plan.count("Exchange hashpartitioning(trade_id") == 2
+    kept_side = plan[plan.index("SortMergeJoin") : plan.index("WindowGroupLimit")]
+    assert "Sort [" not in kept_side, "the window's order serves the join"
+    below = plan[plan.index("Exchange hashpartitioning(trade_id") :]
+    assert below.index("WindowGroupLimit") < below.index("Scan ExistingRDD"), "copies are cut first"
+    assert "ReadSchema: struct<trade_id:bigint,symbol:string>" in plan
+
+
 def held(spark, table, *keys):
     rows = trades(spark, *[(i, symbol, 1, 1.0, 1.0) for i, symbol in keys])
     return S.held_within(spark, TRADES, table, S.reach_of(rows, TRADES))
