@@ -222,6 +222,8 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
         a, b = a[keep], b[keep]
         linked = edits_within(code, (start[a], end[a]), (start[b], end[b]), most)
         a, b = a[linked], b[linked]
+        if not len(a):
+            return
         firsts, at_first = np.unique(a, return_index=True)
         for row, near in zip(firsts.tolist(), np.split(b, at_first[1:]), strict=True):
             join_labels(labels, row, near)
