@@ -256,6 +256,28 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatc
         yield _joined(held)
 
 
+def merged(groups: Iterator[pa.RecordBatch], first: int, content: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Small groups put together, as they do not interfere; those of several chunks stay alone.
+
+    ``first`` is the place of the first of two chunk numbers, ``content`` that of the text or set.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for group in groups:
+        if group.num_rows < 2:
+            continue
+        if group.column(first)[0].as_py() or group.column(first + 1)[0].as_py():
+            yield group
+            continue
+        held.append(group)
+        size += group.column(content).nbytes
+        if size >= most:
+            yield _joined(held)
+            held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 

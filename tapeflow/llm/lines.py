@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeflow.llm.components import components, pair_groups
-from tapeflow.llm.jaccard import join_labels, runs
+from tapeflow.llm.jaccard import join_labels, merged, runs
 from tapeflow.llm.words import Hasher, chunks, mix, text_buffer
 from tapeflow.scratch import staged
 
@@ -37,8 +37,13 @@ MAX_EDITS = 2
 EXACT_CHARS = 20
 NEAR_CHARS = 40
 GROUP_CHARS = 8 << 20
+MERGED_CHARS = 1 << 20
 _PAIRS = 1 << 18
-_SPACE = np.array([9, 10, 11, 12, 13, 32], np.uint32)
+_BIT_WORDS = 1 << 21
+
+
+def _is_space(code: np.ndarray) -> np.ndarray:
+    return (code == 32) | ((code >= 9) & (code <= 13))
 
 
 class Lines:
@@ -63,12 +68,16 @@ class Lines:
         end[is_last] = begins[1:]
         end[~is_last] = breaks - 1
         self.full_start, self.full_end = start, end
-        inner = np.flatnonzero(~np.isin(self.code, _SPACE))
-        low, high = np.searchsorted(inner, start), np.searchsorted(inner, end)
-        filled = high > low
-        self.start, self.end = start.copy(), start.copy()
-        self.start[filled] = inner[low[filled]]
-        self.end[filled] = inner[high[filled] - 1] + 1
+        self.start, self.end = start.copy(), end.copy()
+        todo = np.flatnonzero(start < end)
+        while len(todo):  # once for each space before the line with the most
+            todo = todo[_is_space(self.code[self.start[todo]])]
+            self.start[todo] += 1
+            todo = todo[self.start[todo] < end[todo]]
+        todo = np.flatnonzero(self.start < end)
+        while len(todo):
+            todo = todo[_is_space(self.code[self.end[todo] - 1])]
+            self.end[todo] -= 1
 
     @property
     def length(self) -> np.ndarray:
@@ -178,6 +187,22 @@ def _ties(docs: DataFrame, text: str, most: int) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
 
+def _bitmap(nodes: DataFrame) -> np.ndarray:
+    """A bit map that holds every node of a table, and others by chance: a number per
+    ``_BIT_WORDS`` at most, so its size does not grow with the table."""
+    place = F.pmod(F.shiftright("node", 6), F.lit(_BIT_WORDS))
+    bit = F.expr("shiftleft(1L, cast(node & 63 as int))")
+    table = nodes.groupBy(place.alias("place")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(_BIT_WORDS, np.int64)
+    bits[table.column("place").to_numpy()] = table.column("bits").to_numpy()
+    return bits.view(np.uint64)
+
+
+def _marked(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
+    word = bits[(node >> 6) & (_BIT_WORDS - 1)]
+    return (word >> (node & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 def _histogram(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Counts of 16 kinds of characters in each span."""
     kinds = (code * np.uint32(2654435761)) >> np.uint32(28)
@@ -246,7 +271,8 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
 
 def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) -> DataFrame:
     """(node, line_class): lines that are within ``most`` edits of others, by their keys."""
-    cluster = components(_ties(docs, text, most)).withColumnRenamed("component", "cluster")
+    cluster = staged(components(_ties(docs, text, most)).withColumnRenamed("component", "cluster"), "clusters")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(cluster))
 
     def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), np.empty(0, np.int64)
@@ -255,6 +281,7 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) ->
                 lines = Lines(data, at)
                 node = _line_key(hasher, hasher.sums(lines.code), lines.start, lines.end)
                 pick = np.flatnonzero(lines.length >= NEAR_CHARS)
+                pick = pick[_marked(bits.value, node[pick])]
                 _, first = np.unique(node[pick], return_index=True)
                 pick = pick[first]
                 pick = pick[~np.isin(node[pick], seen)]
@@ -271,9 +298,7 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) ->
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for run in runs(batches, 3):
-            if run.num_rows < 2:
-                continue
+        for run in merged(runs(batches, 3), 1, 5, MERGED_CHARS):
             data, at = text_buffer(run.column(5))
             place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
             code = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
@@ -312,7 +337,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mos
                 )
 
     given = docs.select(key, F.xxhash64(text).alias("text_key"), text)
-    rows = given.mapInArrow(occurrences, f"doc {kind}, text_key long, line_number long, node long")
+    rows = staged(given.mapInArrow(occurrences, f"doc {kind}, text_key long, line_number long, node long"), "occurrences")
     classes = line_classes(docs, text, most)
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_key", "line_number")
     # one row per line class and document suffices to find the first

@@ -110,8 +110,7 @@ class Hasher:
     """
 
     def __init__(self):
-        values = np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD)
-        self.values = mix(values)
+        self.values = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * np.uint64(_ODD))
         self.power = np.empty(0, np.uint64)
         self.inverse = np.empty(0, np.uint64)
 
@@ -127,9 +126,13 @@ class Hasher:
     def sums(self, data: np.ndarray) -> np.ndarray:
         """Running sums of bytes or code points, for ``cut``."""
         self._reach(len(data) + 1)
-        values = self.values[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64) + np.uint64(_ODD))
+        if data.dtype == np.uint8 or not len(data) or data.max() < len(self.values):
+            values = self.values[data]
+        else:
+            values = self.values[data & 0xFFFF] + mix((data >> np.uint32(16)).astype(np.uint64))
+        values *= self.power[: len(data)]
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values * self.power[: len(data)], dtype=np.uint64, out=sums[1:])
+        np.cumsum(values, out=sums[1:])
         return sums
 
     def cut(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
