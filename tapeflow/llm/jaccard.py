@@ -3,9 +3,9 @@
 Equal sets are one node from the start, so copies cost nothing further.  Nodes that may be
 linked are brought together in three steps:
 
-1. Every set is put in one order of all shingles, frequent ones last, and only as many
-   of its first shingles as a linked set cannot miss are sent out.  Nodes that share one are
-   tied to the smallest of them: a row per node and shingle, never a pair.
+1. Every set is cut into parts by its shingles' hashes, so many that two linked sets have an
+   equal part that is not tiny.  Nodes with an equal part are tied to the smallest of
+   them: a row per node and part, never a pair.
 2. The ties' connected components are split by set size; sets whose sizes exclude a link do
    not meet.  Large ones are dealt into chunks of bounded size, all pairs of which meet.
 3. In a chunk pair the incidence matrix of sets by shingles is multiplied with its own
@@ -13,9 +13,6 @@ linked are brought together in three steps:
    rest; pairs below the bound of their sizes are discarded.  The rest are links, of which
    a spanning forest is kept: every link between different sets joins its groups.
 
-Which shingles count as frequent is counted per task and only decides the order, so it
-changes the work and never the result.
-
 Defined cases: null and empty texts and texts without words have an empty set, which links
 with nothing; fewer words than a shingle's are one shingle; rows are documents: repeated ids
 and null ids are kept, and a group's id is the smallest of its ids that are not null.
@@ -30,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tapeflow.llm.components import components, pair_groups
 from tapeflow.llm.words import Hasher, Words, chunks, grams, mix, space_words
@@ -38,10 +34,10 @@ from tapeflow.scratch import staged
 
 SHINGLE = 4
 PERCENT = 85
-COUNTED_SHINGLES = 4 << 20
-OFTEN = 4
-MOST_FREQUENT = 1 << 20
+SMALL_PART = 3
+CUT_SHINGLES = 1 << 20
 GROUP_SHINGLES = 4 << 20
+MERGED_BYTES = 1 << 20
 _ROWS = 512
 _PAIRS = 1 << 22
 
@@ -68,104 +64,114 @@ def _node(shingles: np.ndarray) -> int:
     return int(mix(mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64, keepdims=True) + mix(seed)).view(np.int64)[0])
 
 
-def _prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
-    """The first shingles, rare ones first, of which a linked set shares one."""
-    size = len(shingles) - (percent * len(shingles) + 99) // 100 + 1
-    names, counts = frequent
-    if len(names):
-        near = np.minimum(np.searchsorted(names, shingles), len(names) - 1)
-        often = np.where(names[near] == shingles, counts[near], 0)
-        return shingles[np.lexsort((shingles, often))[:size]]
-    return shingles[:size]
+class Parts:
+    """How sets are cut into parts by the hashes of their shingles, by class of size.
+
+    Sets of sizes that allow a link are at most one class apart; each is cut for its own
+    class and for the next.  In a class of sizes up to u a linked pair differs in no more than
+    ``differ(u)`` shingles, so all other parts are equal.  There are so many parts that
+    the equal ones cannot all be among those of few shingles, which say little.
+    """
 
+    def __init__(self, percent: int):
+        self.percent = percent
+        # a little wider than the ratio of sizes, for rounding
+        self.width = math.log(100 / (percent - 0.01)) if percent > 1 else 64.0
+        at_least = lambda m, rate: 1 - sum(rate**i / math.factorial(i) for i in range(m)) * math.exp(-rate)
+        per_shingle = 2 * (100 - percent) / (100 + percent)
+        wanted = [
+            rate / 10
+            for m in (SMALL_PART, 2, 1)
+            for rate in range(60, 9, -1)
+            if at_least(m, rate / 10 * percent / 100) >= rate / 10 * per_shingle
+        ]
+        self.rate = wanted[0] if wanted else 1.0
+
+    def classes(self, sizes: np.ndarray) -> np.ndarray:
+        return np.floor(np.log(sizes) / self.width).astype(np.int64)
+
+    def differ(self, size_class: np.ndarray) -> np.ndarray:
+        largest = np.ceil(np.exp((size_class + 1) * self.width)).astype(np.int64)
+        return 2 * (100 - self.percent) * largest // (100 + self.percent)
+
+    def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(set, key) for the parts of some sets that are not empty."""
+        sizes = np.array([len(s) for s in sets])
+        flat = np.concatenate(sets)
+        spread = mix(flat ^ np.uint64(0x3C6EF372FE94F82B))
+        owners, keys = [], []
+        for visit in (0, 1):
+            size_class = self.classes(sizes) + visit
+            differ = self.differ(size_class)
+            largest = np.exp((size_class + 1) * self.width)
+            parts = np.maximum(differ + 1, np.ceil(largest / self.rate).astype(np.int64))
+            first = np.cumsum(parts) - parts
+            place = (spread % np.repeat(parts, sizes).astype(np.uint64)).astype(np.int64) + np.repeat(first, sizes)
+            total = int(parts.sum())
+            sums = np.zeros(total, np.uint64)
+            np.add.at(sums, place, mix(flat))
+            held = np.bincount(place, minlength=total)
+            owner = np.repeat(np.arange(len(sets)), parts)
+            # parts below a size may go as long as fewer go than are equal in a linked set
+            least = np.zeros(len(sets), np.int64)
+            for m in range(1, SMALL_PART + 1):
+                small = np.bincount(owner, held < m, len(sets))
+                least = np.where(small <= parts - differ - 1, m, least)
+            kept = np.flatnonzero(held >= least[owner])
+            number = (kept - first[owner[kept]]).astype(np.uint64)
+            seat = mix(number * np.uint64(1024) + size_class[owner[kept]].astype(np.uint64))
+            owners.append(owner[kept])
+            keys.append(mix(sums[kept] ^ seat).view(np.int64))
+        return np.concatenate(owners), np.concatenate(keys)
 
-def describe(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """Rows (doc, text_key, n_shingles, node) of documents and (shingle, seen) of frequent shingles.
 
-    A shingle is reported by each stretch of ``COUNTED_SHINGLES`` shingles in which
-    ``OFTEN`` documents hold it."""
+def describe(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """(doc, text_key, n_shingles, node) of every document."""
     kind = dict(docs.dtypes)[key]
-    key_type = to_arrow_type(docs.schema[key].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = Hasher(), [], 0
-
-        def frequent() -> pa.RecordBatch:
-            names, counts = np.unique(np.concatenate(held), return_counts=True)
-            names, counts = names[counts >= OFTEN], counts[counts >= OFTEN]
-            none = pa.nulls(len(names))
-            columns = [none.cast(key_type), *[none.cast(pa.int64())] * 3]
-            return pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names.view(np.int64)), pa.array(counts.astype(np.int64))], _DESCRIBED
-            )
-
+        hasher = Hasher()
         for batch in batches:
             sizes, nodes = [], []
             for shingles in shingle_sets(batch.column(1), hasher, n):
                 sizes.append(len(shingles))
                 nodes.append(_node(shingles) if len(shingles) else None)
-                held.append(shingles)
-                size += len(shingles)
-                if size >= COUNTED_SHINGLES:
-                    yield frequent()
-                    held, size = [], 0
-            none = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none],
-                _DESCRIBED,
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
+                ["doc", "text_key", "n_shingles", "node"],
             )
-        if held:
-            yield frequent()
 
     given = docs.select(key, text, F.xxhash64(text))
-    return given.mapInArrow(run, f"doc {kind}, text_key long, n_shingles long, node long, shingle long, seen long")
-
-
-_DESCRIBED = ["doc", "text_key", "n_shingles", "node", "shingle", "seen"]
+    return given.mapInArrow(run, f"doc {kind}, text_key long, n_shingles long, node long")
 
 
-def _frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``MOST_FREQUENT`` shingles with their counts: all above a power of two."""
-    total = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen"))
-    total = staged(total.withColumn("level", F.floor(F.log2("seen")).cast("int")), "frequent")
-    levels = sorted((tuple(r) for r in total.groupBy("level").count().collect()), reverse=True)  # 64 rows at most
-    least, kept = 64, 0
-    for level, count in levels:
-        kept += count
-        if kept > MOST_FREQUENT:
-            break
-        least = level
-    table = total.filter(F.col("level") >= least).select("shingle", "seen").toArrow()
-    names = table.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(names)
-    return names[order], table.column("seen").to_numpy()[order]
+def _ties(docs: DataFrame, text: str, n: int, parts: Parts) -> DataFrame:
+    """(a, b): nodes with an equal part, each tied to the smallest of them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen, sets, nodes, size = Hasher(), set(), [], [], 0
 
-def _ties(docs: DataFrame, text: str, n: int, percent: int, frequent) -> DataFrame:
-    """(a, b): nodes with a common first shingle, each tied to the smallest node."""
+        def rows() -> pa.RecordBatch:
+            owner, key = parts.keys(sets)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.array(nodes, np.int64)[owner])], ["key", "node"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), set()
         for batch in batches:
-            keys, nodes, counts = [], [], []
             for shingles in shingle_sets(batch.column(0), hasher, n):
                 node = _node(shingles) if len(shingles) else None
                 if node is None or node in seen:
                     continue
                 seen.add(node)
-                first = _prefix(shingles, sent.value, percent)
-                keys.append(first)
+                sets.append(shingles)
                 nodes.append(node)
-                counts.append(len(first))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), counts))],
-                    ["shingle", "node"],
-                )
-
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)  # MOST_FREQUENT pairs of numbers at most
-    rows = docs.select(text).mapInArrow(run, "shingle long, node long")
-    least = F.min("node").over(Window.partitionBy("shingle"))
+                size += len(shingles)
+                if size >= CUT_SHINGLES:
+                    yield rows()
+                    sets, nodes, size = [], [], 0
+        if sets:
+            yield rows()
+
+    rows = docs.select(text).mapInArrow(run, "key long, node long")
+    least = F.min("node").over(Window.partitionBy("key"))
     return rows.withColumn("least", least).filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
 
@@ -285,15 +291,12 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc, text_key, n_shingles, group, component_id): the group of every document."""
     kind = dict(docs.dtypes)[key]
-    described = staged(describe(docs, key, text, n), "shingles")
-    rows = described.filter("n_shingles IS NOT NULL").select("doc", "text_key", "n_shingles", "node")
-    ties = _ties(docs, text, n, percent, _frequent(described))
-    cluster = components(ties).withColumnRenamed("component", "cluster")
+    rows = staged(describe(docs, key, text, n), "shingles")
+    parts = Parts(percent)
+    cluster = components(_ties(docs, text, n, parts)).withColumnRenamed("component", "cluster")
 
     nodes = rows.filter("node IS NOT NULL").groupBy("node", "n_shingles").agg(F.min("doc").alias("doc"))
-    # sets of sizes 85 : 100 are at most one class apart; a little wider for rounding
-    width = math.log(100 / (percent - 0.01)) if percent > 1 else 64.0
-    size_class = F.floor(F.log(F.col("n_shingles")) / width).cast("int")
+    size_class = F.floor(F.log(F.col("n_shingles")) / parts.width).cast("int")
     seats = F.explode(
         F.array(
             F.struct(size_class.alias("size_class"), F.lit(True).alias("own")),
@@ -330,11 +333,12 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = S
     ).select("cluster", "size_class", "pair.first", "pair.second", "node", "own", "chunk", "shingles")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, 4):
-            nodes, first = np.unique(run.column(4).to_numpy(), return_index=True)
-            if len(nodes) < 2:
-                continue
+        for run in merged(runs(batches, 4), 2, 7, MERGED_BYTES):
+            # a repeated id may have brought a set twice; it may sit in two classes
+            seat = np.stack([run.column(4).to_numpy(), run.column(1).to_numpy().astype(np.int64)])
+            _, first = np.unique(seat, axis=1, return_index=True)
             run = run.take(pa.array(first))
+            nodes = run.column(4).to_numpy()
             held = [np.frombuffer(b.as_buffer(), np.uint64) for b in run.column(7)]
             own = run.column(5).to_numpy(zero_copy_only=False)
             a, b = _links(nodes, held, own, run.column(6).to_numpy(), percent)
