@@ -27,6 +27,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeflow.scratch import staged
+
 SEED = 20240229
 SHARE = 1.5
 MOST_REPEATS = 2
@@ -186,7 +188,9 @@ def plan(
     block = F.greatest(F.lit(1), F.ceil(F.col("source_size") / BLOCK_SHARE)).cast("long")
     goals = goals.withColumn("block", block).withColumn("blocks", F.ceil(F.col("target") / F.col("block")).cast("long"))
     goals = goals.join(split_tree(goals.select("source_key", "blocks"), levels), "source_key")
-    starts = parts.select("source_key", "part", before.alias("before")).join(goals, "source_key")
+    # one row per source and range: it also spreads what is known of a source over its ranges
+    starts = staged(parts.select("source_key", "part", before.alias("before")).join(goals, "source_key"), "mix-quotas")
+    ranges = starts.select("source_key", "part")
 
     within = Window.partitionBy("source_key", "part").orderBy("place")
     in_part = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
@@ -202,13 +206,17 @@ def plan(
     rounds = F.aggregate(F.array(*taken), F.lit(0), lambda n, full: n + full.cast("int"))
     gap = F.col("target") - F.col("reached")
     miss = F.abs(gap - F.col("size"))
-    open_rows = laid.withColumn("rounds", rounds).filter(f"rounds < {MOST_REPEATS} AND size > 0").join(reached, "source_key")
+    open_rows = laid.withColumn("rounds", rounds).filter(f"rounds < {MOST_REPEATS} AND size > 0")
+    open_rows = open_rows.join(ranges.join(reached, "source_key"), ["source_key", "part"])
     fills = open_rows.filter(miss < gap).groupBy("source_key").agg(
         F.min(F.struct(miss.alias("miss"), "place", "part")).alias("fill")
     )
+    fills = staged(fills, "mix-fills")
     # equal rows have the same place: the first of them is meant
     twin = F.row_number().over(Window.partitionBy("source_key", "part", "place").orderBy("in_part"))
-    filled = laid.withColumn("twin", twin).join(fills, "source_key", "left")
+    filled = laid.withColumn("twin", twin).join(
+        ranges.join(fills, "source_key"), ["source_key", "part"], "left"
+    )
     fills_up = (F.col("fill.place") == F.col("place")) & (F.col("fill.part") == F.col("part")) & (F.col("twin") == 1)
     copies = []
     for copy, full in enumerate(taken):
