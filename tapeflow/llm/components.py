@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeflow.scratch import staged
 
 MAX_ROUNDS = 60
+_BIT_WORDS = 1 << 21
 
 
 def components(edges: DataFrame, small: str = "a", large: str = "b") -> DataFrame:
@@ -68,6 +70,23 @@ def pair_groups(members: DataFrame, keys: list[str], weight: str, most: int) ->
     return with_chunk.withColumn("groups", groups).drop("total", "n")
 
 
+def bitmap(nodes: DataFrame) -> np.ndarray:
+    """A bit map that holds every node of a table, and others by chance: a number per
+    ``_BIT_WORDS`` at most, so its size does not grow with the table."""
+    place = F.pmod(F.shiftright("node", 6), F.lit(_BIT_WORDS))
+    bit = F.expr("shiftleft(1L, cast(node & 63 as int))")
+    table = nodes.groupBy(place.alias("place")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(_BIT_WORDS, np.int64)
+    bits[table.column("place").to_numpy()] = table.column("bits").to_numpy()
+    return bits.view(np.uint64)
+
+
+def marked(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Which nodes, or others by chance, a bit map holds."""
+    word = bits[(node >> 6) & (_BIT_WORDS - 1)]
+    return (word >> (node & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 def _differ(one: DataFrame, other: DataFrame) -> bool:
     """Whether two edge sets differ, by their sizes and a sum of hashes."""
     digest = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]

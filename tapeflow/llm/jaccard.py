@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.llm.components import components, pair_groups
+from tapeflow.llm.components import bitmap, components, marked, pair_groups
 from tapeflow.llm.words import Hasher, Words, chunks, grams, mix, space_words
 from tapeflow.scratch import staged
 
@@ -303,8 +303,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = S
             F.struct((size_class + 1).alias("size_class"), F.lit(False).alias("own")),
         )
     )
-    seated = cluster.join(nodes, "node").select("node", "doc", "cluster", "n_shingles", seats.alias("s")).select(
-        "node", "doc", "cluster", "n_shingles", "s.*"
+    seated = cluster.join(nodes, "node").select("node", "cluster", "n_shingles", seats.alias("s")).select(
+        "node", "cluster", "n_shingles", "s.*"
     )
     seated = staged(seated, "seats")
     met = seated.groupBy("cluster", "size_class").agg(F.max("own").alias("any_own"), F.count("*").alias("members"))
@@ -312,21 +312,25 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = S
     keys = ["cluster", "size_class"]
     placed = pair_groups(seated.join(met, keys), keys, "n_shingles", GROUP_SHINGLES)
     goes = F.struct("cluster", "size_class", "own", "chunk", "groups")
-    wanted = placed.groupBy("node", "doc").agg(F.collect_list(goes).alias("goes"))  # two entries at most
+    wanted = placed.groupBy("node").agg(F.collect_list(goes).alias("goes"))  # two entries at most
+    wanted = staged(wanted, "wanted")
+
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, seen = Hasher(), set()
         for batch in batches:
-            found = list(shingle_sets(batch.column(0), hasher, n))
-            right = pa.array([len(s) > 0 and _node(s) == node for s, node in zip(found, batch.column(1).to_pylist(), strict=True)])
-            out = pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array([s.tobytes() for s in found], pa.binary())], ["node", "goes", "shingles"]
-            )
-            yield out.filter(right)  # a repeated id may bring another text
+            nodes, held = [], []
+            for shingles in shingle_sets(batch.column(0), hasher, n):
+                node = _node(shingles) if len(shingles) else None
+                if node is None or node in seen or not marked(bits.value, np.array([node]))[0]:
+                    continue
+                seen.add(node)
+                nodes.append(node)
+                held.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(held, pa.binary())], ["node", "shingles"])
 
-    texts = docs.select(F.col(key).alias("k"), text).join(wanted, F.col("k").eqNullSafe(F.col("doc")))
-    goes_type = dict(wanted.dtypes)["goes"]
-    sized = texts.select(text, "node", "goes").mapInArrow(sets, f"node long, goes {goes_type}, shingles binary")
+    sized = docs.select(text).mapInArrow(sets, "node long, shingles binary").join(wanted, "node")
     spread = sized.select("node", "shingles", F.explode("goes").alias("g")).select("node", "shingles", "g.*")
     spread = spread.select(
         "cluster", "size_class", F.explode("groups").alias("pair"), "node", "own", "chunk", "shingles"
@@ -334,7 +338,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = S
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in merged(runs(batches, 4), 2, 7, MERGED_BYTES):
-            # a repeated id may have brought a set twice; it may sit in two classes
+            # copies in several tasks bring a set more than once; it may sit in two classes
             seat = np.stack([run.column(4).to_numpy(), run.column(1).to_numpy().astype(np.int64)])
             _, first = np.unique(seat, axis=1, return_index=True)
             run = run.take(pa.array(first))
@@ -358,13 +362,19 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
 
     Rows of equal id and text stay once.
     """
-    found = similar(docs, key, text, n, percent)
+    found = staged(similar(docs, key, text, n, percent), "similar")
     this = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_key")
-    firsts = found.filter("group IS NOT NULL").groupBy("group").agg(F.min(this).alias("first")).select("first.doc", "first.text_key")
-    stays = firsts.union(found.filter("group IS NULL").select("doc", "text_key")).distinct()
-    keyed = docs.withColumn("text_key", F.xxhash64(text))
-    same = keyed[key].eqNullSafe(stays["doc"]) & (keyed["text_key"] == stays["text_key"])
-    return keyed.join(stays, same, "left_semi").dropDuplicates([key, "text_key"]).drop("text_key")
+    firsts = found.filter("group IS NOT NULL").groupBy("group").agg(F.min(this).alias("first")).select("group", "first.*")
+    ids = found.groupBy("doc", "text_key").agg(F.first("group").alias("group"), F.count("*").alias("copies"))
+    same = (ids["group"] == firsts["group"]) & ids["doc"].eqNullSafe(firsts["doc"]) & (ids["text_key"] == firsts["text_key"])
+    others = ids.filter("group IS NOT NULL").join(firsts, same, "left_anti").select("doc", "text_key")
+    twice = ids.filter("copies > 1").select("doc", "text_key")
+    repeated = twice.exceptAll(others)  # rows of both are distinct; null ids are equal here
+    # what goes, and what is there more than once, is little beside the documents
+    is_row = lambda rows: docs[key].eqNullSafe(rows["doc"]) & (F.xxhash64(docs[text]) == rows["text_key"])
+    goes = others.union(repeated).distinct()
+    once = docs.join(goes, is_row(goes), "left_anti")
+    return once.unionByName(docs.join(repeated, is_row(repeated), "left_semi").dropDuplicates([key, text]))
 
 
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.llm.components import components, pair_groups
+from tapeflow.llm.components import bitmap, components, marked, pair_groups
 from tapeflow.llm.jaccard import join_labels, merged, runs
 from tapeflow.llm.words import Hasher, chunks, mix, text_buffer
 from tapeflow.scratch import staged
@@ -39,7 +39,6 @@ NEAR_CHARS = 40
 GROUP_CHARS = 8 << 20
 MERGED_CHARS = 1 << 20
 _PAIRS = 1 << 18
-_BIT_WORDS = 1 << 21
 
 
 def _is_space(code: np.ndarray) -> np.ndarray:
@@ -187,22 +186,6 @@ def _ties(docs: DataFrame, text: str, most: int) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """A bit map that holds every node of a table, and others by chance: a number per
-    ``_BIT_WORDS`` at most, so its size does not grow with the table."""
-    place = F.pmod(F.shiftright("node", 6), F.lit(_BIT_WORDS))
-    bit = F.expr("shiftleft(1L, cast(node & 63 as int))")
-    table = nodes.groupBy(place.alias("place")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bits = np.zeros(_BIT_WORDS, np.int64)
-    bits[table.column("place").to_numpy()] = table.column("bits").to_numpy()
-    return bits.view(np.uint64)
-
-
-def _marked(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
-    word = bits[(node >> 6) & (_BIT_WORDS - 1)]
-    return (word >> (node & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
 def _histogram(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Counts of 16 kinds of characters in each span."""
     kinds = (code * np.uint32(2654435761)) >> np.uint32(28)
@@ -272,7 +255,7 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
 def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) -> DataFrame:
     """(node, line_class): lines that are within ``most`` edits of others, by their keys."""
     cluster = staged(components(_ties(docs, text, most)).withColumnRenamed("component", "cluster"), "clusters")
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(cluster))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(cluster))
 
     def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), np.empty(0, np.int64)
@@ -281,7 +264,7 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) ->
                 lines = Lines(data, at)
                 node = _line_key(hasher, hasher.sums(lines.code), lines.start, lines.end)
                 pick = np.flatnonzero(lines.length >= NEAR_CHARS)
-                pick = pick[_marked(bits.value, node[pick])]
+                pick = pick[marked(bits.value, node[pick])]
                 _, first = np.unique(node[pick], return_index=True)
                 pick = pick[first]
                 pick = pick[~np.isin(node[pick], seen)]
