@@ -36,8 +36,8 @@ from tapeflow.scratch import staged
 MAX_EDITS = 2
 EXACT_CHARS = 20
 NEAR_CHARS = 40
-GROUP_CHARS = 8 << 20
-MERGED_CHARS = 1 << 20
+GROUP_CHARS = 4 << 20
+MERGED_CHARS = 1 << 19
 _PAIRS = 1 << 18
 
 

@@ -2,7 +2,7 @@
 
 Texts are handled as UTF-8 bytes.  A word is a run of bytes for which a table says so;
 all bytes of characters above 0x7F count as word bytes, so a run never cuts a character.
-A null text has no words.  Work is done over some megabytes of text at a time.
+A null text has no words.  Work is done over about a megabyte of text at a time.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 _STEP = 0xD1342543DE82EF95
 
