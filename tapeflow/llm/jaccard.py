@@ -5,7 +5,8 @@ linked are brought together in three steps:
 
 1. Every set is cut into parts by its shingles' hashes, so many that two linked sets have an
    equal part that is not tiny.  Nodes with an equal part are tied to the smallest of
-   them: a row per node and part, never a pair.
+   them: a row per node and part, never a pair.  Nodes that share fewer parts with others
+   than a linked set must are left out.
 2. The ties' connected components are split by set size; sets whose sizes exclude a link do
    not meet.  Large ones are dealt into chunks of bounded size, all pairs of which meet.
 3. In a chunk pair the incidence matrix of sets by shingles is multiplied with its own
@@ -94,12 +95,15 @@ class Parts:
         largest = np.ceil(np.exp((size_class + 1) * self.width)).astype(np.int64)
         return 2 * (100 - self.percent) * largest // (100 + self.percent)
 
-    def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(set, key) for the parts of some sets that are not empty."""
+    def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(set, key, need) for the parts of some sets.
+
+        ``need`` is twice the number of these parts that a linked set of the class has as well,
+        plus one for the next class."""
         sizes = np.array([len(s) for s in sets])
         flat = np.concatenate(sets)
         spread = mix(flat ^ np.uint64(0x3C6EF372FE94F82B))
-        owners, keys = [], []
+        owners, keys, needs = [], [], []
         for visit in (0, 1):
             size_class = self.classes(sizes) + visit
             differ = self.differ(size_class)
@@ -112,17 +116,20 @@ class Parts:
             np.add.at(sums, place, mix(flat))
             held = np.bincount(place, minlength=total)
             owner = np.repeat(np.arange(len(sets)), parts)
-            # parts below a size may go as long as fewer go than are equal in a linked set
-            least = np.zeros(len(sets), np.int64)
+            # parts below a size may go as long as few go beside those equal in a linked set
+            least, gone = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
             for m in range(1, SMALL_PART + 1):
-                small = np.bincount(owner, held < m, len(sets))
-                least = np.where(small <= parts - differ - 1, m, least)
+                small = np.bincount(owner, held < m, len(sets)).astype(np.int64)
+                few = small <= (parts - differ - 1) // (1 if m == 1 else 2)
+                least, gone = np.where(few, m, least), np.where(few, small, gone)
+            need = parts - differ - gone
             kept = np.flatnonzero(held >= least[owner])
             number = (kept - first[owner[kept]]).astype(np.uint64)
             seat = mix(number * np.uint64(1024) + size_class[owner[kept]].astype(np.uint64))
             owners.append(owner[kept])
             keys.append(mix(sums[kept] ^ seat).view(np.int64))
-        return np.concatenate(owners), np.concatenate(keys)
+            needs.append(2 * need[owner[kept]] + visit)
+        return np.concatenate(owners), np.concatenate(keys), np.concatenate(needs).astype(np.int32)
 
 
 def describe(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -152,8 +159,9 @@ def _ties(docs: DataFrame, text: str, n: int, parts: Parts) -> DataFrame:
         hasher, seen, sets, nodes, size = Hasher(), set(), [], [], 0
 
         def rows() -> pa.RecordBatch:
-            owner, key = parts.keys(sets)
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.array(nodes, np.int64)[owner])], ["key", "node"])
+            owner, key, need = parts.keys(sets)
+            own = np.array(nodes, np.int64)[owner]
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(need)], ["key", "node", "need"])
 
         for batch in batches:
             for shingles in shingle_sets(batch.column(0), hasher, n):
@@ -170,9 +178,14 @@ def _ties(docs: DataFrame, text: str, n: int, parts: Parts) -> DataFrame:
         if sets:
             yield rows()
 
-    rows = docs.select(text).mapInArrow(run, "key long, node long")
-    least = F.min("node").over(Window.partitionBy("key"))
-    return rows.withColumn("least", least).filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    rows = docs.select(text).mapInArrow(run, "key long, node long, need int")
+    by_key = Window.partitionBy("key")
+    met = rows.withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
+    met = staged(met.filter("low != high").select("key", "node", "need"), "parts")
+    # a node that meets others in fewer parts than a linked one must is linked with none
+    enough = met.groupBy("node", "need").agg(F.count("*").alias("n")).filter("n >= need div 2").select("node", "need")
+    kept = met.join(enough, ["node", "need"]).withColumn("least", F.min("node").over(by_key))
+    return kept.filter("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def overlaps(sets: list[np.ndarray], rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
