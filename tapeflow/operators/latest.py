@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.functions.times import query_time, seconds_time, utc_date
+from tapeflow.functions.times import FIRST_MS, is_time, query_time, seconds_time, utc_date
 
 # The planner cuts groups before the shuffle only below this many rows
 # (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -67,14 +67,19 @@ def last_n_per_symbol(rows: DataFrame, n: int, *tie_break: str) -> DataFrame:
 def newest_from(rows: DataFrame, n: int, since: int) -> DataFrame:
     """``rows`` from ``since`` (epoch ms) on if they hold the newest ``n``, else all.
 
-    With ``n`` rows in reach nothing older can be among the newest ``n``; rows
-    without a time rank first and stay in.  The probe stops at ``n`` rows, and the
-    filter skips old row groups, or old date folders where there is a date column.
+    Rows are ordered by the time that is shown, cut to seconds, so the whole second of
+    ``since`` is in reach.  With ``n`` rows in reach nothing older can be among the newest
+    ``n``; rows without a time, or with one out of range, rank first and stay in.
+    The probe stops at ``n`` rows, and the filter skips old row groups, or old date
+    folders where there is a date column.
     """
-    reach = (F.col("event_time") >= F.lit(since)) | F.col("event_time").isNull()
-    near = rows.where(reach)
+    second = int(abs(since) // 1000) * (1 if since >= 0 else -1)
+    first = second * 1000 - (999 if second <= 0 else 0)  # division cuts towards zero
+    time = F.col("event_time")
+    near = rows.where((time >= F.lit(first)) | time.isNull() | ~is_time(time))
     if "event_date" in rows.columns:
-        near = near.where(F.col("event_date") >= utc_date(since))
+        date = F.col("event_date")
+        near = near.where((date >= utc_date(first)) | date.isNull() | (date <= utc_date(FIRST_MS)))
     return near if near.limit(n).count() == n else rows
 
 

@@ -25,15 +25,16 @@ RECORD = "log string, stream string, time string, attrs map<string,string>"
 def shape_logs(records: DataFrame, job: str = LOG_JOB) -> DataFrame:
     """``value`` (one JSON record) and ``path`` to timestamp, line and labels.
 
-    The time is cut to microseconds; its text is kept to order lines below that.
+    A record that is not JSON, or holds no text, is its own line, without a time.  The
+    time is cut to microseconds; its text is kept to order lines below that.
     As in ``decode``, the generator keeps filters from parsing a record again.
     """
     record = F.from_json(F.col("value").cast("string"), RECORD)
-    parsed = records.select("path", F.explode(F.array(record)).alias("record"))
+    parsed = records.select("path", "value", F.explode(F.array(record)).alias("record"))
     container = F.regexp_extract("path", CONTAINER_PATH, 1)
     return parsed.select(
         F.try_to_timestamp("record.time").alias("ts"),
-        F.col("record.log").alias("line"),
+        F.coalesce("record.log", F.col("value").cast("string")).alias("line"),
         F.lit(job).alias("job"),
         F.col("record.stream").alias("stream"),
         F.when(container != "", container).alias("container_id"),

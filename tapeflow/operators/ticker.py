@@ -174,7 +174,9 @@ def default_slice(period_ms: int) -> int:
     if period_ms in SLICE_MS:
         return SLICE_MS[period_ms]
     common = math.gcd(period_ms, 5 * MINUTE_MS)
-    return common if period_ms // common <= _MAX_SLICES else period_ms
+    if period_ms // common <= _MAX_SLICES:
+        return common
+    return period_ms // max(n for n in range(1, _MAX_SLICES + 1) if period_ms % n == 0)
 
 
 def rolling_ticker(

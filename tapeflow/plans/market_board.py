@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeflow.contracts import DEFAULT_SYMBOL, SYMBOLS, check_symbol
 from tapeflow.functions.display import change_class, constant_class, or_no_data, shown, with_unit
+from tapeflow.functions.times import FIRST_MS, LAST_MS
 from tapeflow.operators import latest as L
 
 # Column titles of the board's table and chart.
@@ -31,7 +32,9 @@ def _extreme_sql(function: str, column: str) -> str:
         WHERE symbol = :symbol"""
 
 
-_CUT_TIME = "timestamp_seconds(event_time div 1000) AS time"
+#: As ``seconds_time``: NULL where the number is no time.
+_CUT_TIME = f"""CASE WHEN event_time BETWEEN {FIRST_MS} AND {LAST_MS}
+        THEN timestamp_seconds(event_time div 1000) END AS time"""
 
 #: The panels as SQL on the views ``trades``, ``ticker_1h`` and ``ticker_1d``;
 #: ``:symbol`` is the board's parameter.

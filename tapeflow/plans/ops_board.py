@@ -34,13 +34,14 @@ def panel_series(database: str) -> dict[str, tuple[str, dict[str, str]]]:
 
 
 def metric_panel(samples: DataFrame, metric: str, as_of: Column, **labels: str) -> DataFrame:
-    """The newest value of the selected series and its colour."""
+    """The newest value of the selected series, in its unit, and its colour."""
+    unit = "none" if metric == ROWS_INSERTED else "short"
     newest = last_sample(select_series(samples, metric, **labels), as_of)
     return newest.select(
         "metric",
         "labels",
         "ts",
-        with_unit(F.col("value"), "value", "short"),
+        with_unit(F.col("value"), "value", unit),
         up_class(F.col("value")).alias("colour"),
     )
 

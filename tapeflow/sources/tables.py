@@ -86,7 +86,8 @@ def reach_of(rows: DataFrame, spec: StreamSpec) -> Reach | None:
     """The partitions and the spans of the leading key that ``rows`` fall in; None
     for no rows.
 
-    The partition depends on the key alone, so no equal key is elsewhere.  At most
+    Rows with a NULL key are refused.  The partition depends on the key alone, so no
+    equal key is elsewhere.  At most
     ``MAX_COLLECTED + 1`` rows come to the driver.
     """
     partition, lead = F.col(spec.partition), F.col(spec.key[0])
@@ -100,6 +101,8 @@ def reach_of(rows: DataFrame, spec: StreamSpec) -> Reach | None:
     spans = placed.groupBy("p", "symbol").agg(*ends).limit(MAX_COLLECTED + 1).collect()
     if not spans:
         return None
+    if any(s.p is None or s.symbol is None or s.low is None for s in spans):
+        raise ValueError("rows with a NULL key cannot be appended; set them aside first")
     if len(spans) > MAX_COLLECTED:
         all_ends = [F.min("p").alias("first"), F.max("p").alias("last"), *ends]
         whole = placed.agg(*all_ends).first()
@@ -259,7 +262,7 @@ def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> N
         look_up |= {
             "partitionColumn": spec.key[0],
             "lowerBound": str(reach.low),
-            "upperBound": str(reach.high + 1),
+            "upperBound": str(min(reach.high + 1, 2**63 - 1)),
         }
     known = read_jdbc(rows.sparkSession, look_up).where(reach.keys)
     fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)

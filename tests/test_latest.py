@@ -121,6 +121,30 @@ def test_newest_from_gives_the_same_answer(trades, since, n):
     assert (near.count() < 5) == (n <= 3)
 
 
+def test_newest_from_cuts_where_seconds_do(spark):
+    schema = "trade_id bigint, symbol string, event_time bigint, price double, quantity double"
+    times = [(4, 1_700_000_000_700), (5, 1_700_000_000_600), (9, 1_700_000_000_100), (7, -(2**62)), (3, -1500), (2, -900)]
+    rows = spark.createDataFrame([(i, "BTCUSDT", t, 1.0, 1.0) for i, t in times], schema)
+    for since in (1_700_000_000_500, 0, -1000, -1600):
+        for n in range(1, 7):
+            near = L.newest_from(rows, n, since)
+            assert L.recent_trades(near, "BTCUSDT", n).collect() == L.recent_trades(rows, "BTCUSDT", n).collect()
+
+
+def test_panel_sql_survives_any_time(spark, ticker):
+    schema = "trade_id bigint, symbol string, event_time bigint, price double, quantity double"
+    rows = [(1, "BTCUSDT", 2**62, 1.0, 2.0), (2, "BTCUSDT", None, 1.0, 2.0), (3, "BTCUSDT", 1999, 1.0, 2.0)]
+    trades = spark.createDataFrame(rows, schema)
+    trades.createOrReplaceTempView("trades")
+    for name in ("ticker_1h", "ticker_1d"):
+        odd = ticker.withColumn("event_time", F.lit(2**62))
+        ticker.unionByName(odd).createOrReplaceTempView(name)
+    for panel in B.PANEL_SQL:
+        B.panel_sql(spark, panel, "BTCUSDT").collect()
+    got = [r.trade_id for r in B.panel_sql(spark, "recent_trades", "BTCUSDT").collect()]
+    assert got == [r.trade_id for r in L.recent_trades(trades, "BTCUSDT").collect()] == [2, 1, 3]
+
+
 def test_market_board(spark, trades, ticker):
     tables = {"trades": trades, "ticker_1h": ticker, "ticker_1d": ticker}
     as_of = F.expr("timestamp_seconds(10)")

@@ -137,7 +137,8 @@ def test_log_shape(spark):
     assert first.container_id == "abcdefabcdef"
     assert (first.tag, first.compose_project, first.compose_service) == ("t", "p", "s")
     assert (first.stack_name, first.swarm_service_name, first.swarm_task_name) == (None, None, "k")
-    assert (second.line, second.container_id, second.job) == (None, None, "containerlogs")
+    assert second.line and second.ts is None
+    assert (second.container_id, second.job) == (None, "containerlogs")
 
 
 def test_log_tail(spark):

@@ -302,3 +302,12 @@ def test_scratch_folder():
     local = Session("local[2]")
     first, second = shared_dir(local, "x"), shared_dir(local, "x")
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_null_keys_are_refused(spark, path):
+    rows = spark.createDataFrame(
+        [(None, "A", 1, 1.0, 1.0), (2, "A", 1, 1.0, 1.0)],
+        "trade_id bigint, symbol string, event_time bigint, price double, quantity double",
+    )
+    with pytest.raises(ValueError, match="NULL key"):
+        S.append_once(rows, TRADES, path("trades"), "w", 0)
