@@ -14,6 +14,17 @@ from tapeflow.functions.times import floor_div, in_range
 SAMPLE_COLUMNS = ("metric", "labels", "ts", "value")
 
 
+def whole_minutes(messages: DataFrame, as_of: Column, back: str = "5 minutes") -> DataFrame:
+    """The messages of all minutes that begin in the range, for rates that are asked over it.
+
+    The bounds have the type of ``ts``, so that the filter reaches the scan.
+    """
+    kind = messages.schema["ts"].dataType
+    first = F.date_trunc("minute", as_of - F.expr(f"INTERVAL {back}")).cast(kind)
+    end = (F.date_trunc("minute", as_of) + F.expr("INTERVAL 1 MINUTE")).cast(kind)
+    return messages.where((F.col("ts") >= first) & (F.col("ts") < end))
+
+
 def _per_minute(messages: DataFrame) -> DataFrame:
     return messages.groupBy(F.window("ts", "1 minute"), "topic").agg(
         F.count("*").alias("messages"), F.sum(F.octet_length("value")).alias("bytes")

@@ -24,12 +24,15 @@ _FIGURES = (
     "high_price",
     "low_price",
     "volume",
-    "quote_volume",
+    "quote_whole",
+    "quote_part",
     "total_trades",
 )
 
-# Sums of three such operands still fit 38 digits with all 16 decimals.
-_QUOTE = "decimal(36,16)"
+# A quote volume is kept as whole units and the rest, each at most a half per trade, so
+# that sums over any trades stay exact and within 38 digits.
+_WHOLE = "decimal(36,0)"
+_PART = "decimal(36,16)"
 
 _MIN_LONG = -(2**63)
 _MAX_LONG = 2**63 - 1
@@ -64,6 +67,8 @@ def priced(trades: DataFrame) -> DataFrame:
 
 
 def _figures_of_trades(order: Column) -> list[Column]:
+    quote = F.col("price") * F.col("quantity")
+    whole = quote.cast("decimal(21,0)")
     return [
         F.min_by("price", order).alias("open_price"),
         F.max_by("price", order).alias("last_price"),
@@ -71,7 +76,8 @@ def _figures_of_trades(order: Column) -> list[Column]:
         F.max("price").alias("high_price"),
         F.min("price").alias("low_price"),
         F.sum("quantity").alias("volume"),
-        F.sum(F.col("price") * F.col("quantity")).alias("quote_volume"),
+        F.sum(whole).alias("quote_whole"),
+        F.sum((quote - whole).cast("decimal(18,16)")).alias("quote_part"),
         F.count("*").alias("total_trades"),
     ]
 
@@ -85,11 +91,19 @@ def _figures_of_parts(order: str) -> list[Column]:
         F.max("high_price").alias("high_price"),
         F.min("low_price").alias("low_price"),
         F.sum("volume").alias("volume"),
-        F.sum("quote_volume").alias("quote_volume"),
+        F.sum("quote_whole").alias("quote_whole"),
+        F.sum("quote_part").alias("quote_part"),
         F.sum("total_trades").alias("total_trades"),
     ]
 
 
+def _quote_volume() -> Column:
+    """The nearest double up to 10^20, beyond that the sum of two doubles."""
+    whole, part = F.col("quote_whole"), F.col("quote_part")
+    exact = whole.try_cast("decimal(20,0)") + part.cast(_PART)
+    return F.coalesce(exact.cast("double"), whole.cast("double") + part.cast("double"))
+
+
 def _with_derived(parts: DataFrame, *lead: str) -> DataFrame:
     """Served columns: doubles, change and volume-weighted price added."""
     as_double = [
@@ -101,12 +115,14 @@ def _with_derived(parts: DataFrame, *lead: str) -> DataFrame:
             "high_price",
             "low_price",
             "volume",
-            "quote_volume",
         )
     ]
     change = F.col("last_price") - F.col("open_price")
     return parts.select(
-        *lead, *as_double, F.col("total_trades").cast("bigint").alias("total_trades")
+        *lead,
+        *as_double,
+        _quote_volume().alias("quote_volume"),
+        F.col("total_trades").cast("bigint").alias("total_trades"),
     ).select(
         *lead,
         change.alias("price_change"),
@@ -129,7 +145,9 @@ def per_instant(trades: DataFrame) -> DataFrame:
         priced(trades)
         .groupBy("symbol", "event_time")
         .agg(*_figures_of_trades(F.col("trade_id")))
-        .withColumn("quote_volume", F.col("quote_volume").cast(_QUOTE))
+        .withColumns(
+            {"quote_whole": F.col("quote_whole").cast(_WHOLE), "quote_part": F.col("quote_part").cast(_PART)}
+        )
     )
 
 
@@ -161,7 +179,8 @@ def _slices_between(instants: DataFrame, slice_ms: int, slices: int) -> DataFram
             F.max("high_price").over(frame).alias("high_price"),
             F.min("low_price").over(frame).alias("low_price"),
             F.sum("volume").over(frame).alias("volume"),
-            F.sum("quote_volume").over(frame).alias("quote_volume"),
+            F.sum("quote_whole").over(frame).alias("quote_whole"),
+            F.sum("quote_part").over(frame).alias("quote_part"),
             F.sum("total_trades").over(frame).alias("total_trades"),
         )
         .where(F.col("_own") & F.col("total_trades").isNotNull())
@@ -249,7 +268,8 @@ def rolling_ticker(
         F.max("high_price").over(run).alias("high_price"),
         F.min("low_price").over(run).alias("low_price"),
         F.sum("volume").over(run).cast("decimal(28,8)").alias("volume"),
-        F.sum("quote_volume").over(run).cast(_QUOTE).alias("quote_volume"),
+        F.sum("quote_whole").over(run).cast(_WHOLE).alias("quote_whole"),
+        F.sum("quote_part").over(run).cast(_PART).alias("quote_part"),
         F.sum("total_trades").over(run).alias("total_trades"),
     )
 
@@ -259,7 +279,7 @@ def rolling_ticker(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     part = F.struct(
-        "open_price", "high_price", "low_price", "volume", "quote_volume", "total_trades"
+        "open_price", "high_price", "low_price", "volume", "quote_whole", "quote_part", "total_trades"
     )
     earlier = F.last(F.when(~own, part), ignorenulls=True).over(earlier_rows)
 
@@ -279,7 +299,8 @@ def rolling_ticker(
             F.greatest("high_price", "earlier.high_price").alias("high_price"),
             F.least("low_price", "earlier.low_price").alias("low_price"),
             plus("volume"),
-            plus("quote_volume"),
+            plus("quote_whole"),
+            plus("quote_part"),
             plus("total_trades"),
         )
     )

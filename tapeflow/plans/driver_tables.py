@@ -24,7 +24,11 @@ def _millis(ts: str):
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as trades, price and quantity as decimals."""
-    return table(spark, sf_dir, "events").select(
+    return as_trades(table(spark, sf_dir, "events"))
+
+
+def as_trades(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("trade_id"),
         F.upper("event_type").alias("symbol"),
         _millis("ts").alias("event_time"),

@@ -33,19 +33,38 @@ def panel_series(database: str) -> dict[str, tuple[str, dict[str, str]]]:
     return panels
 
 
+def unit_of(metric: str) -> str:
+    return "none" if metric == ROWS_INSERTED else "short"
+
+
 def metric_panel(samples: DataFrame, metric: str, as_of: Column, **labels: str) -> DataFrame:
     """The newest value of the selected series, in its unit, and its colour."""
-    unit = "none" if metric == ROWS_INSERTED else "short"
     newest = last_sample(select_series(samples, metric, **labels), as_of)
     return newest.select(
         "metric",
         "labels",
         "ts",
-        with_unit(F.col("value"), "value", unit),
+        with_unit(F.col("value"), "value", unit_of(metric)),
         up_class(F.col("value")).alias("colour"),
     )
 
 
+def metric_panels(samples: DataFrame, database: str, as_of: Column) -> DataFrame:
+    """The newest values of all metric panels from one pass over the samples."""
+    panel, unit = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, (metric, labels) in panel_series(database).items():
+        is_it = F.col("metric") == metric
+        for label, value in labels.items():
+            is_it = is_it & (F.col("labels").getItem(label) == value)
+        panel = F.when(is_it, name).otherwise(panel)
+        unit = F.when(is_it, unit_of(metric)).otherwise(unit)
+    newest = last_sample(samples.where(F.col("metric").isin(UP, MESSAGES_IN, ROWS_INSERTED)), as_of)
+    return newest.select(
+        panel.alias("panel"), "metric", "labels", "ts", "value", unit.alias("unit"),
+        up_class(F.col("value")).alias("colour"),
+    ).where(F.col("panel").isNotNull())
+
+
 def databases(samples: DataFrame) -> DataFrame:
     """The choices of the board's database parameter."""
     rows = select_series(samples, ROWS_INSERTED)

@@ -23,7 +23,8 @@ from tapeflow.plans import oracle as O
 from tapeflow.plans.ticker_tables import refresh_ticker
 from tapeflow.scratch import shared_dir
 from tapeflow.sources import tables as S
-from tapeflow.sources.topics import fan_in, one_topic, text_stream
+from tapeflow.sources.log_table import read_lines
+from tapeflow.sources.topics import fan_in, log_files, log_stream, one_topic, text_stream
 from tapeflow.streaming import ingest as I
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -431,6 +432,15 @@ def panel_recent_trades(spark, sf_dir):
     return rows.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
 
 
+@register("F2 T3 F1 P13 S8", REGISTRY["panel_recent_trades"].oracle)
+def board_recent_trades(spark, sf_dir):
+    """A panel of the whole board, which takes its symbol out of a list."""
+    hour, day = _hour(spark, sf_dir), _day(spark, sf_dir)
+    tables = {"trades": D.served_trades(spark, sf_dir), "ticker_1h": hour, "ticker_1d": day}
+    board = market_board.market_board(tables, _SYMBOL, _as_of(), choices=D.SYMBOLS)
+    return board["recent_trades"].withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+
+
 @register("T3 F1 P10 P11", _RECENT)
 def recent_trades_100(spark, sf_dir):
     return _timed(L.recent_trades(D.served_trades(spark, sf_dir), _SYMBOL))
@@ -453,6 +463,48 @@ def recent_trades_sql(spark, sf_dir):
     return _timed(market_board.panel_sql(spark, "recent_trades", _SYMBOL))
 
 
+@register("T3 F1 P10 P11", _RECENT)
+def recent_trades_since(spark, sf_dir):
+    """From a time inside a second on, where that holds enough rows."""
+    rows = L.for_symbol(D.served_trades(spark, sf_dir), _SYMBOL)
+    return _timed(L.recent_trades(L.newest_from(rows, 100, _LAST_DAYS + 500), _SYMBOL))
+
+
+def _sql_panel(panel: str, ids: str, oracle: str) -> None:
+    """Registers a panel as SQL text with a bound parameter; its query time is left out."""
+
+    def run(spark, sf_dir):
+        S.register_views(spark, {"ticker_1h": _hour(spark, sf_dir), "ticker_1d": _day(spark, sf_dir)})
+        answer = market_board.panel_sql(spark, panel, _SYMBOL)
+        return _timed(answer) if panel == "price_chart" else answer.drop("time")
+
+    run.__name__ = f"sql_{panel}"
+    register(ids, oracle)(run)
+
+
+def _newest_value_sql(ctes: str, column: str) -> str:
+    return f"""WITH {ctes} SELECT {column} AS value FROM ticker WHERE symbol = '{_SYMBOL}'
+    ORDER BY event_time DESC LIMIT 1"""
+
+
+_sql_panel(
+    "price_chart",
+    "T2 F1 P10 S8",
+    f"""WITH {O.TICKER_1H} SELECT {O.seconds("event_time")} AS time, last_price AS value
+    FROM ticker WHERE symbol = '{_SYMBOL}' ORDER BY time DESC, event_time DESC LIMIT 500""",
+)
+_sql_panel("price_now", "T1 F1 S8", _newest_value_sql(O.TICKER_1H, "last_price"))
+_sql_panel("change_1h", "T1 F1 S8", _newest_value_sql(O.TICKER_1H, "price_change_percent"))
+_sql_panel("change_1d", "T1 F1 S8", _newest_value_sql(O.TICKER_1D, "price_change_percent"))
+_sql_panel("trade_count", "T1 F1 S8", _newest_value_sql(O.TICKER_1D, "total_trades"))
+for _panel_name, _value in (("low", "min(low_price)"), ("high", "max(high_price)")):
+    _sql_panel(
+        _panel_name,
+        "A1 A2 F1 S8",
+        f"WITH {O.TICKER_1D} SELECT {_value} AS value FROM ticker WHERE symbol = '{_SYMBOL}'",
+    )
+
+
 def _extreme_sql(expression: str, colour: str, where: str = "") -> str:
     return f"""WITH {O.TICKER_1D} SELECT round({expression}, 2) AS value, {_AS_OF} AS time,
     '{colour}' AS colour FROM ticker WHERE symbol = '{_SYMBOL}'{where}"""
@@ -491,7 +543,7 @@ def ticker_change_class(spark, sf_dir):
 
 
 @register(
-    "P18 F2",
+    "P18",
     f"""WITH {O.TRADES} SELECT coalesce(CAST(max(trade_id) AS VARCHAR), 'No data') AS value
     FROM trades WHERE symbol = 'SILENT'""",
 )
@@ -528,6 +580,11 @@ def rolling_ticker_24h(spark, sf_dir):
     return K.rolling_ticker(D.trades(spark, sf_dir), DAY_MS)
 
 
+@register("D1-D10", f"WITH {O.TRADES}, {O.rolling(7 * DAY_MS)} {_ALL_TICKER}")
+def rolling_ticker_7d(spark, sf_dir):
+    return K.rolling_ticker(D.trades(spark, sf_dir), 7 * DAY_MS)
+
+
 @register("D11", O.hopping(DAY_MS, HOUR_MS))
 def hopping_ticker(spark, sf_dir):
     windows = K.hopping_ticker(D.trades(spark, sf_dir), DAY_MS, HOUR_MS)
@@ -818,10 +875,11 @@ def label_values(spark, sf_dir):
 
 
 def _samples(spark, sf_dir) -> DataFrame:
-    """Message rates, liveness and row counts as metric samples."""
+    """Message rates of the last minutes, liveness and row counts as metric samples."""
     as_of = _last_event(spark, sf_dir)
+    arrived = M.whole_minutes(D.table(spark, sf_dir, "events"), as_of)
     rates = M.as_samples(
-        M.messages_per_second(_messages(spark, sf_dir)),
+        M.messages_per_second(D.trade_messages(D.as_trades(arrived))),
         ops_board.MESSAGES_IN,
         "msgs_per_sec_1m",
         F.col("window_start"),
@@ -886,6 +944,17 @@ def panel_rows(spark, sf_dir):
     )
 
 
+@register(
+    "F3 F5 P17 P19 A3 A4",
+    f"""SELECT 'messages binance.trades' AS panel, 'short' AS unit, * FROM ({REGISTRY["panel_messages"].oracle})
+    UNION ALL SELECT 'rows trades', 'none', * FROM ({REGISTRY["panel_rows"].oracle})""",
+)
+def ops_panels(spark, sf_dir):
+    """All metric panels at once."""
+    board = ops_board.metric_panels(_samples(spark, sf_dir), "market", _last_event(spark, sf_dir))
+    return board.select("panel", "unit", "metric", "value", "colour")
+
+
 @register("A7 F3", "SELECT 'market' AS label_value FROM events GROUP BY 1")
 def panel_databases(spark, sf_dir):
     return ops_board.databases(_samples(spark, sf_dir))
@@ -894,21 +963,57 @@ def panel_databases(spark, sf_dir):
 # --- logs -------------------------------------------------------------------
 
 
-@register("S10 L1-L6", f"WITH {O.LOGS} SELECT * FROM logs")
+@register("L1-L6", f"WITH {O.LOGS} SELECT * FROM logs")
 def log_shape(spark, sf_dir):
     lines = G.shape_logs(D.log_records(spark, sf_dir)).drop("time_text")
     return lines.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@register(
-    "F4 F5 T4",
-    f"""WITH {O.LOGS} SELECT ts, line, container_id, compose_service FROM logs
-    WHERE ts >= (SELECT max(ts) FROM logs) - INTERVAL 5 MINUTE
-    ORDER BY ts DESC LIMIT 1000""",
-)
+def _last_log(spark, sf_dir) -> Column:
+    """The time of the newest log record, as a literal."""
+    newest = D.table(spark, sf_dir, "documents").agg(F.max("doc_id").alias("id")).first().id
+    return F.timestamp_micros(F.lit((D.LOG_START_SECONDS + newest) * 1_000_000 + 123_456))
+
+
+_TAIL = f"""WITH {O.LOGS} SELECT ts, line, container_id, compose_service FROM logs
+    WHERE ts >= (SELECT max(ts) FROM logs) - INTERVAL 5 MINUTE"""
+
+
+def _tail_columns(lines: DataFrame) -> DataFrame:
+    return lines.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "line", "container_id", "compose_service")
+
+
+@register("F4 F5 T4", _TAIL)
 def log_tail_5m(spark, sf_dir):
     lines = G.shape_logs(D.log_records(spark, sf_dir))
-    newest = lines.agg(F.unix_micros(F.max("ts")).alias("us")).first().us
-    return G.tail(lines, F.timestamp_micros(F.lit(newest))).select(
-        F.col("ts").cast("timestamp_ntz").alias("ts"), "line", "container_id", "compose_service"
-    )
+    return _tail_columns(G.tail(lines, _last_log(spark, sf_dir)))
+
+
+_CONTAINER_FOLDER = r"/container=(.{12})[^/]*/"
+
+
+def _log_folders(spark, sf_dir) -> str:
+    """Log files, a folder for each container; a pattern of their paths."""
+    folder = shared_dir(spark, "containers")
+    container = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("container")
+    records = D.log_records(spark, sf_dir).select("value", container)
+    records.hint("rebalance", "container").write.partitionBy("container").text(folder)
+    return f"{folder}/*/*"
+
+
+@register("S10 L1-L6", f"WITH {O.LOGS} SELECT * FROM logs")
+def log_files_shape(spark, sf_dir):
+    """Log files read by a path pattern."""
+    records = log_files(spark, _log_folders(spark, sf_dir))
+    lines = G.shape_logs(records, container_path=_CONTAINER_FOLDER).drop("time_text")
+    return lines.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("S10 ST7 F4 F5 T4 L1-L6", _TAIL)
+def log_table_tail(spark, sf_dir):
+    """Log files through a stream into the table of lines, then its last minutes."""
+    records = log_stream(spark, _log_folders(spark, sf_dir))
+    table = shared_dir(spark, "log_lines")
+    lines = G.shape_logs(records, container_path=_CONTAINER_FOLDER)
+    I.start_log_ingest(lines, table, shared_dir(spark, "checkpoint"), _NOW).awaitTermination()
+    return _tail_columns(G.tail(read_lines(spark, table), _last_log(spark, sf_dir)))

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tapeflow.contracts import StreamSpec
 from tapeflow.functions.decode import read_messages
 from tapeflow.operators.quality import quarantined, usable
+from tapeflow.sources.log_table import write_lines
 from tapeflow.sources.tables import append_jdbc, append_once, write_report
 
 BatchSink = Callable[[DataFrame, int, str], None]
@@ -77,6 +78,22 @@ def start_ingest(
     return _started(writer, trigger)
 
 
+def start_log_ingest(
+    lines: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Store shaped log lines by date and hour; a retried batch replaces its own lines."""
+
+    def on_batch(batch: DataFrame, epoch: int) -> None:
+        write_lines(batch, path, query_id(batch), epoch)
+
+    writer = (
+        lines.writeStream.queryName("ingest logs")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(on_batch)
+    )
+    return _started(writer, trigger)
+
+
 def start_console(
     rows: DataFrame, checkpoint: str, trigger: dict | None = None, n: int = 20
 ) -> StreamingQuery:

@@ -11,6 +11,7 @@ from tapeflow.operators import logs as G
 from tapeflow.operators import metrics as M
 from tapeflow.plans import ops_board as B
 from tapeflow.sources import topics as T
+from tapeflow.sources.log_table import read_lines, write_lines
 
 UTC = datetime.timezone.utc
 
@@ -112,6 +113,35 @@ def test_ops_board(spark, samples):
     assert board["messages binance.trades"].count() == 0
 
 
+def test_all_metric_panels_in_one_pass(samples):
+    as_of = F.expr("timestamp_seconds(1000)")
+    board = B.metric_panels(samples, "m", as_of)
+    assert sorted((r.panel, r.value, r.unit, r.colour) for r in board.collect()) == [
+        ("rows trades", 7.0, "none", "green"), ("up kafka", 1.0, "short", "green"),
+        ("up spark1", 0.0, "short", "red"),
+    ]
+    single = B.metric_panel(samples, B.ROWS_INSERTED, as_of, datname="m")
+    assert single.schema["value"].metadata != B.metric_panel(samples, B.UP, as_of).schema["value"].metadata
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_range_of_a_rate_reaches_the_scan(spark, tmp_path, kind):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = [("a", s) for s in (0, 59, 60, 100, 359, 360, 419, 420, 500)]
+    frame = spark.createDataFrame(rows, "topic string, s bigint").select(
+        "topic", F.lit("x").alias("value"), F.timestamp_seconds("s").cast(kind).alias("ts")
+    )
+    frame.write.parquet(str(tmp_path / "messages"))
+    messages = spark.read.parquet(str(tmp_path / "messages"))
+    as_of = F.expr("timestamp_seconds(370)")
+    near = M.whole_minutes(messages, as_of)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+    bounds = F.col("window_start").between(F.expr("timestamp_seconds(70)"), as_of)
+    some, every = M.messages_per_second(near).where(bounds), M.messages_per_second(messages).where(bounds)
+    assert sorted(map(str, some.collect())) == sorted(map(str, every.collect())) and every.count() == 2
+
+
 def record(i, **attrs):
     return json.dumps(
         {"log": f"line {i}\n", "stream": "stdout",
@@ -152,6 +182,36 @@ def test_log_tail(spark):
     assert G.tail(lines, as_of, job="other").count() == 0
 
 
+def test_stored_lines_are_whole_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    rows = [(record(i), PATH) for i in (1, 2)] + [("no json", PATH), (None, PATH)]
+    late = record(3).replace("T10:00", "T12:30")
+    early = record(4).replace("2025-05-01", "1969-12-31")
+    frame = spark.createDataFrame([*rows, (late, PATH), (early, PATH)], "value string, path string")
+    for _ in range(2):  # the second attempt of an epoch replaces the first
+        write_lines(G.shape_logs(frame), path, "w", 0)
+    stored = read_lines(spark, path)
+    assert stored.count() == 6
+    assert stored.where("ts IS NULL AND log_date IS NULL").count() == 2
+    old = stored.where("log_date < date'1970-01-01'").first()
+    assert (str(old.log_date), old.log_hour) == ("1969-12-31", 10)
+
+    as_of = F.to_timestamp(F.lit("2025-05-01T10:04:00Z"))
+    newest = G.tail(stored, as_of)
+    assert [r.line for r in newest.collect()] == ["line 2\n", "line 1\n"]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "log_date" in filters and "log_hour" in filters
+    over_midnight = F.to_timestamp(F.lit("1970-01-01T00:30:00Z"))
+    assert [r.line for r in G.tail(stored, over_midnight, "15 hours").collect()] == ["line 4\n"]
+
+
+def test_tail_has_no_limit_of_its_own(spark):
+    frame = spark.range(3000).select(F.lit(record(1)).alias("value"), F.lit(PATH).alias("path"))
+    as_of = F.to_timestamp(F.lit("2025-05-01T10:04:00Z"))
+    assert G.tail(G.shape_logs(frame), as_of).count() == 3000
+
+
 def test_log_files_by_glob(spark, tmp_path):
     for name in ("abcdefabcdef1", "fedcbafedcba2"):
         folder = tmp_path / "containers" / name

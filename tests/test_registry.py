@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tapeflow.plans.registry import REGISTRY
 from tests.oracle_check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def con():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
     problem = compare(spark, con, name, queries()[name], oracle_sql()[name], SMALL)
     assert problem is None or (problem == "empty result" and name in MAY_BE_EMPTY)

@@ -118,6 +118,18 @@ def test_doubles_that_are_no_decimals_are_left_out(spark):
     assert (row.event_time, row.quote_volume) == (5, 3.0)
 
 
+def test_largest_trades_add_up(spark):
+    most = Decimal("9999999999")
+    rows = [(i, "A", 5 + i // 300, most, most) for i in range(600)]
+    rows.append((600, "A", 7, Decimal("0.5"), Decimal("0.25")))
+    trades = spark.createDataFrame(rows, SCHEMA)
+    got = {r.event_time: r.quote_volume for r in K.rolling_ticker(trades, HOUR_MS).collect()}
+    square = int(most) ** 2
+    assert got == pytest.approx({5: 300.0 * square, 6: 600.0 * square, 7: 600.0 * square}, rel=1e-15)
+    (window,) = K.hopping_ticker(trades, HOUR_MS, HOUR_MS).collect()
+    assert window.quote_volume == pytest.approx(600.0 * square, rel=1e-15)
+
+
 @pytest.mark.parametrize("since", [-50, 0, 17, 1100])
 def test_rolling_since(spark, since):
     trades = spark.createDataFrame(random_trades(8), SCHEMA)
