@@ -194,6 +194,11 @@ TICKER_1D = _ticker_spec("ticker_1d", TICKER_1D_TOPIC)
 SPECS = {s.name: s for s in (TRADES, TICKER_1H, TICKER_1D)}
 
 
+#: Where a topic holds a message, as its source names it, and when it arrived.
+POSITION = ("partition", "offset")
+ARRIVAL = "timestamp"
+
+
 def check_symbol(symbol: str, choices: tuple[str, ...] = SYMBOLS) -> str:
     """The symbol parameter takes one value out of a configured list."""
     if symbol not in choices:

@@ -58,6 +58,7 @@ def read_messages(messages: DataFrame, spec: StreamSpec, keep: tuple[str, ...] =
     return project(decode(messages, spec, keep), spec, keep)
 
 
-def to_table_types(rows: DataFrame, spec: StreamSpec) -> DataFrame:
-    """The column set, order and types fixed by the table."""
-    return rows.select(*[F.col(c.name).cast(c.table_type).alias(c.name) for c in spec.columns])
+def to_table_types(rows: DataFrame, spec: StreamSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The column set, order and types fixed by the table, and the ``keep`` columns."""
+    columns = [F.col(c.name).cast(c.table_type).alias(c.name) for c in spec.columns]
+    return rows.select(*columns, *keep)

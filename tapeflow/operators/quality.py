@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from tapeflow.contracts import StreamSpec
 
 
-def usable(classified: DataFrame, spec: StreamSpec) -> DataFrame:
-    return classified.where(F.col("reason").isNull()).select(*spec.column_names)
+def usable(classified: DataFrame, spec: StreamSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    return classified.where(F.col("reason").isNull()).select(*spec.column_names, *keep)
 
 
-def quarantined(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("reason").isNotNull()).select("reason", "raw")
+def quarantined(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return classified.where(F.col("reason").isNotNull()).select("reason", "raw", *keep)
 
 
 def split_null_keys(rows: DataFrame, key: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
@@ -24,14 +24,16 @@ def split_null_keys(rows: DataFrame, key: tuple[str, ...]) -> tuple[DataFrame, D
     return rows.where(complete), rows.where(~complete)
 
 
-def first_per_key(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """The first row of each key in the total order of all other columns.
+def first_per_key(
+    rows: DataFrame, key: tuple[str, ...], position: tuple[str, ...] = ()
+) -> DataFrame:
+    """The first row of each key by ``position``, then in the order of all other columns.
 
     The ``= 1`` filter lets the planner cut every key to one row per task before
     the shuffle, so copies of one key do not pile up in one partition.
     """
-    others = [c for c in rows.columns if c not in key]
-    order = Window.partitionBy(*key).orderBy(*(others or key))
+    others = [c for c in rows.columns if c not in (*key, *position)]
+    order = Window.partitionBy(*key).orderBy(*((*position, *others) or key))
     return (
         rows.withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") == 1)

@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeflow.contracts import StreamSpec
+from tapeflow.contracts import POSITION, StreamSpec
 from tapeflow.functions.decode import to_table_types
 from tapeflow.functions.times import utc_date
 from tapeflow.operators.quality import conflicts_with, first_per_key, reject_known
@@ -170,21 +170,25 @@ def append_once(
     the former the look-up leaves out its own epoch; a half-written one would
     otherwise make the retry drop its rows.
 
-    ``rows`` is read several times, so callers cache it.
+    ``rows`` is read several times, so callers cache it.  Where it has the columns of
+    ``POSITION``, the first of equal keys is the first in the topic; a topic keeps that
+    order within a partition, so any cut into batches gives the same table where equal
+    keys share a partition.
     """
     spark = rows.sparkSession
     create_table(spark, spec, path)
-    rows = to_table_types(rows, spec)
+    position = tuple(c for c in POSITION if c in rows.columns)
+    rows = to_table_types(rows, spec, position)
     reach = reach_of(rows, spec)
     if reach is None:
         return
     mine = (F.col("writer") == writer) & (F.col("epoch") == epoch)
     known = held_within(spark, spec, path, reach).where(~mine)
-    fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
-    write_epoch(fresh, spec, path, writer, epoch)
+    firsts = first_per_key(rows, spec.key, position).drop(*position)
+    write_epoch(reject_known(firsts, known, spec.key), spec, path, writer, epoch)
     if conflicts_path:
         held = held_within(spark, spec, path, reach)
-        write_report(conflicts_with(rows, held, spec.key), conflicts_path, writer, epoch)
+        write_report(conflicts_with(rows.drop(*position), held, spec.key), conflicts_path, writer, epoch)
 
 
 def write_report(rows: DataFrame, path: str, writer: str, epoch: int) -> None:
@@ -200,8 +204,11 @@ def write_report(rows: DataFrame, path: str, writer: str, epoch: int) -> None:
     )
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    schema = "reason string, raw string, writer string, epoch bigint"
+def read_quarantine(spark: SparkSession, path: str, with_place: bool = False) -> DataFrame:
+    """Messages set aside, on demand with their place in the topic, NULL where the source
+    has none."""
+    place = "partition int, offset bigint, timestamp timestamp, " if with_place else ""
+    schema = f"reason string, raw string, {place}writer string, epoch bigint"
     return spark.read.schema(schema).parquet(path)
 
 
@@ -253,7 +260,8 @@ def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> N
     spans of the batch, which the database evaluates, and is read in
     ``numPartitions`` ranges of the leading key.
     """
-    rows = to_table_types(rows, spec)
+    position = tuple(c for c in POSITION if c in rows.columns)
+    rows = to_table_types(rows, spec, position)
     reach = reach_of(rows, spec)
     if reach is None:
         return
@@ -265,5 +273,5 @@ def append_jdbc(rows: DataFrame, spec: StreamSpec, options: dict[str, str]) -> N
             "upperBound": str(min(reach.high + 1, 2**63 - 1)),
         }
     known = read_jdbc(rows.sparkSession, look_up).where(reach.keys)
-    fresh = reject_known(first_per_key(rows, spec.key), known, spec.key)
-    write_jdbc(fresh, options)
+    firsts = first_per_key(rows, spec.key, position).drop(*position)
+    write_jdbc(reject_known(firsts, known, spec.key), options)

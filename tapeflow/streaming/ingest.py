@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tapeflow.contracts import StreamSpec
+from tapeflow.contracts import ARRIVAL, POSITION, StreamSpec
 from tapeflow.functions.decode import read_messages
 from tapeflow.operators.quality import quarantined, usable
 from tapeflow.sources.log_table import write_lines
@@ -55,7 +55,12 @@ def start_ingest(
     quarantined messages.  Without ``trigger`` the next batch starts when the last
     one ends.  A backfill runs the same query with ``{"availableNow": True}`` and a
     size limit on the source.
+
+    Where the source says at which partition and offset a message is, the first write of
+    a key is the first there, and messages set aside carry their place and time.
     """
+    position = tuple(c for c in POSITION if c in messages.columns)
+    place = (*position, *[c for c in (ARRIVAL,) if c in messages.columns])
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         writer = query_id(batch)
@@ -63,13 +68,13 @@ def start_ingest(
         raw = F.when(F.col("reason").isNotNull(), F.col("raw"))
         batch = batch.withColumn("raw", raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sink(usable(batch, spec), epoch, writer)
-            write_report(quarantined(batch), quarantine, writer, epoch)
+            sink(usable(batch, spec, position), epoch, writer)
+            write_report(quarantined(batch, place), quarantine, writer, epoch)
         finally:
             batch.unpersist()
 
     writer = (
-        read_messages(messages, spec)
+        read_messages(messages, spec, place)
         .writeStream.queryName(f"ingest {spec.name}")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -149,6 +149,28 @@ def test_later_duplicate_loses_and_is_reported(spark, tmp_path):
     assert (row.price, row.kept_price) == (7.0, 1.0)
 
 
+@pytest.mark.parametrize("cuts", [[4], [1, 3], [2, 2], [1, 1, 1, 1]])
+def test_first_write_is_the_first_in_the_topic(spark, tmp_path, cuts):
+    """Messages with their offsets, as a topic gives them, cut into batches."""
+    texts = [message(1, t=5, price="2"), message(1, t=4, price="1"), "x", message(2, t=1)]
+    schema = "value string, partition int, offset bigint, timestamp timestamp"
+    inbox, paths = str(tmp_path / "inbox"), [str(tmp_path / n) for n in ("table", "bad", "checkpoint")]
+    S.create_table(spark, TRADES, paths[0])
+    first = 0
+    for n in cuts:
+        rows = [(texts[i], 0, i) for i in range(first, first + n)]
+        frame = spark.createDataFrame(rows, "value string, partition int, offset bigint")
+        frame = frame.withColumn("timestamp", F.timestamp_seconds("offset"))
+        frame.coalesce(1).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(schema).parquet(inbox)
+        I.start_ingest(source, TRADES, I.parquet_sink(TRADES, paths[0]), paths[1], paths[2], NOW).awaitTermination()
+        first += n
+    stored = S.read_table(spark, TRADES, paths[0]).orderBy("trade_id").collect()
+    assert [tuple(r) for r in stored] == [(1, "BTCUSDT", 5, 2.0, 2.0), (2, "BTCUSDT", 1, 1.5, 2.0)]
+    (bad,) = S.read_quarantine(spark, paths[1], with_place=True).select("raw", "partition", "offset", F.unix_seconds("timestamp")).collect()
+    assert tuple(bad) == ("x", 0, 2, 2)
+
+
 def test_ticker_topic(spark, tmp_path):
     one = Job(spark, tmp_path, TICKER_1H)
     ticks = [json.dumps({"E": 86_400_000 * d, "s": "X", "c": "1.5", "n": d}) for d in range(3)]
