@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tapeflow.llm import attention, chat, decontaminate, extract, jaccard, lines, mixing, quality, urls, warc
 from tapeflow.llm.components import components
+from tapeflow.llm.queries import ORACLES, QUERIES
+from tests.oracle_check import compare, duck
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -349,3 +351,10 @@ def test_pipeline(spark):
         given = after
     assert set(columns) < set(given.columns) and given.count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    sf = "/root/testdata/sf0.001"
+    assert compare(spark, duck(sf), name, QUERIES[name], ORACLES[name], sf) is None
