@@ -98,8 +98,8 @@ class Parts:
     def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(set, key, need) for the parts of some sets.
 
-        ``need`` is twice the number of these parts that a linked set of the class has as well,
-        plus one for the next class."""
+        ``need`` is twice the least number of these parts that a linked set, whatever it leaves
+        out, has as well, plus one for the next class."""
         sizes = np.array([len(s) for s in sets])
         flat = np.concatenate(sets)
         spread = mix(flat ^ np.uint64(0x3C6EF372FE94F82B))
@@ -122,7 +122,10 @@ class Parts:
                 small = np.bincount(owner, held < m, len(sets)).astype(np.int64)
                 few = small <= (parts - differ - 1) // (1 if m == 1 else 2)
                 least, gone = np.where(few, m, least), np.where(few, small, gone)
-            need = parts - differ - gone
+            # a linked set leaves out equal parts too, more of them if its ``least`` is higher
+            room = parts - differ - 1
+            others = np.where(least == 0, room, np.maximum(gone, room // 2))
+            need = parts - differ - np.where(least == SMALL_PART, gone, others)
             kept = np.flatnonzero(held >= least[owner])
             number = (kept - first[owner[kept]]).astype(np.uint64)
             seat = mix(number * np.uint64(1024) + size_class[owner[kept]].astype(np.uint64))

@@ -304,6 +304,25 @@ def test_jaccard(spark, docs, n, percent):
     assert jaccard.similar(empty_like(spark, docs)).count() == 0
 
 
+@pytest.mark.parametrize(("percent", "most", "seed"), [(80, 20, 3), (85, 60, 2), (85, 100, 1)])
+def test_jaccard_at_the_bound(spark, percent, most, seed):
+    """Pairs of sets that have just enough in common, each linked with nothing else."""
+    rng = random.Random(seed)
+    rows = []
+    while len(rows) < 6000:
+        small = rng.randint(5, most)
+        large = rng.randint(small, small * 100 // percent)
+        common = -(-percent * (small + large) // (100 + percent))
+        if common > small:
+            continue
+        words = [f"w{rng.getrandbits(40)}" for _ in range(small + large - common)]
+        rows.append((len(rows), " ".join(words[:small])))
+        rows.append((len(rows), " ".join(words[:common] + words[small:])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc: r.component_id for r in jaccard.similar(frame, n=1, percent=percent).collect()}
+    assert [i for i in got if got[i] != i // 2 * 2] == []
+
+
 def test_jaccard_in_chunks(spark, docs, monkeypatch):
     whole = sorted(jaccard.similar(docs, percent=50).collect(), key=str)
     monkeypatch.setattr(jaccard, "GROUP_SHINGLES", 150)
