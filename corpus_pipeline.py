@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one has; those left without a word go."""
-    done = lines.dedup_lines(docs)
+    done = lines.dedup_lines(docs, share=lines.SHARE)
     lost = F.size("removed_lines") > 0
     left = done.filter(~lost | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:

@@ -10,6 +10,13 @@ the same keys, a count of characters rules most out, and the rest are verified w
 distance that keeps a band of the matrix in the bits of one number, for many pairs at once.
 Lines joined by such links are one class; its first line, by document and line number, stays.
 
+With a ``share``, lines may differ in that many per cent of the shorter one's characters if
+these are more than ``MAX_EDITS``.  Two such lines have a long run of characters in common, near
+the same place.  Lines that long are keyed by the least of each window of grams, with a class of
+lengths and of places (a seat), so that any such run gives both a key.  They are tied seat by
+seat, as a phrase in common ties many, and verified by the furthest place that each diagonal of
+the matrix reaches with each number of edits.
+
 Equal lines of at least ``EXACT_CHARS`` characters are duplicates as well; near ones are
 looked for among lines of at least ``NEAR_CHARS``.  Shorter lines are never removed.
 
@@ -34,11 +41,15 @@ from tapeflow.llm.words import Hasher, chunks, mix, text_buffer
 from tapeflow.scratch import staged
 
 MAX_EDITS = 2
+SHARE = 2
 EXACT_CHARS = 20
 NEAR_CHARS = 40
 GROUP_CHARS = 4 << 20
 MERGED_CHARS = 1 << 19
 _PAIRS = 1 << 18
+_REACHED = 1 << 19
+_LENGTHS = 1.25
+_SEATS = 64
 
 
 def _is_space(code: np.ndarray) -> np.ndarray:
@@ -109,6 +120,195 @@ def keys_of(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray
                 yield fits, key.view(np.int64), delta == 0 and shift == 0
 
 
+def limits(length: np.ndarray, most: int, share: int) -> np.ndarray:
+    """How many edits lines may be apart, by the length of the shorter one."""
+    return np.maximum(most, length * share // 100)
+
+
+def long_from(most: int, share: int) -> int:
+    """The least length at which the share allows more than ``most`` edits."""
+    return -(-100 * (most + 1) // share)
+
+
+def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """The best of each ``width`` consecutive values; as many fewer than there are values."""
+    reach = 1
+    while reach < width:
+        step = min(reach, width - reach)
+        values = best(values[: len(values) - step], values[step:])
+        reach += step
+    return values
+
+
+def run_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, most: int, share: int):
+    """(line, key, seat) for lines of ``long_from`` characters and more.
+
+    Two lines within their limit of k edits have a run in common of a (k + 1)-th of the
+    characters that are left; the windows of a class of lengths are as long as its shortest run.
+    """
+    pick = np.flatnonzero(end - start >= long_from(most, share))
+    rows, keys, held = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for size_class, apart, wide in _seat_classes(end[pick] - start[pick], most, share):
+        for one in np.unique(size_class[size_class >= 0]).tolist():
+            here = np.flatnonzero(size_class == one)
+            lines = pick[here]
+            owner, place, hashes = _least_grams(hasher, sums, start[lines], end[lines], _shortest_run(one, most, share), most, share)
+            near, width = int(apart[here[0]]), int(wide[here[0]])
+            seats = [place // width, (place + near) // width]
+            for i, at in enumerate(seats):
+                use = np.flatnonzero((at != seats[0]) | (i == 0))
+                seat = one * _SEATS + at[use] + 1
+                rows.append(lines[owner[use]])
+                keys.append(mix(hashes[use] ^ mix(seat.astype(np.uint64))).view(np.int64))
+                held.append(seat)
+    row, key, seat = np.concatenate(rows), np.concatenate(keys), np.concatenate(held)
+    order = np.lexsort((key, row))
+    row, key, seat = row[order], key[order], seat[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+    return row[new], key[new], seat[new]
+
+
+def _shortest_run(size_class: int, most: int, share: int) -> int:
+    """The least run in common of near lines of which the shorter one is in a class."""
+    low = max(long_from(most, share), int(_LENGTHS**size_class) - 1)
+    # a limit's shortest line has its shortest run, and higher limits have longer runs
+    found = []
+    for length in (low, -(-100 * (low * share // 100 + 1) // share)):
+        edits = length * share // 100
+        found.append(-(-(length - edits) // (edits + 1)))
+    return min(found)
+
+
+def _least_grams(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, run: int, most: int, share: int):
+    """(line, place, hash) of the grams that are least in a window of ``run`` characters."""
+    shortest = long_from(most, share)
+    gram = -(-(shortest - most - 1) // (most + 2)) * 3 // 7 + 1
+    window = run - gram + 1
+    length = end - start
+    first = np.cumsum(length) - length
+    place = np.arange(length.sum()) - np.repeat(first, length)
+    owner = np.repeat(np.arange(len(start)), length)
+    begin = start[owner] + place
+    hashes = hasher.cut(sums, begin, np.minimum(begin + gram, len(sums) - 1)) | np.uint64(1)
+    least = _sliding(hashes, window, np.minimum)
+    least[(place + run > length[owner])[: len(least)]] = 0  # windows across lines
+    padded = np.concatenate([np.zeros(window - 1, np.uint64), least, np.zeros(window - 1, np.uint64)])
+    chosen = np.flatnonzero(_sliding(padded, window, np.maximum) == hashes)
+    return owner[chosen], place[chosen], hashes[chosen]
+
+
+def _seat_classes(length: np.ndarray, most: int, share: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(class of lengths, how far places may be apart, width of a place) of lines, for their own
+    class and that of the shortest line they may be near to, -1 where it is the same."""
+    of_length = lambda x: np.floor(np.log(x) / np.log(_LENGTHS)).astype(np.int64)
+    own, lower = of_length(length), of_length(length - limits(length, most, share))
+    out = []
+    for size_class in (own, lower):
+        apart = limits(np.ceil(_LENGTHS ** (size_class + 1)).astype(np.int64), most, share)
+        out.append((size_class if size_class is own else np.where(lower != own, lower, -1), apart, 8 * apart))
+    return out
+
+
+def seats_of(length: np.ndarray, most: int, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, seat) of all seats that lines may have keys in; seat 0 is that of ``keys_of``."""
+    if not share:
+        return np.arange(len(length)), np.zeros(len(length), np.int64)
+    short = np.flatnonzero(length < long_from(most, share) + most)
+    pick = np.flatnonzero(length >= long_from(most, share))
+    lines, seats = [short], [np.zeros(len(short), np.int64)]
+    for size_class, apart, wide in _seat_classes(length[pick], most, share):
+        n = np.where(size_class >= 0, (length[pick] + apart) // wide + 1, 0)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        lines.append(np.repeat(pick, n))
+        seats.append(np.repeat(size_class, n) * _SEATS + at + 1)
+    return np.concatenate(lines), np.concatenate(seats)
+
+
+def _seated(node: np.ndarray, seat: np.ndarray) -> np.ndarray:
+    """A number for a line in a seat, which is its own in seat 0."""
+    other = mix(node.view(np.uint64) ^ mix(seat.astype(np.uint64) + np.uint64(1 << 40))).view(np.int64)
+    return np.where(seat > 0, other, node)
+
+
+def all_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, most: int, share: int):
+    """(line, key, is indexed, seat): what ``keys_of`` gives, for long lines ``run_keys``."""
+    if not share:
+        for which, key, indexed in keys_of(hasher, sums, start, end, most):
+            yield which, key, indexed, np.zeros(len(which), np.int64)
+        return
+    # the longer of two lines may be long where the shorter one is not
+    short = np.flatnonzero(end - start < long_from(most, share) + most)
+    for which, key, indexed in keys_of(hasher, sums, start[short], end[short], most):
+        yield short[which], key, indexed, np.zeros(len(which), np.int64)
+    which, key, seat = run_keys(hasher, sums, start, end, most, share)
+    yield which, key, True, seat
+
+
+def _same_ahead(hasher: Hasher, code: np.ndarray, sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many characters from ``a`` and ``b`` on are equal, ``most`` at the most."""
+    same = np.zeros(len(a), np.int64)
+    todo = np.flatnonzero(most > 0)
+    todo = todo[code[a[todo]] == code[b[todo]]]
+    if not len(todo):
+        return same
+    a, b, most = a[todo], b[todo], most[todo]
+    found = np.zeros(len(todo), np.int64)
+    for bit in range(int(most.max()).bit_length() - 1, -1, -1):
+        step = np.int64(1 << bit)
+        fits = np.flatnonzero(found + step <= most)
+        x, y = a[fits] + found[fits], b[fits] + found[fits]
+        found[fits[hasher.cut(sums, x, x + step) == hasher.cut(sums, y, y + step)]] += step
+    same[todo] = found
+    return same
+
+
+def edits_within_limits(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b: tuple, most: np.ndarray) -> np.ndarray:
+    """Whether pairs of spans of ``code`` are within ``most`` edits, a number for each pair."""
+    result = np.zeros(len(most), bool)
+    order = np.argsort(most, kind="stable")
+    first = 0
+    while first < len(order):
+        wide = 2 * most[order[first:]] + 3
+        last = first + max(1, int(np.searchsorted(wide * np.arange(1, len(wide) + 1), _REACHED, "right")))
+        part = order[first:last]
+        first = last
+        top = int(most[part].max())
+        a_at, b_at = a[0][part], b[0][part]
+        rows, columns = a[1][part] - a_at, b[1][part] - b_at
+        # the place in ``a`` reached on each diagonal; column ``top + 1`` is the main one
+        none = np.int64(-(1 << 40))
+        reach = np.full((len(part), 2 * top + 3), none)
+        live = np.flatnonzero(np.abs(columns - rows) <= most[part])
+        for edits in range(top + 1):
+            live = live[edits <= most[part[live]]]
+            if not len(live):
+                break
+            low, high = top + 1 - edits, top + 2 + edits
+            if edits:
+                before = reach[live]
+                x = np.maximum(before[:, low:high] + 1, np.maximum(before[:, low - 1 : high - 1], before[:, low + 1 : high + 1] + 1))
+            else:
+                x = np.zeros((len(live), 1), np.int64)
+            diagonal = np.arange(-edits, edits + 1)[None, :]
+            x = np.minimum(np.minimum(x, rows[live][:, None]), columns[live][:, None] - diagonal)
+            ok = (x >= 0) & (x + diagonal >= 0)
+            pair, which = np.nonzero(ok)
+            here = x[ok]
+            there = here + which - edits
+            to = live[pair]
+            ahead = np.minimum(rows[to] - here, columns[to] - there)
+            at_most = np.minimum(a_at[to] + here, len(code) - 1), np.minimum(b_at[to] + there, len(code) - 1)
+            x[ok] = here + _same_ahead(hasher, code, sums, *at_most, ahead)
+            x[~ok] = none
+            reach[live, low:high] = x
+            final = top + 1 + columns[live] - rows[live]
+            done = reach[live, final] >= rows[live]
+            result[part[live[done]]] = True
+            live = live[~done]
+    return result
+
+
 def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
     """Whether pairs of spans of ``code`` are within ``most`` edits of each other.
 
@@ -159,8 +359,8 @@ def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
     return result
 
 
-def _ties(docs: DataFrame, text: str, most: int) -> DataFrame:
-    """(a, b): lines that share a key, tied to the smallest line indexed under it."""
+def _ties(docs: DataFrame, text: str, most: int, share: int) -> DataFrame:
+    """(a, b): lines, by seat, that share a key, tied to the smallest line indexed under it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), np.empty(0, np.int64)
@@ -175,9 +375,9 @@ def _ties(docs: DataFrame, text: str, most: int) -> DataFrame:
                 pick = pick[~np.isin(node[pick], seen)]
                 seen = np.union1d(seen, node[pick])
                 start, end, node = lines.start[pick], lines.end[pick], node[pick]
-                for which, key, indexed in keys_of(hasher, sums, start, end, most):
+                for which, key, indexed, seat in all_keys(hasher, sums, start, end, most, share):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array(node[which]), pa.array(np.full(len(which), indexed))], ["key", "node", "indexed"]
+                        [pa.array(key), pa.array(_seated(node[which], seat)), pa.array(np.full(len(which), indexed))], ["key", "node", "indexed"]
                     )
 
     rows = docs.select(text).mapInArrow(run, "key long, node long, indexed boolean")
@@ -196,7 +396,7 @@ def _histogram(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return flat.reshape(-1, 16).astype(np.int32)
 
 
-def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarray, most: int, hasher: Hasher):
+def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarray, seat: np.ndarray, most: int, share: int, hasher: Hasher):
     """Links among the lines of a group as edges of a spanning forest."""
     start, end = at[:-1], at[1:]
     length = end - start
@@ -204,13 +404,15 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
     labels = np.arange(len(nodes))
     apart = chunk.min() != chunk.max()
     sums = hasher.sums(code)
-    found = list(keys_of(hasher, sums, start, end, most))
+    found = list(all_keys(hasher, sums, start, end, most, share))
     line = np.concatenate([f[0] for f in found])
     key = np.concatenate([f[1] for f in found])
     indexed = np.concatenate([np.full(len(f[0]), f[2]) for f in found])
+    own = np.concatenate([f[3] for f in found]) == seat[line]  # a group is of one seat
+    line, key, indexed = line[own], key[own], indexed[own]
     order = np.lexsort((~indexed, key))
     line, key, indexed = line[order], key[order], indexed[order]
-    cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+    cuts = np.unique(np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]))
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
@@ -222,13 +424,19 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
         held, size = [], 0
         pair = np.unique(np.minimum(a, b) * len(nodes) + np.maximum(a, b))
         a, b = pair // len(nodes), pair % len(nodes)
-        keep = (labels[a] != labels[b]) & (np.abs(length[a] - length[b]) <= most)
+        within = limits(np.minimum(length[a], length[b]), most, share)
+        keep = (labels[a] != labels[b]) & (np.abs(length[a] - length[b]) <= within)
         if apart:
             keep &= chunk[a] != chunk[b]
-        a, b = a[keep], b[keep]
-        keep = np.abs(kinds[a] - kinds[b]).sum(axis=1) <= 2 * most
-        a, b = a[keep], b[keep]
-        linked = edits_within(code, (start[a], end[a]), (start[b], end[b]), most)
+        a, b, within = a[keep], b[keep], within[keep]
+        keep = np.abs(kinds[a] - kinds[b]).sum(axis=1) <= 2 * within
+        a, b, within = a[keep], b[keep], within[keep]
+        linked = np.zeros(len(a), bool)
+        few, many = np.flatnonzero(within == most), np.flatnonzero(within > most)
+        x, y = a[few], b[few]
+        linked[few] = edits_within(code, (start[x], end[x]), (start[y], end[y]), most)
+        x, y = a[many], b[many]
+        linked[many] = edits_within_limits(code, sums, hasher, (start[x], end[x]), (start[y], end[y]), within[many])
         a, b = a[linked], b[linked]
         if not len(a):
             return
@@ -252,10 +460,10 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
     return nodes[moved], nodes[labels[moved]]
 
 
-def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) -> DataFrame:
-    """(node, line_class): lines that are within ``most`` edits of others, by their keys."""
-    cluster = staged(components(_ties(docs, text, most)).withColumnRenamed("component", "cluster"), "clusters")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(cluster))
+def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS, share: int = 0) -> DataFrame:
+    """(node, line_class): lines that are within their ``limits`` of others, by their keys."""
+    cluster = staged(components(_ties(docs, text, most, share)).toDF("seated", "cluster"), "clusters")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(cluster.withColumnRenamed("seated", "node")))
 
     def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), np.empty(0, np.int64)
@@ -264,20 +472,26 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) ->
                 lines = Lines(data, at)
                 node = _line_key(hasher, hasher.sums(lines.code), lines.start, lines.end)
                 pick = np.flatnonzero(lines.length >= NEAR_CHARS)
-                pick = pick[marked(bits.value, node[pick])]
-                _, first = np.unique(node[pick], return_index=True)
-                pick = pick[first]
-                pick = pick[~np.isin(node[pick], seen)]
-                seen = np.union1d(seen, node[pick])
+                which, seat = seats_of(lines.length[pick], most, share)
+                pick = pick[which]
+                seated = _seated(node[pick], seat)
+                _, first = np.unique(seated, return_index=True)
+                first = first[marked(bits.value, seated[first])]
+                first = first[~np.isin(seated[first], seen)]
+                pick, seated, seat = pick[first], seated[first], seat[first]
+                seen = np.union1d(seen, seated)
                 words = [lines.code[a:b].tobytes().decode("utf-32-le") for a, b in zip(lines.start[pick], lines.end[pick], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(node[pick]), pa.array(words, pa.string())], ["node", "line"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[pick]), pa.array(seated), pa.array(seat), pa.array(words, pa.string())],
+                    ["node", "seated", "seat", "line"],
+                )
 
-    lines = docs.select(text).mapInArrow(distinct_lines, "node long, line string")
-    members = lines.join(cluster, "node").groupBy("cluster", "node").agg(F.first("line").alias("line"))
+    lines = docs.select(text).mapInArrow(distinct_lines, "node long, seated long, seat long, line string")
+    members = lines.join(cluster, "seated").groupBy("cluster", "node").agg(F.first("line").alias("line"), F.first("seat").alias("seat"))
     members = staged(members.withColumn("chars", F.length("line").cast("long")), "lines")
     placed = pair_groups(members, ["cluster"], "chars", GROUP_CHARS)
-    spread = placed.select("cluster", F.explode("groups").alias("pair"), "node", "chunk", "line")
-    spread = spread.select("cluster", "pair.first", "pair.second", "node", "chunk", "line")
+    spread = placed.select("cluster", F.explode("groups").alias("pair"), "node", "chunk", "line", "seat")
+    spread = spread.select("cluster", "pair.first", "pair.second", "node", "chunk", "line", "seat")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -285,7 +499,7 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) ->
             data, at = text_buffer(run.column(5))
             place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
             code = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-            a, b = _links(run.column(3).to_numpy(), code, place, run.column(4).to_numpy(), most, hasher)
+            a, b = _links(run.column(3).to_numpy(), code, place, run.column(4).to_numpy(), run.column(6).to_numpy(), most, share, hasher)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     where = ["cluster", "first", "second"]
@@ -293,7 +507,7 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS) ->
     return components(links).withColumnRenamed("component", "line_class")
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_EDITS) -> DataFrame:
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_EDITS, share: int = 0) -> DataFrame:
     """(doc, text_key, removed): numbers, from 0, of the lines to remove, by document.
 
     A document is its id and a hash of its text; only documents that lose a line occur.
@@ -321,7 +535,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mos
 
     given = docs.select(key, F.xxhash64(text).alias("text_key"), text)
     rows = staged(given.mapInArrow(occurrences, f"doc {kind}, text_key long, line_number long, node long"), "occurrences")
-    classes = line_classes(docs, text, most)
+    classes = line_classes(docs, text, most, share)
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_key", "line_number")
     # one row per line class and document suffices to find the first
     firsts = rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
@@ -332,13 +546,13 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mos
     return later.groupBy("doc", "text_key").agg(F.collect_set("line_number").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_EDITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_EDITS, share: int = 0) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; ``line_count`` and
     ``removed_lines`` are added."""
     clash = [c for c in docs.columns if c in ("line_count", "removed_lines", "text_key", "removed", "doc")]
     if clash:
         raise ValueError(f"rename the columns {clash}")
-    removed = repeated_lines(docs, key, text, most)
+    removed = repeated_lines(docs, key, text, most, share)
     same = F.col(key).eqNullSafe(F.col("doc")) & (F.xxhash64(text) == F.col("text_key"))
     joined = docs.join(removed, same, "left")
     lines = F.split(F.col(text), "\n", -1)
@@ -356,7 +570,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most:
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    done = dedup_lines(docs)
+    done = dedup_lines(docs, share=SHARE)
     return done.select(
         "doc_id",
         F.col("line_count").alias("n_lines"),

@@ -201,6 +201,62 @@ def test_line_dedup(spark, docs):
         lines.dedup_lines(docs.withColumn("removed_lines", F.lit(1)))
 
 
+def test_line_dedup_by_share(spark):
+    """Long lines may differ in a share of their characters."""
+    rng = random.Random(9)
+    made = []
+    for _ in range(60):
+        line = prose(rng, rng.randint(25, 160))
+        made.append(line)
+        for _ in range(rng.randint(0, 2)):
+            near = list(line)
+            for _ in range(max(2, len(line) * 2 // 100) + rng.choice([0, 0, 1])):
+                near.insert(rng.randrange(len(near)), "z") if rng.random() < 0.5 else near.pop(rng.randrange(len(near)))
+            made.append("".join(near).strip())
+    rng.shuffle(made)
+    label = list(range(len(made)))
+    limit = lambda a, b: max(2, min(len(a), len(b)) * lines.SHARE // 100)
+    close = lambda a, b: abs(len(a) - len(b)) <= limit(a, b) and levenshtein(a, b) <= limit(a, b)
+    links = [(i, j) for j, b in enumerate(made) for i, a in enumerate(made[:j]) if close(a, b)]
+    assert len([1 for i, j in links if levenshtein(made[i], made[j]) > 2]) > 20
+    for _ in made:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    frame = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    for chars in (lines.GROUP_CHARS, 3000):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lines, "GROUP_CHARS", chars)
+            got = lines.dedup_lines(frame, share=lines.SHARE).collect()
+        assert sorted(r.doc_id for r in got if not r.removed_lines) == sorted(set(label))
+
+
+@pytest.mark.parametrize(("most", "share", "low", "high"), [(2, 2, 140, 700), (2, 3, 95, 400), (1, 5, 38, 300)])
+def test_keys_of_long_lines(most, share, low, high):
+    """Lines that differ by their limit have a key in common, and are found to be that near."""
+    rng = random.Random(3)
+    made = []
+    for _ in range(400):
+        line = [rng.choice("abcdé ") for _ in range(rng.randint(low, high))]
+        near = list(line)
+        for i in sorted({(len(line) * j) // (len(line) * share // 100 + 1) for j in range(1, len(line) * share // 100 + 1)}, reverse=True):
+            near[i : i + 1] = rng.choice(["x", "x" + near[i]])
+        made += ["".join(line), "".join(near)]
+    code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
+    at = lines.np.cumsum([0, *map(len, made)])
+    hasher = lines.Hasher()
+    sums = hasher.sums(code)
+    a, b = (at[:-1][::2], at[1:][::2]), (at[:-1][1::2], at[1:][1::2])
+    limit = lines.limits(lines.np.minimum(a[1] - a[0], b[1] - b[0]), most, share)
+    near = lines.edits_within_limits(code, sums, hasher, a, b, limit)
+    assert near[:60].tolist() == [levenshtein(x, y) <= k for x, y, k in zip(made[:120:2], made[1:120:2], limit[:60], strict=True)]
+    keys = collections.defaultdict(set)
+    for which, key, _, _ in lines.all_keys(hasher, sums, at[:-1], at[1:], most, share):
+        for line, k in zip(which.tolist(), key.tolist(), strict=True):
+            keys[line].add(k)
+    assert near.sum() > 200
+    assert all(keys[2 * i] & keys[2 * i + 1] for i in lines.np.flatnonzero(near).tolist())
+
+
 def test_quality_measures(spark, docs):
     labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(60)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     ratio, threshold = quality.fit(docs, labels)
