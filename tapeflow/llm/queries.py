@@ -8,6 +8,7 @@ from tapeflow.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from tapeflow.llm.extract import op10_html_extraction
 from tapeflow.llm.jaccard import OP8_SQL, op8_jaccard_join
 from tapeflow.llm.lines import op4_line_dedup
+from tapeflow.llm.merkle import OP12_SQL, op12_merkle_manifest
 from tapeflow.llm.mixing import op7_mixing
 from tapeflow.llm.quality import op5_quality_rules
 from tapeflow.llm.urls import OP9_SQL, op9_url_filters
@@ -26,6 +27,7 @@ QUERIES = {
         op8_jaccard_join,
         op9_url_filters,
         op10_html_extraction,
+        op12_merkle_manifest,
     )
 }
 
@@ -35,4 +37,5 @@ ORACLES = {
     "op6_warc": OP6_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op9_url_filters": OP9_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
