@@ -10,6 +10,7 @@ from tapeflow.llm.jaccard import OP8_SQL, op8_jaccard_join
 from tapeflow.llm.lines import op4_line_dedup
 from tapeflow.llm.merkle import OP12_SQL, op12_merkle_manifest
 from tapeflow.llm.mixing import op7_mixing
+from tapeflow.llm.negatives import OP11_SQL, op11_hard_negatives
 from tapeflow.llm.quality import op5_quality_rules
 from tapeflow.llm.urls import OP9_SQL, op9_url_filters
 from tapeflow.llm.warc import OP6_SQL, op6_warc
@@ -27,6 +28,7 @@ QUERIES = {
         op8_jaccard_join,
         op9_url_filters,
         op10_html_extraction,
+        op11_hard_negatives,
         op12_merkle_manifest,
     )
 }
@@ -37,5 +39,6 @@ ORACLES = {
     "op6_warc": OP6_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op9_url_filters": OP9_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
