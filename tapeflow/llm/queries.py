@@ -7,6 +7,7 @@ from tapeflow.llm.chat import OP1_SQL, op1_chat_formatting
 from tapeflow.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from tapeflow.llm.extract import op10_html_extraction
 from tapeflow.llm.jaccard import OP8_SQL, op8_jaccard_join
+from tapeflow.llm.langid import op13_language_id
 from tapeflow.llm.lines import op4_line_dedup
 from tapeflow.llm.merkle import OP12_SQL, op12_merkle_manifest
 from tapeflow.llm.mixing import op7_mixing
@@ -30,6 +31,7 @@ QUERIES = {
         op10_html_extraction,
         op11_hard_negatives,
         op12_merkle_manifest,
+        op13_language_id,
     )
 }
 
