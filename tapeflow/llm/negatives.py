@@ -87,7 +87,10 @@ def _share(vectors: DataFrame, values: int) -> int:
 
 def build_index(vectors: DataFrame) -> DataFrame:
     """The buckets: rows in ranges of label, dimension and length, longest first; equal lengths
-    are spread by a hash.  ``part`` numbers the ranges from 0, also where some are empty."""
+    are spread by a hash.
+
+    ``part`` numbers the groups of buckets from 0.  Their number follows from the size of the
+    vectors alone, also where these come in more ranges than that: neighbours then share one."""
     spread = F.xxhash64("id", "row")
     parts = _share(vectors, GROUP_VALUES)
     order = [F.col("label"), F.col("dim"), F.col("norm").desc(), spread]
@@ -109,7 +112,11 @@ def build_index(vectors: DataFrame) -> DataFrame:
                 low = high
 
     numbered = ranges.select("id", "label", "dim", "norm", "v", F.spark_partition_id().alias("part"))
-    return staged(numbered.mapInArrow(build, _INDEX), "negatives-index")
+    index = staged(numbered.mapInArrow(build, _INDEX), "negatives-index")
+    ranges_made = (index.agg(F.max("part")).first()[0] or 0) + 1
+    if ranges_made <= parts:
+        return index
+    return index.withColumn("part", F.floor(F.col("part") * parts / ranges_made).cast("int"))
 
 
 class Bucket:
