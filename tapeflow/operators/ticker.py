@@ -7,14 +7,17 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeflow.functions.times import DAY_MS, HOUR_MS, MINUTE_MS, floor_div, is_time
+from tapeflow.functions.times import MINUTE_MS, floor_div, is_time
 
-#: Slice length per period.  A slice of one symbol holds at most as many rows as
-#: it has milliseconds, whatever the trade rate (see ``rolling_ticker``).
-SLICE_MS = {HOUR_MS: 5 * MINUTE_MS, DAY_MS: 30 * MINUTE_MS}
+#: Slices are at most this long, so one of a symbol holds a bounded number of rows
+#: whatever the trade rate (see ``rolling_ticker``) and whatever the period.
+LONGEST_SLICE_MS = 30 * MINUTE_MS
 
-#: More slices than this make the step over full slices dear.
-_MAX_SLICES = 1000
+#: A period has this many slices at least.
+FEWEST_SLICES = 12
+
+#: Rows that a group of slices stands for, and the longest frame that is added up anew per row.
+FAN_IN = 48
 
 #: What a set of trades of one symbol is reduced to.
 _FIGURES = (
@@ -34,6 +37,9 @@ _FIGURES = (
 _WHOLE = "decimal(36,0)"
 _PART = "decimal(36,16)"
 
+#: Types of the sums wherever parts are put together.
+_SUM_TYPES = {"volume": "decimal(28,8)", "quote_whole": _WHOLE, "quote_part": _PART}
+
 _MIN_LONG = -(2**63)
 _MAX_LONG = 2**63 - 1
 
@@ -151,28 +157,50 @@ def per_instant(trades: DataFrame) -> DataFrame:
     )
 
 
-def _slices_between(instants: DataFrame, slice_ms: int, slices: int) -> DataFrame:
-    """Per symbol and slice: the figures of the ``slices - 1`` slices before it.
+def slot(position: Column, period: int, slots: int) -> Column:
+    """The number of the slot that holds a position, ``slots`` of them to a period.
 
-    Works on one row per symbol and slice.  These rows go to groups one period
-    long, each row also to the next group, so the number of tasks grows with the
-    time span and not with the number of symbols.
+    A position one period earlier is exactly ``slots`` earlier, whatever the period; slots
+    differ in length by one at most where they do not divide it.
     """
-    totals = instants.groupBy(
-        "symbol", floor_div(F.col("event_time"), slice_ms).alias("slice")
-    ).agg(*_figures_of_parts("event_time"))
-    own = floor_div(F.col("slice"), slices)
-    frame = (
-        Window.partitionBy("symbol", "_group")
-        .orderBy("slice")
-        .rangeBetween(-(slices - 1), -1)
-    )
+    if period % slots == 0:
+        return floor_div(position, period // slots)
+    whole = floor_div(position, period)
+    # the rest is below the period, so the product stays small
+    return whole * slots + floor_div((position - whole * period) * slots, period)
+
+
+def _bounded(parts: list[Column]) -> list[Column]:
+    """Sums of sums, cut back to the types that all steps have."""
+    return [
+        c if name not in _SUM_TYPES else c.cast(_SUM_TYPES[name]).alias(name)
+        for c, name in zip(parts, _FIGURES, strict=True)
+    ]
+
+
+def _before(totals: DataFrame, period: int) -> DataFrame:
+    """Per symbol and slice: the figures of the ``period`` slices before it.
+
+    Works on one row per symbol and slice.  A short period is a frame over these rows.  A
+    long one is cut into blocks of at most ``FAN_IN`` slices, as a rolling window cuts time
+    into slices: the end of one block, the blocks between, which are this step again on
+    the blocks' own rows, and the start of the block that the slice is in.  So a window is put
+    together from a few rows per power of ``FAN_IN``, and no group holds more than two blocks.
+    """
+    return _in_frame(totals, period) if period < FAN_IN else _by_blocks(totals, period)
+
+
+def _in_frame(totals: DataFrame, period: int) -> DataFrame:
+    """Rows go to groups one period long, each also to the next, so the number of tasks
+    grows with the time span and not with the number of symbols."""
+    own = floor_div(F.col("slice"), period)
+    frame = Window.partitionBy("symbol", "_group").orderBy("slice").rangeBetween(-period, -1)
     return (
         totals.select("*", F.explode(F.array(own, own + 1)).alias("_group"))
         .select(
             "symbol",
             "slice",
-            (F.col("_group") == floor_div(F.col("slice"), slices)).alias("_own"),
+            (F.col("_group") == floor_div(F.col("slice"), period)).alias("_own"),
             F.first("open_price").over(frame).alias("open_price"),
             F.last("last_price").over(frame).alias("last_price"),
             F.last("last_quantity").over(frame).alias("last_quantity"),
@@ -188,14 +216,84 @@ def _slices_between(instants: DataFrame, slice_ms: int, slices: int) -> DataFram
     )
 
 
-def default_slice(period_ms: int) -> int:
-    """A slice that divides the period and does not cut it too fine."""
-    if period_ms in SLICE_MS:
-        return SLICE_MS[period_ms]
-    common = math.gcd(period_ms, 5 * MINUTE_MS)
-    if period_ms // common <= _MAX_SLICES:
-        return common
-    return period_ms // max(n for n in range(1, _MAX_SLICES + 1) if period_ms % n == 0)
+def _by_blocks(totals: DataFrame, period: int) -> DataFrame:
+    blocks = -(-period // FAN_IN)
+    own, b = F.col("own"), F.col("slice")
+    rows = totals.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own")).select(
+        "symbol",
+        "own",
+        (slot(b, period, blocks) + F.when(own, 0).otherwise(blocks)).alias("block"),
+        F.when(own, b).otherwise(-b).alias("seq"),
+        F.when(own, b).otherwise(b + period).alias("until"),
+        *_FIGURES,
+    )
+    if blocks > 1:
+        of_blocks = totals.withColumn("block", slot(b, period, blocks)).groupBy("symbol", "block")
+        of_blocks = of_blocks.agg(*_bounded(_figures_of_parts("slice"))).withColumnRenamed("block", "slice")
+        between = _before(of_blocks, blocks - 1).select(
+            "symbol",
+            F.lit(False).alias("own"),
+            F.col("slice").alias("block"),
+            F.lit(_MIN_LONG).alias("seq"),
+            F.lit(_MAX_LONG).alias("until"),
+            *_FIGURES,
+        )
+        rows = rows.unionByName(between)
+    rows = rows.repartition("block", "symbol")
+
+    by_seq = Window.partitionBy("block", "symbol", "own").orderBy("seq")
+    upto = by_seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier_only = by_seq.rowsBetween(Window.unboundedPreceding, -1)
+
+    def run(total, name: str, first=None) -> Column:
+        # Forwards what lies before the slice, backwards the slice and all after it.
+        backwards = F.col(name) if first else total(name).over(upto)
+        return F.when(own, (first or total)(name).over(earlier_only)).otherwise(backwards).alias(name)
+
+    runs = rows.select(
+        "symbol", "own", "block", "seq", "until",
+        run(F.first, "open_price", F.first),
+        # the latest of a backward run is its first row
+        F.when(own, F.last("last_price").over(earlier_only)).otherwise(F.first("last_price").over(upto)).alias("last_price"),
+        F.when(own, F.last("last_quantity").over(earlier_only)).otherwise(F.first("last_quantity").over(upto)).alias("last_quantity"),
+        run(F.max, "high_price"),
+        run(F.min, "low_price"),
+        *[run(F.sum, name).cast(kind).alias(name) for name, kind in _SUM_TYPES.items()],
+        run(F.sum, "total_trades"),
+    )
+    leaving = (
+        Window.partitionBy("block", "symbol")
+        .orderBy(F.col("until").desc(), F.col("own"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    earlier = F.last(F.when(~own, F.struct(*_FIGURES)), ignorenulls=True).over(leaving)
+
+    def plus(name: str) -> Column:
+        both = F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"earlier.{name}"), F.lit(0))
+        return both.cast(_SUM_TYPES.get(name, "bigint")).alias(name)
+
+    return (
+        runs.withColumn("earlier", earlier)
+        .where("own AND (total_trades IS NOT NULL OR earlier IS NOT NULL)")
+        .select(
+            "symbol",
+            F.col("seq").alias("slice"),
+            F.coalesce("earlier.open_price", "open_price").alias("open_price"),
+            F.coalesce("last_price", "earlier.last_price").alias("last_price"),
+            F.coalesce("last_quantity", "earlier.last_quantity").alias("last_quantity"),
+            F.greatest("high_price", "earlier.high_price").alias("high_price"),
+            F.least("low_price", "earlier.low_price").alias("low_price"),
+            plus("volume"),
+            plus("quote_whole"),
+            plus("quote_part"),
+            plus("total_trades"),
+        )
+    )
+
+
+def default_slots(period_ms: int) -> int:
+    """Slices of a period: none longer than ``LONGEST_SLICE_MS``."""
+    return min(period_ms, max(FEWEST_SLICES, -(-period_ms // LONGEST_SLICE_MS)))
 
 
 def rolling_ticker(
@@ -214,14 +312,14 @@ def rolling_ticker(
       which an earlier trade leaves the window.
 
     The work is a sort of twice the rows.  Trades of one symbol and millisecond are
-    merged first, so a group never holds more than two slices of milliseconds.
+    merged first, so a group never holds more than two slices of milliseconds.  The length
+    of a slice does not grow with the period (see ``slot`` for periods it does not divide).
 
     ``since`` (epoch ms) asks for the times from then on and reads one period more.
     """
-    slice_ms = slice_ms or default_slice(period_ms)
-    if period_ms % slice_ms:
+    if slice_ms and period_ms % slice_ms:
         raise ValueError("the period must be a multiple of the slice")
-    slices = period_ms // slice_ms
+    slices = period_ms // slice_ms if slice_ms else default_slots(period_ms)
     figures = [F.col(c) for c in _FIGURES]
     if since is not None:
         trades = trades.where(F.col("event_time") >= F.lit(since - period_ms))
@@ -232,14 +330,15 @@ def rolling_ticker(
     rows = instants.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own")).select(
         "symbol",
         "own",
-        (floor_div(t, slice_ms) + F.when(own, 0).otherwise(slices)).alias("slice"),
+        (slot(t, period_ms, slices) + F.when(own, 0).otherwise(slices)).alias("slice"),
         F.when(own, t).otherwise(-t).alias("seq"),
         F.when(own, t).otherwise(t + period_ms).alias("until"),
         *figures,
     )
     if slices > 1:
         # The full slices open the backward run and never leave the window.
-        between = _slices_between(instants, slice_ms, slices).select(
+        totals = instants.groupBy("symbol", slot(t, period_ms, slices).alias("slice"))
+        between = _before(totals.agg(*_bounded(_figures_of_parts("event_time"))), slices - 1).select(
             "symbol",
             F.lit(False).alias("own"),
             "slice",

@@ -73,14 +73,61 @@ def test_rolling_equals_the_definition(spark, period, slice_ms):
     assert got == brute_force(rows, period)
 
 
-def test_default_slice():
-    minute = HOUR_MS // 60
-    assert K.default_slice(90 * minute) == 5 * minute
-    assert K.default_slice(HOUR_MS) == 5 * minute
-    assert K.default_slice(7 * DAY_MS) == 7 * DAY_MS // 1000
-    assert K.default_slice(86_399_999) < 86_399_999
-    for period in (1, 7, 1000, HOUR_MS, DAY_MS, 7 * DAY_MS):
-        assert period % K.default_slice(period) == 0
+@pytest.mark.parametrize("fan_in,longest", [(2, 1), (3, 2), (5, 1), (48, 3)])
+@pytest.mark.parametrize("period", [1, 7, 23, 101, 2000])
+def test_any_period_equals_the_definition(spark, monkeypatch, fan_in, longest, period):
+    """Blocks of blocks, and slices that do not divide the period."""
+    monkeypatch.setattr(K, "FAN_IN", fan_in)
+    monkeypatch.setattr(K, "LONGEST_SLICE_MS", longest)
+    monkeypatch.setattr(K, "FEWEST_SLICES", 2)
+    rows = random_trades(period + fan_in, cases=25)
+    got = as_dict(K.rolling_ticker(spark.createDataFrame(rows, SCHEMA), period), "symbol", "event_time")
+    assert got == brute_force(rows, period)
+
+
+def test_slots_of_usual_periods():
+    assert K.default_slots(HOUR_MS) == 12
+    assert K.default_slots(DAY_MS) == 48
+    assert K.default_slots(7 * DAY_MS) == 336
+    assert K.default_slots(5) == 5
+
+
+@pytest.mark.parametrize("period", [5_400_001, 86_399_999, 7 * DAY_MS, 90 * DAY_MS, 3650 * DAY_MS + 7])
+def test_no_group_grows_with_the_period(spark, period):
+    """A slice holds at most half an hour of milliseconds, a block ``FAN_IN`` rows."""
+    slots = K.default_slots(period)
+    numbers = spark.range(-50_000, 50_000)
+    ends = (F.col("id") * 60_000).alias("t")
+    minutes = numbers.select(ends).groupBy(K.slot(F.col("t"), period, slots).alias("s")).count()
+    assert minutes.agg(F.max("count")).first()[0] <= K.LONGEST_SLICE_MS // 60_000 + 1
+    # exactly a period back is exactly all slots back
+    moved = K.slot(ends, period, slots) - K.slot(F.col("id") * 60_000 - period, period, slots)
+    assert [r[0] for r in numbers.select(moved).distinct().collect()] == [slots]
+    slots -= 1
+    while slots >= K.FAN_IN:
+        blocks = -(-slots // K.FAN_IN)
+        held = numbers.groupBy(K.slot(F.col("id"), slots, blocks)).count()
+        assert held.agg(F.max("count")).first()[0] <= K.FAN_IN
+        slots = blocks - 1
+
+
+def test_long_period_over_days(spark):
+    """Ninety days through two steps of blocks, against the plain frame."""
+    rng = random.Random(11)
+    one = Decimal(1)
+    rows = [(i, rng.choice("AB"), rng.randrange(300 * DAY_MS), Decimal(rng.randint(1, 999)), one) for i in range(3000)]
+    trades = spark.createDataFrame(rows, SCHEMA)
+    frame = Window.partitionBy("symbol").orderBy("event_time").rangeBetween(-90 * DAY_MS, 0)
+    plain = trades.select(
+        "symbol", "event_time",
+        F.first("price").over(frame).cast("double").alias("open_price"),
+        F.max("price").over(frame).cast("double").alias("high_price"),
+        F.min("price").over(frame).cast("double").alias("low_price"),
+        F.sum(F.col("price") * F.col("quantity")).over(frame).cast("double").alias("quote_volume"),
+        F.count("*").over(frame).alias("total_trades"),
+    )
+    fast = K.rolling_ticker(trades, 90 * DAY_MS).select(plain.columns)
+    assert fast.exceptAll(plain).count() == 0 and plain.exceptAll(fast).count() == 0
 
 
 def test_rolling_equals_the_range_frame(spark):
