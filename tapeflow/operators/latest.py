@@ -64,14 +64,12 @@ def last_n_per_symbol(rows: DataFrame, n: int, *tie_break: str) -> DataFrame:
     return cut(cut(parts, "symbol", "_part").drop("_part"), "symbol")
 
 
-def newest_from(rows: DataFrame, n: int, since: int) -> DataFrame:
-    """``rows`` from ``since`` (epoch ms) on if they hold the newest ``n``, else all.
+def from_time(rows: DataFrame, since: int) -> DataFrame:
+    """``rows`` from ``since`` (epoch ms) on, and those without a time or with one out of range.
 
     Rows are ordered by the time that is shown, cut to seconds, so the whole second of
-    ``since`` is in reach.  With ``n`` rows in reach nothing older can be among the newest
-    ``n``; rows without a time, or with one out of range, rank first and stay in.
-    The probe stops at ``n`` rows, and the filter skips old row groups, or old date
-    folders where there is a date column.
+    ``since`` is in reach.  The filter skips old row groups, or old date folders where there is
+    a date column.
     """
     second = int(abs(since) // 1000) * (1 if since >= 0 else -1)
     first = second * 1000 - (999 if second <= 0 else 0)  # division cuts towards zero
@@ -80,6 +78,17 @@ def newest_from(rows: DataFrame, n: int, since: int) -> DataFrame:
     if "event_date" in rows.columns:
         date = F.col("event_date")
         near = near.where((date >= utc_date(first)) | date.isNull() | (date <= utc_date(FIRST_MS)))
+    return near
+
+
+def newest_from(rows: DataFrame, n: int, since: int) -> DataFrame:
+    """``rows`` from ``since`` (epoch ms) on if they hold the newest ``n``, else all.
+
+    With ``n`` rows in reach nothing older can be among the newest ``n``; rows without a time,
+    or with one out of range, rank first and stay in.  The probe stops at ``n`` rows.  For
+    stored tables ``sources.zones.newest`` knows the time to start from without a probe.
+    """
+    near = from_time(rows, since)
     return near if near.limit(n).count() == n else rows
 
 

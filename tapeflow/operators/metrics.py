@@ -123,9 +123,14 @@ def rows_per_epoch(stored: DataFrame) -> DataFrame:
 
 def rows_inserted_total(stored: DataFrame) -> DataFrame:
     """The running number of inserted rows of each writer."""
+    return inserted_so_far(rows_per_epoch(stored))
+
+
+def inserted_so_far(per_epoch: DataFrame) -> DataFrame:
+    """``rows_per_epoch``, counted in the table or from its zones, with the running number."""
     block = floor_div(F.col("epoch"), 10_000)
     names = {"rows_inserted": "rows_inserted_total"}
-    return _cumulative(rows_per_epoch(stored), "writer", block, "epoch", names)
+    return _cumulative(per_epoch, "writer", block, "epoch", names)
 
 
 def liveness(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeflow.contracts import DEFAULT_SYMBOL, SYMBOLS, check_symbol
+from tapeflow.contracts import DEFAULT_SYMBOL, SPECS, SYMBOLS, check_symbol
 from tapeflow.functions.display import change_class, constant_class, or_no_data, shown, with_unit
 from tapeflow.functions.times import FIRST_MS, LAST_MS
 from tapeflow.operators import latest as L
+from tapeflow.sources import zones as Z
 
 # Column titles of the board's table and chart.
 CHART_TITLE = "Aktueller Kurswert {symbol} in USD"
@@ -84,18 +85,21 @@ def change_1d(ticker_1d: DataFrame, symbol: str, as_of: Column | None = None) ->
     return _stat(answer, "percent", change_class(F.col("value")), decimals=None)
 
 
+def stat_of_extreme(answer: DataFrame, colour: str) -> DataFrame:
+    """The panel of a low or high, however it was found."""
+    return _stat(answer, "$", constant_class(colour))
+
+
 def low(
     ticker_1d: DataFrame, symbol: str, as_of: Column | None = None, since: int | None = None
 ) -> DataFrame:
-    answer = L.lowest(ticker_1d, symbol, as_of, since)
-    return _stat(answer, "$", constant_class("red"))
+    return stat_of_extreme(L.lowest(ticker_1d, symbol, as_of, since), "red")
 
 
 def high(
     ticker_1d: DataFrame, symbol: str, as_of: Column | None = None, since: int | None = None
 ) -> DataFrame:
-    answer = L.highest(ticker_1d, symbol, as_of, since)
-    return _stat(answer, "$", constant_class("green"))
+    return stat_of_extreme(L.highest(ticker_1d, symbol, as_of, since), "green")
 
 
 def trade_count(ticker_1d: DataFrame, symbol: str, as_of: Column | None = None) -> DataFrame:
@@ -146,3 +150,31 @@ def market_board(
         "trade_count": trade_count(day_row, symbol, as_of),
         "recent_trades": recent_trades(newest("trades", 100), symbol),
     }
+
+
+def stored_board(
+    spark: SparkSession,
+    paths: dict[str, str],
+    symbol: str = DEFAULT_SYMBOL,
+    as_of: Column | None = None,
+    choices: tuple[str, ...] = SYMBOLS,
+) -> dict[str, DataFrame]:
+    """All panels from stored tables, by their zones: a refresh reads the newest partitions and
+    a zone for each epoch, partition and symbol, however long the tables are."""
+    check_symbol(symbol, choices)
+
+    def newest(table: str, n: int) -> DataFrame:
+        return Z.newest(spark, SPECS[table], paths[table], symbol, n)
+
+    zones = Z.read_zones(spark, SPECS["ticker_1d"], paths["ticker_1d"])
+    hour_row, day_row = newest("ticker_1h", 1), newest("ticker_1d", 1)
+    return {
+        "price_chart": price_chart(newest("ticker_1h", 500), symbol),
+        "price_now": price_now(hour_row, symbol, as_of),
+        "change_1h": change_1h(hour_row, symbol, as_of),
+        "change_1d": change_1d(day_row, symbol, as_of),
+        "low": stat_of_extreme(Z.lowest(zones, symbol, as_of), "red"),
+        "high": stat_of_extreme(Z.highest(zones, symbol, as_of), "green"),
+        "trade_count": trade_count(day_row, symbol, as_of),
+        "recent_trades": recent_trades(newest("trades", 100), symbol),
+    }

@@ -21,8 +21,9 @@ from tapeflow.plans import driver_tables as D
 from tapeflow.plans import market_board, ops_board
 from tapeflow.plans import oracle as O
 from tapeflow.plans.ticker_tables import refresh_ticker
-from tapeflow.scratch import shared_dir
+from tapeflow.scratch import shared_dir, staged
 from tapeflow.sources import tables as S
+from tapeflow.sources import zones as Z
 from tapeflow.sources.log_table import read_lines
 from tapeflow.sources.topics import fan_in, log_files, log_stream, one_topic, text_stream
 from tapeflow.streaming import ingest as I
@@ -271,12 +272,13 @@ def ticker_table_in_two_runs(spark, sf_dir):
       CAST(sum(n) OVER (ORDER BY epoch) AS BIGINT) AS rows_inserted_total FROM parts""",
 )
 def rows_inserted(spark, sf_dir):
-    """Cheap trades first, then all of them, which adds the other keys."""
+    """Cheap trades first, then all of them, which adds the other keys; a retry adds none.
+    Counted from the zones, so the table is not read."""
     path = shared_dir(spark, "trades")
     rows = D.line_trades(spark, sf_dir)
-    for epoch, batch in enumerate((rows.where(F.col("price") < 1500), rows)):
+    for epoch, batch in ((0, rows.where(F.col("price") < 1500)), (1, rows), (1, rows)):
         S.append_once(batch, TRADES, path, "a", epoch)
-    return M.rows_inserted_total(S.stored_rows(spark, TRADES, path)).drop("writer")
+    return M.inserted_so_far(Z.rows_per_epoch(Z.read_zones(spark, TRADES, path))).drop("writer")
 
 
 # --- market board -----------------------------------------------------------
@@ -520,6 +522,67 @@ def high_all(spark, sf_dir):
     return _timed(market_board.high(_day(spark, sf_dir), _SYMBOL, _as_of()))
 
 
+# --- the board from stored tables, by their zones ---------------------------
+
+
+def _stored_day(spark, sf_dir) -> str:
+    """The 24-hour ticker, stored in two runs, the second of which is repeated."""
+    path = shared_dir(spark, "ticker_1d")
+    trades = D.trades(spark, sf_dir)
+    first = K.ticker_table(K.rolling_ticker(trades, DAY_MS))
+    for run, ticks in enumerate((first.where(F.col("event_time") < _MID_MONTH), first)):
+        S.append_once(staged(ticks, "ticks"), TICKER_1D, path, "refresh", run)
+    return path
+
+
+@register("A1 F1 P12 P14 P16 S5", _extreme_sql("min(low_price)", "red"))
+def low_all_stored(spark, sf_dir):
+    """From one zone per date, run and symbol."""
+    zones = Z.read_zones(spark, TICKER_1D, _stored_day(spark, sf_dir))
+    return _timed(market_board.stat_of_extreme(Z.lowest(zones, _SYMBOL, _as_of()), "red"))
+
+
+@register("A2 F1 P12 P14 P16 S5", _extreme_sql("max(high_price)", "green"))
+def high_all_stored(spark, sf_dir):
+    zones = Z.read_zones(spark, TICKER_1D, _stored_day(spark, sf_dir))
+    return _timed(market_board.stat_of_extreme(Z.highest(zones, _SYMBOL, _as_of()), "green"))
+
+
+@register("T1 F1 P15 S5", _latest_sql(O.TICKER_1D, "price_change_percent", f", {_CLASS} AS colour"))
+def latest_change_pct_24h_stored(spark, sf_dir):
+    """Reads the last date's folder."""
+    path = _stored_day(spark, sf_dir)
+    near = Z.newest(spark, TICKER_1D, path, _SYMBOL, 1)
+    return _timed(market_board.change_1d(near, _SYMBOL, _as_of()))
+
+
+@register("T1 S5", REGISTRY["latest_per_symbol"].oracle)
+def latest_per_symbol_stored(spark, sf_dir):
+    path = shared_dir(spark, "ticker_1h")
+    refresh_ticker(D.trades(spark, sf_dir), TICKER_1H, HOUR_MS, path, 0)
+    return Z.latest_per_symbol(spark, TICKER_1H, path)
+
+
+@register("T2 F1 P10 P13 S5", REGISTRY["price_series_500"].oracle)
+def price_series_500_stored(spark, sf_dir):
+    """Reads the dates from which on zones count five hundred rows."""
+    path = shared_dir(spark, "ticker_1h")
+    refresh_ticker(D.trades(spark, sf_dir), TICKER_1H, HOUR_MS, path, 0)
+    return _timed(L.price_series(Z.newest(spark, TICKER_1H, path, _SYMBOL, 500), _SYMBOL))
+
+
+@register("T3 F1 P10 P11 S5 S8", _RECENT)
+def recent_trades_stored(spark, sf_dir):
+    """Two epochs of trades, a replay of the first, compacted; then the newest by zones."""
+    path, compacted = shared_dir(spark, "trades"), shared_dir(spark, "compacted")
+    trades = D.served_trades(spark, sf_dir)
+    early = trades.where(F.col("event_time") < _MID_MONTH)
+    for writer, epoch, rows in (("a", 0, early), ("a", 1, trades), ("b", 0, early)):
+        S.append_once(rows, TRADES, path, writer, epoch)
+    S.compact(spark, TRADES, path, compacted)
+    return _timed(L.recent_trades(Z.newest(spark, TRADES, compacted, _SYMBOL, 100), _SYMBOL))
+
+
 _SINCE = 1_706_000_000_000
 
 

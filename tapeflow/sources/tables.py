@@ -3,6 +3,7 @@
 Layout of a Parquet table::
 
     table/<partition column>=<value>/writer=<query id>/epoch=<batch id>/part-*
+    table/_zones/...    what each epoch holds, see ``sources.zones``
 
 The partition column comes first, so a look-up for a few partitions lists their
 folders only and does not slow down as the table grows.  One query writes to a
@@ -11,11 +12,8 @@ table at a time.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,23 +21,20 @@ from tapeflow.contracts import POSITION, StreamSpec
 from tapeflow.functions.decode import to_table_types
 from tapeflow.functions.times import utc_date
 from tapeflow.operators.quality import conflicts_with, first_per_key, reject_known
-
-#: Up to this many partitions are listed by folder.
-MAX_FOLDERS = 100
-#: Up to this many key spans, one per partition and symbol, form a look-up's filter.
-MAX_SPANS = 100
-#: Up to this many spans come to the driver; beyond it only the ends of all.
-MAX_COLLECTED = 10_000
+from tapeflow.sources.zones import folders_of, read_folders, write_zones
 
 
 class Reach(NamedTuple):
-    """Where a table may hold the keys of some rows."""
+    """Where a table may hold the keys of some rows: which partitions and their folders, the
+    ends of the keys, and as a table (p, s, low, high) their spans by partition and symbol."""
 
+    named: list
     partitions: Column
-    folders: str | None
+    folders: str
     keys: Column
     low: int
     high: int
+    spans: DataFrame
 
 
 def _layout(spec: StreamSpec) -> list[str]:
@@ -87,58 +82,55 @@ def reach_of(rows: DataFrame, spec: StreamSpec) -> Reach | None:
     for no rows.
 
     Rows with a NULL key are refused.  The partition depends on the key alone, so no
-    equal key is elsewhere.  At most
-    ``MAX_COLLECTED + 1`` rows come to the driver.
+    equal key is elsewhere.  What comes to the driver is one row per partition that the
+    batch touches, whose folders its write would list as well.
     """
     partition, lead = F.col(spec.partition), F.col(spec.key[0])
-    placed = rows.select("symbol", lead.alias("k"), spec.partition_value().alias("p"))
+    placed = rows.select(F.col("symbol").alias("s"), lead.alias("k"), spec.partition_value().alias("p"))
+    ends = [F.min("k").alias("low"), F.max("k").alias("high")]
+    no_key = F.col("k").isNull() | F.col("s").isNull()
+    names = [F.min("s").alias("first"), F.max("s").alias("last"), F.max(no_key).alias("no_key")]
+    touched = placed.groupBy("p").agg(*ends, *names).collect()
+    if not touched:
+        return None
+    if any(t.no_key or t.p is None for t in touched):
+        raise ValueError("rows with a NULL key cannot be appended; set them aside first")
 
     def value(p) -> Column:
         # By way of text, which carries dates of any year.
         return F.lit(str(p)).cast(spec.partition_type)
 
-    ends = [F.min("k").alias("low"), F.max("k").alias("high")]
-    spans = placed.groupBy("p", "symbol").agg(*ends).limit(MAX_COLLECTED + 1).collect()
-    if not spans:
-        return None
-    if any(s.p is None or s.symbol is None or s.low is None for s in spans):
-        raise ValueError("rows with a NULL key cannot be appended; set them aside first")
-    if len(spans) > MAX_COLLECTED:
-        all_ends = [F.min("p").alias("first"), F.max("p").alias("last"), *ends]
-        whole = placed.agg(*all_ends).first()
-        return Reach(
-            partition.between(value(whole.first), value(whole.last)),
-            None,
-            lead.between(whole.low, whole.high),
-            whole.low,
-            whole.high,
-        )
-    named = sorted({s.p for s in spans})
-    listed = f"{spec.partition}={{{','.join(map(str, named))}}}"
-    low, high = min(s.low for s in spans), max(s.high for s in spans)
-    keys = lead.between(low, high)
-    if len(spans) <= MAX_SPANS:
-        each = [(F.col("symbol") == s.symbol) & lead.between(s.low, s.high) for s in spans]
-        keys = reduce(or_, each)
+    named = sorted({t.p for t in touched})
+    low, high = min(t.low for t in touched), max(t.high for t in touched)
+    symbols = F.col("symbol").between(min(t.first for t in touched), max(t.last for t in touched))
     return Reach(
+        named,
         partition.isin([value(p) for p in named]),
-        listed if len(named) <= MAX_FOLDERS else None,
-        keys,
+        folders_of(spec, named),
+        lead.between(low, high) & symbols,
         low,
         high,
+        placed.groupBy("p", "s").agg(*ends),
     )
 
 
 def held_within(spark: SparkSession, spec: StreamSpec, path: str, reach: Reach) -> DataFrame:
-    """What the table holds there.  Files are sorted by symbol and time, and epochs
-    are narrow in both, so the key spans skip most row groups."""
-    try:
-        stored = stored_rows(spark, spec, path, reach.folders)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """What the table holds there.
+
+    The folders of the batch's partitions are listed; files are sorted by symbol and time and
+    epochs are narrow in both, so the ends of the keys skip most row groups; a semi-join with
+    the spans, a row per partition and symbol, leaves out what lies between them.  It is
+    the same plan for a batch of any width.
+    """
+    stored = read_folders(spark, path, reach.folders, spec.stored_schema)
+    if stored is None:
         return spark.createDataFrame([], spec.stored_schema)
-    return stored.where(reach.partitions & reach.keys)
+    inside = (
+        (F.col(spec.partition) == F.col("p"))
+        & (F.col("symbol") == F.col("s"))
+        & F.col(spec.key[0]).between(F.col("low"), F.col("high"))
+    )
+    return stored.where(reach.partitions & reach.keys).join(reach.spans, inside, "left_semi")
 
 
 def write_epoch(rows: DataFrame, spec: StreamSpec, path: str, writer: str, epoch: int) -> None:
@@ -186,6 +178,7 @@ def append_once(
     known = held_within(spark, spec, path, reach).where(~mine)
     firsts = first_per_key(rows, spec.key, position).drop(*position)
     write_epoch(reject_known(firsts, known, spec.key), spec, path, writer, epoch)
+    write_zones(spark, spec, path, writer, epoch, reach.named)
     if conflicts_path:
         held = held_within(spark, spec, path, reach)
         write_report(conflicts_with(rows.drop(*position), held, spec.key), conflicts_path, writer, epoch)
@@ -229,6 +222,7 @@ def compact(
     if chosen is not None:
         rows = rows.where(chosen)
     write_epoch(rows.select(*spec.column_names), spec, target, "compacted", 0)
+    write_zones(spark, spec, target, "compacted", 0)
 
 
 def jdbc_options(

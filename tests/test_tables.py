@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pyarrow.parquet as pq
 import pytest
@@ -87,9 +88,14 @@ def test_layout_and_pruning(spark, path):
     assert held(spark, table, (IDS_PER_RANGE, "B")).count() == 0
     assert held(spark, table, (2, "A"), (2, "B")).count() == 1
     assert held(spark, table, (9 * IDS_PER_RANGE, "A")).count() == 0
-    plan = near._jdf.queryExecution().executedPlan().toString()
-    pushed = plan[plan.index("PushedFilters") :]
-    assert "EqualTo(symbol,A)" in pushed and "trade_id" in pushed.split("ReadSchema")[0]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        near = held(spark, table, (IDS_PER_RANGE + 5, "A"), (IDS_PER_RANGE - 0, "A"))
+        plan = near._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(symbol,A)" in pushed and "GreaterThanOrEqual(trade_id,1000000)" in pushed
 
 
 def test_files_are_sorted_by_symbol_and_time(spark, path):
@@ -134,26 +140,44 @@ def held(spark, table, *keys):
     return S.held_within(spark, TRADES, table, S.reach_of(rows, TRADES))
 
 
-@pytest.mark.parametrize(
-    "folders,spans,collected", [(100, 100, 100), (2, 100, 100), (2, 2, 100), (2, 2, 3)]
-)
-def test_more_partitions_than_are_named(
-    spark, path, monkeypatch, folders, spans, collected
-):
-    monkeypatch.setattr(S, "MAX_FOLDERS", folders)
-    monkeypatch.setattr(S, "MAX_SPANS", spans)
-    monkeypatch.setattr(S, "MAX_COLLECTED", collected)
-    table = path("trades")
-    rows = spark.range(5).select(
-        (F.col("id") * IDS_PER_RANGE).alias("trade_id"),
+def ids(spark, numbers):
+    return numbers.select(
+        F.col("id").alias("trade_id"),
         F.lit("A").alias("symbol"),
         F.lit(1).cast("bigint").alias("event_time"),
         F.lit(1.0).alias("price"),
         F.lit(1.0).alias("quantity"),
     )
-    for writer in ("w", "x"):
-        S.append_once(rows, TRADES, table, writer, 0)
-        assert S.read_table(spark, TRADES, table).count() == 5
+
+
+@pytest.fixture(scope="module")
+def wide_table(spark, tmp_path_factory):
+    """A row in each of 500 partitions."""
+    table = str(tmp_path_factory.mktemp("wide") / "trades")
+    every = ids(spark, spark.range(500).select((F.col("id") * IDS_PER_RANGE).alias("id")))
+    S.append_once(every, TRADES, table, "w", 0)
+    return table
+
+
+def test_look_up_is_one_plan_for_any_width(spark, wide_table):
+    plans = []
+    for width in (3, 500):
+        number = F.expr(f"id div 2 * {IDS_PER_RANGE} + id % 2").alias("id")
+        batch = ids(spark, spark.range(2 * width).select(number))
+        known = S.held_within(spark, TRADES, wide_table, S.reach_of(batch, TRADES))
+        assert known.count() == width
+        fresh = reject_known(first_per_key(batch, TRADES.key), known, TRADES.key)
+        assert fresh.count() == width
+        nodes = [re.sub(r"[^A-Za-z]", "", line.split("(")[0].split("[")[0]) for line in
+                 fresh._jdf.queryExecution().sparkPlan().toString().splitlines()]
+        plans.append(nodes)
+    assert plans[0] == plans[1] and any("LeftSemi" in n or "Join" in n for n in plans[0])
+
+
+def test_replay_over_many_partitions(spark, wide_table):
+    every = ids(spark, spark.range(500).select((F.col("id") * IDS_PER_RANGE).alias("id")))
+    S.append_once(every, TRADES, wide_table, "x", 0)
+    assert S.read_table(spark, TRADES, wide_table).count() == 500
 
 
 def test_empty_batch_and_create_twice(spark, path):
@@ -251,14 +275,14 @@ def test_database_append_after_a_partial_write(spark, parquet_for_jdbc):
     assert len(asked) == 4
 
 
-@pytest.mark.parametrize("most", [100, 1])
-def test_reach(spark, monkeypatch, most):
-    """What a table is asked for covers the batch."""
-    monkeypatch.setattr(S, "MAX_SPANS", most)
+def test_reach(spark, path):
+    """What a table is asked for covers the batch, and little else."""
     rows = trades(spark, (1, "A", 1, 1.0, 1.0), (5, "A", 1, 1.0, 1.0), (90, "B", 1, 1.0, 1.0))
     reach = S.reach_of(rows, TRADES)
-    wide = trades(spark, *[(i, s, 1, 1.0, 1.0) for i in range(100) for s in "AB"])
-    assert wide.where(reach.keys).count() == (6 if most == 100 else 180)
+    wide = trades(spark, *[(i, s, 1, 1.0, 1.0) for i in range(100) for s in "AB"], (3, "C", 1, 1.0, 1.0))
+    assert wide.where(reach.keys).count() == 180
+    S.append_once(wide, TRADES, path("trades"), "w", 0)
+    assert S.held_within(spark, TRADES, path("trades"), reach).count() == 6
     assert (reach.low, reach.high, reach.folders) == (1, 90, "id_range={0}")
     assert S.reach_of(trades(spark), TRADES) is None
 
