@@ -1,24 +1,24 @@
 """Line dedup: lines within a small edit distance of a line seen before are removed.
 
-A line of length l is cut into ``MAX_EDITS + 1`` segments; of two lines within that many
-edits, one segment of the shorter occurs in the longer, near the same place.  Segments are
-keyed by their number, the line's length and their text; every line probes, for each
-length up to ``MAX_EDITS`` below its own, only the substrings that a match must use.  Lines that
-meet on a key are tied to the smallest one indexed there, a row per line and key.  The ties'
-connected components are brought together in groups of bounded size, where candidates come from
-the same keys, a count of characters rules most out, and the rest are verified with an edit
-distance that keeps a band of the matrix in the bits of one number, for many pairs at once.
-Lines joined by such links are one class; its first line, by document and line number, stays.
-
-With a ``share``, lines may differ in that many per cent of the shorter one's characters if
-these are more than ``MAX_EDITS``.  Two such lines have a long run of characters in common, near
-the same place.  Lines that long are keyed by the least of each window of grams, with a class of
-lengths and of places (a seat), so that any such run gives both a key.  They are tied seat by
-seat, as a phrase in common ties many, and verified by the furthest place that each diagonal of
-the matrix reaches with each number of edits.
-
-Equal lines of at least ``EXACT_CHARS`` characters are duplicates as well; near ones are
-looked for among lines of at least ``NEAR_CHARS``.  Shorter lines are never removed.
+Lines of ``FLOOR_CHARS`` characters and more may differ in ``SHARE`` per cent of the shorter one's
+characters, at least in one (two from ``TWO_FROM`` characters on) and at most in ``MOST_EDITS``; see
+``limits``.  Lengths fall into classes.  In a class with threshold k a line is cut into k + 1
+segments of one length, the first half counted from the line's start, the others from its end.
+Of two lines within k edits, one segment of the shorter occurs unedited in the longer, moved by no
+more places than there are segments before it (behind it, for those counted from the end): were it
+otherwise, each half would hold an edit per segment, k + 1 in all.  So a line is indexed under its
+segments, and probes its class, and the one below if a line there can be near, with the
+substrings at those places only.
+
+Before anything is shuffled, the indexed keys of all lines are gathered in a bit map of fixed size;
+a probe leaves its task only if its key is marked there.  Lines that meet on a key are tied to the
+smallest one indexed under it.  The ties' connected components are brought together in
+groups of bounded size, where candidates come from the same keys, a count of characters rules most
+out, and the rest are verified with an edit distance that keeps a band of the matrix in the
+bits of one number, for many pairs at once.  Lines joined by such links are one class; its
+first line, by document and line number, stays.
+
+Shorter lines are never removed, whether equal or near: a few words recur by chance in clean text.
 
 Defined cases: a null text stays null, an empty one empty; lines are compared without the
 white space around them; documents without an id come last, ordered by their text; rows of
@@ -40,16 +40,19 @@ from tapeflow.llm.jaccard import join_labels, merged, runs
 from tapeflow.llm.words import Hasher, chunks, mix, text_buffer
 from tapeflow.scratch import staged
 
-MAX_EDITS = 2
+FLOOR_CHARS = 20
+TWO_FROM = 40
 SHARE = 2
-EXACT_CHARS = 20
-NEAR_CHARS = 40
+#: A band of twice as many and one fits one number.
+MOST_EDITS = 31
 GROUP_CHARS = 4 << 20
 MERGED_CHARS = 1 << 19
 _PAIRS = 1 << 18
-_REACHED = 1 << 19
-_LENGTHS = 1.25
-_SEATS = 64
+_CLASS_RATIO = 1.2
+#: The bit map of indexed keys: blocks of numbers of 64 bits.
+MAP_BLOCKS = 1 << 12
+BLOCK_WORDS = 1 << 10
+_SEEN = 1 << 18
 
 
 def _is_space(code: np.ndarray) -> np.ndarray:
@@ -98,215 +101,49 @@ def _line_key(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarr
     return mix(hasher.cut(sums, start, end) + (end - start).astype(np.uint64)).view(np.int64)
 
 
-def keys_of(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, most: int):
-    """(line, key, is indexed) for all keys of some lines: first those under which a line is
-    indexed, which it probes as well, then those it only probes."""
-    length = end - start
-    parts = most + 1
-    for delta in range(most + 1):
-        size = length - delta
-        base, longer = size // parts, size % parts
-        for i in range(parts):
-            # the last ``longer`` segments have one character more
-            place = i * base + np.maximum(0, i - (parts - longer))
-            width = base + (i >= parts - longer)
-            low, high = max(-i, delta - (most - i)), min(i, delta + (most - i))
-            for shift in range(low, high + 1):
-                begin = place + shift
-                fits = np.flatnonzero((begin >= 0) & (begin + width <= length) & (width > 0))
-                a = start[fits] + begin[fits]
-                text = hasher.cut(sums, a, a + width[fits])
-                key = mix(text ^ mix(size[fits].astype(np.uint64) * np.uint64(64) + np.uint64(i)))
-                yield fits, key.view(np.int64), delta == 0 and shift == 0
-
-
-def limits(length: np.ndarray, most: int, share: int) -> np.ndarray:
+def limits(length: np.ndarray, share: int = SHARE) -> np.ndarray:
     """How many edits lines may be apart, by the length of the shorter one."""
-    return np.maximum(most, length * share // 100)
-
+    return np.minimum(np.maximum(np.where(length < TWO_FROM, 1, 2), length * share // 100), MOST_EDITS)
 
-def long_from(most: int, share: int) -> int:
-    """The least length at which the share allows more than ``most`` edits."""
-    return -(-100 * (most + 1) // share)
 
+def _class_edges() -> np.ndarray:
+    """Where classes of lengths begin; none has lengths below and above ``TWO_FROM``."""
+    edges = [FLOOR_CHARS]
+    while edges[-1] < 1 << 40:
+        after = max(edges[-1] + 1, int(edges[-1] * _CLASS_RATIO))
+        edges.append(TWO_FROM if edges[-1] < TWO_FROM < after else after)
+    return np.array(edges)
 
-def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """The best of each ``width`` consecutive values; as many fewer than there are values."""
-    reach = 1
-    while reach < width:
-        step = min(reach, width - reach)
-        values = best(values[: len(values) - step], values[step:])
-        reach += step
-    return values
 
+_EDGES = _class_edges()
 
-def run_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, most: int, share: int):
-    """(line, key, seat) for lines of ``long_from`` characters and more.
 
-    Two lines within their limit of k edits have a run in common of a (k + 1)-th of the
-    characters that are left; the windows of a class of lengths are as long as its shortest run.
-    """
-    pick = np.flatnonzero(end - start >= long_from(most, share))
-    rows, keys, held = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for size_class, apart, wide in _seat_classes(end[pick] - start[pick], most, share):
-        for one in np.unique(size_class[size_class >= 0]).tolist():
-            here = np.flatnonzero(size_class == one)
-            lines = pick[here]
-            owner, place, hashes = _least_grams(hasher, sums, start[lines], end[lines], _shortest_run(one, most, share), most, share)
-            near, width = int(apart[here[0]]), int(wide[here[0]])
-            seats = [place // width, (place + near) // width]
-            for i, at in enumerate(seats):
-                use = np.flatnonzero((at != seats[0]) | (i == 0))
-                seat = one * _SEATS + at[use] + 1
-                rows.append(lines[owner[use]])
-                keys.append(mix(hashes[use] ^ mix(seat.astype(np.uint64))).view(np.int64))
-                held.append(seat)
-    row, key, seat = np.concatenate(rows), np.concatenate(keys), np.concatenate(held)
-    order = np.lexsort((key, row))
-    row, key, seat = row[order], key[order], seat[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-    return row[new], key[new], seat[new]
-
-
-def _shortest_run(size_class: int, most: int, share: int) -> int:
-    """The least run in common of near lines of which the shorter one is in a class."""
-    low = max(long_from(most, share), int(_LENGTHS**size_class) - 1)
-    # a limit's shortest line has its shortest run, and higher limits have longer runs
-    found = []
-    for length in (low, -(-100 * (low * share // 100 + 1) // share)):
-        edits = length * share // 100
-        found.append(-(-(length - edits) // (edits + 1)))
-    return min(found)
-
-
-def _least_grams(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, run: int, most: int, share: int):
-    """(line, place, hash) of the grams that are least in a window of ``run`` characters."""
-    shortest = long_from(most, share)
-    gram = -(-(shortest - most - 1) // (most + 2)) * 3 // 7 + 1
-    window = run - gram + 1
+def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, share: int = SHARE, probes: bool = True):
+    """(line, key, is indexed) for all keys of some lines; without ``probes`` the indexed ones only."""
     length = end - start
-    first = np.cumsum(length) - length
-    place = np.arange(length.sum()) - np.repeat(first, length)
-    owner = np.repeat(np.arange(len(start)), length)
-    begin = start[owner] + place
-    hashes = hasher.cut(sums, begin, np.minimum(begin + gram, len(sums) - 1)) | np.uint64(1)
-    least = _sliding(hashes, window, np.minimum)
-    least[(place + run > length[owner])[: len(least)]] = 0  # windows across lines
-    padded = np.concatenate([np.zeros(window - 1, np.uint64), least, np.zeros(window - 1, np.uint64)])
-    chosen = np.flatnonzero(_sliding(padded, window, np.maximum) == hashes)
-    return owner[chosen], place[chosen], hashes[chosen]
-
-
-def _seat_classes(length: np.ndarray, most: int, share: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(class of lengths, how far places may be apart, width of a place) of lines, for their own
-    class and that of the shortest line they may be near to, -1 where it is the same."""
-    of_length = lambda x: np.floor(np.log(x) / np.log(_LENGTHS)).astype(np.int64)
-    own, lower = of_length(length), of_length(length - limits(length, most, share))
-    out = []
-    for size_class in (own, lower):
-        apart = limits(np.ceil(_LENGTHS ** (size_class + 1)).astype(np.int64), most, share)
-        out.append((size_class if size_class is own else np.where(lower != own, lower, -1), apart, 8 * apart))
-    return out
-
-
-def seats_of(length: np.ndarray, most: int, share: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, seat) of all seats that lines may have keys in; seat 0 is that of ``keys_of``."""
-    if not share:
-        return np.arange(len(length)), np.zeros(len(length), np.int64)
-    short = np.flatnonzero(length < long_from(most, share) + most)
-    pick = np.flatnonzero(length >= long_from(most, share))
-    lines, seats = [short], [np.zeros(len(short), np.int64)]
-    for size_class, apart, wide in _seat_classes(length[pick], most, share):
-        n = np.where(size_class >= 0, (length[pick] + apart) // wide + 1, 0)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        lines.append(np.repeat(pick, n))
-        seats.append(np.repeat(size_class, n) * _SEATS + at + 1)
-    return np.concatenate(lines), np.concatenate(seats)
-
-
-def _seated(node: np.ndarray, seat: np.ndarray) -> np.ndarray:
-    """A number for a line in a seat, which is its own in seat 0."""
-    other = mix(node.view(np.uint64) ^ mix(seat.astype(np.uint64) + np.uint64(1 << 40))).view(np.int64)
-    return np.where(seat > 0, other, node)
-
-
-def all_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, most: int, share: int):
-    """(line, key, is indexed, seat): what ``keys_of`` gives, for long lines ``run_keys``."""
-    if not share:
-        for which, key, indexed in keys_of(hasher, sums, start, end, most):
-            yield which, key, indexed, np.zeros(len(which), np.int64)
-        return
-    # the longer of two lines may be long where the shorter one is not
-    short = np.flatnonzero(end - start < long_from(most, share) + most)
-    for which, key, indexed in keys_of(hasher, sums, start[short], end[short], most):
-        yield short[which], key, indexed, np.zeros(len(which), np.int64)
-    which, key, seat = run_keys(hasher, sums, start, end, most, share)
-    yield which, key, True, seat
-
-
-def _same_ahead(hasher: Hasher, code: np.ndarray, sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """How many characters from ``a`` and ``b`` on are equal, ``most`` at the most."""
-    same = np.zeros(len(a), np.int64)
-    todo = np.flatnonzero(most > 0)
-    todo = todo[code[a[todo]] == code[b[todo]]]
-    if not len(todo):
-        return same
-    a, b, most = a[todo], b[todo], most[todo]
-    found = np.zeros(len(todo), np.int64)
-    for bit in range(int(most.max()).bit_length() - 1, -1, -1):
-        step = np.int64(1 << bit)
-        fits = np.flatnonzero(found + step <= most)
-        x, y = a[fits] + found[fits], b[fits] + found[fits]
-        found[fits[hasher.cut(sums, x, x + step) == hasher.cut(sums, y, y + step)]] += step
-    same[todo] = found
-    return same
-
-
-def edits_within_limits(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b: tuple, most: np.ndarray) -> np.ndarray:
-    """Whether pairs of spans of ``code`` are within ``most`` edits, a number for each pair."""
-    result = np.zeros(len(most), bool)
-    order = np.argsort(most, kind="stable")
-    first = 0
-    while first < len(order):
-        wide = 2 * most[order[first:]] + 3
-        last = first + max(1, int(np.searchsorted(wide * np.arange(1, len(wide) + 1), _REACHED, "right")))
-        part = order[first:last]
-        first = last
-        top = int(most[part].max())
-        a_at, b_at = a[0][part], b[0][part]
-        rows, columns = a[1][part] - a_at, b[1][part] - b_at
-        # the place in ``a`` reached on each diagonal; column ``top + 1`` is the main one
-        none = np.int64(-(1 << 40))
-        reach = np.full((len(part), 2 * top + 3), none)
-        live = np.flatnonzero(np.abs(columns - rows) <= most[part])
-        for edits in range(top + 1):
-            live = live[edits <= most[part[live]]]
-            if not len(live):
-                break
-            low, high = top + 1 - edits, top + 2 + edits
-            if edits:
-                before = reach[live]
-                x = np.maximum(before[:, low:high] + 1, np.maximum(before[:, low - 1 : high - 1], before[:, low + 1 : high + 1] + 1))
-            else:
-                x = np.zeros((len(live), 1), np.int64)
-            diagonal = np.arange(-edits, edits + 1)[None, :]
-            x = np.minimum(np.minimum(x, rows[live][:, None]), columns[live][:, None] - diagonal)
-            ok = (x >= 0) & (x + diagonal >= 0)
-            pair, which = np.nonzero(ok)
-            here = x[ok]
-            there = here + which - edits
-            to = live[pair]
-            ahead = np.minimum(rows[to] - here, columns[to] - there)
-            at_most = np.minimum(a_at[to] + here, len(code) - 1), np.minimum(b_at[to] + there, len(code) - 1)
-            x[ok] = here + _same_ahead(hasher, code, sums, *at_most, ahead)
-            x[~ok] = none
-            reach[live, low:high] = x
-            final = top + 1 + columns[live] - rows[live]
-            done = reach[live, final] >= rows[live]
-            result[part[live[done]]] = True
-            live = live[~done]
-    return result
+    own = np.searchsorted(_EDGES, length, "right") - 1
+    reaches_down = (own > 0) & (length - limits(length, share) < _EDGES[own])
+    visits = [(c, np.flatnonzero(own == c), True) for c in np.unique(own).tolist()]
+    if probes:
+        visits += [(c - 1, np.flatnonzero(reaches_down & (own == c)), False) for c in np.unique(own[reaches_down]).tolist()]
+    for c, lines, indexes in visits:
+        k = int(limits(_EDGES[c + 1 : c + 2] - 1, share)[0])
+        width = int(_EDGES[c]) // (k + 1)
+        for j in range(k + 1):
+            ahead = j <= k // 2
+            place = start[lines] + j * width if ahead else end[lines] - (k + 1 - j) * width
+            name = mix(np.array([c * 64 + j], np.uint64))
+            if indexes:
+                yield lines, mix(hasher.cut(sums, place, place + width) ^ name).view(np.int64), True
+            reach = j if ahead else k - j
+            moves = np.array([m for m in range(-reach, reach + 1) if m or not indexes]) if probes else np.empty(0, np.int64)
+            if not len(moves):
+                continue
+            begin = (place[:, None] + moves).ravel()
+            which = np.repeat(lines, len(moves))
+            inside = (begin >= start[which]) & (begin + width <= end[which])
+            begin, which = begin[inside], which[inside]
+            yield which, mix(hasher.cut(sums, begin, begin + width) ^ name).view(np.int64), False
 
 
 def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
@@ -333,17 +170,14 @@ def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
     fall = np.zeros(len(order), np.uint64)
     away = np.zeros(len(order), np.int64)
     middle = np.uint64(1 << most)
+    bits = np.arange(band)
+    equal = np.zeros((len(order), 64), bool)
     for j in range(int(columns[0])):
         n = int(np.searchsorted(-columns, -j, "left"))  # pairs with a column j
-        letter = code[short_at[:n] + j]
-        match = np.zeros(n, np.uint64)
-        for bit in range(band):
-            row = j - most + bit
-            if row < 0:
-                continue
-            inside = row < rows[:n]
-            other = code[np.where(inside, long_at[:n] + row, 0)]
-            match |= (inside & (other == letter)).astype(np.uint64) << np.uint64(bit)
+        row = j - most + bits
+        at = np.minimum(np.maximum(long_at[:n, None] + row, 0), len(code) - 1)
+        equal[:n, :band] = (code[at] == code[short_at[:n] + j][:, None]) & (row >= 0) & (row < rows[:n, None])
+        match = np.packbits(equal[:n], axis=1, bitorder="little").view("<u8")[:, 0]
         up, down = rise[:n], fall[:n]
         same = ((((match & up) + up) ^ up) | match | down) & full
         right_up = (down | ~(same | up)) & full
@@ -359,26 +193,109 @@ def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
     return result
 
 
-def _ties(docs: DataFrame, text: str, most: int, share: int) -> DataFrame:
-    """(a, b): lines, by seat, that share a key, tied to the smallest line indexed under it."""
+class _Seen:
+    """Nodes met lately in a task, in a table of fixed size: what it forgets is sent again."""
+
+    def __init__(self):
+        self.table = np.zeros(_SEEN, np.int64)
+
+    def new(self, node: np.ndarray) -> np.ndarray:
+        """Places of the nodes that are new, each once."""
+        _, first = np.unique(node, return_index=True)
+        seat = (mix(node[first].view(np.uint64)) & np.uint64(_SEEN - 1)).astype(np.int64)
+        fresh = self.table[seat] != node[first]
+        self.table[seat] = node[first]
+        return first[fresh]
+
+
+def _packed(bits: np.ndarray) -> pa.Array:
+    """The numbers of each block that are not 0, with their places."""
+    met = np.flatnonzero(bits)
+    cuts = np.searchsorted(met, np.arange(MAP_BLOCKS + 1) * BLOCK_WORDS)
+    place = (met % BLOCK_WORDS).astype(np.uint16)
+    return pa.array(
+        [place[a:b].tobytes() + bits[met[a:b]].tobytes() if b > a else None for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+        pa.binary(),
+    )
+
+
+def _joined(group: pa.Table) -> pa.Table:
+    """One block from all tasks."""
+    bits = np.zeros(BLOCK_WORDS, np.uint64)
+    for packed in group.column("packed").to_pylist():
+        n = len(packed) // 10
+        np.bitwise_or.at(bits, np.frombuffer(packed, np.uint16, n), np.frombuffer(packed, np.uint64, n, 2 * n))
+    return pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+
+def _place(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    word = (key >> 6) & (MAP_BLOCKS * BLOCK_WORDS - 1)
+    return word, np.uint64(1) << (key & 63).astype(np.uint64)
+
+
+def scan_lines(docs: DataFrame, key: str, text: str, share: int = SHARE) -> tuple[DataFrame, np.ndarray]:
+    """(doc, text_key, line_number, node) of every line of ``FLOOR_CHARS`` and more, written; and
+    the bit map of all lines' indexed keys, from the same pass over the texts."""
+    kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), np.empty(0, np.int64)
+        hasher, bits, doc_type = Hasher(), np.zeros(MAP_BLOCKS * BLOCK_WORDS, np.uint64), None
+        names = ["doc", "text_key", "line_number", "node", "block", "packed"]
+        for batch in batches:
+            doc_type = batch.column(0).type
+            for low, _, data, at in chunks(batch.column(2)):
+                lines = Lines(data, at)
+                sums = hasher.sums(lines.code)
+                pick = np.flatnonzero(lines.length >= FLOOR_CHARS)
+                start, end = lines.start[pick], lines.end[pick]
+                for _, segment, _ in segment_keys(hasher, sums, start, end, share, probes=False):
+                    word, bit = _place(segment)
+                    np.bitwise_or.at(bits, word, bit)
+                number = lines.row[pick]
+                row = pa.array(number + low)
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(pick - lines.row_at[number], pa.int64())]
+                columns += [pa.array(_line_key(hasher, sums, start, end)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+        if doc_type is not None:
+            packed, block = _packed(bits), np.arange(MAP_BLOCKS, dtype=np.int32)
+            columns = [pa.nulls(MAP_BLOCKS, t) for t in (doc_type, pa.int64(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(block), packed], names)
+
+    given = docs.select(key, F.xxhash64(text).alias("text_key"), text)
+    schema = f"doc {kind}, text_key long, line_number long, node long, block int, packed binary"
+    rows = staged(given.mapInArrow(run, schema), "lines")
+    blocks = rows.filter("packed IS NOT NULL").select("block", "packed")
+    joined = blocks.groupBy("block").applyInArrow(_joined, "block int, bits binary").toArrow()  # of a fixed size
+    bits = np.zeros((MAP_BLOCKS, BLOCK_WORDS), np.uint64)
+    for block, packed in zip(joined.column("block").to_pylist(), joined.column("bits").to_pylist(), strict=True):
+        bits[block] = np.frombuffer(packed, np.uint64)
+    return rows.filter("node IS NOT NULL").drop("block", "packed"), bits.ravel()
+
+
+def _ties(docs: DataFrame, text: str, bits: np.ndarray, share: int) -> DataFrame:
+    """(a, b): lines that share a key, tied to the smallest line indexed under it."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen = Hasher(), _Seen()
         for batch in batches:
             for _, _, data, at in chunks(batch.column(0)):
                 lines = Lines(data, at)
                 sums = hasher.sums(lines.code)
-                node = _line_key(hasher, sums, lines.start, lines.end)
-                pick = np.flatnonzero(lines.length >= NEAR_CHARS)
-                _, first = np.unique(node[pick], return_index=True)
-                pick = pick[first]
-                pick = pick[~np.isin(node[pick], seen)]
-                seen = np.union1d(seen, node[pick])
-                start, end, node = lines.start[pick], lines.end[pick], node[pick]
-                for which, key, indexed, seat in all_keys(hasher, sums, start, end, most, share):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array(_seated(node[which], seat)), pa.array(np.full(len(which), indexed))], ["key", "node", "indexed"]
-                    )
+                pick = np.flatnonzero(lines.length >= FLOOR_CHARS)
+                node = _line_key(hasher, sums, lines.start[pick], lines.end[pick])
+                new = seen.new(node)
+                node, pick = node[new], pick[new]
+                found = []
+                for which, key, indexed in segment_keys(hasher, sums, lines.start[pick], lines.end[pick], share):
+                    if not indexed:
+                        word, bit = _place(key)
+                        use = np.flatnonzero(sent.value[word] & bit)
+                        which, key = which[use], key[use]
+                    found.append((key, node[which], np.full(len(key), indexed)))
+                if found:
+                    columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "indexed"])
 
     rows = docs.select(text).mapInArrow(run, "key long, node long, indexed boolean")
     least = F.min(F.when(F.col("indexed"), F.col("node"))).over(Window.partitionBy("key"))
@@ -396,20 +313,17 @@ def _histogram(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return flat.reshape(-1, 16).astype(np.int32)
 
 
-def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarray, seat: np.ndarray, most: int, share: int, hasher: Hasher):
+def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarray, share: int, hasher: Hasher):
     """Links among the lines of a group as edges of a spanning forest."""
     start, end = at[:-1], at[1:]
     length = end - start
     kinds = _histogram(code, start, end)
     labels = np.arange(len(nodes))
     apart = chunk.min() != chunk.max()
-    sums = hasher.sums(code)
-    found = list(all_keys(hasher, sums, start, end, most, share))
+    found = list(segment_keys(hasher, hasher.sums(code), start, end, share))
     line = np.concatenate([f[0] for f in found])
     key = np.concatenate([f[1] for f in found])
     indexed = np.concatenate([np.full(len(f[0]), f[2]) for f in found])
-    own = np.concatenate([f[3] for f in found]) == seat[line]  # a group is of one seat
-    line, key, indexed = line[own], key[own], indexed[own]
     order = np.lexsort((~indexed, key))
     line, key, indexed = line[order], key[order], indexed[order]
     cuts = np.unique(np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]))
@@ -424,7 +338,7 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
         held, size = [], 0
         pair = np.unique(np.minimum(a, b) * len(nodes) + np.maximum(a, b))
         a, b = pair // len(nodes), pair % len(nodes)
-        within = limits(np.minimum(length[a], length[b]), most, share)
+        within = limits(np.minimum(length[a], length[b]), share)
         keep = (labels[a] != labels[b]) & (np.abs(length[a] - length[b]) <= within)
         if apart:
             keep &= chunk[a] != chunk[b]
@@ -432,11 +346,10 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
         keep = np.abs(kinds[a] - kinds[b]).sum(axis=1) <= 2 * within
         a, b, within = a[keep], b[keep], within[keep]
         linked = np.zeros(len(a), bool)
-        few, many = np.flatnonzero(within == most), np.flatnonzero(within > most)
-        x, y = a[few], b[few]
-        linked[few] = edits_within(code, (start[x], end[x]), (start[y], end[y]), most)
-        x, y = a[many], b[many]
-        linked[many] = edits_within_limits(code, sums, hasher, (start[x], end[x]), (start[y], end[y]), within[many])
+        for most in np.unique(within).tolist():
+            some = np.flatnonzero(within == most)
+            x, y = a[some], b[some]
+            linked[some] = edits_within(code, (start[x], end[x]), (start[y], end[y]), most)
         a, b = a[linked], b[linked]
         if not len(a):
             return
@@ -460,38 +373,29 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
     return nodes[moved], nodes[labels[moved]]
 
 
-def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS, share: int = 0) -> DataFrame:
+def line_classes(docs: DataFrame, bits: np.ndarray, text: str = "text", share: int = SHARE) -> DataFrame:
     """(node, line_class): lines that are within their ``limits`` of others, by their keys."""
-    cluster = staged(components(_ties(docs, text, most, share)).toDF("seated", "cluster"), "clusters")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(cluster.withColumnRenamed("seated", "node")))
+    cluster = staged(components(_ties(docs, text, bits, share)).toDF("node", "cluster"), "clusters")
+    tied = docs.sparkSession.sparkContext.broadcast(bitmap(cluster))
 
     def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), np.empty(0, np.int64)
+        hasher, seen = Hasher(), _Seen()
         for batch in batches:
             for _, _, data, at in chunks(batch.column(0)):
                 lines = Lines(data, at)
                 node = _line_key(hasher, hasher.sums(lines.code), lines.start, lines.end)
-                pick = np.flatnonzero(lines.length >= NEAR_CHARS)
-                which, seat = seats_of(lines.length[pick], most, share)
-                pick = pick[which]
-                seated = _seated(node[pick], seat)
-                _, first = np.unique(seated, return_index=True)
-                first = first[marked(bits.value, seated[first])]
-                first = first[~np.isin(seated[first], seen)]
-                pick, seated, seat = pick[first], seated[first], seat[first]
-                seen = np.union1d(seen, seated)
+                pick = np.flatnonzero(lines.length >= FLOOR_CHARS)
+                pick = pick[marked(tied.value, node[pick])]
+                pick = pick[seen.new(node[pick])]
                 words = [lines.code[a:b].tobytes().decode("utf-32-le") for a, b in zip(lines.start[pick], lines.end[pick], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[pick]), pa.array(seated), pa.array(seat), pa.array(words, pa.string())],
-                    ["node", "seated", "seat", "line"],
-                )
-
-    lines = docs.select(text).mapInArrow(distinct_lines, "node long, seated long, seat long, line string")
-    members = lines.join(cluster, "seated").groupBy("cluster", "node").agg(F.first("line").alias("line"), F.first("seat").alias("seat"))
-    members = staged(members.withColumn("chars", F.length("line").cast("long")), "lines")
+                yield pa.RecordBatch.from_arrays([pa.array(node[pick]), pa.array(words, pa.string())], ["node", "line"])
+
+    lines = docs.select(text).mapInArrow(distinct_lines, "node long, line string")
+    members = lines.join(cluster, "node").groupBy("cluster", "node").agg(F.first("line").alias("line"))
+    members = staged(members.withColumn("chars", F.length("line").cast("long")), "tied-lines")
     placed = pair_groups(members, ["cluster"], "chars", GROUP_CHARS)
-    spread = placed.select("cluster", F.explode("groups").alias("pair"), "node", "chunk", "line", "seat")
-    spread = spread.select("cluster", "pair.first", "pair.second", "node", "chunk", "line", "seat")
+    spread = placed.select("cluster", F.explode("groups").alias("pair"), "node", "chunk", "line")
+    spread = spread.select("cluster", "pair.first", "pair.second", "node", "chunk", "line")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -499,7 +403,7 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS, sha
             data, at = text_buffer(run.column(5))
             place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
             code = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-            a, b = _links(run.column(3).to_numpy(), code, place, run.column(4).to_numpy(), run.column(6).to_numpy(), most, share, hasher)
+            a, b = _links(run.column(3).to_numpy(), code, place, run.column(4).to_numpy(), share, hasher)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     where = ["cluster", "first", "second"]
@@ -507,35 +411,13 @@ def line_classes(docs: DataFrame, text: str = "text", most: int = MAX_EDITS, sha
     return components(links).withColumnRenamed("component", "line_class")
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_EDITS, share: int = 0) -> DataFrame:
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """(doc, text_key, removed): numbers, from 0, of the lines to remove, by document.
 
     A document is its id and a hash of its text; only documents that lose a line occur.
     """
-    kind = dict(docs.dtypes)[key]
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for batch in batches:
-            for low, _, data, at in chunks(batch.column(2)):
-                lines = Lines(data, at)
-                node = _line_key(hasher, hasher.sums(lines.code), lines.start, lines.end)
-                pick = np.flatnonzero(lines.length >= EXACT_CHARS)
-                row = pa.array(lines.row[pick] + low)
-                number = lines.row[pick]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(row),
-                        batch.column(1).take(row),
-                        pa.array(pick - lines.row_at[number], pa.int64()),
-                        pa.array(node[pick]),
-                    ],
-                    ["doc", "text_key", "line_number", "node"],
-                )
-
-    given = docs.select(key, F.xxhash64(text).alias("text_key"), text)
-    rows = staged(given.mapInArrow(occurrences, f"doc {kind}, text_key long, line_number long, node long"), "occurrences")
-    classes = line_classes(docs, text, most, share)
+    rows, bits = scan_lines(docs, key, text, share)
+    classes = line_classes(docs, bits, text, share)
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_key", "line_number")
     # one row per line class and document suffices to find the first
     firsts = rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
@@ -546,13 +428,13 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mos
     return later.groupBy("doc", "text_key").agg(F.collect_set("line_number").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_EDITS, share: int = 0) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; ``line_count`` and
     ``removed_lines`` are added."""
     clash = [c for c in docs.columns if c in ("line_count", "removed_lines", "text_key", "removed", "doc")]
     if clash:
         raise ValueError(f"rename the columns {clash}")
-    removed = repeated_lines(docs, key, text, most, share)
+    removed = repeated_lines(docs, key, text, share)
     same = F.col(key).eqNullSafe(F.col("doc")) & (F.xxhash64(text) == F.col("text_key"))
     joined = docs.join(removed, same, "left")
     lines = F.split(F.col(text), "\n", -1)
@@ -570,7 +452,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most:
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    done = dedup_lines(docs, share=SHARE)
+    done = dedup_lines(docs)
     return done.select(
         "doc_id",
         F.col("line_count").alias("n_lines"),

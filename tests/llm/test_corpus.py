@@ -170,14 +170,19 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def near_lines(a, b):
+    shorter = min(len(a), len(b))
+    limit = min(31, max(1 if shorter < 40 else 2, shorter * 2 // 100))
+    return abs(len(a) - len(b)) <= limit and levenshtein(a, b) <= limit
+
+
 def test_line_dedup(spark, docs):
     given = sorted({(d is None, d or 0, t) for d, t in rows_of(docs) if t is not None})
     line = [(none, d, t, i, x.strip(" \t\n\r\x0b\x0c")) for none, d, t in given for i, x in enumerate(t.split("\n"))]
-    distinct = sorted({x[4] for x in line if len(x[4]) >= lines.EXACT_CHARS})
+    distinct = sorted({x[4] for x in line if len(x[4]) >= lines.FLOOR_CHARS})
     label = {x: x for x in distinct}
-    near = [x for x in distinct if len(x) >= lines.NEAR_CHARS]
-    links = [(a, b) for a in near for b in near if a < b and abs(len(a) - len(b)) <= 2 and levenshtein(a, b) <= 2]
-    for _ in near:
+    links = [(a, b) for a in distinct for b in distinct if a < b and near_lines(a, b)]
+    for _ in distinct:
         for a, b in links:
             label[a] = label[b] = min(label[a], label[b])
     assert links
@@ -201,23 +206,32 @@ def test_line_dedup(spark, docs):
         lines.dedup_lines(docs.withColumn("removed_lines", F.lit(1)))
 
 
+def edited(rng, line, edits, kinds="idr"):
+    out = list(line)
+    for _ in range(edits):
+        kind, at = rng.choice(kinds), rng.randrange(len(out))
+        if kind == "i":
+            out.insert(at, "z")
+        elif kind == "d":
+            out.pop(at)
+        else:
+            out[at] = "y"
+    return "".join(out).strip()
+
+
 def test_line_dedup_by_share(spark):
-    """Long lines may differ in a share of their characters."""
+    """Lines may differ in a share of their characters."""
     rng = random.Random(9)
     made = []
-    for _ in range(60):
-        line = prose(rng, rng.randint(25, 160))
+    for _ in range(70):
+        line = prose(rng, rng.randint(5, 160))
         made.append(line)
         for _ in range(rng.randint(0, 2)):
-            near = list(line)
-            for _ in range(max(2, len(line) * 2 // 100) + rng.choice([0, 0, 1])):
-                near.insert(rng.randrange(len(near)), "z") if rng.random() < 0.5 else near.pop(rng.randrange(len(near)))
-            made.append("".join(near).strip())
+            edits = int(lines.limits(lines.np.array([len(line)]))[0]) + rng.choice([0, 0, 1])
+            made.append(edited(rng, line, edits, rng.choice(["i", "d", "r", "idr"])))
     rng.shuffle(made)
     label = list(range(len(made)))
-    limit = lambda a, b: max(2, min(len(a), len(b)) * lines.SHARE // 100)
-    close = lambda a, b: abs(len(a) - len(b)) <= limit(a, b) and levenshtein(a, b) <= limit(a, b)
-    links = [(i, j) for j, b in enumerate(made) for i, a in enumerate(made[:j]) if close(a, b)]
+    links = [(i, j) for j, b in enumerate(made) for i, a in enumerate(made[:j]) if min(len(a), len(b)) >= 20 and near_lines(a, b)]
     assert len([1 for i, j in links if levenshtein(made[i], made[j]) > 2]) > 20
     for _ in made:
         for i, j in links:
@@ -226,35 +240,63 @@ def test_line_dedup_by_share(spark):
     for chars in (lines.GROUP_CHARS, 3000):
         with pytest.MonkeyPatch.context() as patch:
             patch.setattr(lines, "GROUP_CHARS", chars)
-            got = lines.dedup_lines(frame, share=lines.SHARE).collect()
+            got = lines.dedup_lines(frame).collect()
         assert sorted(r.doc_id for r in got if not r.removed_lines) == sorted(set(label))
 
 
-@pytest.mark.parametrize(("most", "share", "low", "high"), [(2, 2, 140, 700), (2, 3, 95, 400), (1, 5, 38, 300)])
-def test_keys_of_long_lines(most, share, low, high):
-    """Lines that differ by their limit have a key in common, and are found to be that near."""
-    rng = random.Random(3)
+@pytest.mark.parametrize(("low", "high", "kinds"), [(20, 60, "idr"), (20, 60, "i"), (40, 300, "d"), (140, 700, "idr"), (1400, 5000, "idr"), (1500, 1600, "i")])
+def test_segments_of_near_lines_meet(low, high, kinds):
+    """Lines that differ by their limit share a key that one of them is indexed under, and are
+    found to be that near."""
+    rng = random.Random(low + high)
     made = []
-    for _ in range(400):
-        line = [rng.choice("abcdé ") for _ in range(rng.randint(low, high))]
-        near = list(line)
-        for i in sorted({(len(line) * j) // (len(line) * share // 100 + 1) for j in range(1, len(line) * share // 100 + 1)}, reverse=True):
-            near[i : i + 1] = rng.choice(["x", "x" + near[i]])
-        made += ["".join(line), "".join(near)]
+    for _ in range(40 if low > 1000 else 300):
+        line = "".join(rng.choice("abcdé ") for _ in range(rng.randint(low, high)))
+        line = line.strip().ljust(low, "q")
+        limit = int(lines.limits(lines.np.array([len(line) - (len(line) // 40 if "d" in kinds else 0)]))[0])
+        made += [line, edited(rng, line, limit, kinds).ljust(low, "q")]
     code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
     at = lines.np.cumsum([0, *map(len, made)])
     hasher = lines.Hasher()
-    sums = hasher.sums(code)
-    a, b = (at[:-1][::2], at[1:][::2]), (at[:-1][1::2], at[1:][1::2])
-    limit = lines.limits(lines.np.minimum(a[1] - a[0], b[1] - b[0]), most, share)
-    near = lines.edits_within_limits(code, sums, hasher, a, b, limit)
-    assert near[:60].tolist() == [levenshtein(x, y) <= k for x, y, k in zip(made[:120:2], made[1:120:2], limit[:60], strict=True)]
-    keys = collections.defaultdict(set)
-    for which, key, _, _ in lines.all_keys(hasher, sums, at[:-1], at[1:], most, share):
+    start, end = at[:-1], at[1:]
+    a, b = (start[::2], end[::2]), (start[1::2], end[1::2])
+    limit = lines.limits(lines.np.minimum(a[1] - a[0], b[1] - b[0]))
+    near = lines.np.zeros(len(limit), bool)
+    for most in set(limit.tolist()):
+        some = limit == most
+        near[some] = lines.edits_within(code, (a[0][some], a[1][some]), (b[0][some], b[1][some]), most)
+    few = 3 if low > 1000 else 60
+    plain = [levenshtein(x, y) <= k for x, y, k in zip(made[: 2 * few : 2], made[1 : 2 * few : 2], limit[:few], strict=True)]
+    assert near[:few].tolist() == plain and near.sum() > len(near) // 2
+    keys, own = collections.defaultdict(set), collections.defaultdict(set)
+    for which, key, indexed in lines.segment_keys(hasher, hasher.sums(code), start, end):
         for line, k in zip(which.tolist(), key.tolist(), strict=True):
             keys[line].add(k)
-    assert near.sum() > 200
-    assert all(keys[2 * i] & keys[2 * i + 1] for i in lines.np.flatnonzero(near).tolist())
+            if indexed:
+                own[line].add(k)
+    for i in lines.np.flatnonzero(near).tolist():
+        assert keys[2 * i] & own[2 * i + 1] or own[2 * i] & keys[2 * i + 1]
+
+
+def test_edits_that_collect_in_one_half():
+    """All edits in the first or the last half of a line leave a segment in the other."""
+    rng = random.Random(2)
+    hasher = lines.Hasher()
+    for length in (45, 150, 333, 1600):
+        line = "".join(rng.choice("abcdefgh") for _ in range(length))
+        limit = int(lines.limits(lines.np.array([length]))[0])
+        near = ["z" * limit + line, line + "z" * limit, edited(rng, line[: length // 2], limit, "i") + line[length // 2 :],
+                line[: length // 2] + edited(rng, line[length // 2 :], limit, "i")]
+        made = [line, *near]
+        code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
+        at = lines.np.cumsum([0, *map(len, made)])
+        keys, own = collections.defaultdict(set), set()
+        for which, key, indexed in lines.segment_keys(hasher, hasher.sums(code), at[:-1], at[1:]):
+            for i, k in zip(which.tolist(), key.tolist(), strict=True):
+                keys[i].add(k)
+                if indexed and i == 0:
+                    own.add(k)
+        assert all(keys[i] & own for i in range(1, 5))
 
 
 def test_quality_measures(spark, docs):
