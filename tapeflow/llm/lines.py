@@ -47,7 +47,11 @@ SHARE = 2
 MOST_EDITS = 31
 GROUP_CHARS = 4 << 20
 MERGED_CHARS = 1 << 19
-_PAIRS = 1 << 18
+_PAIRS = 1 << 17
+_AT_ONCE = 1 << 18
+_BANDS = (3, 11, MOST_EDITS)
+_LOOK = 16
+_SOON = 1 << 10
 _CLASS_RATIO = 1.2
 #: The bit map of indexed keys: blocks of numbers of 64 bits.
 MAP_BLOCKS = 1 << 12
@@ -118,8 +122,20 @@ def _class_edges() -> np.ndarray:
 _EDGES = _class_edges()
 
 
+def _substrings(k: int, indexes: bool, probes: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, move, is indexed) of what a line looks at in a class of threshold ``k``."""
+    segment, move = [], []
+    for j in range(k + 1):
+        reach = (j if j <= k // 2 else k - j) if probes else 0
+        segment += [j] * (2 * reach + 1)
+        move += range(-reach, reach + 1)
+    segment, move = np.array(segment), np.array(move)
+    return segment, move, (move == 0) & indexes
+
+
 def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, share: int = SHARE, probes: bool = True):
-    """(line, key, is indexed) for all keys of some lines; without ``probes`` the indexed ones only."""
+    """(line, key, is indexed) for all keys of some lines, a class of lengths at a time; without
+    ``probes`` the indexed ones only."""
     length = end - start
     own = np.searchsorted(_EDGES, length, "right") - 1
     reaches_down = (own > 0) & (length - limits(length, share) < _EDGES[own])
@@ -129,55 +145,94 @@ def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.nd
     for c, lines, indexes in visits:
         k = int(limits(_EDGES[c + 1 : c + 2] - 1, share)[0])
         width = int(_EDGES[c]) // (k + 1)
-        for j in range(k + 1):
-            ahead = j <= k // 2
-            place = start[lines] + j * width if ahead else end[lines] - (k + 1 - j) * width
-            name = mix(np.array([c * 64 + j], np.uint64))
-            if indexes:
-                yield lines, mix(hasher.cut(sums, place, place + width) ^ name).view(np.int64), True
-            reach = j if ahead else k - j
-            moves = np.array([m for m in range(-reach, reach + 1) if m or not indexes]) if probes else np.empty(0, np.int64)
-            if not len(moves):
-                continue
-            begin = (place[:, None] + moves).ravel()
-            which = np.repeat(lines, len(moves))
-            inside = (begin >= start[which]) & (begin + width <= end[which])
-            begin, which = begin[inside], which[inside]
-            yield which, mix(hasher.cut(sums, begin, begin + width) ^ name).view(np.int64), False
-
-
-def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
-    """Whether pairs of spans of ``code`` are within ``most`` edits of each other.
-
-    ``a`` and ``b`` are (starts, ends).  The differences between neighbours in a column of
-    the distance matrix are two bits each; a band of ``2 * most + 1`` of them moves down
-    the diagonal, one column for each character of the shorter span.
+        segment, move, indexed = _substrings(k, indexes, probes)
+        behind = segment > k // 2
+        offset = np.where(behind, (segment - k - 1) * width, segment * width) + move
+        name = mix((c * 64 + segment).astype(np.uint64))
+        step = max(1, _AT_ONCE // len(offset))
+        for first in range(0, len(lines), step):
+            some = lines[first : first + step]
+            begin = np.where(behind, end[some][:, None], start[some][:, None]) + offset
+            inside = (begin >= start[some][:, None]) & (begin + width <= end[some][:, None])
+            which, column = np.nonzero(inside)
+            begin = begin[inside]
+            yield some[which], (hasher.cut(sums, begin, begin + width) ^ name[column]).view(np.int64), indexed[column]
+
+
+def _in_common(hasher: Hasher, sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray, side: int) -> np.ndarray:
+    """How many characters from ``a`` and ``b`` on (``side`` 1) or before them (-1) are equal, at
+    most ``most``; by halving, with hashes."""
+    found = np.zeros(len(a), np.int64)
+    for bit in range(int(most.max(initial=0)).bit_length() - 1, -1, -1):
+        step = np.int64(1 << bit)
+        fits = np.flatnonzero(found + step <= most)
+        x, y = a[fits] + side * found[fits], b[fits] + side * found[fits]
+        if side < 0:
+            x, y = x - step, y - step
+        found[fits[hasher.cut(sums, x, x + step) == hasher.cut(sums, y, y + step)]] += step
+    return found
+
+
+def edits_within(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
+    """Whether pairs of spans of ``code`` are within some edits of each other, a number for each pair.
+
+    ``a`` and ``b`` are (starts, ends).  What a pair has in common at either end changes no
+    distance and is left out.  For the rest see ``_banded``.
+    """
+    a_at, a_end, b_at, b_end = a[0].copy(), a[1].copy(), b[0].copy(), b[1].copy()
+    shorter = lambda: np.minimum(a_end - a_at, b_end - b_at)
+    same = _in_common(hasher, sums, a_at, b_at, shorter(), 1)
+    a_at, b_at = a_at + same, b_at + same
+    same = _in_common(hasher, sums, a_end, b_end, shorter(), -1)
+    a_end, b_end = a_end - same, b_end - same
+    result = shorter() == 0
+    result &= np.abs((a_end - a_at) - (b_end - b_at)) <= within
+    left = np.flatnonzero(shorter() > 0)
+    for low, high in zip((0, *_BANDS), _BANDS, strict=False):  # narrow bands for few edits
+        some = left[(within[left] > low) & (within[left] <= high)]
+        if len(some):
+            result[some] = _banded(code, (a_at[some], a_end[some]), (b_at[some], b_end[some]), within[some])
+    return result
+
+
+def _banded(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
+    """Edit distance in a band.
+
+    The differences between neighbours in a column of the distance matrix are two bits
+    each; a band of them, twice the largest number of edits wide and one, moves down the
+    diagonal, one column for each character of the shorter span.  Every ``_LOOK`` columns pairs
+    go all of whose band is beyond their number.
     """
+    most = int(within.max())
     swap = (a[1] - a[0]) < (b[1] - b[0])
     long_at, long_end = np.where(swap, b[0], a[0]), np.where(swap, b[1], a[1])
     short_at, short_end = np.where(swap, a[0], b[0]), np.where(swap, a[1], b[1])
     rows, columns = long_end - long_at, short_end - short_at
     result = np.zeros(len(rows), bool)
     order = np.argsort(-columns, kind="stable")
-    order = order[(rows - columns)[order] <= most]
-    if not len(order):
-        return result
-    long_at, short_at, rows, columns = long_at[order], short_at[order], rows[order], columns[order]
+    order = order[(rows - columns)[order] <= within[order]]
     band = 2 * most + 1
     full = np.uint64((1 << band) - 1)
-    one = np.uint64(1)
+    one, middle = np.uint64(1), np.uint64(1 << most)
+    bits = np.arange(band)
+    wide = -(-band // 8) * 8
     rise = np.full(len(order), (full >> np.uint64(most)) << np.uint64(most), np.uint64)
     fall = np.zeros(len(order), np.uint64)
     away = np.zeros(len(order), np.int64)
-    middle = np.uint64(1 << most)
-    bits = np.arange(band)
+    long_at, short_at, rows, columns, within = (x[order] for x in (long_at, short_at, rows, columns, within))
     equal = np.zeros((len(order), 64), bool)
-    for j in range(int(columns[0])):
+    j = 0
+    while len(order) and j < columns[0]:
         n = int(np.searchsorted(-columns, -j, "left"))  # pairs with a column j
         row = j - most + bits
         at = np.minimum(np.maximum(long_at[:n, None] + row, 0), len(code) - 1)
         equal[:n, :band] = (code[at] == code[short_at[:n] + j][:, None]) & (row >= 0) & (row < rows[:n, None])
-        match = np.packbits(equal[:n], axis=1, bitorder="little").view("<u8")[:, 0]
+        if wide < 64:
+            match = np.zeros((n, 8), np.uint8)
+            match[:, : wide // 8] = np.packbits(equal[:n, :wide], axis=1, bitorder="little")
+        else:
+            match = np.packbits(equal[:n], axis=1, bitorder="little")
+        match = match.view("<u8")[:, 0]
         up, down = rise[:n], fall[:n]
         same = ((((match & up) + up) ^ up) | match | down) & full
         right_up = (down | ~(same | up)) & full
@@ -185,11 +240,27 @@ def edits_within(code: np.ndarray, a: tuple, b: tuple, most: int) -> np.ndarray:
         away[:n] += (same & middle) == 0
         rise[:n] = (right_down | ~((same >> one) | right_up)) & full
         fall[:n] = (same >> one) & right_up
+        j += 1
+        if j % _LOOK == 0 and n:
+            # the band's values beside the middle one, from the differences
+            unpacked = lambda x: np.unpackbits(x[:n].astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :band]
+            steps = unpacked(rise).astype(np.int64) - unpacked(fall)
+            values = np.cumsum(steps, axis=1)
+            values += (away[:n] - (values[:, most - 1] if most else 0))[:, None]
+            least = np.minimum(values.min(axis=1), values[:, 0] - steps[:, 0])
+            stay = np.concatenate([least <= within[:n], np.ones(len(order) - n, bool)])
+            if not stay.all():
+                order, rise, fall, away, long_at, short_at, rows, columns, within = (
+                    x[stay] for x in (order, rise, fall, away, long_at, short_at, rows, columns, within)
+                )
+                equal = equal[: len(order)]
+    if not len(order):
+        return result
     for extra in range(most):
         bit = np.uint64(most + extra)
         step = ((rise >> bit) & one).astype(np.int64) - ((fall >> bit) & one).astype(np.int64)
         away += np.where(rows - columns > extra, step, 0)
-    result[order] = away <= most
+    result[order] = away <= within
     return result
 
 
@@ -288,11 +359,9 @@ def _ties(docs: DataFrame, text: str, bits: np.ndarray, share: int) -> DataFrame
                 node, pick = node[new], pick[new]
                 found = []
                 for which, key, indexed in segment_keys(hasher, sums, lines.start[pick], lines.end[pick], share):
-                    if not indexed:
-                        word, bit = _place(key)
-                        use = np.flatnonzero(sent.value[word] & bit)
-                        which, key = which[use], key[use]
-                    found.append((key, node[which], np.full(len(key), indexed)))
+                    word, bit = _place(key)
+                    use = np.flatnonzero(indexed | ((sent.value[word] & bit) > 0))
+                    found.append((key[use], node[which[use]], indexed[use]))
                 if found:
                     columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "indexed"])
@@ -320,22 +389,14 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
     kinds = _histogram(code, start, end)
     labels = np.arange(len(nodes))
     apart = chunk.min() != chunk.max()
-    found = list(segment_keys(hasher, hasher.sums(code), start, end, share))
-    line = np.concatenate([f[0] for f in found])
-    key = np.concatenate([f[1] for f in found])
-    indexed = np.concatenate([np.full(len(f[0]), f[2]) for f in found])
+    sums = hasher.sums(code)
+    found = list(segment_keys(hasher, sums, start, end, share))
+    line, key, indexed = (np.concatenate([f[i] for f in found]) for i in range(3))
     order = np.lexsort((~indexed, key))
     line, key, indexed = line[order], key[order], indexed[order]
     cuts = np.unique(np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]))
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
 
-    def verify() -> None:
-        nonlocal held, size
-        if not held:
-            return
-        a, b = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        held, size = [], 0
+    def verify(a: np.ndarray, b: np.ndarray) -> None:
         pair = np.unique(np.minimum(a, b) * len(nodes) + np.maximum(a, b))
         a, b = pair // len(nodes), pair % len(nodes)
         within = limits(np.minimum(length[a], length[b]), share)
@@ -345,11 +406,7 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
         a, b, within = a[keep], b[keep], within[keep]
         keep = np.abs(kinds[a] - kinds[b]).sum(axis=1) <= 2 * within
         a, b, within = a[keep], b[keep], within[keep]
-        linked = np.zeros(len(a), bool)
-        for most in np.unique(within).tolist():
-            some = np.flatnonzero(within == most)
-            x, y = a[some], b[some]
-            linked[some] = edits_within(code, (start[x], end[x]), (start[y], end[y]), most)
+        linked = edits_within(code, sums, hasher, (start[a], end[a]), (start[b], end[b]), within)
         a, b = a[linked], b[linked]
         if not len(a):
             return
@@ -357,18 +414,30 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
         for row, near in zip(firsts.tolist(), np.split(b, at_first[1:]), strict=True):
             join_labels(labels, row, near)
 
-    shared = np.flatnonzero((np.diff(cuts) > 1) & indexed[cuts[:-1]])  # indexed ones come first
-    for low, high in zip(cuts[shared].tolist(), cuts[shared + 1].tolist(), strict=True):
-        n_indexed = int(indexed[low:high].sum())
+    size, led = np.diff(cuts), indexed[cuts[:-1]]  # indexed ones come first
+    twos = cuts[:-1][(size == 2) & led]
+    for first in range(0, len(twos), _PAIRS):
+        some = twos[first : first + _PAIRS]
+        verify(line[some], line[some + 1])
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+    more = np.flatnonzero((size > 2) & led)
+    for low, high in zip(cuts[more].tolist(), cuts[more + 1].tolist(), strict=True):
         members = line[low:high]
-        step = max(1, _PAIRS // n_indexed)
-        for first in range(0, high - low, step):
-            probes = members[first : first + step]
-            held.append((np.repeat(probes, n_indexed), np.tile(members[:n_indexed], len(probes))))
-            size += len(probes) * n_indexed
-            if size >= _PAIRS:
-                verify()
-    verify()
+        targets = members[: int(indexed[low:high].sum())]
+        # few probes first: what they link needs no further look
+        at, step = 0, 1
+        while at < len(members):
+            probes = members[at : at + step]
+            at, step = at + step, max(1, min(2 * step, _PAIRS // len(targets)))
+            p, t = np.nonzero(labels[probes][:, None] != labels[targets])
+            held.append((probes[p], targets[t]))
+            waiting += len(p)
+            if waiting >= _PAIRS or len(p) >= _SOON:
+                verify(*(np.concatenate([h[i] for h in held]) for i in range(2)))
+                held, waiting = [], 0
+    if held:
+        verify(*(np.concatenate([h[i] for h in held]) for i in range(2)))
     moved = np.flatnonzero(labels != np.arange(len(nodes)))
     return nodes[moved], nodes[labels[moved]]
 
@@ -418,13 +487,14 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sha
     """
     rows, bits = scan_lines(docs, key, text, share)
     classes = line_classes(docs, bits, text, share)
+    # most lines are the only one of their class: they go before anything is ordered
+    often = rows.groupBy("node").agg(F.count("*").alias("copies")).filter("copies > 1").select("node")
+    classed = often.withColumn("line_class", F.lit(None).cast("long")).union(classes).groupBy("node")
+    classed = classed.agg(F.coalesce(F.max("line_class"), F.col("node")).alias("line_class"))
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_key", "line_number")
-    # one row per line class and document suffices to find the first
-    firsts = rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    firsts = firsts.join(classes, "node", "left").withColumn("line_class", F.coalesce("line_class", "node"))
-    first_of = firsts.groupBy("line_class").agg(F.min("first").alias("class_first"), F.sum("copies").alias("copies"))
-    again = firsts.drop("copies").join(first_of.filter("copies > 1"), "line_class").select("node", "class_first")
-    later = rows.join(again, "node").filter(place != F.col("class_first"))
+    rows = staged(rows.join(classed, "node").select("line_class", place.alias("place")), "repeated-lines")
+    firsts = rows.groupBy("line_class").agg(F.min("place").alias("first"))
+    later = rows.join(firsts, "line_class").filter("place != first").select("place.*")
     return later.groupBy("doc", "text_key").agg(F.collect_set("line_number").alias("removed"))
 
 

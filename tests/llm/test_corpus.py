@@ -261,23 +261,36 @@ def test_segments_of_near_lines_meet(low, high, kinds):
     start, end = at[:-1], at[1:]
     a, b = (start[::2], end[::2]), (start[1::2], end[1::2])
     limit = lines.limits(lines.np.minimum(a[1] - a[0], b[1] - b[0]))
-    near = lines.np.zeros(len(limit), bool)
-    for most in set(limit.tolist()):
-        some = limit == most
-        near[some] = lines.edits_within(code, (a[0][some], a[1][some]), (b[0][some], b[1][some]), most)
+    near = lines.edits_within(code, hasher.sums(code), hasher, a, b, limit)
     few = 3 if low > 1000 else 60
     plain = [levenshtein(x, y) <= k for x, y, k in zip(made[: 2 * few : 2], made[1 : 2 * few : 2], limit[:few], strict=True)]
     assert near[:few].tolist() == plain and near.sum() > len(near) // 2
     keys, own = collections.defaultdict(set), collections.defaultdict(set)
     for which, key, indexed in lines.segment_keys(hasher, hasher.sums(code), start, end):
-        for line, k in zip(which.tolist(), key.tolist(), strict=True):
+        for line, k, is_own in zip(which.tolist(), key.tolist(), indexed.tolist(), strict=True):
             keys[line].add(k)
-            if indexed:
+            if is_own:
                 own[line].add(k)
     for i in lines.np.flatnonzero(near).tolist():
         assert keys[2 * i] & own[2 * i + 1] or own[2 * i] & keys[2 * i + 1]
 
 
+def test_edits_of_random_spans():
+    """Distances around their limit, of texts with few letters."""
+    rng = random.Random(13)
+    made = []
+    for _ in range(400):
+        line = "".join(rng.choice("ab") for _ in range(rng.randint(12, 70)))
+        made += [line, edited(rng, line, rng.randint(0, 9))]
+    code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
+    at = lines.np.cumsum([0, *map(len, made)])
+    hasher = lines.Hasher()
+    a, b = (at[:-1][::2], at[1:][::2]), (at[:-1][1::2], at[1:][1::2])
+    within = lines.np.array([rng.choice([1, 2, 3, 4, 7, 11, 12, 31]) for _ in range(400)])
+    got = lines.edits_within(code, hasher.sums(code), hasher, a, b, within)
+    assert got.tolist() == [levenshtein(x, y) <= k for x, y, k in zip(made[::2], made[1::2], within, strict=True)]
+
+
 def test_edits_that_collect_in_one_half():
     """All edits in the first or the last half of a line leave a segment in the other."""
     rng = random.Random(2)
@@ -292,9 +305,9 @@ def test_edits_that_collect_in_one_half():
         at = lines.np.cumsum([0, *map(len, made)])
         keys, own = collections.defaultdict(set), set()
         for which, key, indexed in lines.segment_keys(hasher, hasher.sums(code), at[:-1], at[1:]):
-            for i, k in zip(which.tolist(), key.tolist(), strict=True):
+            for i, k, is_own in zip(which.tolist(), key.tolist(), indexed.tolist(), strict=True):
                 keys[i].add(k)
-                if indexed and i == 0:
+                if is_own and i == 0:
                     own.add(k)
         assert all(keys[i] & own for i in range(1, 5))
 
