@@ -51,7 +51,12 @@ _PAIRS = 1 << 17
 _AT_ONCE = 1 << 18
 _BANDS = (3, 11, MOST_EDITS)
 _LOOK = 16
+#: Spans of so many characters are compared piece by piece.
+_LONG = 512
+_FINE = 4
 _SOON = 1 << 10
+_ALL_PAIRS = 1 << 22
+_FEW_LINES = 1 << 13
 _CLASS_RATIO = 1.2
 #: The bit map of indexed keys: blocks of numbers of 64 bits.
 MAP_BLOCKS = 1 << 12
@@ -187,16 +192,71 @@ def edits_within(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b
     a_end, b_end = a_end - same, b_end - same
     result = shorter() == 0
     result &= np.abs((a_end - a_at) - (b_end - b_at)) <= within
-    left = np.flatnonzero(shorter() > 0)
+    left = np.flatnonzero((shorter() > 0) & (shorter() < _LONG))
+    found = [left] if len(left) else []
+    for one in np.flatnonzero(shorter() >= _LONG).tolist():
+        pieces = _pieces(hasher, sums, (a_at[one], a_end[one]), (b_at[one], b_end[one]), int(within[one]))
+        if pieces is None:
+            continue
+        if len(pieces[0][0]):
+            limit = np.full(len(pieces[0][0]), within[one])
+            result[one] = distances(code, *pieces, limit).sum() <= within[one]
+        else:
+            result[one] = True
+        if not result[one]:  # another way through may be shorter
+            found.append(np.array([one]))
+    for some in found:
+        result[some] = distances(code, (a_at[some], a_end[some]), (b_at[some], b_end[some]), within[some]) <= within[some]
+    return result
+
+
+def _pieces(hasher: Hasher, sums: np.ndarray, a: tuple, b: tuple, within: int) -> tuple[tuple, tuple] | None:
+    """What lies between the segments that two long spans have in common, as spans of both; None
+    if the two are further apart than ``within``.
+
+    The first span is cut into ``_FINE`` segments per edit; an edit spoils one at most, and
+    the others are in the second span, moved by ``within`` places at most.  The distances
+    of what lies between add up to no less than that of the spans.
+    """
+    m = _FINE * (within + 1)
+    width = (a[1] - a[0]) // m
+    place = a[0] + np.arange(m) * width
+    moves = np.arange(-within, within + 1)
+    begin = place[:, None] - a[0] + b[0] + moves
+    inside = (begin >= b[0]) & (begin + width <= b[1])
+    at = np.where(inside, begin, b[0])
+    same = inside & (hasher.cut(sums, place, place + width)[:, None] == hasher.cut(sums, at, at + width))
+    if m - int(same.any(axis=1).sum()) > within:
+        return None
+    ends, move, a_to, b_to = [], 0, a[0], b[0]
+    for i in np.flatnonzero(same.any(axis=1)).tolist():
+        options = moves[same[i]]
+        options = options[place[i] - a[0] + b[0] + options >= b_to]
+        if not len(options):
+            continue
+        move = int(options[np.argmin(np.abs(options - move))])
+        there = place[i] - a[0] + b[0] + move
+        ends.append((a_to, place[i], b_to, there))
+        a_to, b_to = place[i] + width, there + width
+    ends.append((a_to, a[1], b_to, b[1]))
+    spans = np.array(ends, np.int64)
+    spans = spans[(spans[:, 0] < spans[:, 1]) | (spans[:, 2] < spans[:, 3])]
+    return (spans[:, 0], spans[:, 1]), (spans[:, 2], spans[:, 3])
+
+
+def distances(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
+    """Edit distances of pairs of spans; more than ``within`` where they are more."""
+    result = np.maximum(a[1] - a[0], b[1] - b[0])  # right where one is empty
+    left = np.flatnonzero(np.minimum(a[1] - a[0], b[1] - b[0]) > 0)
     for low, high in zip((0, *_BANDS), _BANDS, strict=False):  # narrow bands for few edits
         some = left[(within[left] > low) & (within[left] <= high)]
         if len(some):
-            result[some] = _banded(code, (a_at[some], a_end[some]), (b_at[some], b_end[some]), within[some])
+            result[some] = _banded(code, (a[0][some], a[1][some]), (b[0][some], b[1][some]), within[some])
     return result
 
 
 def _banded(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
-    """Edit distance in a band.
+    """Edit distances in a band; ``within`` and one where they are more.
 
     The differences between neighbours in a column of the distance matrix are two bits
     each; a band of them, twice the largest number of edits wide and one, moves down the
@@ -208,7 +268,7 @@ def _banded(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndar
     long_at, long_end = np.where(swap, b[0], a[0]), np.where(swap, b[1], a[1])
     short_at, short_end = np.where(swap, a[0], b[0]), np.where(swap, a[1], b[1])
     rows, columns = long_end - long_at, short_end - short_at
-    result = np.zeros(len(rows), bool)
+    result = within + 1
     order = np.argsort(-columns, kind="stable")
     order = order[(rows - columns)[order] <= within[order]]
     band = 2 * most + 1
@@ -260,7 +320,7 @@ def _banded(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndar
         bit = np.uint64(most + extra)
         step = ((rise >> bit) & one).astype(np.int64) - ((fall >> bit) & one).astype(np.int64)
         away += np.where(rows - columns > extra, step, 0)
-    result[order] = away <= within
+    result[order] = np.minimum(away, within + 1)
     return result
 
 
@@ -392,7 +452,10 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
     sums = hasher.sums(code)
     found = list(segment_keys(hasher, sums, start, end, share))
     line, key, indexed = (np.concatenate([f[i] for f in found]) for i in range(3))
-    order = np.lexsort((~indexed, key))
+    # a repetitive line has a key at several places: once is enough, where it is indexed if it is
+    order = np.lexsort((~indexed, line, key))
+    order = order[np.concatenate([[True], (np.diff(key[order]) != 0) | (np.diff(line[order]) != 0)])]
+    order = order[np.lexsort((~indexed[order], key[order]))]
     line, key, indexed = line[order], key[order], indexed[order]
     cuts = np.unique(np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]))
 
@@ -415,29 +478,42 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
             join_labels(labels, row, near)
 
     size, led = np.diff(cuts), indexed[cuts[:-1]]  # indexed ones come first
-    twos = cuts[:-1][(size == 2) & led]
-    for first in range(0, len(twos), _PAIRS):
-        some = twos[first : first + _PAIRS]
-        verify(line[some], line[some + 1])
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    waiting = 0
-    more = np.flatnonzero((size > 2) & led)
-    for low, high in zip(cuts[more].tolist(), cuts[more + 1].tolist(), strict=True):
-        members = line[low:high]
-        targets = members[: int(indexed[low:high].sum())]
-        # few probes first: what they link needs no further look
-        at, step = 0, 1
-        while at < len(members):
-            probes = members[at : at + step]
-            at, step = at + step, max(1, min(2 * step, _PAIRS // len(targets)))
-            p, t = np.nonzero(labels[probes][:, None] != labels[targets])
-            held.append((probes[p], targets[t]))
-            waiting += len(p)
-            if waiting >= _PAIRS or len(p) >= _SOON:
-                verify(*(np.concatenate([h[i] for h in held]) for i in range(2)))
-                held, waiting = [], 0
-    if held:
-        verify(*(np.concatenate([h[i] for h in held]) for i in range(2)))
+    lows, highs = cuts[:-1][(size > 1) & led], cuts[1:][(size > 1) & led]
+    before = np.concatenate([[0], np.cumsum(indexed)])
+    n_indexed = before[highs] - before[lows]
+    total = n_indexed * (highs - lows)
+    if total.sum() <= _ALL_PAIRS:
+        # every pair once, however many keys it shares
+        key_of = np.repeat(np.arange(len(lows)), total)
+        inner = np.arange(len(key_of)) - np.repeat(np.cumsum(total) - total, total)
+        x = line[lows[key_of] + inner // n_indexed[key_of]]
+        y = line[lows[key_of] + inner % n_indexed[key_of]]
+        pair = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
+        a, b = pair // len(nodes), pair % len(nodes)
+        first, step = 0, _SOON
+        while first < len(a):
+            verify(a[first : first + step], b[first : first + step])
+            first, step = first + step, min(2 * step, _PAIRS)
+    else:
+        tried = np.zeros((len(nodes), len(nodes)), bool) if len(nodes) <= _FEW_LINES else None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting, enough = 0, _SOON
+        for low, high, n in zip(lows.tolist(), highs.tolist(), n_indexed.tolist(), strict=True):
+            members, targets = line[low:high], line[low : low + n]
+            for at in range(0, len(members), max(1, _PAIRS // n)):
+                probes = members[at : at + max(1, _PAIRS // n)]
+                open_pairs = labels[probes][:, None] != labels[targets]
+                if tried is not None:
+                    open_pairs &= ~tried[probes[:, None], targets]
+                    tried[probes[:, None], targets] = tried[targets, probes[:, None]] = True
+                p, t = np.nonzero(open_pairs)
+                held.append((probes[p], targets[t]))
+                waiting += len(p)
+                if waiting >= enough:  # few at first: what they link needs no further look
+                    verify(*(np.concatenate([h[i] for h in held]) for i in range(2)))
+                    held, waiting, enough = [], 0, min(2 * enough, _PAIRS)
+        if held:
+            verify(*(np.concatenate([h[i] for h in held]) for i in range(2)))
     moved = np.flatnonzero(labels != np.arange(len(nodes)))
     return nodes[moved], nodes[labels[moved]]
 

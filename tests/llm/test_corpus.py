@@ -237,9 +237,10 @@ def test_line_dedup_by_share(spark):
         for i, j in links:
             label[i] = label[j] = min(label[i], label[j])
     frame = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
-    for chars in (lines.GROUP_CHARS, 3000):
+    for chars, pairs, few in ((lines.GROUP_CHARS, lines._ALL_PAIRS, lines._FEW_LINES), (3000, 0, 8192), (lines.GROUP_CHARS, 0, 0)):
         with pytest.MonkeyPatch.context() as patch:
-            patch.setattr(lines, "GROUP_CHARS", chars)
+            for name, value in (("GROUP_CHARS", chars), ("_ALL_PAIRS", pairs), ("_FEW_LINES", few)):
+                patch.setattr(lines, name, value)
             got = lines.dedup_lines(frame).collect()
         assert sorted(r.doc_id for r in got if not r.removed_lines) == sorted(set(label))
 
@@ -291,6 +292,27 @@ def test_edits_of_random_spans():
     assert got.tolist() == [levenshtein(x, y) <= k for x, y, k in zip(made[::2], made[1::2], within, strict=True)]
 
 
+def test_distances_of_long_spans_by_pieces():
+    """Long lines with edits far apart, near their limit, repetitive ones too."""
+    rng = random.Random(21)
+    hasher = lines.Hasher()
+    for letters in ("abcdefgh ", "ab"):
+        made, limit = [], []
+        for _ in range(14):
+            line = "".join(rng.choice(letters) for _ in range(rng.randint(700, 1500)))
+            within = rng.choice([14, 20, 31])
+            made += [line, edited(rng, line, within + rng.choice([-4, 0, 1, 3]))]
+            limit.append(within)
+        made += ["xy" * 400, "xy" * 395 + "yx" * 4, "q" * 600, "q" * 590]
+        limit += [31, 31]
+        code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
+        at = lines.np.cumsum([0, *map(len, made)])
+        a, b = (at[:-1][::2], at[1:][::2]), (at[:-1][1::2], at[1:][1::2])
+        got = lines.edits_within(code, hasher.sums(code), hasher, a, b, lines.np.array(limit))
+        assert got.tolist() == [levenshtein(x, y) <= k for x, y, k in zip(made[::2], made[1::2], limit, strict=True)]
+        assert 3 < got.sum() < len(got)
+
+
 def test_edits_that_collect_in_one_half():
     """All edits in the first or the last half of a line leave a segment in the other."""
     rng = random.Random(2)
