@@ -46,15 +46,15 @@ SHARE = 2
 #: A band of twice as many and one fits one number.
 MOST_EDITS = 31
 GROUP_CHARS = 4 << 20
-MERGED_CHARS = 1 << 19
+MERGED_CHARS = 1 << 20
 _PAIRS = 1 << 17
 _AT_ONCE = 1 << 18
-_BANDS = (3, 11, MOST_EDITS)
+_BANDS = (6, MOST_EDITS)
 _LOOK = 16
 #: Spans of so many characters are compared piece by piece.
-_LONG = 512
+_LONG = 1024
 _FINE = 4
-_SOON = 1 << 10
+_SOON = 1 << 13
 _ALL_PAIRS = 1 << 22
 _FEW_LINES = 1 << 13
 _CLASS_RATIO = 1.2
@@ -192,27 +192,30 @@ def edits_within(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b
     a_end, b_end = a_end - same, b_end - same
     result = shorter() == 0
     result &= np.abs((a_end - a_at) - (b_end - b_at)) <= within
-    left = np.flatnonzero((shorter() > 0) & (shorter() < _LONG))
-    found = [left] if len(left) else []
+    left = (shorter() > 0) & (shorter() < _LONG)
+    owner, spans = [], []
     for one in np.flatnonzero(shorter() >= _LONG).tolist():
         pieces = _pieces(hasher, sums, (a_at[one], a_end[one]), (b_at[one], b_end[one]), int(within[one]))
-        if pieces is None:
-            continue
-        if len(pieces[0][0]):
-            limit = np.full(len(pieces[0][0]), within[one])
-            result[one] = distances(code, *pieces, limit).sum() <= within[one]
-        else:
-            result[one] = True
-        if not result[one]:  # another way through may be shorter
-            found.append(np.array([one]))
-    for some in found:
-        result[some] = distances(code, (a_at[some], a_end[some]), (b_at[some], b_end[some]), within[some]) <= within[some]
+        if pieces is not None:
+            owner.append(np.full(len(pieces), one))
+            spans.append(pieces)
+    if spans:
+        owner, spans = np.concatenate(owner), np.concatenate(spans)
+        apart = distances(code, (spans[:, 0], spans[:, 1]), (spans[:, 2], spans[:, 3]), within[owner])
+        total = np.bincount(owner, apart, len(within))
+        long = np.unique(owner)
+        result[long] = total[long] <= within[long]
+        left[long] = ~result[long]  # another way through may be shorter
+    left = np.flatnonzero(left)
+    if len(left):
+        result[left] = distances(code, (a_at[left], a_end[left]), (b_at[left], b_end[left]), within[left]) <= within[left]
     return result
 
 
-def _pieces(hasher: Hasher, sums: np.ndarray, a: tuple, b: tuple, within: int) -> tuple[tuple, tuple] | None:
-    """What lies between the segments that two long spans have in common, as spans of both; None
-    if the two are further apart than ``within``.
+def _pieces(hasher: Hasher, sums: np.ndarray, a: tuple, b: tuple, within: int) -> np.ndarray | None:
+    """What lies between the segments that two long spans have in common, as rows of start and end
+    in the first and in the second span, one empty row at least; None if the two are
+    further apart than ``within``.
 
     The first span is cut into ``_FINE`` segments per edit; an edit spoils one at most, and
     the others are in the second span, moved by ``within`` places at most.  The distances
@@ -240,8 +243,9 @@ def _pieces(hasher: Hasher, sums: np.ndarray, a: tuple, b: tuple, within: int) -
         a_to, b_to = place[i] + width, there + width
     ends.append((a_to, a[1], b_to, b[1]))
     spans = np.array(ends, np.int64)
-    spans = spans[(spans[:, 0] < spans[:, 1]) | (spans[:, 2] < spans[:, 3])]
-    return (spans[:, 0], spans[:, 1]), (spans[:, 2], spans[:, 3])
+    keep = (spans[:, 0] < spans[:, 1]) | (spans[:, 2] < spans[:, 3])
+    keep[-1] = True
+    return spans[keep]
 
 
 def distances(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
@@ -285,8 +289,12 @@ def _banded(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndar
     while len(order) and j < columns[0]:
         n = int(np.searchsorted(-columns, -j, "left"))  # pairs with a column j
         row = j - most + bits
-        at = np.minimum(np.maximum(long_at[:n, None] + row, 0), len(code) - 1)
-        equal[:n, :band] = (code[at] == code[short_at[:n] + j][:, None]) & (row >= 0) & (row < rows[:n, None])
+        letter = code[short_at[:n] + j][:, None]
+        if j >= most and j + most < columns[n - 1]:  # the band lies inside of all spans
+            equal[:n, :band] = code[long_at[:n, None] + row] == letter
+        else:
+            at = np.minimum(np.maximum(long_at[:n, None] + row, 0), len(code) - 1)
+            equal[:n, :band] = (code[at] == letter) & (row >= 0) & (row < rows[:n, None])
         if wide < 64:
             match = np.zeros((n, 8), np.uint8)
             match[:, : wide // 8] = np.packbits(equal[:n, :wide], axis=1, bitorder="little")

@@ -299,11 +299,11 @@ def test_distances_of_long_spans_by_pieces():
     for letters in ("abcdefgh ", "ab"):
         made, limit = [], []
         for _ in range(14):
-            line = "".join(rng.choice(letters) for _ in range(rng.randint(700, 1500)))
+            line = "".join(rng.choice(letters) for _ in range(rng.randint(1100, 2500)))
             within = rng.choice([14, 20, 31])
             made += [line, edited(rng, line, within + rng.choice([-4, 0, 1, 3]))]
             limit.append(within)
-        made += ["xy" * 400, "xy" * 395 + "yx" * 4, "q" * 600, "q" * 590]
+        made += ["xy" * 800, "xy" * 795 + "yx" * 4, "q" * 1600, "q" * 1590]
         limit += [31, 31]
         code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
         at = lines.np.cumsum([0, *map(len, made)])
