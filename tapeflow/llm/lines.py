@@ -53,9 +53,9 @@ _BANDS = (6, MOST_EDITS)
 _LOOK = 16
 #: Spans of so many characters are compared piece by piece.
 _LONG = 1024
-_FINE = 4
+_FINE = 2
 _SOON = 1 << 13
-_ALL_PAIRS = 1 << 22
+_ALL_PAIRS = 1 << 20
 _FEW_LINES = 1 << 13
 _CLASS_RATIO = 1.2
 #: The bit map of indexed keys: blocks of numbers of 64 bits.
@@ -233,12 +233,14 @@ def _pieces(hasher: Hasher, sums: np.ndarray, a: tuple, b: tuple, within: int) -
         return None
     ends, move, a_to, b_to = [], 0, a[0], b[0]
     for i in np.flatnonzero(same.any(axis=1)).tolist():
-        options = moves[same[i]]
-        options = options[place[i] - a[0] + b[0] + options >= b_to]
-        if not len(options):
-            continue
-        move = int(options[np.argmin(np.abs(options - move))])
-        there = place[i] - a[0] + b[0] + move
+        unmoved = place[i] - a[0] + b[0]
+        if not (same[i, move + within] and unmoved + move >= b_to):
+            options = moves[same[i]]
+            options = options[unmoved + options >= b_to]
+            if not len(options):
+                continue
+            move = int(options[np.argmin(np.abs(options - move))])
+        there = unmoved + move
         ends.append((a_to, place[i], b_to, there))
         a_to, b_to = place[i] + width, there + width
     ends.append((a_to, a[1], b_to, b[1]))
