@@ -159,8 +159,12 @@ def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.nd
             some = lines[first : first + step]
             begin = np.where(behind, end[some][:, None], start[some][:, None]) + offset
             inside = (begin >= start[some][:, None]) & (begin + width <= end[some][:, None])
-            which, column = np.nonzero(inside)
-            begin = begin[inside]
+            if inside.all():
+                which, column = np.divmod(np.arange(begin.size), len(offset))
+                begin = begin.ravel()
+            else:
+                which, column = np.nonzero(inside)
+                begin = begin[inside]
             yield some[which], (hasher.cut(sums, begin, begin + width) ^ name[column]).view(np.int64), indexed[column]
 
 
@@ -439,7 +443,7 @@ def _ties(docs: DataFrame, text: str, bits: np.ndarray, share: int) -> DataFrame
     rows = docs.select(text).mapInArrow(run, "key long, node long, indexed boolean")
     least = F.min(F.when(F.col("indexed"), F.col("node"))).over(Window.partitionBy("key"))
     met = rows.withColumn("least", least).filter("least IS NOT NULL AND node != least")
-    return met.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    return met.select(F.col("node").alias("a"), F.col("least").alias("b"))
 
 
 def _histogram(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
