@@ -151,6 +151,27 @@ def liveness(
     )
 
 
+def outages(
+    events: DataFrame, as_of: Column, source: str, ts: str, gap: str = "5 minutes"
+) -> DataFrame:
+    """(source, down_from, down_until): when each source was silent for longer than ``gap``.
+
+    A source is up from an event until ``gap`` after it, so its uptimes are session windows;
+    an outage lies between the end of one and the start of the next.  The last one is open
+    (NULL) where the source has not been heard from again by ``as_of``.  Events of one source and
+    minute are merged before the shuffle, so a task gets a few rows per minute and source.
+    """
+    heard = events.where(F.col(ts).isNotNull() & F.col(source).isNotNull() & (F.col(ts) <= as_of))
+    minutes = heard.groupBy(F.col(source).alias("source"), F.date_trunc("minute", F.col(ts)).alias("minute")).agg(
+        F.min(ts).alias("first"), F.max(ts).alias("last")
+    )
+    ends = minutes.select("source", F.explode(F.array_distinct(F.array("first", "last"))).alias("at"))
+    up = ends.groupBy("source", F.session_window("at", gap).alias("up")).agg(F.count("*").alias("n"))
+    later = F.lead("up.start").over(Window.partitionBy("source").orderBy("up.start"))
+    down = up.select("source", F.col("up.end").alias("down_from"), later.alias("down_until"))
+    return down.where(F.col("down_until").isNotNull() | (F.col("down_from") < as_of))
+
+
 def label_values(rows: DataFrame, label: Column | str) -> DataFrame:
     """The distinct values of a label in ascending order."""
     column = F.col(label) if isinstance(label, str) else label

@@ -932,6 +932,20 @@ def liveness(spark, sf_dir):
     return M.liveness(D.table(spark, sf_dir, "events"), sources, as_of, "event_type", "ts")
 
 
+@register(
+    "A8",
+    """WITH e AS (SELECT event_type AS source, ts, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS heard FROM events)
+    SELECT source, ts + INTERVAL 5 MINUTE AS down_from, heard AS down_until FROM e
+    WHERE heard > ts + INTERVAL 5 MINUTE
+      OR (heard IS NULL AND ts + INTERVAL 5 MINUTE < (SELECT max(ts) FROM events))""",
+)
+def outages(spark, sf_dir):
+    """When each event type was silent for more than five minutes."""
+    as_of = _last_event(spark, sf_dir).cast("timestamp_ntz")
+    down = M.outages(D.table(spark, sf_dir, "events"), as_of, "event_type", "ts")
+    return down.select("source", *_plain("down_from", "down_until"))
+
+
 @register("A7", "SELECT DISTINCT event_type AS label_value FROM events")
 def label_values(spark, sf_dir):
     return M.label_values(D.table(spark, sf_dir, "events"), "event_type")

@@ -286,3 +286,18 @@ def test_display(spark):
 def test_seconds_are_cut(spark):
     df = spark.createDataFrame([(1999,), (2000,), (None,)], "ms bigint")
     assert [r[0] for r in df.select(F.unix_seconds(seconds_time("ms"))).collect()] == [1, 2, None]
+
+
+def test_outages(spark):
+    """Silences longer than five minutes, an open one at the end, ties, and rows without a time."""
+    minute = 60
+    times = {"a": [0, 0, 4 * minute, 9 * minute, 20 * minute, 58 * minute], "b": [minute, 59 * minute], "c": [30 * minute]}
+    rows = [(name, t) for name, ts in times.items() for t in ts] + [("a", None), (None, 5), ("c", 90 * minute)]
+    events = spark.createDataFrame(rows, "name string, s long").select("name", F.timestamp_seconds("s").alias("ts"))
+    down = M.outages(events, F.timestamp_seconds(F.lit(60 * minute)), "name", "ts")
+    seconds = [F.unix_seconds(c).alias(c) for c in ("down_from", "down_until")]
+    got = {tuple(r) for r in down.select("source", *seconds).collect()}
+    assert got == {
+        ("a", 14 * minute, 20 * minute), ("a", 25 * minute, 58 * minute),
+        ("b", 6 * minute, 59 * minute), ("c", 35 * minute, None),
+    }
