@@ -482,3 +482,40 @@ def hopping_ticker_stream(
         *_FIGURES,
     )
     return _with_derived(flat, "window_start", "window_end", "symbol")
+
+
+def closed_windows_stream(
+    trades: DataFrame, period_ms: int, slide_ms: int, delay: str
+) -> DataFrame:
+    """The hopping ticker of a stream, each window once, when the watermark has passed its end.
+
+    Two stateful steps in a chain, for append mode: trades are reduced to one row per symbol and
+    step, the longest that divides period and slide, and only closed steps are copied to the
+    windows that contain them.  So the state holds open steps and open windows, no trades, and a
+    trade is handled once however many windows overlap.  A trade whose step was closed when it
+    came is left out; the query's progress counts it (``ingest.late_rows``).
+    """
+    if not 0 < slide_ms <= period_ms:
+        raise ValueError("the slide must not exceed the period")
+    period, slide, step = (
+        f"{ms} milliseconds" for ms in (period_ms, slide_ms, math.gcd(period_ms, slide_ms))
+    )
+    timed = (
+        priced(trades)
+        .withColumn("ts", F.timestamp_millis("event_time"))
+        .withColumn("order", trade_order())
+    )
+    steps = (
+        timed.withWatermark("ts", delay)
+        .groupBy(F.window("ts", step), "symbol")
+        .agg(*_figures_of_trades(F.col("order")))
+        .select(F.window_time("window").alias("at"), "symbol", *_FIGURES)
+    )
+    windows = steps.groupBy(F.window("at", period, slide), "symbol").agg(*_figures_of_parts("at"))
+    flat = windows.select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        "symbol",
+        *_FIGURES,
+    )
+    return _with_derived(flat, "window_start", "window_end", "symbol")

@@ -816,6 +816,34 @@ def hopping_ticker_stream(spark, sf_dir):
     return _windows_plain(last)
 
 
+_CLOSED_WHERE = f"""
+WHERE (start * {6 * HOUR_MS} + {DAY_MS}) <= (SELECT max(event_time) FROM trades) - {2 * HOUR_MS}"""
+
+
+@register("D11 ST1-ST6", O.hopping(DAY_MS, 6 * HOUR_MS) + _CLOSED_WHERE)
+def hopping_ticker_closed_stream(spark, sf_dir):
+    """Windows that a watermark of two hours has closed.
+
+    The first run reads half a month; the second the rest and, once more, the trades up to a day
+    before that half month's end, which are late by then and left out.  Each run is one batch, as
+    the messages of a run are not in the order of time.
+    """
+    trades = D.trades(spark, sf_dir)
+    inbox, checkpoint = shared_dir(spark, "topic"), shared_dir(spark, "checkpoint")
+    out = shared_dir(spark, "closed")
+    time = F.col("event_time")
+    for rows in (
+        trades.where(time < _MID_MONTH),
+        trades.where((time >= _MID_MONTH) | (time < _MID_MONTH - DAY_MS)),
+    ):
+        lines = D.trade_messages(rows).select(F.col("value").cast("string").alias("value"))
+        lines.write.mode("append").text(inbox)
+        messages = Q.usable(read_messages(text_stream(spark, inbox), TRADES), TRADES)
+        windows = K.closed_windows_stream(messages, DAY_MS, 6 * HOUR_MS, "2 hours")
+        I.start_closed(windows, out, checkpoint, _NOW).awaitTermination()
+    return _windows_plain(spark.read.schema(windows.schema).parquet(out))
+
+
 # --- operations -------------------------------------------------------------
 
 
@@ -838,6 +866,26 @@ def msgs_per_sec_1m(spark, sf_dir):
     return rates.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@register(
+    "A4",
+    f"""WITH {O.MESSAGES}, ticks AS (
+      SELECT symbol AS topic, epoch_us(ts) // 5000000 AS tick, count(*) AS n
+      FROM messages GROUP BY 1, 2), weighed AS (
+      SELECT topic, tick, n / 5.0::DOUBLE * CASE
+        WHEN tick = min(tick) OVER (PARTITION BY topic) THEN 1 ELSE 1 - exp(-1 / 12.0::DOUBLE) END AS rate
+      FROM ticks), minutes AS (SELECT DISTINCT topic, tick // 12 AS minute FROM ticks)
+    SELECT m.topic, make_timestamp(m.minute * 60000000) AS window_start,
+      round(sum(w.rate * exp((w.tick - m.minute * 12 - 11) / 12.0::DOUBLE)), 9) AS one_minute_rate
+    FROM minutes m JOIN weighed w ON w.topic = m.topic AND w.tick <= m.minute * 12 + 11
+    GROUP BY m.topic, m.minute""",
+)
+def decayed_rate(spark, sf_dir):
+    rates = M.decayed_rate(_by_event_type(spark, sf_dir))
+    return rates.select(
+        "topic", *_plain("window_start"), F.round("one_minute_rate", 9).alias("one_minute_rate")
+    )
+
+
 @register(
     "A4 ST1-ST6",
     f"""WITH {O.MESSAGES} SELECT date_trunc('minute', ts) AS window_start, topic,

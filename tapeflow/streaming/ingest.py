@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -113,6 +114,31 @@ def start_console(
     return _started(writer, trigger)
 
 
+def start_closed(
+    rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append rows that never change, such as closed windows, to a folder of Parquet files."""
+    writer = (
+        rows.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _started(writer, trigger)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark left out, over the batches the session keeps the progress of.
+
+    Late rows of one group and task are put together first and count once.
+    """
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in json.loads(progress.json)["stateOperators"]
+    )
+
+
 def start_versions(
     aggregate: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

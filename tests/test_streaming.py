@@ -256,3 +256,30 @@ def test_console_sink(spark, tmp_path):
     query = I.start_console(rows, str(tmp_path / "checkpoint"), NOW)
     query.awaitTermination()
     assert sum(p["numInputRows"] for p in query.recentProgress) == 1
+
+
+def test_closed_windows_leave_out_late_trades_and_count_them(spark, tmp_path):
+    """Period 10 s, slide 4 s: steps of 2 s, closed once the watermark (1 s back) has passed them."""
+    inbox, out, checkpoint = tmp_path / "inbox", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    at = {1: 20_000, 2: 21_500, 3: 26_000, 4: 45_000}
+    late = [message(9, t=20_100, price="99"), message(10, t=44_500, price="7")]
+    dropped = 0
+    for messages in ([message(i, t=t, price=str(i)) for i, t in at.items()], late, [message(11, t=80_000)]):
+        write_files(inbox, messages, 1)
+        rows = Q.usable(read_messages(text_stream(spark, str(inbox)), TRADES), TRADES)
+        windows = K.closed_windows_stream(rows, 10_000, 4_000, "1 second")
+        query = I.start_closed(windows, out, checkpoint, NOW)
+        query.awaitTermination()
+        dropped += I.late_rows(query)
+    assert dropped == 1  # trade 9; trade 10 is older than the newest, but its step is open
+    kept = [*at.values(), 44_500]
+    expected = {}
+    for start in range(0, 80_000, 4_000):
+        inside = [t for t in kept if start <= t < start + 10_000]
+        if inside and start + 10_000 <= 79_000:
+            expected[start] = len(inside)
+    got = spark.read.parquet(out).withColumn("start", F.unix_millis("window_start")).collect()
+    assert {r["start"]: r["total_trades"] for r in got} == expected
+    assert len(got) == len(expected) and max(r["high_price"] for r in got) == 7.0
+    first = next(r for r in got if r["start"] == 16_000)
+    assert (first["open_price"], first["last_price"], first["volume"]) == (1.0, 2.0, 4.0)
