@@ -13,6 +13,13 @@ from tapeflow.functions.times import floor_div, in_range
 
 SAMPLE_COLUMNS = ("metric", "labels", "ts", "value")
 
+# Fixed values of a decayed rate: its step, and the steps in which it decays to 1/e.
+_TICK_MICROS = 5_000_000
+_TICKS = 12
+
+#: exp(-60) to this power is below the least double.
+_HOURS_FELT = 13
+
 
 def whole_minutes(messages: DataFrame, as_of: Column, back: str = "5 minutes") -> DataFrame:
     """The messages of all minutes that begin in the range, for rates that are asked over it.
@@ -40,6 +47,60 @@ def messages_per_second(messages: DataFrame) -> DataFrame:
     )
 
 
+def decayed_rate(messages: DataFrame) -> DataFrame:
+    """The exponentially decayed one-minute rate of each topic, at the end of its minutes.
+
+    The usual meter: every five seconds the rate moves by ``1 - exp(-5/60)`` towards the rate of
+    these five seconds, from that of the topic's first five.  Minutes with messages have a row;
+    ``s`` seconds later the rate is ``exp(-s/60)`` of it.
+
+    The recurrence is linear, so it is run by blocks: a running sum inside an hour, with weights
+    that stay far from the limits of a double, and what earlier hours leave to it.  An hour decays
+    by ``exp(-60)``, so hours more than ``_HOURS_FELT`` back are zero as a double, and each hour's
+    sum goes to so many later ones.  No task holds more than an hour's minutes of a topic.
+    """
+    tick = floor_div(F.unix_micros(F.col("ts").cast("timestamp")), _TICK_MICROS)
+    ticks = messages.where(F.col("ts").isNotNull()).groupBy("topic", tick.alias("tick")).agg(F.count("*").alias("n"))
+    first = ticks.groupBy("topic").agg(F.min("tick").alias("tick"), F.lit(True).alias("opens"))
+    gain = F.lit(1.0) - F.exp(F.lit(-1.0 / _TICKS))
+    rate = F.col("n") * F.lit(1e6 / _TICK_MICROS) * F.when(F.col("opens"), 1.0).otherwise(gain)
+    minute = floor_div(F.col("tick"), _TICKS)
+    # Sums over ticks j are kept as the sum of rate_j * exp(j - end of the minute).
+    minutes = (
+        ticks.join(first, ["topic", "tick"], "left")
+        .groupBy("topic", minute.alias("minute"))
+        .agg(F.sum(rate * F.exp((F.pmod("tick", F.lit(_TICKS)) - (_TICKS - 1)) / F.lit(float(_TICKS)))).alias("sum"))
+        .withColumn("hour", floor_div(F.col("minute"), 60))
+    )
+    grown = F.col("sum") * F.exp((F.col("minute") - F.col("hour") * 60).cast("double"))
+    carried = (
+        minutes.groupBy("topic", "hour")
+        .agg(F.sum(grown).alias("grown"))
+        .withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(_HOURS_FELT))))
+        .groupBy("topic", (F.col("hour") + F.col("ahead")).alias("hour"))
+        .agg(F.sum(F.col("grown") * F.exp(F.col("ahead") * -60.0)).alias("grown"))
+        .select("topic", "hour", F.lit(None).cast("bigint").alias("minute"), "grown")
+    )
+    inside = (
+        Window.partitionBy("topic", "hour")
+        .orderBy(F.col("minute").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        minutes.select("topic", "hour", "minute", grown.alias("grown"))
+        .unionByName(carried)
+        .withColumn("reached", F.sum("grown").over(inside))
+        .where(F.col("minute").isNotNull())
+        .select(
+            "topic",
+            F.timestamp_seconds(F.col("minute") * 60).alias("window_start"),
+            (F.col("reached") * F.exp((F.col("hour") * 60 - F.col("minute")).cast("double"))).alias(
+                "one_minute_rate"
+            ),
+        )
+    )
+
+
 def bytes_per_second(messages: DataFrame) -> DataFrame:
     """Message bytes per second of each topic and minute."""
     return _per_minute(messages).select(
