@@ -14,6 +14,7 @@ leaves every document clean; other columns pass through unchanged.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeflow.llm import packed
 from tapeflow.llm.words import Hasher, Words, alnum_words, chunks, grams
 
 N = 10
@@ -195,12 +197,12 @@ def find(
 
 
 def _scan(docs: DataFrame, grams_of: GramSet, text: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(grams_of)
+    sent = docs.sparkSession.sparkContext.broadcast(packed(grams_of))
     place = docs.columns.index(text)
     names = [*docs.columns, "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table, known = Hasher(), alnum_words(), sent.value
+        hasher, table, known = Hasher(), alnum_words(), pickle.loads(sent.value)
         for batch in batches:
             for low, high, data, at in chunks(batch.column(place), lower=True):
                 words = Words(data, at, table)
