@@ -510,3 +510,28 @@ def test_query_equals_its_sql(spark, name):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sf = "/root/testdata/sf0.001"
     assert compare(spark, duck(sf), name, QUERIES[name], ORACLES[name], sf) is None
+
+
+def test_quality_threshold_whatever_the_partitions(spark):
+    """The exact quantiles of the held-out labels, in whatever partitions they come."""
+    n, lengths = 100_000, F.pmod(F.xxhash64("doc_id"), F.lit(97)) + 1
+    docs = spark.range(n).toDF("doc_id").withColumn("text", F.expr("concat_ws(' ', transform(sequence(1, cast(pmod(xxhash64(doc_id), 13) as int) + 1), i -> hex(pmod(xxhash64(doc_id, i), 400))))"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.pmod(lengths, F.lit(3)) > 0).cast("int").alias("quality"))
+    thresholds = set()
+    for parts in (1, 7, 40):
+        ratio, threshold = quality.fit(docs.repartition(parts), labels)
+        thresholds.add(threshold)
+    held = quality.measured(docs, ratio, "text", keep_text=False).join(labels, "doc_id").filter(
+        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(quality.FOLDS)) == 0
+    )
+    rows = [(r.quality, r.quality_of.score) for r in held.collect()]
+
+    def quantile(scores, share):
+        scores, at = sorted(scores), share * (len(scores) - 1)
+        low = math.floor(at)
+        return scores[low] + (at - low) * (scores[min(low + 1, len(scores) - 1)] - scores[low])
+
+    low = quantile([s for good, s in rows if good], 1 - quality.KEPT)
+    high = quantile([s for good, s in rows if not good], quality.KEPT)
+    want = low if high > low else (low + high) / 2
+    assert len(thresholds) == 1 and math.isclose(thresholds.pop(), want, rel_tol=1e-9)
