@@ -24,6 +24,7 @@ from tapeflow.plans.ticker_tables import refresh_ticker
 from tapeflow.scratch import shared_dir, staged
 from tapeflow.sources import tables as S
 from tapeflow.sources import zones as Z
+from tapeflow.sources.growing import growing_log_stream
 from tapeflow.sources.log_table import read_lines
 from tapeflow.sources.topics import fan_in, log_files, log_stream, one_topic, text_stream
 from tapeflow.streaming import ingest as I
@@ -1119,10 +1120,13 @@ _CONTAINER_FOLDER = r"/container=(.{12})[^/]*/"
 
 def _log_folders(spark, sf_dir) -> str:
     """Log files, a folder for each container; a pattern of their paths."""
-    folder = shared_dir(spark, "containers")
+    return _add_logs(D.log_records(spark, sf_dir), shared_dir(spark, "containers"))
+
+
+def _add_logs(records: DataFrame, folder: str) -> str:
     container = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("container")
-    records = D.log_records(spark, sf_dir).select("value", container)
-    records.hint("rebalance", "container").write.partitionBy("container").text(folder)
+    files = records.select("value", container).hint("rebalance", "container").write
+    files.mode("append").partitionBy("container").text(folder)
     return f"{folder}/*/*"
 
 
@@ -1134,6 +1138,21 @@ def log_files_shape(spark, sf_dir):
     return lines.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@register("S10 ST7 L1-L6", f"WITH {O.LOGS} SELECT * FROM logs")
+def log_lines_by_offset(spark, sf_dir):
+    """Log files read up to a byte each, then more of them by the same query: each line once."""
+    folder, table = shared_dir(spark, "containers"), shared_dir(spark, "log_lines")
+    checkpoint = shared_dir(spark, "checkpoint")
+    records = D.log_records(spark, sf_dir)
+    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (records.where(early), records.where(~early)):
+        found = growing_log_stream(spark, _add_logs(part, folder))
+        lines = G.shape_logs(found, container_path=_CONTAINER_FOLDER)
+        I.start_log_ingest(lines, table, checkpoint, _NOW).awaitTermination()
+    stored = read_lines(spark, table).drop("time_text", "log_date", "log_hour", "writer", "epoch")
+    return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @register("S10 ST7 F4 F5 T4 L1-L6", _TAIL)
 def log_table_tail(spark, sf_dir):
     """Log files through a stream into the table of lines, then its last minutes."""
