@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tapeflow.functions.times import floor_div, in_range
+from tapeflow.operators.quality import counted
 
 # Job label, file pattern, path pattern and attribute names.
 LOG_JOB = "containerlogs"
@@ -22,20 +23,27 @@ ATTRIBUTES = {
 RECORD = "log string, stream string, time string, attrs map<string,string>"
 
 
-def shape_logs(records: DataFrame, job: str = LOG_JOB, container_path: str = CONTAINER_PATH) -> DataFrame:
+def shape_logs(
+    records: DataFrame, job: str = LOG_JOB, container_path: str = CONTAINER_PATH,
+    observed: Observation | str | None = None,
+) -> DataFrame:
     """``value`` (one JSON record) and ``path`` to timestamp, line and labels.
 
     The first group of ``container_path`` is the container's id.
 
     A record that is not JSON, or holds no text, is its own line, without a time.  The
-    time is cut to microseconds; its text is kept to order lines below that.
+    time is cut to microseconds; its text is kept to order lines below that.  ``observed`` is told
+    how many records there were, how many had no text and how many lines have no time.
     As in ``decode``, the generator keeps filters from parsing a record again.
     """
     record = F.from_json(F.col("value").cast("string"), RECORD)
     parsed = records.select("path", "value", F.explode(F.array(record)).alias("record"))
-    container = F.regexp_extract("path", container_path, 1)
+    container, time = F.regexp_extract("path", container_path, 1), F.try_to_timestamp("record.time")
+    if observed is not None:
+        unparsed = F.col("record.log").isNull()
+        parsed = counted(parsed, observed, unparsed=unparsed, without_time=time.isNull())
     return parsed.select(
-        F.try_to_timestamp("record.time").alias("ts"),
+        time.alias("ts"),
         F.coalesce("record.log", F.col("value").cast("string")).alias("line"),
         F.lit(job).alias("job"),
         F.col("record.stream").alias("stream"),

@@ -1,8 +1,8 @@
-"""Key rules: not null, first write wins, conflict report."""
+"""Key rules: not null, first write wins, conflict report; numbers of rows left out."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapeflow.contracts import StreamSpec
@@ -46,12 +46,28 @@ def reject_known(rows: DataFrame, known: DataFrame, key: tuple[str, ...]) -> Dat
     return rows.join(known.select(*key), list(key), "left_anti")
 
 
-def drop_late_copies(stream: DataFrame, key: tuple[str, ...], ts: str, delay: str) -> DataFrame:
+def counted(rows: DataFrame, observed: Observation | str, **chosen: Column) -> DataFrame:
+    """``rows``, which report their number (``seen``) and those of the ``chosen`` when they are used.
+
+    A batch reports to an ``Observation``; a stream, or a batch with a listener, under a name, batch
+    by batch (``ingest.reported`` adds up).  The numbers are taken on the way, without another pass.
+    """
+    figures = [F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in chosen.items()]
+    return rows.observe(observed, F.count(F.lit(1)).alias("seen"), *figures)
+
+
+def drop_late_copies(
+    stream: DataFrame, key: tuple[str, ...], ts: str, delay: str, observed: str | None = None
+) -> DataFrame:
     """First write wins inside a stream, with state bounded by the watermark.
 
-    Rows without a time count as late; where there are any, use the table look-up.
+    Rows without a time count as late; where there are any, use the table look-up.  What is left
+    out is the difference of the numbers reported as ``observed`` and ``observed`` + " kept".
     """
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+    if observed is not None:
+        stream = counted(stream, observed)
+    kept = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+    return kept if observed is None else counted(kept, f"{observed} kept")
 
 
 def conflicts_within(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:

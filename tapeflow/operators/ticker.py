@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapeflow.functions.times import MINUTE_MS, floor_div, is_time
+from tapeflow.operators.quality import counted
 
 #: Slices are at most this long, so one of a symbol holds a bounded number of rows
 #: whatever the trade rate (see ``rolling_ticker``) and whatever the period.
@@ -57,19 +58,26 @@ _TICKER_COLUMNS = (
 )
 
 
-def priced(trades: DataFrame) -> DataFrame:
-    """Trades that have a time, a price and a quantity, the last two as decimals."""
-    return (
-        trades.select(
-            "symbol",
-            "event_time",
-            "trade_id",
-            F.col("price").try_cast("decimal(18,8)").alias("price"),
-            F.col("quantity").try_cast("decimal(18,8)").alias("quantity"),
-        )
-        .where(is_time(F.col("event_time")))
-        .where(F.col("price").isNotNull() & F.col("quantity").isNotNull())
+def priced(trades: DataFrame, observed: Observation | str | None = None) -> DataFrame:
+    """Trades that have a time, a price and a quantity, the last two as decimals.
+
+    ``observed`` is told how many there were and how many are left out for want of each.
+    """
+    typed = trades.select(
+        "symbol",
+        "event_time",
+        "trade_id",
+        F.col("price").try_cast("decimal(18,8)").alias("price"),
+        F.col("quantity").try_cast("decimal(18,8)").alias("quantity"),
     )
+    no_time = ~F.coalesce(is_time(F.col("event_time")), F.lit(False))
+    no_price, no_quantity = F.col("price").isNull(), F.col("quantity").isNull()
+    if observed is not None:
+        typed = counted(
+            typed, observed, no_time=no_time, no_price=~no_time & no_price,
+            no_quantity=~no_time & ~no_price & no_quantity,
+        )
+    return typed.where(is_time(F.col("event_time"))).where(~no_price & ~no_quantity)
 
 
 def _figures_of_trades(order: Column) -> list[Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapeflow.contracts import TICKER_1D, TICKER_1H, TRADES, check_schema
@@ -845,6 +845,47 @@ def hopping_ticker_closed_stream(spark, sf_dir):
     return _windows_plain(spark.read.schema(windows.schema).parquet(out))
 
 
+@register(
+    "K2 P5 D6 L6",
+    f"""WITH {O.TRADES}, {O.LINE_TRADES} SELECT * FROM (
+      SELECT 'priced' AS step, 'seen' AS what, count(*) AS n FROM trades
+      UNION ALL SELECT 'priced', 'no_time', count(*) FROM trades WHERE symbol = 'VIEW'
+      UNION ALL SELECT 'priced', 'no_price', count(*) FROM trades WHERE symbol = 'ERROR'
+      UNION ALL SELECT 'priced', 'no_quantity', 0
+      UNION ALL SELECT 'logs', 'seen', 2 * count(*) FROM documents
+      UNION ALL SELECT 'logs', 'unparsed', count(*) + count(*) FILTER (text IS NULL) FROM documents
+      UNION ALL SELECT 'logs', 'without_time', count(*) FROM documents
+      UNION ALL SELECT 'copies', 'seen', count(*) FROM line_trades
+      UNION ALL SELECT 'copies', 'kept', count(*) FROM (SELECT DISTINCT trade_id, symbol FROM line_trades))""",
+)
+def rows_left_out(spark, sf_dir):
+    """What three steps leave out, reported by the rows on their way."""
+    of = {"priced": Observation(), "logs": Observation()}
+    symbol = F.col("symbol")
+    trades = D.trades(spark, sf_dir).withColumns(
+        {
+            "event_time": F.when(symbol != "VIEW", F.col("event_time")),
+            "price": F.when(symbol != "ERROR", F.col("price")),
+        }
+    )
+    K.priced(trades, of["priced"]).write.format("noop").mode("overwrite").save()
+    records = D.log_records(spark, sf_dir)
+    texts = D.table(spark, sf_dir, "documents").select(F.col("text").alias("value"), F.lit("").alias("path"))
+    shaped = G.shape_logs(records.unionByName(texts), observed=of["logs"])
+    shaped.write.format("noop").mode("overwrite").save()
+    files = _message_files(D.trade_messages(D.line_trades(spark, sf_dir)), "topic")
+    rows = Q.usable(read_messages(_message_stream(spark, files), TRADES), TRADES)
+    timed = rows.withColumn("ts", millis_time("event_time"))
+    keys = Q.drop_late_copies(timed, TRADES.key, "ts", "4000 days", "copies")
+    query = I.start_closed(keys, shared_dir(spark, "keys"), shared_dir(spark, "checkpoint"), _NOW)
+    query.awaitTermination()
+    numbers = {step: o.get for step, o in of.items()}
+    numbers["copies"] = I.reported(query, "copies")
+    numbers["copies"]["kept"] = I.reported(query, "copies kept")["seen"]
+    found = [(step, what, n) for step, figures in numbers.items() for what, n in figures.items()]
+    return spark.createDataFrame(found, "step string, what string, n bigint")
+
+
 # --- operations -------------------------------------------------------------
 
 

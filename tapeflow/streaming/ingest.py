@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -139,6 +140,14 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
+def reported(query: StreamingQuery, name: str) -> dict[str, int]:
+    """The numbers reported under ``name``, over the batches the session keeps the progress of."""
+    total: Counter[str] = Counter()
+    for progress in query.recentProgress:
+        total.update(json.loads(progress.json).get("observedMetrics", {}).get(name, {}))
+    return dict(total)
+
+
 def start_versions(
     aggregate: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

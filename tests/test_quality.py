@@ -1,7 +1,10 @@
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tapeflow.contracts import TRADES
 from tapeflow.operators import quality as Q
+from tapeflow.operators import ticker as K
+from tapeflow.operators.logs import shape_logs
 
 SCHEMA = "trade_id bigint, symbol string, event_time bigint, price double, quantity double"
 KEY = TRADES.key
@@ -87,3 +90,18 @@ def test_hot_key(spark):
     assert first.where("trade_id = 0").first().event_time == 30000 - 29997
     report = Q.conflicts_within(rows, KEY).collect()
     assert [(r.trade_id, r.copies) for r in report] == [(0, 10000)]
+
+
+def test_left_out_rows_are_counted(spark):
+    rows = [("A", 1, 1, "1.5", "2"), ("A", None, 2, "1", "1"), ("A", 2**62, 3, None, "1"), ("A", 4, 4, "x", None), ("A", 5, 5, "1", "y")]
+    trades = spark.createDataFrame(rows, "symbol string, event_time bigint, trade_id bigint, price string, quantity string")
+    seen = Observation()
+    assert [r.trade_id for r in K.priced(trades, seen).collect()] == [1]
+    assert seen.get == {"seen": 5, "no_time": 2, "no_price": 1, "no_quantity": 1}
+    records = spark.createDataFrame(
+        [('{"log":"a","time":"2024-01-01T00:00:00Z"}', "p"), ('{"log":"b","time":"soon"}', "p"), ("plain", "p"), (None, "p")],
+        "value string, path string",
+    )
+    logs = Observation()
+    assert len(shape_logs(records, observed=logs).collect()) == 4
+    assert logs.get == {"seen": 4, "unparsed": 2, "without_time": 3}
