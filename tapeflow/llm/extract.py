@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,12 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# <tag attributes>, comments, declarations; the text between is what matters
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
+# how a tag, a comment or a declaration begins, and what ends or quotes inside a tag
+_OPENS = re.compile(r"<(?:(?P<comment>!--)|(?P<cdata>!\[CDATA\[)|(?P<declared>[!?])|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*))")
+_SPECIAL = re.compile(r"[\"'>]")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 
@@ -80,6 +78,84 @@ class Node:
         self.linked = 0
 
 
+class Stack(list):
+    """Open elements, with how many there are of each name."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.open: Counter[str] = Counter()
+
+    def push(self, node: Node) -> None:
+        self.append(node)
+        self.open[node.name] += 1
+
+    def cut(self, i: int) -> None:
+        self.open.subtract(node.name for node in self[i:])
+        del self[i:]
+
+
+class Tags:
+    """Where tags end, each part of the page looked at a bounded number of times.
+
+    A tag ends at the first ``>`` outside quotes.  What follows depends only on the first quote or
+    ``>`` from a place on, so the answer is kept for each of these; most fail together.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.fate: dict[int, int] = {}  # of a quote or ">" outside quotes: the tag's end, or -1
+        self.low = self.high = -1  # no special character from low on before high
+
+    def _special(self, at: int) -> int:
+        if not self.low <= at <= self.high:
+            found = _SPECIAL.search(self.page, at)
+            self.low, self.high = at, found.start() if found else len(self.page)
+        return self.high
+
+    def end(self, at: int) -> int:
+        """Past the ``>`` of the tag whose attributes begin at ``at``, or -1."""
+        page, passed, special = self.page, [], self._special(at)
+        while special not in self.fate:
+            passed.append(special)
+            if special == len(page):
+                self.fate[special] = -1
+            elif page[special] == ">":
+                self.fate[special] = special + 1
+            else:
+                close = page.find(page[special], special + 1)
+                if close < 0:
+                    self.fate[special] = -1
+                else:
+                    found = _SPECIAL.search(page, close + 1)
+                    special = found.start() if found else len(page)
+        for place in passed:
+            self.fate[place] = self.fate[special]
+        return self.fate[special]
+
+
+def _markup(page: str, tags: Tags, last: int, at: int) -> tuple[re.Match | None, int]:
+    """The next tag, comment or declaration from ``at`` on and its end; ``last``: of the page's ``>``."""
+    found = _OPENS.search(page, at)
+    while found:
+        if found["comment"] or found["cdata"]:
+            close = "-->" if found["comment"] else "]]>"
+            stop = page.find(close, found.end())
+            return found, stop + 3 if stop >= 0 else len(page)
+        if found.end() > last:
+            break  # nothing after it ends a tag; a comment may still come
+        if page[found.end()] == ">":
+            return found, found.end() + 1
+        stop = page.find(">", found.end()) + 1 if found["declared"] else tags.end(found.end())
+        if stop > 0:
+            return found, stop
+        found = _OPENS.search(page, found.start() + 1)
+    if found:
+        begins = [i for i in (page.find("<!--", found.start()), page.find("<![CDATA[", found.start())) if i >= 0]
+        if begins:
+            return _OPENS.match(page, min(begins)), len(page)
+    return None, len(page)
+
+
 def _named(attrs: str) -> tuple[str, bool]:
     """The class, id and role values, and whether the element is hidden."""
     names, hidden = [], False
@@ -100,20 +176,21 @@ def _boiler(name: str, names: str) -> bool:
 
 def parse(page: str) -> Node:
     root = Node("html", None, False)
-    stack = [root]
+    stack = Stack(root)
     at, end = 0, len(page)
+    tags, last = Tags(page), page.rfind(">")
     while at < end:
-        found = _MARKUP.search(page, at)
+        found, stop = _markup(page, tags, last, at)
         text = page[at : found.start()] if found else page[at:]
         top = stack[-1]
         if text and not top.skipped:
             top.children.append(entities.unescape(text) if "&" in text else text)
         if not found:
             break
-        at = found.end()
-        if found["cdata"] is not None:
+        at = stop
+        if found["cdata"]:
             if not top.skipped:
-                top.children.append(found["cdata"])
+                top.children.append(page[found.end() : stop].removesuffix("]]>"))
             continue
         if found["name"] is None:
             continue
@@ -128,7 +205,7 @@ def parse(page: str) -> Node:
         if name in ("html", "body") and len(stack) == 1:
             continue
         top = stack[-1]
-        attrs = found["attrs"]
+        attrs = page[found.end() : stop - 1]
         names, hidden = _named(attrs) if attrs.strip(" /") else ("", False)
         skipped = top.skipped or hidden or name in _SKIPPED or _boiler(name, names)
         if name == "header" and not any(n.name in ("article", "main") for n in stack):
@@ -145,32 +222,38 @@ def parse(page: str) -> Node:
                 node.children.append(raw)
             at = close.end() if close else end
             continue
-        stack.append(node)
+        stack.push(node)
     return root
 
 
-def _close(stack: list[Node], name: str) -> None:
+def _close(stack: Stack, name: str) -> None:
+    if not stack.open[name]:
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].name == name:
-            del stack[i:]
+            stack.cut(i)
             return
         if name not in _BLOCK and stack[i].name in _BLOCK:
             return  # an inline end tag does not close blocks
 
 
-def _close_paragraph(stack: list[Node]) -> None:
+def _close_paragraph(stack: Stack) -> None:
+    if not stack.open["p"]:
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].name == "p":
-            del stack[i:]
+            stack.cut(i)
             return
         if stack[i].name in _BLOCK:
             return
 
 
-def _close_until(stack: list[Node], names: frozenset[str]) -> None:
+def _close_until(stack: Stack, names: frozenset[str]) -> None:
+    if not any(stack.open[name] for name in names):
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].name in names:
-            del stack[i:]
+            stack.cut(i)
             return
         if stack[i].name in _SCOPE:
             return
@@ -228,16 +311,14 @@ def _block_parent(node: Node) -> Node:
 
 def main_text(page: str) -> str:
     """The main text of a page, blocks joined by line ends."""
-    blocks = list(_blocks(parse(page)))
+    root = parse(page)
+    blocks = list(_blocks(root))
     if not blocks:
         return ""
     scored: dict[int, Node] = {}
     for holder, text, linked in blocks:
-        up: Node | None = holder
-        while up is not None:
-            up.chars += len(text)
-            up.linked += linked
-            up = up.parent
+        holder.chars += len(text)
+        holder.linked += linked
         if holder.name in _HEADING:
             continue
         points = 1.0 + text.count(",") + text.count("，") + len(text) / 100
@@ -251,6 +332,14 @@ def main_text(page: str) -> str:
             share /= 2 if up is not holder or holder.name in ("p", "pre", "blockquote") else 1.25
             up = up.parent
 
+    nodes, todo = [], [root]  # parents before children
+    while todo:
+        nodes.append(todo.pop())
+        todo.extend(child for child in nodes[-1].children if not isinstance(child, str))
+    for node in reversed(nodes[1:]):
+        node.parent.chars += node.chars
+        node.parent.linked += node.linked
+
     def worth(node: Node) -> float:
         return node.points * (1.0 - min(1.0, node.linked / max(1, node.chars)))
 
@@ -277,14 +366,10 @@ def main_text(page: str) -> str:
                 or sibling.name in ("p", "pre", "blockquote", *_HEADING) and sibling.chars > 0 and share < 0.25
             ):
                 kept.add(id(sibling))
-    result = []
-    for holder, text, _ in blocks:
-        up = holder
-        while up is not None and id(up) not in kept:
-            up = up.parent
-        if up is not None:
-            result.append(text)
-    return "\n".join(result)
+    for node in nodes:
+        if node.parent is not None and id(node.parent) in kept:
+            kept.add(id(node))
+    return "\n".join(text for holder, text, _ in blocks if id(holder) in kept)
 
 
 def extract(pages: DataFrame, html: str = "html", keep_html: bool = True) -> DataFrame:

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -535,3 +536,45 @@ def test_quality_threshold_whatever_the_partitions(spark):
     high = quantile([s for good, s in rows if not good], quality.KEPT)
     want = low if high > low else (low + high) / 2
     assert len(thresholds) == 1 and math.isclose(thresholds.pop(), want, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize(
+    "part, times, more, text",
+    [
+        ("<a ", 3_000_000, "", None),  # tags that never end are text
+        ("<a ", 3_000_000, '"', None),
+        ("<a \"'", 1_000_000, "", None),
+        ("<!x", 3_000_000, "", None),
+        ("<a ", 1_000_000, ">end", "end"),
+        ("<b>", 300_000, "</i>" * 300_000 + "end", "end"),
+        ("<div>x", 100_000, "", "\n".join("x" * 100_000)),
+    ],
+)
+def test_long_odd_pages_in_linear_time(part, times, more, text):
+    """Time per part must not grow with their number: a tenth of the page costs a tenth, about."""
+    page = part * times + more
+    start = time.perf_counter()
+    assert extract.main_text(page) == (page.strip() if text is None else text)
+    assert time.perf_counter() - start < 20
+
+
+def test_ends_of_tags():
+    """Against plain scanning of each tag from its name on."""
+    def plain(page, at):
+        quote = None
+        for i in range(at, len(page)):
+            if quote is None and page[i] == ">":
+                return i + 1
+            if page[i] in "\"'" and quote in (None, page[i]):
+                quote = page[i] if quote is None else None
+        return -1
+
+    rng = random.Random(8)
+    for _ in range(3000):
+        page = "".join(rng.choice("\"'>ab") for _ in range(rng.randint(1, 14)))
+        tags = extract.Tags(page)
+        for at in range(len(page)):
+            assert tags.end(at) == plain(page, at), (page, at)
+        places = sorted(rng.randrange(len(page)) for _ in range(5))
+        again = extract.Tags(page)
+        assert [again.end(at) for at in places] == [plain(page, at) for at in places]
