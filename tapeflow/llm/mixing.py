@@ -4,7 +4,9 @@ Only DataFrame functions are used.  Every source gets a target in words: a share
 the total by weight, no more than ``MOST_REPEATS`` times its own size, what is over going
 to the other sources by weight.  A source's documents are put in a random order and laid
 end to end, as often as needed; the stretch up to the target is its quota, cut into
-blocks of words.  The tree starts with all blocks at its root and splits them in
+blocks of words.  Where a document lies across the target, the words up to it are filled by the
+smallest documents that fit, so a source misses its target by no more than half of the
+smallest document that it leaves out (or, with none left out, of the last one it takes).  The tree starts with all blocks at its root and splits them in
 halves: how many blocks of each source go left is drawn from the multivariate
 hypergeometric distribution, one source after the other.  Its leaves are the output
 shards; each takes the next blocks of a source's permuted sequence, so blocks are disjoint
@@ -17,7 +19,8 @@ spread over tasks.  What lies in one row or one task is one number per source an
 Defined cases: a null text has size 0; documents of size 0 are taken with the stretch
 that they lie in; null is a source of its own, last in order; a source of size 0 has
 target 0; rows without an id and repeated rows are mixed as rows of their own; an empty
-table gives an empty mix; other columns pass through.
+table gives an empty mix; other columns pass through, but a given column that has the name of
+an added one gives way to it.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ RANGES = 256
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _NEW = ("size", "source_size", "target", "draws")
+_MIXED = ("shard", "copy", "mix_block", "_local_order")
 
 
 def _uniform(*parts) -> Column:
@@ -156,35 +160,32 @@ def _up_to(number: Column, end: Column) -> Column:
     return end <= number
 
 
-def plan(
-    docs: DataFrame,
-    weights: tuple[float, ...] = WEIGHTS,
-    share: float = SHARE,
-    levels: int = LEVELS,
-    source: str = "source",
-    text: str = "text",
-    keep_text: bool = True,
-) -> DataFrame:
-    """``docs`` with size, source_size, target and ``draws``: the copies of the document
-    that the mix takes, each with block, shard and local order."""
+def _taken(docs: DataFrame, weights, share, levels, source: str, text: str, keep_text: bool) -> tuple[DataFrame, DataFrame]:
+    """(given, row_id): the documents' columns as a struct; (row_id, size, source_size, target,
+    draws): what the mix takes of each.  Sizes are counted once, all else reads the narrow rows."""
     key = F.struct(F.col(source).isNull().alias("absent"), F.col(source).alias("name"))
     size = F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
     order = F.xxhash64(F.lit(SEED), *[F.col(c) for c, kind in docs.dtypes if kind != "void" and "map<" not in kind])
-    kept = [c for c in docs.columns if keep_text or c != text]
     # the key as text: a null source sorts last and joins as any other
     name = F.when(key["absent"], F.lit("n")).otherwise(F.concat(F.lit("a"), key["name"].cast("string")))
-    clash = [c for c in docs.columns if c in (*_NEW, "source_key", "place", "part")]
-    if clash:
-        raise ValueError(f"rename the columns {clash}: the plan adds columns of these names")
-    rows = docs.select(
-        *kept, name.alias("source_key"), size.alias("size"), order.alias("place"), F.pmod(F.shiftright(order, 40), F.lit(RANGES)).alias("part")
+    rows = staged(
+        docs.select(
+            F.struct(*[F.col(c) for c in docs.columns if keep_text or c != text]).alias("given"),
+            F.monotonically_increasing_id().alias("row_id"),
+            name.alias("source_key"),
+            size.alias("size"),
+            order.alias("place"),
+            F.pmod(F.shiftright(order, 40), F.lit(RANGES)).alias("part"),
+        ),
+        "mix-rows",
     )
+    narrow = rows.drop("given")
 
-    parts = rows.groupBy("source_key", "part").agg(F.sum("size").alias("part_size"))
+    parts = narrow.groupBy("source_key", "part").agg(F.sum("size").alias("part_size"))
     by_source = Window.partitionBy("source_key").orderBy("part")
-    before = F.coalesce(F.sum("part_size").over(by_source.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"))
-    goals = targets(sums, weights, share)
+    earlier = by_source.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("part_size").over(earlier), F.lit(0))
+    goals = targets(parts.groupBy("source_key").agg(F.sum("part_size").alias("source_size")), weights, share)
     block = F.greatest(F.lit(1), F.ceil(F.col("source_size") / BLOCK_SHARE)).cast("long")
     goals = goals.withColumn("block", block).withColumn("blocks", F.ceil(F.col("target") / F.col("block")).cast("long"))
     goals = goals.join(split_tree(goals.select("source_key", "blocks"), levels), "source_key")
@@ -192,60 +193,95 @@ def plan(
     starts = staged(parts.select("source_key", "part", before.alias("before")).join(goals, "source_key"), "mix-quotas")
     ranges = starts.select("source_key", "part")
 
-    within = Window.partitionBy("source_key", "part").orderBy("place")
+    # equal rows have the same place and are told apart by their number
+    within = Window.partitionBy("source_key", "part").orderBy("place", "row_id")
     in_part = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    laid = rows.withColumn("in_part", F.coalesce(in_part, F.lit(0))).join(starts, ["source_key", "part"])
-    laid = laid.withColumn("first", F.col("before") + F.col("in_part"))
-
+    laid = narrow.withColumn("in_part", F.coalesce(in_part, F.lit(0))).join(starts, ["source_key", "part"])
+    laid = laid.withColumn("first", F.col("before") + F.col("in_part")).drop("before", "in_part")
     ends = [F.col("first") + copy * F.col("source_size") + F.col("size") for copy in range(MOST_REPEATS)]
-    taken = [(end <= F.col("target")) & (F.col("target") > 0) for end in ends]
-    # what the cut leaves open is filled by the row of the open round whose size is nearest
-    reached = laid.groupBy("source_key").agg(
-        F.greatest(*[F.max(F.when(full, end)) for full, end in zip(taken, ends, strict=True)], F.lit(0)).alias("reached")
-    )
-    rounds = F.aggregate(F.array(*taken), F.lit(0), lambda n, full: n + full.cast("int"))
-    gap = F.col("target") - F.col("reached")
-    miss = F.abs(gap - F.col("size"))
-    open_rows = laid.withColumn("rounds", rounds).filter(f"rounds < {MOST_REPEATS} AND size > 0")
-    open_rows = open_rows.join(ranges.join(reached, "source_key"), ["source_key", "part"])
-    fills = open_rows.filter(miss < gap).groupBy("source_key").agg(
-        F.min(F.struct(miss.alias("miss"), "place", "part")).alias("fill")
-    )
-    fills = staged(fills, "mix-fills")
-    # equal rows have the same place: the first of them is meant
-    twin = F.row_number().over(Window.partitionBy("source_key", "part", "place").orderBy("in_part"))
-    filled = laid.withColumn("twin", twin).join(
-        ranges.join(fills, "source_key"), ["source_key", "part"], "left"
-    )
-    fills_up = (F.col("fill.place") == F.col("place")) & (F.col("fill.part") == F.col("part")) & (F.col("twin") == 1)
+    whole = [(end <= F.col("target")) & (F.col("target") > 0) for end in ends]
+    reached = F.greatest(*[F.when(full, end) for full, end in zip(whole, ends, strict=True)], F.lit(0))
+    rounds = F.aggregate(F.array(*whole), F.lit(0), lambda n, full: n + full.cast("int"))
+    laid = staged(laid.withColumn("rounds", rounds).withColumn("reached", reached), "mix-laid")
+
+    # what the cut leaves open is filled by the smallest rows: first those that fit and are not
+    # taken yet, then those taken fewer times, then one that reaches nearer than none
+    gaps = laid.groupBy("source_key").agg((F.max("target") - F.max("reached")).alias("gap")).filter("gap > 0")
+    gaps = staged(ranges.join(gaps, "source_key"), "mix-gaps")
+    kind = F.struct((F.col("size") > F.col("gap")).alias("over"), "rounds", "size")
+    able = laid.join(gaps, ["source_key", "part"]).filter(f"rounds < {MOST_REPEATS} AND size > 0 AND size < 2 * gap")
+    able = able.select("row_id", "source_key", "part", "place", "gap", kind.alias("kind"))
+    kinds = able.groupBy("source_key", "kind").agg(F.count("*").alias("n"), F.first("gap").alias("gap"))
+    words = F.col("n") * F.col("kind.size")
+    filled = F.sum(words).over(Window.partitionBy("source_key").orderBy("kind"))
+    kinds = kinds.withColumn("rest", F.col("gap") - filled + words)
+    some = F.round(F.col("rest") / F.col("kind.size")).cast("long")
+    cuts = kinds.filter(words > F.col("rest")).groupBy("source_key").agg(F.min(F.struct("kind", some.alias("some"))).alias("cut"))
+    able = able.join(ranges.join(cuts, "source_key"), ["source_key", "part"], "left")
+    at_cut = able.filter("kind = cut.kind AND cut.some > 0")
+    counts = at_cut.groupBy("source_key", "part").agg(F.count("*").alias("n"))
+    counts = counts.select("source_key", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"))
+    at_cut = at_cut.withColumn("number", F.row_number().over(within)).join(counts, ["source_key", "part"])
+    fills = able.filter("cut IS NULL OR kind < cut.kind").select("row_id")
+    fills = fills.unionByName(at_cut.filter("n_before + number <= cut.some").select("row_id"))
+    # no more rows of a source than words in one of its documents
+    fills = staged(fills.withColumn("fills", F.lit(True)), "mix-fills")
+
+    also = F.coalesce(F.col("fills"), F.lit(False))
     copies = []
-    for copy, full in enumerate(taken):
+    for copy in range(MOST_REPEATS):
         start = F.col("first") + copy * F.col("source_size")
-        before_full = taken[copy - 1] if copy else F.lit(True)
-        also = F.coalesce(fills_up, F.lit(False)) & before_full & ~full
         number = F.least(F.floor(start / F.col("block")).cast("long"), F.col("blocks") - 1)
         shard = F.size(F.filter("ends", partial(_up_to, number)))
         local = F.xxhash64(F.lit(SEED), F.lit(copy), F.col("place"))
         draw = F.struct(F.lit(copy).alias("copy"), number.alias("block"), shard.alias("shard"), local.alias("local_order"))
-        copies.append(F.when(full | also, draw))
+        copies.append(F.when((F.col("rounds") > copy) | also & (F.col("rounds") == copy), draw))
     draws = F.filter(F.array(*copies), lambda d: d.isNotNull())
-    return filled.select(*kept, "size", "source_size", "target", draws.alias("draws"))
+    drawn = laid.join(fills, "row_id", "left").select("row_id", "size", "source_size", "target", draws.alias("draws"))
+    return rows.select("given", "row_id"), drawn
+
+
+def _beside(docs: DataFrame, added: tuple[str, ...], text: str | None = None) -> list[Column]:
+    """The given columns but those that have the name of an added one, and ``text``."""
+    taken = {a.lower() for a in added}
+    return [F.col("given")[c].alias(c) for c in docs.columns if c.lower() not in taken and c != text]
+
+
+def plan(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    levels: int = LEVELS,
+    source: str = "source",
+    text: str = "text",
+    keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` with size, source_size, target and ``draws``: the copies of the document
+    that the mix takes, each with block, shard and local order."""
+    rows, drawn = _taken(docs, weights, share, levels, source, text, keep_text)
+    return rows.join(drawn, "row_id").select(*_beside(docs, _NEW, None if keep_text else text), *_NEW)
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    levels: int = LEVELS,
+    source: str = "source",
+    text: str = "text",
+) -> DataFrame:
     """The mix: a row per taken copy with ``shard``, ``copy`` and ``mix_block``, each shard's
     rows shuffled.  Shards are sorted in ranges of their local order, so a shard of any
     size is spread over tasks."""
-    planned = plan(docs, **options)
-    drawn = planned.select(*docs.columns, F.explode("draws").alias("draw"))
-    rows = drawn.select(
-        *docs.columns,
+    rows, drawn = _taken(docs, weights, share, levels, source, text, True)
+    rows = rows.join(drawn.select("row_id", F.explode("draws").alias("draw")), "row_id").select(
+        *_beside(docs, _MIXED),
         F.col("draw.shard").alias("shard"),
         F.col("draw.copy").alias("copy"),
         F.col("draw.block").alias("mix_block"),
-        F.col("draw.local_order").alias("local_order"),
+        F.col("draw.local_order").alias("_local_order"),
     )
-    return rows.repartitionByRange("shard", "local_order").sortWithinPartitions("shard", "local_order").drop("local_order")
+    return rows.repartitionByRange("shard", "_local_order").sortWithinPartitions("shard", "_local_order").drop("_local_order")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

@@ -404,6 +404,33 @@ def test_mix(spark, docs):
     assert mixing.mix(empty_like(spark, docs)).count() == 0
 
 
+def test_mix_meets_its_target_beside_a_long_document(spark):
+    """A miss of half the smallest document left out at most, beside a long one."""
+    for small, long_one in ((200, 6000), (40, 900), (3, 5000)):
+        sizes = [20 + i % 3 for i in range(small)] + [long_one]
+        rows = [(i, "x " * n, "a", n) for i, n in enumerate(sizes)] + [(1000 + i, "y " * 37, "b", 37) for i in range(90)]
+        rows += [(2000 + i, "z", None, 1) for i in range(30)]
+        made = spark.createDataFrame(rows, "doc_id long, text string, source string, salt long")
+        planned = mixing.plan(made).collect()
+        for source in ("a", "b", None):
+            own = [r for r in planned if r.source == source]
+            left = [r.size for r in own if not r.draws] or [r.size for r in own if len(r.draws) < 2]
+            # with all taken as often as they may be, the last one taken may lie across the target
+            bound = min(left) if left else max(r.size for r in own)
+            assert abs(sum(r.size * len(r.draws) for r in own) - own[0].target) <= bound / 2
+
+
+def test_mix_columns_that_clash(spark, docs):
+    odd = docs.select("doc_id", "text", "source", *[F.lit(c).alias(c) for c in ("place", "before", "given", "row_id", "Shard", "size", "draws", "gap")])
+    planned = mixing.plan(odd)
+    assert planned.columns == ["doc_id", "text", "source", "place", "before", "given", "row_id", "Shard", "gap", "size", "source_size", "target", "draws"]
+    mixed = mixing.mix(odd)
+    assert mixed.columns == ["doc_id", "text", "source", "place", "before", "given", "row_id", "size", "draws", "gap", "shard", "copy", "mix_block"]
+    rows = mixed.collect()
+    assert len(rows) == planned.select(F.sum(F.size("draws"))).first()[0] > 0
+    assert {(r["size"], r.place, r.row_id) for r in rows} == {("size", "place", "row_id")}
+
+
 def test_split_tree(spark):
     quotas = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 0), ("d", 333)], "source_key string, blocks long")
     ends = {r.source_key: r.ends for r in mixing.split_tree(quotas, 3).collect()}
