@@ -3,13 +3,15 @@
 Items and documents are lower-cased and cut into alphanumeric words.  Every window of
 ``n`` item words, or the whole item if it is shorter, is one gram.  A task hashes all its
 windows, looks the hashes up in the set of gram hashes, and compares the words of every
-hit with the gram's words, so a hash never decides.  The set is broadcast if the items'
-texts are below ``BROADCAST_BYTES``; above it, windows and grams meet in a join on the hash.
+hit with the gram's words, so a hash never decides.  The set is broadcast if it takes less than
+``BROADCAST_BYTES`` in a worker, reckoned from the number and the length of its grams before any of
+them leaves its task; above it, windows and grams meet in a join on the hash.
 
 Defined cases: null and empty texts have no words; items without words match nothing;
 items with equal words count each; a null item_id is reported as no item but its words
 are hit; rows are judged one by one, repeated or without id; an empty table of items
-leaves every document clean; other columns pass through unchanged.
+leaves every document clean; other columns pass through unchanged, but ``find`` replaces one
+named ``hits``.
 """
 
 from __future__ import annotations
@@ -24,10 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeflow.llm import packed
+from tapeflow.llm.columns import beside
 from tapeflow.llm.words import Hasher, Words, alnum_words, chunks, grams
+from tapeflow.scratch import staged
 
 N = 10
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 128 << 20
+
+#: What a gram takes as a Python object beside its text, with its items, hash and bits.
+GRAM_BYTES = 600
 
 SPAN = T.StructType(
     [
@@ -188,12 +195,12 @@ def find(
     item_text: str = "text",
 ) -> DataFrame:
     """``docs`` with a struct ``hits``: words, hit words, items, and spans of hit words."""
-    size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    known = item_grams(items, n, item_key, item_text)
-    if size <= broadcast_bytes:
+    known = staged(item_grams(items, n, item_key, item_text), "grams")
+    needed = F.coalesce(F.sum(F.octet_length("gram") + F.octet_length(F.coalesce("item", F.lit(""))) + GRAM_BYTES), F.lit(0))
+    if known.agg(needed).first()[0] <= broadcast_bytes:
         rows = [(r.item, r.size, r.hash & (1 << 64) - 1, bytes(r.gram)) for r in known.collect()]
-        return _scan(docs, GramSet(rows), text)
-    return _meet(docs, known, text)
+        return beside(docs, lambda given: _scan(given, GramSet(rows), text), added=["hits"])
+    return beside(docs, lambda given: _meet(given, known, text), ["row_key", "known"], ["hits"])
 
 
 def _scan(docs: DataFrame, grams_of: GramSet, text: str) -> DataFrame:
@@ -267,11 +274,15 @@ def _meet(docs: DataFrame, known: DataFrame, text: str) -> DataFrame:
 
 def remove_documents(docs: DataFrame, items: DataFrame, n: int = N, text: str = "text") -> DataFrame:
     """The documents in which no window of an item occurs."""
-    return find(docs, items, n, text).filter("hits.n_hit = 0").drop("hits")
+    return beside(docs, lambda rows: find(rows, items, n, text).filter("hits.n_hit = 0").drop("hits"), ["hits"])
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = N, text: str = "text") -> DataFrame:
     """All documents, without the words that lie in a window of an item."""
+    return beside(docs, lambda rows: _remove_spans(rows, items, n, text), ["hits"])
+
+
+def _remove_spans(docs: DataFrame, items: DataFrame, n: int, text: str) -> DataFrame:
     cut = F.col(text).cast("binary")
     pieces = F.aggregate(
         "hits.spans",

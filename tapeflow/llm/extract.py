@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeflow.llm.columns import beside
+
 # how a tag, a comment or a declaration begins, and what ends or quotes inside a tag
 _OPENS = re.compile(r"<(?:(?P<comment>!--)|(?P<cdata>!\[CDATA\[)|(?P<declared>[!?])|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*))")
 _SPECIAL = re.compile(r"[\"'>]")
@@ -373,9 +375,11 @@ def main_text(page: str) -> str:
 
 
 def extract(pages: DataFrame, html: str = "html", keep_html: bool = True) -> DataFrame:
-    """``pages`` with a column ``main_text``."""
-    if "main_text" in pages.columns:
-        raise ValueError("rename the column main_text")
+    """``pages`` with a column ``main_text``, which replaces one of that name."""
+    return beside(pages, lambda rows: _extract(rows, html, keep_html), added=["main_text"])
+
+
+def _extract(pages: DataFrame, html: str, keep_html: bool) -> DataFrame:
     place = pages.columns.index(html)
     fields = [f for f in pages.schema.fields if keep_html or f.name != html]
     kept = [i for i, f in enumerate(pages.schema.fields) if keep_html or f.name != html]

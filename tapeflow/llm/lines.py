@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeflow.llm.columns import beside
 from tapeflow.llm.components import bitmap, components, marked, pair_groups
 from tapeflow.llm.jaccard import join_labels, merged, runs
 from tapeflow.llm.words import Hasher, chunks, mix, text_buffer
@@ -590,10 +591,11 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sha
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; ``line_count`` and
-    ``removed_lines`` are added."""
-    clash = [c for c in docs.columns if c in ("line_count", "removed_lines", "text_key", "removed", "doc")]
-    if clash:
-        raise ValueError(f"rename the columns {clash}")
+    ``removed_lines`` are added, or replaced."""
+    return beside(docs, lambda rows: _dedup_lines(rows, key, text, share), ["text_key", "removed", "doc"], ["line_count", "removed_lines"])
+
+
+def _dedup_lines(docs: DataFrame, key: str, text: str, share: int) -> DataFrame:
     removed = repeated_lines(docs, key, text, share)
     same = F.col(key).eqNullSafe(F.col("doc")) & (F.xxhash64(text) == F.col("text_key"))
     joined = docs.join(removed, same, "left")

@@ -13,7 +13,7 @@ it wins; a change without list, pattern or time is ignored, and a null ``listed`
 longer listed; a null or relative URL, and a null fetch time, match nothing; of the
 active entries the longest pattern decides, then an allowing list, then the list's name;
 repeated captures get the same answer; an empty table of changes leaves all without a
-verdict; other columns pass through.
+verdict; other columns pass through, but one that has the name of an added one gives way.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeflow.llm.columns import beside
+
 SLICE_DAYS = 28
 _SLICE = SLICE_DAYS * 86400
 _ADDED = ("url_host", "n_active", "lists", "pattern", "verdict")
@@ -67,9 +69,10 @@ def intervals(changes: DataFrame) -> DataFrame:
 
 def evaluate(captures: DataFrame, changes: DataFrame, url: str = "url", at: str = "fetched_at") -> DataFrame:
     """``captures`` with host, number of active entries, their lists, and who decides."""
-    clash = [c for c in captures.columns if c in _ADDED]
-    if clash:
-        raise ValueError(f"rename the columns {clash}")
+    return beside(captures, lambda rows: _evaluate(rows, changes, url, at), ["u", "t"], _ADDED)
+
+
+def _evaluate(captures: DataFrame, changes: DataFrame, url: str, at: str) -> DataFrame:
     seen = captures.select(F.col(url).alias("u"), F.col(at).alias("t")).filter("u IS NOT NULL AND t IS NOT NULL").distinct()
     slice_of = lambda time: F.floor(F.unix_seconds(time) / _SLICE)
     asked = seen.select("u", "t", F.explode(patterns_of(F.col("u"))).alias("pattern"), slice_of(F.col("t")).alias("slice"))

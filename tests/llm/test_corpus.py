@@ -431,6 +431,37 @@ def test_mix_columns_that_clash(spark, docs):
     assert {(r["size"], r.place, r.row_id) for r in rows} == {("size", "place", "row_id")}
 
 
+def test_columns_that_clash(spark, docs):
+    """Given columns keep their names and values; those named as an added one give way to it."""
+    names = ["hits", "Row_Key", "known", "quality_of", "doc", "text_key", "removed", "line_count", "u", "t", "lists", "main_text"]
+    odd = docs.select("*", *[F.lit(f"given {c}").alias(c) for c in names])
+    items = spark.createDataFrame([("i", docs.filter("doc_id = 30").first().text)], "item_id string, text string")
+    labels = docs.filter("doc_id IS NOT NULL").selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    ratio, threshold = quality.fit(odd, labels)
+    changes = spark.createDataFrame([], "list string, pattern string, action string, changed_at timestamp, listed boolean")
+    captures = odd.selectExpr("*", "'http://a.b/' url", "timestamp'2024-01-01' fetched_at")
+    runs = {
+        "find": (lambda d: decontaminate.find(d, items), ["hits"]),
+        "meet": (lambda d: decontaminate.find(d, items, broadcast_bytes=0), ["hits"]),
+        "clean": (lambda d: decontaminate.remove_documents(d, items), []),
+        "spans": (lambda d: decontaminate.remove_spans(d, items), []),
+        "judge": (lambda d: quality.judge(d, ratio, threshold), ["quality_of"]),
+        "good": (lambda d: quality.keep_good(d, ratio, threshold), []),
+        "lines": (lambda d: lines.dedup_lines(d), ["line_count", "removed_lines"]),
+        "one": (jaccard.keep_one, []),
+        "extract": (lambda d: extract.extract(d, "text"), ["main_text"]),
+        "urls": (lambda d: urls.evaluate(d, changes), list(urls._ADDED)),
+    }
+    for run, added in runs.values():
+        given = captures if added == list(urls._ADDED) else odd
+        plain = run(given.drop(*names))
+        got = run(given)
+        assert sorted(got.columns) == sorted({*given.columns, *added})
+        assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+        for c in {*names} - {*added}:
+            assert got.filter(F.col(c).eqNullSafe(f"given {c}")).count() == got.count() > 0
+
+
 def test_split_tree(spark):
     quotas = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 0), ("d", 333)], "source_key string, blocks long")
     ends = {r.source_key: r.ends for r in mixing.split_tree(quotas, 3).collect()}
