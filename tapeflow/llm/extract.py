@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring.
 
 Every paragraph-like block passes points for its length and its commas to its parent and,
-halved, to its grandparent and on.  A container's points are discounted by the share
-of its text that lies in links; the best container is kept, and of its siblings those
+halved, to its grandparent and on; ``article`` and ``main`` get them unhalved.  A container's points
+are discounted by the share of its text that lies in links; the best container is kept, and of its siblings those
 with enough points of their own.  Blocks of text inside the kept trees are the result,
 in page order.
 
@@ -44,6 +44,7 @@ _BLOCK = frozenset(
     "tfoot th thead tr ul".split()
 )
 _CONTAINER = frozenset("article blockquote body center dd details div dl figure header html li main ol section table tbody td tr ul".split())
+_NAMED_TEXT = frozenset(["article", "main"])
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -329,8 +330,9 @@ def main_text(page: str) -> str:
         while up is not None and share > 0.01:
             if id(up) not in scored:
                 scored[id(up)] = up
-                up.points += up.weight / 25 + (1.0 if up.name in ("article", "main") else 0.0)
-            up.points += points * share
+                up.points += up.weight / 25 + (1.0 if up.name in _NAMED_TEXT else 0.0)
+            # an element that is named as the text gains all of a block's points at any depth
+            up.points += points * (1.0 if up.name in _NAMED_TEXT else share)
             share /= 2 if up is not holder or holder.name in ("p", "pre", "blockquote") else 1.25
             up = up.parent
 
@@ -348,13 +350,6 @@ def main_text(page: str) -> str:
     best = max(scored.values(), key=worth, default=None)
     if best is None:
         return "\n".join(text for _, text, _ in blocks)
-    # an article or main element around the best container says where the text ends
-    up: Node | None = best
-    while up is not None:
-        if up.name in ("article", "main"):
-            best = up
-            break
-        up = up.parent
     kept = {id(best)}
     if best.parent is not None and best.name != "main":
         least = max(5.0, worth(best) * 0.2)

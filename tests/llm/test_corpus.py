@@ -550,6 +550,42 @@ def test_main_text(spark):
     assert extract.extract(empty_like(spark, frame)).count() == 0
 
 
+def _laid_out(rng, layout):
+    """A page and the article's blocks, with things around it that are not the article."""
+    heading, blocks = prose(rng, 6), [prose(rng, rng.randint(25, 70)) + ", " + prose(rng, 20) for _ in range(rng.randint(3, 6))]
+    inner = f"<h1>{heading}</h1>" + "".join(f"<p>{b}</p>" for b in blocks)
+    links = "".join(f'<li><a href="/{i}">{prose(rng, 3)}</a></li>' for i in range(8))
+    around = [f"<nav><ul>{links}</ul></nav>", f'<div class="cookie-consent">{prose(rng, 40)}, {prose(rng, 9)}</div>']
+    after = [
+        f'<aside>{prose(rng, 30)}</aside><form><p>{prose(rng, 30)}, {prose(rng, 8)}</p><input name=q></form>',
+        f'<section class="comments"><article class="comment"><p>{prose(rng, 60)}, {prose(rng, 9)}</p></article></section>',
+        f"<footer>{prose(rng, 12)}</footer><script>a(\"<p>{prose(rng, 9)}</p>\")</script>",
+    ]
+    rng.shuffle(around)
+    rng.shuffle(after)
+    half = len(inner) // 2
+    cut = inner.find("<p>", half) if "<p>" in inner[half:] else len(inner)
+    body = {
+        "article": f"<article>{inner}</article>",
+        "main": f"<main><div>{inner}</div></main>",
+        "named": f'<div id="page"><div class="post-content">{inner}</div></div>',
+        "plain": f"<div><div>{inner}</div></div>",
+        "parts": f"<article><section>{inner[:cut]}</section><section>{inner[cut:]}</section></article>",
+        "teaser": f"<article><a href=/x>{prose(rng, 12)}</a></article><div class=story>{inner}</div>",
+        "deep": "<article>" + "<div>" * 9 + inner + "</div>" * 9 + "</article>",
+    }[layout]
+    page = f"<html><head><title>{heading}</title></head><body>{''.join(around)}{body}{''.join(after)}</body></html>"
+    return page, "\n".join([heading, *blocks])
+
+
+@pytest.mark.parametrize("layout", ["article", "main", "named", "plain", "parts", "teaser", "deep"])
+def test_main_text_of_layouts(layout):
+    """The text put in comes out, whether the page names its article or not."""
+    for seed in range(8):
+        page, want = _laid_out(random.Random(seed), layout)
+        assert extract.main_text(page) == want, (layout, seed)
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
