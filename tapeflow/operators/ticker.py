@@ -328,11 +328,82 @@ def rolling_ticker(
     if slice_ms and period_ms % slice_ms:
         raise ValueError("the period must be a multiple of the slice")
     slices = period_ms // slice_ms if slice_ms else default_slots(period_ms)
-    figures = [F.col(c) for c in _FIGURES]
     if since is not None:
         trades = trades.where(F.col("event_time") >= F.lit(since - period_ms))
     instants = per_instant(trades)
+    whole = _windows(instants, _slice_totals(instants, period_ms, slices), period_ms, slices)
+    if since is not None:
+        whole = whole.where(F.col("event_time") >= F.lit(since))
+    return _with_derived(whole, "event_time", "symbol")
+
+
+def _slice_totals(instants: DataFrame, period_ms: int, slices: int) -> DataFrame:
+    """One row per symbol and slice."""
+    of = instants.groupBy("symbol", slot(F.col("event_time"), period_ms, slices).alias("slice"))
+    return of.agg(*_bounded(_figures_of_parts("event_time")))
+
+
+def slot_of(time_ms: int, period_ms: int, slices: int) -> int:
+    """``slot`` of a known time."""
+    whole, rest = divmod(time_ms, period_ms)
+    return whole * slices + rest * slices // period_ms
 
+
+def slot_start(number: int, period_ms: int, slices: int) -> int:
+    """The first time of a slot."""
+    whole, rest = divmod(number, slices)
+    return whole * period_ms - (-rest * period_ms // slices)
+
+
+def instants_of_run(trades: DataFrame, period_ms: int, until: int, since: int | None = None) -> DataFrame:
+    """What a run over the times in ``[since, until)`` reads of the trades, one row per symbol and
+    millisecond: the slices that its times are in and those that its windows begin in.
+
+    However long the period, that is the run's own span twice and two slices; what lies
+    between comes from stored slices.  Without ``since`` all trades before ``until``.
+    """
+    t = F.col("event_time")
+    trades = trades.where(t < F.lit(until))
+    if since is not None:
+        slices = default_slots(period_ms)
+        own = slot_start(slot_of(since, period_ms, slices), period_ms, slices)
+        begin_until = slot_start(slot_of(until - 1, period_ms, slices) - slices + 1, period_ms, slices)
+        begins = (t >= F.lit(since - period_ms)) & (t < F.lit(begin_until))
+        trades = trades.where(begins | (t >= F.lit(own)))
+    return per_instant(trades)
+
+
+def slices_of_run(instants: DataFrame, period_ms: int, until: int, since: int | None = None) -> DataFrame:
+    """The slices that end in ``[since, until]``, whole: (symbol, slice, figures)."""
+    slices = default_slots(period_ms)
+    totals = _slice_totals(instants, period_ms, slices)
+    totals = totals.where(F.col("slice") < slot_of(until, period_ms, slices))
+    if since is not None:
+        totals = totals.where(F.col("slice") >= slot_of(since, period_ms, slices))
+    return totals
+
+
+def rolling_of_run(
+    instants: DataFrame, period_ms: int, since: int | None = None, stored: DataFrame | None = None
+) -> DataFrame:
+    """The rolling ticker from ``since`` on, from ``instants_of_run`` and the slices that earlier
+    runs stored; without them that of all instants."""
+    slices = default_slots(period_ms)
+    totals = _slice_totals(instants, period_ms, slices)
+    if since is not None:
+        first = slot_of(since, period_ms, slices)
+        earlier = stored.where(F.col("slice").between(first - slices, first - 1))
+        # slices before the run's own are there in part only
+        totals = totals.where(F.col("slice") >= first).unionByName(earlier.select(*totals.columns))
+    whole = _windows(instants, totals, period_ms, slices)
+    if since is not None:
+        whole = whole.where(F.col("event_time") >= F.lit(since))
+    return _with_derived(whole, "event_time", "symbol")
+
+
+def _windows(instants: DataFrame, totals: DataFrame, period_ms: int, slices: int) -> DataFrame:
+    """The windows of all instants, put together as ``rolling_ticker`` says."""
+    figures = [F.col(c) for c in _FIGURES]
     t, own = F.col("event_time"), F.col("own")
     lead = ["symbol", "own", "slice", "seq", "until"]
     rows = instants.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own")).select(
@@ -345,8 +416,7 @@ def rolling_ticker(
     )
     if slices > 1:
         # The full slices open the backward run and never leave the window.
-        totals = instants.groupBy("symbol", slot(t, period_ms, slices).alias("slice"))
-        between = _before(totals.agg(*_bounded(_figures_of_parts("event_time"))), slices - 1).select(
+        between = _before(totals, slices - 1).select(
             "symbol",
             F.lit(False).alias("own"),
             "slice",
@@ -394,7 +464,7 @@ def rolling_ticker(
         both = F.col(name) + F.col(f"earlier.{name}")
         return F.when(F.col("earlier").isNull(), F.col(name)).otherwise(both).alias(name)
 
-    whole = (
+    return (
         runs.withColumn("earlier", earlier)
         .where("own")
         .select(
@@ -411,9 +481,6 @@ def rolling_ticker(
             plus("total_trades"),
         )
     )
-    if since is not None:
-        whole = whole.where(F.col("event_time") >= F.lit(since))
-    return _with_derived(whole, "event_time", "symbol")
 
 
 def ticker_table(rolling: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tapeflow.contracts import TICKER_1D, TICKER_1H, TRADES, check_schema
 from tapeflow.functions.decode import read_messages, to_table_types
 from tapeflow.functions.display import change_class, or_no_data, plain_decimal, shown
-from tapeflow.functions.times import DAY_MS, HOUR_MS, millis_time
+from tapeflow.functions.times import DAY_MS, HOUR_MS, LAST_MS, millis_time
 from tapeflow.operators import latest as L
 from tapeflow.operators import logs as G
 from tapeflow.operators import metrics as M
@@ -20,7 +20,7 @@ from tapeflow.operators import ticker as K
 from tapeflow.plans import driver_tables as D
 from tapeflow.plans import market_board, ops_board
 from tapeflow.plans import oracle as O
-from tapeflow.plans.ticker_tables import refresh_ticker
+from tapeflow.plans.ticker_tables import refresh_from_slices, refresh_ticker
 from tapeflow.scratch import shared_dir, staged
 from tapeflow.sources import tables as S
 from tapeflow.sources import zones as Z
@@ -263,6 +263,23 @@ def ticker_table_in_two_runs(spark, sf_dir):
     return S.read_table(spark, TICKER_1D, path)
 
 
+@register(
+    "S9 K1 D1-D10",
+    f"""WITH {O.TICKER_1D} SELECT event_time, symbol, price_change, price_change_percent,
+    last_price, open_price, high_price, low_price, volume, total_trades FROM ticker""",
+)
+def ticker_table_from_slices(spark, sf_dir):
+    """The first half of the month, six hours, the rest: each run after the first reads raw trades
+    where its windows begin and end, and stored slices for what lies between."""
+    path, slices = shared_dir(spark, "ticker_1d"), shared_dir(spark, "slices_1d")
+    trades = D.trades(spark, sf_dir)
+    since = None
+    for run, until in enumerate((_MID_MONTH, _MID_MONTH + 6 * HOUR_MS, LAST_MS)):
+        refresh_from_slices(trades, TICKER_1D, DAY_MS, path, slices, run, until, since)
+        since = until
+    return S.read_table(spark, TICKER_1D, path)
+
+
 @register(
     "A3",
     f"""WITH {O.LINE_TRADES}, keys AS (

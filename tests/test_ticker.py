@@ -185,6 +185,43 @@ def test_rolling_since(spark, since):
     assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
 
 
+@pytest.mark.parametrize("period,longest", [(24, 2), (23, 5), (101, 1), (60, 100)])
+def test_runs_from_stored_slices(spark, monkeypatch, tmp_path, period, longest):
+    """Runs give the ticker of one run, though trades in the middle of their windows are not read."""
+    monkeypatch.setattr(K, "LONGEST_SLICE_MS", longest)
+    trades = random_trades(11)
+    made = spark.createDataFrame(trades, SCHEMA).cache()
+    want = as_dict(K.rolling_ticker(made, period), "symbol", "event_time")
+    got, since = {}, None
+    for run, until in enumerate((-40, 3, 4, 17, 90, 1003, 5000)):
+        instants = K.instants_of_run(made, period, until, since)
+        stored = spark.read.parquet(f"{tmp_path}/s").where(F.col("run") < run) if run else None
+        got |= as_dict(K.rolling_of_run(instants, period, since, stored), "symbol", "event_time")
+        K.slices_of_run(instants, period, until, since).coalesce(1).write.parquet(f"{tmp_path}/s/run={run}")
+        since = until
+    assert got == want
+
+
+def test_slots_of_known_times(spark):
+    for period, slices in ((24, 12), (23, 12), (101, 7), (86_400_000, 48)):
+        times = [*range(-60, 60), period - 1, period, -period, 3 * period + 1]
+        rows = spark.createDataFrame([(t,) for t in times], "t long").select("t", K.slot(F.col("t"), period, slices)).collect()
+        assert all(K.slot_of(t, period, slices) == number for t, number in rows)
+        for t, number in rows:
+            start = K.slot_start(number, period, slices)
+            assert start <= t < K.slot_start(number + 1, period, slices)
+            assert K.slot_of(start, period, slices) == number > K.slot_of(start - 1, period, slices)
+
+
+def test_a_run_reads_less_than_a_period(spark):
+    """Two hours of a day's ticker: their windows' beginnings, themselves, and two slices."""
+    trades = spark.range(0, 3 * DAY_MS, 60_000).selectExpr(
+        "id trade_id", "'A' symbol", "id event_time", "cast(1 as decimal(18,8)) price", "cast(1 as decimal(18,8)) quantity"
+    )
+    read = K.instants_of_run(trades, DAY_MS, 2 * DAY_MS + 2 * HOUR_MS, 2 * DAY_MS).count()
+    assert 240 <= read <= 240 + 2 * 30
+
+
 def test_bounds_hold(spark):
     trades = spark.createDataFrame(random_trades(6), SCHEMA)
     rows = K.rolling_ticker(trades, 20, 4)
