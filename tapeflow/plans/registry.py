@@ -766,6 +766,25 @@ def quarantine_stream(spark, sf_dir):
     return bad.groupBy("reason").agg(F.count("*").alias("messages"))
 
 
+@register(
+    "S1 S6 P1 K2",
+    f"""SELECT outcome AS reason, CAST(sum(messages) AS BIGINT) AS messages FROM ({_MIXED})
+    WHERE outcome <> 'good' GROUP BY outcome""",
+)
+def quarantine_whole_stream(spark, sf_dir):
+    """Messages of every kind in one stream, those of several lines and empty ones as well: kept
+    as bytes in Parquet files, which text files of a message per line could not hold."""
+    files = shared_dir(spark, "messages")
+    mixed = D.mixed_messages(spark, sf_dir).select(F.col("value").cast("binary").alias("value"))
+    mixed.write.parquet(files)
+    table, quarantine = shared_dir(spark, "table"), shared_dir(spark, "quarantine")
+    S.create_table(spark, TRADES, table)
+    stream = spark.readStream.schema("value binary").option("maxFilesPerTrigger", 8).parquet(files)
+    sink, checkpoint = I.parquet_sink(TRADES, table), shared_dir(spark, "checkpoint")
+    I.start_ingest(stream, TRADES, sink, quarantine, checkpoint, _NOW).awaitTermination()
+    return S.read_quarantine(spark, quarantine).groupBy("reason").agg(F.count("*").alias("messages"))
+
+
 @register("K1", f"WITH {O.LINE_TRADES} SELECT DISTINCT trade_id, symbol FROM line_trades")
 def dedup_watermark_stream(spark, sf_dir):
     """First write wins inside the stream; the delay spans the whole input."""
