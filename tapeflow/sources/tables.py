@@ -24,6 +24,10 @@ from tapeflow.operators.quality import conflicts_with, first_per_key, reject_kno
 from tapeflow.sources.zones import folders_of, read_folders, write_zones
 
 
+#: A column by which rows lie together is cut into this power of two of ranges.
+CELL_BITS = 6
+
+
 class Reach(NamedTuple):
     """Where a table may hold the keys of some rows: which partitions and their folders, the
     ends of the keys, and as a table (p, s, low, high) their spans by partition and symbol."""
@@ -133,19 +137,31 @@ def held_within(spark: SparkSession, spec: StreamSpec, path: str, reach: Reach)
     return stored.where(reach.partitions & reach.keys).join(reach.spans, inside, "left_semi")
 
 
-def write_epoch(rows: DataFrame, spec: StreamSpec, path: str, writer: str, epoch: int) -> None:
+def write_epoch(
+    rows: DataFrame, spec: StreamSpec, path: str, writer: str, epoch: int,
+    cell: Column | None = None, rows_per_file: int = 0,
+) -> None:
     """Write the rows of one epoch; folders it wrote before are replaced.
 
     Rebalancing splits a busy partition over several tasks and packs small ones;
-    sorting by symbol and time makes row-group statistics selective.
+    sorting by symbol and time makes row-group statistics selective.  With ``cell`` tasks take
+    ranges of cells, and rows are sorted by them first.
     """
+    rows = rows.withColumn(spec.partition, spec.partition_value())
+    order = ["symbol", "event_time"]
+    if cell is None:
+        rows = rows.hint("rebalance", spec.partition)
+    else:
+        rows = rows.withColumn("_cell", cell)
+        rows = rows.repartitionByRange(spec.partition, "_cell", *order)
+        order = ["_cell", *order]
     (
-        rows.withColumn(spec.partition, spec.partition_value())
-        .hint("rebalance", spec.partition)
-        .withColumns({"writer": F.lit(writer), "epoch": F.lit(epoch).cast("bigint")})
-        .sortWithinPartitions(spec.partition, "writer", "epoch", "symbol", "event_time")
+        rows.withColumns({"writer": F.lit(writer), "epoch": F.lit(epoch).cast("bigint")})
+        .sortWithinPartitions(spec.partition, "writer", "epoch", *order)
+        .drop("_cell")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*_layout(spec))
         .parquet(path)
     )
@@ -205,11 +221,39 @@ def read_quarantine(spark: SparkSession, path: str, with_place: bool = False) ->
     return spark.read.schema(schema).parquet(path)
 
 
+def _cell(rows: DataFrame, names: tuple[str, ...]) -> Column:
+    """The cell of a row in a grid of equally filled ranges of each column, numbered by the
+    ranges' interleaved bits: rows of near numbers are near in all columns.
+
+    The ranges are quantiles, so single absurd values do not widen them; one row of
+    them comes to the driver.  Rows without a value are in the first range.
+    """
+    shares = [i / (1 << CELL_BITS) for i in range(1, 1 << CELL_BITS)]
+    cuts = rows.agg(*[F.percentile_approx(name, shares, 1000).alias(name) for name in names]).first()
+
+    def place_of(name: str) -> Column:
+        given = F.lit(sorted(set(cuts[name] or []))).cast("array<bigint>")
+        return F.size(F.filter(given, lambda cut: cut <= F.col(name)))
+
+    cell = F.lit(0).cast("bigint")
+    for at, name in enumerate(names):
+        place = place_of(name)
+        for bit in range(CELL_BITS):
+            one = F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("bigint")
+            cell = cell.bitwiseOR(F.shiftleft(one, bit * len(names) + at))
+    return cell
+
+
 def compact(
-    spark: SparkSession, spec: StreamSpec, source: str, target: str, chosen: Column | None = None
+    spark: SparkSession, spec: StreamSpec, source: str, target: str, chosen: Column | None = None,
+    near: tuple[str, ...] = (), rows_per_file: int = 0,
 ) -> None:
     """Rewrite a table of many small epochs as one epoch of another table.
 
+    ``near`` names whole-number columns by which rows lie together, such as the id and the time
+    of trades: a read of a range of any of them then touches few row groups, whichever it is.
+    Without it rows lie by symbol and time.  ``rows_per_file`` bounds files by rows.
+
     ``chosen``, a condition on the partition column, limits this to some partitions,
     such as dates that are over; the target's other partitions stay as they are.
 
@@ -221,7 +265,8 @@ def compact(
     rows = stored_rows(spark, spec, source)
     if chosen is not None:
         rows = rows.where(chosen)
-    write_epoch(rows.select(*spec.column_names), spec, target, "compacted", 0)
+    rows = rows.select(*spec.column_names)
+    write_epoch(rows, spec, target, "compacted", 0, _cell(rows, near) if near else None, rows_per_file)
     write_zones(spark, spec, target, "compacted", 0)
 
 

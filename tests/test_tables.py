@@ -201,6 +201,29 @@ def test_compaction_keeps_rows_and_blocks_replays(spark, path):
     assert content(spark, target) == KEPT
 
 
+@pytest.mark.parametrize("absurd", [0, 10**14])
+def test_compaction_by_id_and_time(spark, path, absurd):
+    """A range of times and one of ids each touch about a tenth of the row groups."""
+    table, target = path("trades"), path("compacted")
+    rows = spark.range(20_000).selectExpr(
+        "id trade_id", "concat('S', id % 7) symbol", "cast(id as double) price", "1.0D quantity",
+        f"if(id = 5 and {absurd} > 0, {absurd}, pmod(xxhash64(id), 1000000)) event_time",
+    )
+    S.create_table(spark, TRADES, table)
+    S.write_epoch(rows.select(*TRADES.column_names), TRADES, table, "w", 0)
+    S.compact(spark, TRADES, table, target, near=("trade_id", "event_time"), rows_per_file=200)
+    stored = S.read_table(spark, TRADES, target)
+    assert sorted(stored.collect()) == sorted(S.read_table(spark, TRADES, table).collect())
+    groups = stored.groupBy(F.input_file_name()).agg(
+        F.min("event_time").alias("t0"), F.max("event_time").alias("t1"), F.min("trade_id").alias("i0"), F.max("trade_id").alias("i1")
+    ).collect()
+    assert len(groups) >= 100
+    for low in (0, 480_000, 990_000):
+        assert sum(g.t0 <= low + 9_999 and g.t1 >= low for g in groups) <= 0.17 * len(groups)
+    for low in (0, 9_000, 19_900):
+        assert sum(g.i0 <= low + 99 and g.i1 >= low for g in groups) <= 0.17 * len(groups)
+
+
 def test_compaction_by_partition(spark, path):
     table, target = path("trades"), path("compacted")
     S.append_once(trades(spark, *FIRST), TRADES, table, "w", 0)
