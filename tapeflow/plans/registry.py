@@ -235,6 +235,15 @@ def compacted_table(spark, sf_dir):
     return S.read_table(spark, TRADES, target)
 
 
+@register("S9 T3", _ONCE)
+def compacted_by_id_and_time(spark, sf_dir):
+    """Rows near in id and time lie together, which changes no row."""
+    target = shared_dir(spark, "compacted")
+    source = _appended(spark, sf_dir, ("a", 0))
+    S.compact(spark, TRADES, source, target, near=("trade_id", "event_time"))
+    return S.read_table(spark, TRADES, target)
+
+
 @register(
     "S9",
     f"""WITH {O.TICKER_1H} SELECT CAST(make_timestamp(event_time * 1000) AS DATE) AS event_date,
