@@ -24,12 +24,13 @@ from pyspark.sql import types as T
 
 from tapeflow.llm.columns import beside
 from tapeflow.llm.words import Hasher, Words, chunks, grams, space_words
+from tapeflow.scratch import staged
 
 BUCKETS = 1 << 14
 PRIOR = 20.0
 FOLDS = 5
 KEPT = 0.99
-MOST_LABELS = 400_000
+_BRACKET = 10_000
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 _SYMBOLS = b"#*$%&|<>"
@@ -169,6 +170,33 @@ def _measured(docs: DataFrame, ratio: np.ndarray, text: str, keep_text: bool) ->
     return docs.mapInArrow(run, T.StructType([*fields, T.StructField("quality_of", MEASURED)]))
 
 
+def _quantile(scores: DataFrame, at: float) -> float | None:
+    """The exact quantile of ``score``, as ``percentile`` has it, None without rows.
+
+    Approximate quantiles below and above give a bracket; what comes to the driver are the
+    distinct scores in it, a few in ``_BRACKET`` of all, and the number of those below it.
+    """
+    score = F.col("score")
+    n, least, most = scores.agg(F.count("*"), F.min(score), F.max(score)).first()
+    if not n:
+        return None
+    place = at * (n - 1)
+    first = int(place)
+    step = 2 / _BRACKET + 2 / n
+    while True:
+        shares = [max(at - step, 0.0), min(at + step, 1.0)]
+        low, high = scores.agg(F.percentile_approx(score, shares, 2 * _BRACKET)).first()[0]
+        low, high = least if shares[0] == 0 else low, most if shares[1] == 1 else high
+        below = scores.filter(score < low).count()
+        around = sorted(map(tuple, scores.filter(score.between(low, high)).groupBy(score).count().collect()))
+        if below <= first and (high == most or below + sum(c for _, c in around) > first + 1):
+            break
+        step *= 2
+    reached = np.cumsum([c for _, c in around]) + below
+    one, other = (around[min(int(np.searchsorted(reached, i, "right")), len(around) - 1)][0] for i in (first, first + 1))
+    return one if one == other else (first + 1 - place) * one + (place - first) * other
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[np.ndarray, float]:
     """The log ratio per bucket and the threshold.
 
@@ -177,26 +205,23 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     key, is left out of the target and sets the threshold: half way between the score
     that ``KEPT`` of the trusted ones reach and the one that ``KEPT`` of those of
     quality 0 stay below; where these overlap or one is missing, what ``KEPT`` of the
-    trusted ones reach.  Quantiles are exact, so the cut into partitions does not matter.  Of more than ``MOST_LABELS``
-    labelled keys about so many are used, chosen by a hash of the key.
+    trusted ones reach.  Quantiles are exact, so the cut into partitions does not matter.  Every
+    label counts; labels and documents are joined by key.
     """
     toxic = F.coalesce(F.col("toxic"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     good = F.min(F.when(F.col("quality") == 1, F.when(toxic == 0, 1)).otherwise(0)).alias("good")
-    marks = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("marked_key")).agg(good)
-    spread = F.xxhash64(F.col("marked_key").cast("string"))
-    found = marks.count()
-    if found > MOST_LABELS:
-        marks = marks.filter(F.pmod(F.shiftright(spread, 8), F.lit(1 << 30)) < int(MOST_LABELS / found * (1 << 30)))
-    marks = marks.withColumn("held", F.pmod(spread, F.lit(FOLDS)) == 0)
-    # the labels used are at most about MOST_LABELS small rows
-    marked = docs.select(key, text).join(F.broadcast(marks), docs[key] == F.col("marked_key"), "left")
-    trains = F.coalesce((F.col("good") == 1) & ~F.col("held"), F.lit(False))
-    raw, target = gram_counts(marked.select(text, trains.alias("trains")), text, "trains")
+    marks = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("marked_key")).agg(good).filter("good IS NOT NULL")
+    marks = marks.withColumn("held", F.pmod(F.xxhash64(F.col("marked_key").cast("string")), F.lit(FOLDS)) == 0)
+    marks = marks.filter("held OR good = 1").hint("merge")  # labels may be as many as documents
+    marked = docs.select(key, text).join(marks, docs[key] == F.col("marked_key"))
+    marked = staged(marked.select(text, "good", "held"), "labelled")
+    raw = gram_counts(docs, text)[0]
+    target = gram_counts(marked.filter("NOT held"), text)[0]
     ratio = log_ratio(target, raw)
-    score = measured(marked.filter("good IS NOT NULL AND held").select(text, "good"), ratio, text, keep_text=False)
-    good = F.when(F.col("good") == 1, F.col("quality_of.score"))
-    bad = F.when(F.col("good") == 0, F.col("quality_of.score"))
-    low, high = score.agg(F.percentile(good, F.lit(1 - KEPT)), F.percentile(bad, F.lit(KEPT))).first()
+    held = measured(marked.filter("held").select(text, "good"), ratio, text, keep_text=False)
+    held = staged(held.select("good", "quality_of.score"), "held_scores")
+    low = _quantile(held.filter("good = 1"), 1 - KEPT)
+    high = _quantile(held.filter("good = 0"), KEPT)
     if low is None:
         return ratio, -np.inf
     return ratio, float(low if high is None or high > low else (low + high) / 2)

@@ -672,3 +672,26 @@ def test_ends_of_tags():
         places = sorted(rng.randrange(len(page)) for _ in range(5))
         again = extract.Tags(page)
         assert [again.end(at) for at in places] == [plain(page, at) for at in places]
+
+
+def test_every_label_counts(spark, monkeypatch):
+    """Labels beyond the number that was once a limit, and repeated or null keys of documents."""
+    monkeypatch.setattr(quality, "MOST_LABELS", 10, raising=False)
+    rows = [(i, "w%d x%d" % (i % 7, i % 3)) for i in range(300)] + [(5, "twice y"), (None, "none z"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(300)] * 2 + [(None, 1)], "doc_id long, quality int")
+    held = {r.doc_id for r in labels.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(quality.FOLDS)) == 0).collect()}
+    trusted = [t for d, t in rows if d is not None and d % 4 and d not in held]
+    texts = lambda kept: spark.createDataFrame([(t,) for t in kept], "text string")
+    raw, target = quality.gram_counts(texts(t for _, t in rows))[0], quality.gram_counts(texts(trusted))[0]
+    ratio, threshold = quality.fit(docs, labels)
+    assert (ratio == quality.log_ratio(target, raw)).all()
+    assert math.isfinite(threshold)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 150, 5000])
+@pytest.mark.parametrize("at", [0.01, 0.5, 0.99])
+def test_exact_quantile(spark, n, at):
+    scores = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(n)) / 7).alias("score"))
+    assert quality._quantile(scores, at) == scores.agg(F.percentile("score", F.lit(at))).first()[0]
+    assert quality._quantile(scores.limit(0), at) is None
