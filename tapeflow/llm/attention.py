@@ -9,9 +9,10 @@ factor sums to one, so the score is the log10 probability of the text's ids.
 
 What is learned comes from all training documents.  Their words are counted exactly, in the
 tasks first; slots, classes and the second and third factor follow from those counts.
-The attention is trained on a window of every document, at a place drawn by a hash:
-each task trains on its share from the same weights, the weighted mean of the results is
-the start of the next round.  Driver and broadcasts hold numbers per slot and class, and at most
+The attention is trained on all ids of every training document, each of them once: texts are cut into
+runs of ``WINDOW`` ids, a run is trained on in the round its document and place hash to; each
+task trains on its share from the same weights, the weighted mean of the results is the start
+of the next round.  Driver and broadcasts hold numbers per slot and class, and at most
 ``FREQUENT_WORDS`` words; the counts of all other words come by a join.
 
 Texts are cut into windows of ``STRIDE`` ids to score, each with ``WINDOW - STRIDE`` ids or more of
@@ -51,7 +52,6 @@ CLASSES = 96
 WIDTH = 16
 WINDOW = 32
 STRIDE = 24
-TRAIN_IDS = 24
 ROUNDS = 2
 BATCH = 256
 SCORED = 128
@@ -177,7 +177,8 @@ def _cut_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
 
 
 def gather(training: DataFrame, text: str, ranks) -> DataFrame:
-    """Rows (hash, word, c) of word counts by task, and rows (ids) of training windows."""
+    """Rows (hash, word, c) of word counts by task, and rows (c, ids) of training runs, where c is
+    the round to train in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table, subwords = Hasher(), space_words(), Subwords(ranks.value)
@@ -192,36 +193,39 @@ def gather(training: DataFrame, text: str, ranks) -> DataFrame:
                 if size > _HELD_WORDS:
                     yield from _word_counts(held)
                     held, size = [], 0
-                yield _windows(words, hashes, data, subwords)
+                yield _runs(words, hashes, *_ids(words, names, inverse, starts, ends, data, subwords), subwords.end)
         yield from _word_counts(held)
 
     return training.select(text).mapInArrow(run, "hash long, word string, c long, ids array<int>")
 
 
-def _windows(words: Words, hashes: np.ndarray, data: np.ndarray, subwords: Subwords) -> pa.RecordBatch:
-    """Some ids in a row of every text, with its end if they reach it."""
-    counts = words.counts
-    seeds = np.append(hashes, np.uint64(0))[words.word_at[:-1]] + counts.astype(np.uint64)
-    latest = np.maximum(counts - TRAIN_IDS // 3, 0)
-    first = words.word_at[:-1] + (mix(seeds) % (latest + 1).astype(np.uint64)).astype(np.int64)
-    taken = np.minimum(words.word_at[1:] - first, TRAIN_IDS // 2)
-    pick = _spans(first, taken)
-    names, at_first, inverse = np.unique(hashes[pick], return_index=True, return_inverse=True)
-    place = subwords.places(names, data.tobytes(), words.starts[pick][at_first], words.ends[pick][at_first])[inverse]
-    sizes = subwords.size[place]
-    ids = subwords.ids[_spans(subwords.first[place], sizes)]
-    ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(taken)])]
-    reach = first + taken == words.word_at[1:]
-    flat, at = [], [0]
-    for i in range(len(counts)):
-        own = ids[ends[i] : ends[i + 1]][:TRAIN_IDS]
-        if reach[i] and len(own) < TRAIN_IDS:
-            own = np.append(own, subwords.end)
-        flat.append(own)
-        at.append(at[-1] + len(own))
-    none = pa.nulls(len(counts))
-    column = ragged(np.concatenate(flat) if flat else np.empty(0, np.int32), np.array(at), pa.int32())
-    return pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.string()), none.cast(pa.int64()), column], _COUNTED)
+def _ids(words: Words, names, inverse, starts, ends, data: np.ndarray, subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some texts, each with its end, and where those of each text are."""
+    place = np.append(subwords.places(names, data.tobytes(), starts, ends)[inverse], -1)
+    sizes = np.append(subwords.size, 1)
+    begins = np.append(subwords.first, len(subwords.ids))
+    stream = place[np.insert(np.arange(len(words.starts)), words.word_at[1:], -1)]
+    ids = np.append(subwords.ids, subwords.end)[_spans(begins[stream], sizes[stream])]
+    token_at = np.concatenate([[0], np.cumsum(sizes[stream])])
+    return ids, token_at[words.word_at + np.arange(len(words.word_at))]
+
+
+def _runs(words: Words, hashes: np.ndarray, ids: np.ndarray, at: np.ndarray, end: int) -> pa.RecordBatch:
+    """The ids of every text as runs of ``WINDOW`` at most, each after the id before it."""
+    sizes = np.diff(at)
+    n_runs = -(-sizes // WINDOW)
+    owner = np.repeat(np.arange(len(sizes)), n_runs)
+    place = _spans(np.zeros(len(sizes), np.int64), n_runs) * WINDOW
+    begin = at[:-1][owner] + place
+    before = np.where(place > 0, ids[begin - 1], end) if len(ids) else np.empty(0, np.int32)
+    lengths = np.minimum(sizes[owner] - place, WINDOW) + 1
+    seeds = np.append(hashes, np.uint64(0))[words.word_at[:-1]] + words.counts.astype(np.uint64)
+    number = mix(seeds[owner] + place.astype(np.uint64)) % np.uint64(ROUNDS)
+    none = pa.nulls(len(owner))
+    column = ragged(np.insert(ids, begin, before).astype(np.int32), np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [none.cast(pa.int64()), none.cast(pa.string()), pa.array(number.astype(np.int64)), column], _COUNTED
+    )
 
 
 def _collect(rows: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
@@ -371,112 +375,120 @@ def attend(model: Model, slots: np.ndarray, from_place: int):
 
     The logits hold what speaks for each class of the next id."""
     asked = slots[:, from_place:]
-    scores = model.query[asked] @ model.key[slots].transpose(0, 2, 1)
+    scores = model.query.take(asked, axis=0) @ model.key.take(slots, axis=0).transpose(0, 2, 1)
     scores += _bias(model, np.arange(from_place, slots.shape[1]), slots.shape[1])
     np.minimum(scores, _LIMIT, out=scores)
     np.exp(scores, out=scores)
-    mixed = scores @ model.value[slots]
+    mixed = scores @ model.value.take(slots, axis=0)
     total = scores.sum(axis=2, keepdims=True)
     mixed /= total
-    logits = mixed @ model.out
-    logits += model.direct[asked]
+    logits = (mixed.reshape(-1, WIDTH) @ model.out).reshape(*asked.shape, CLASSES)
+    logits += model.direct.take(asked, axis=0)
     np.minimum(logits, _LIMIT, out=logits)
     return scores, total, mixed, logits
 
 
 def _by_slot(where: np.ndarray, what: np.ndarray) -> np.ndarray:
     """Sums of rows by slot."""
-    order = np.argsort(where, kind="stable")
+    order = np.argsort(where.astype(np.int16), kind="stable")  # as short numbers, by their digits
     names, first = np.unique(where[order], return_index=True)
     out = np.zeros((SLOTS, what.shape[1]), np.float32)
     out[names] = np.add.reduceat(what[order], first, axis=0)
     return out
 
 
-def gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np.ndarray):
-    """Mean loss over the counted places and the gradients of the trained arrays."""
-    weights, total, mixed, logits = attend(model, slots, 0)
-    share = np.exp(logits)
-    share /= share.sum(axis=2, keepdims=True)
+def gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradients of the trained arrays for the mean loss over the counted places.
+
+    Parts of the batch are taken one by one, as short arrays stay in the processor's cache."""
     n = max(1, int(counted.sum()))
-    picked = np.take_along_axis(share, targets[:, :, None], 2)[:, :, 0]
-    loss = -float((np.log(np.maximum(picked, 1e-30)) * counted).sum()) / n
-    d_logits = share
-    np.put_along_axis(d_logits, targets[:, :, None], picked[:, :, None] - 1, 2)
-    d_logits *= (counted / n)[:, :, None].astype(np.float32)
-    alpha = weights / total
-    d_mixed = d_logits @ model.out.T
-    value, key, query = model.value[slots], model.key[slots], model.query[slots]
-    d_value = alpha.transpose(0, 2, 1) @ d_mixed
-    d_alpha = d_mixed @ value.transpose(0, 2, 1)
-    d_score = alpha * (d_alpha - (alpha * d_alpha).sum(axis=2, keepdims=True))
+    total: dict[str, np.ndarray] = {}
+    for low in range(0, len(slots), SCORED):
+        part = slice(low, low + SCORED)
+        for name, g in _gradients(model, slots[part], targets[part], counted[part], n).items():
+            total[name] = total[name] + g if name in total else g
+    return total
+
+
+def _gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np.ndarray, n: int) -> dict[str, np.ndarray]:
+    weights, total, mixed, share = attend(model, slots, 0)
+    mixed = mixed.reshape(-1, WIDTH)
+    share = share.reshape(-1, CLASSES)
+    np.exp(share, out=share)
+    share *= counted.reshape(-1, 1) / (n * share.sum(axis=1, keepdims=True))
+    share[np.arange(len(share)), targets.reshape(-1)] -= counted.reshape(-1) / np.float32(n)
+    d_mixed = (share @ model.out.T).reshape(*slots.shape, WIDTH)
+    weights /= total
+    value, key, query = (x.take(slots, axis=0) for x in (model.value, model.key, model.query))
+    d_value = weights.transpose(0, 2, 1) @ d_mixed
+    d_score = d_mixed @ value.transpose(0, 2, 1)
+    # the mean of what comes to the places of a row, by their weights, is what comes through the mixed values
+    d_score -= (d_mixed * mixed.reshape(d_mixed.shape)).sum(axis=2, keepdims=True)
+    d_score *= weights
     length = slots.shape[1]
-    flat = slots.reshape(-1)
     back = np.arange(length)[:, None] - np.arange(length)[None, :]
     seen = back >= 0
     near = np.bincount(np.clip(back, 0, WINDOW - 1)[seen], d_score.sum(axis=0)[seen], WINDOW)
-    return loss, {
-        "query": _by_slot(flat, (d_score @ key).reshape(-1, WIDTH)),
-        "key": _by_slot(flat, (d_score.transpose(0, 2, 1) @ query).reshape(-1, WIDTH)),
-        "value": _by_slot(flat, d_value.reshape(-1, WIDTH)),
-        "out": mixed.reshape(-1, WIDTH).T @ d_logits.reshape(-1, CLASSES),
+    rows = np.concatenate([d_score @ key, d_score.transpose(0, 2, 1) @ query, d_value], axis=2)
+    by_slot = _by_slot(slots.reshape(-1), rows.reshape(-1, 3 * WIDTH))
+    return {
+        "query": by_slot[:, :WIDTH],
+        "key": by_slot[:, WIDTH : 2 * WIDTH],
+        "value": by_slot[:, 2 * WIDTH :],
+        "out": mixed.T @ share,
         "near": near.astype(np.float32),
     }
 
 
-def train_part(model: Model, streams: list[np.ndarray], end: int, rate: float) -> tuple[int, float]:
-    """Adam over windows of some id streams; gives the ids trained on and the mean loss."""
-    slots, targets, counted = [], [], []
-    end_slot = model.slot[end]
-    for ids in streams:
-        own = model.slot[ids]
-        for low in range(0, len(own), WINDOW):
-            part = own[max(0, low - 1) : low + WINDOW] if low else np.append(end_slot, own[:WINDOW])
-            size = len(part) - 1
-            slots.append(np.append(part[:-1], np.full(WINDOW - size, end_slot)))
-            targets.append(np.append(model.kind[part[1:]], np.zeros(WINDOW - size, np.int64)))
-            counted.append(np.arange(WINDOW) < size)
-    if not slots:
-        return 0, 0.0
-    slots, targets, counted = np.array(slots), np.array(targets), np.array(counted)
-    mean = {n: np.zeros_like(getattr(model, n)) for n in Model.TRAINED}
-    square = {n: np.zeros_like(getattr(model, n)) for n in Model.TRAINED}
-    losses = 0.0
-    steps = range(0, len(slots), BATCH)
-    for step, low in enumerate(steps, 1):
-        loss, slope = gradients(model, slots[low : low + BATCH], targets[low : low + BATCH], counted[low : low + BATCH])
-        losses += loss
-        for name, g in slope.items():
-            mean[name] = 0.9 * mean[name] + 0.1 * g
-            square[name] = 0.99 * square[name] + 0.01 * g * g
-            change = (mean[name] / (1 - 0.9**step)) / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-6)
-            setattr(model, name, (getattr(model, name) - np.float32(rate) * change).astype(np.float32))
-    return int(counted.sum()), losses / len(steps)
-
-
-def train(windows: DataFrame, model: Model, end: int) -> Model:
-    """``ROUNDS`` rounds of training in every task and averaging."""
-    context = windows.sparkSession.sparkContext
+class Trainer:
+    """Adam over batches of runs, on through all that a task is given."""
+
+    def __init__(self, model: Model, end: int, rate: float):
+        self.model, self.end, self.rate, self.step = model, end, rate, 0
+        self.mean = {n: np.zeros_like(getattr(model, n)) for n in Model.TRAINED}
+        self.square = {n: np.zeros_like(getattr(model, n)) for n in Model.TRAINED}
+
+    def train(self, flat: np.ndarray, at: np.ndarray) -> int:
+        """Train on the runs ``flat[at[i]:at[i + 1]]``; gives the number of ids trained on."""
+        model, total = self.model, 0
+        for low in range(0, len(at) - 1, BATCH):
+            first, sizes = at[:-1][low : low + BATCH], np.diff(at)[low : low + BATCH]
+            place = np.arange(WINDOW + 1)[None, :]
+            inside = place < sizes[:, None]
+            slots = model.slot[np.where(inside, flat[np.where(inside, first[:, None] + place, 0)], self.end)]
+            counted = inside[:, 1:]
+            self._change(gradients(model, slots[:, :-1], np.where(counted, model.kind[slots[:, 1:]], 0), counted))
+            total += int(counted.sum())
+        return total
+
+    def _change(self, slopes: dict[str, np.ndarray]) -> None:
+        self.step += 1
+        for name, g in slopes.items():
+            mean = self.mean[name] = 0.9 * self.mean[name] + 0.1 * g
+            square = self.square[name] = 0.99 * self.square[name] + 0.01 * g * g
+            change = (mean / (1 - 0.9**self.step)) / (np.sqrt(square / (1 - 0.99**self.step)) + 1e-6)
+            setattr(self.model, name, (getattr(self.model, name) - np.float32(self.rate) * change).astype(np.float32))
+
+
+def train(runs: DataFrame, model: Model, end: int) -> Model:
+    """``ROUNDS`` rounds of training in every task and averaging; each takes the runs of its number."""
+    context = runs.sparkSession.sparkContext
     for number in range(ROUNDS):
         sent = context.broadcast(packed(model))
         rate = RATE / (1 + number)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
-            own = pickle.loads(sent.value)
-            start = own.weights()
-            total, weight = np.zeros(len(start)), 0
+            trainer, weight = Trainer(pickle.loads(sent.value), end, rate), 0
             for batch in batches:
-                own.load(start)
                 column = batch.column(0)
-                flat, at = column.values.to_numpy(), column.offsets.to_numpy()
-                n, _ = train_part(own, [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], end, rate)
-                total += n * own.weights()
-                weight += n
+                weight += trainer.train(column.values.to_numpy(), column.offsets.to_numpy())
             if weight:
+                total = weight * trainer.model.weights().astype(np.float64)
                 index = np.arange(len(total) + 1)
                 yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(np.append(total, weight))], ["i", "n"])
 
-        sums = _collect(windows.select("ids").mapInArrow(run, "i long, n double"), (len(model.weights()) + 1,))
+        chosen = runs.filter(F.col("c") == number).select("ids")
+        sums = _collect(chosen.mapInArrow(run, "i long, n double"), (len(model.weights()) + 1,))
         if sums[-1]:
             model.load(sums[:-1] / sums[-1])
     return model
@@ -576,14 +588,7 @@ def _score_rows(docs: DataFrame, key: str, text: str, model: Model, ranks, frequ
                 other = np.flatnonzero(~found[inverse])
                 other_at = np.searchsorted(other, words.word_at)
 
-                place = np.append(subwords.places(names, data.tobytes(), starts, ends)[inverse], -1)
-                sizes = np.append(subwords.size, 1)
-                begins = np.append(subwords.first, len(subwords.ids))
-                where = np.insert(np.arange(len(words.starts)), words.word_at[1:], -1)
-                stream = place[where]
-                ids = np.append(subwords.ids, subwords.end)[_spans(begins[stream], sizes[stream])]
-                token_at = np.concatenate([[0], np.cumsum(sizes[stream])])
-                doc_at = token_at[words.word_at + np.arange(count + 1)]
+                ids, doc_at = _ids(words, names, inverse, starts, ends, data, subwords)
                 score = score_streams(scorer, ids, doc_at)
                 part = batch.slice(low, count)
                 yield pa.RecordBatch.from_arrays(
@@ -618,14 +623,14 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     gathered = staged(gather(training, text, ranks), "gathered")
     counts = gathered.filter("hash IS NOT NULL").groupBy("hash").agg(F.first("word").alias("word"), F.sum("c").alias("c"))
     counts = staged(counts.withColumn("level", F.floor(F.log2("c")).cast("int")), "counts")
-    windows = gathered.filter("ids IS NOT NULL").select("ids")
-    documents = windows.count()
+    runs = gathered.filter("ids IS NOT NULL").select("c", "ids")
+    documents = training.count()
     levels = sorted((tuple(r) for r in counts.groupBy("level").agg(F.count("*"), F.sum("c")).collect()), reverse=True)
     distinct = sum(r[1] for r in levels) + int(documents > 0)
     n_train = sum(r[2] for r in levels) + documents
 
     model = start_model(counts, ranks, end, documents, np.random.default_rng(11))
-    model = train(windows, model, end)
+    model = train(runs, model, end)
 
     least, kept = 64, 0
     for level, n, _ in levels:

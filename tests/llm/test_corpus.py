@@ -695,3 +695,51 @@ def test_exact_quantile(spark, n, at):
     scores = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(n)) / 7).alias("score"))
     assert quality._quantile(scores, at) == scores.agg(F.percentile("score", F.lit(at))).first()[0]
     assert quality._quantile(scores.limit(0), at) is None
+
+
+def test_all_ids_train(spark):
+    """Every id of every training text is in one run, after the id before it, in one round."""
+    rng = random.Random(4)
+    given = [None, "", " ", "One", *[" ".join(rng.choice(["aa", "Bcd", "\u00e9x", "zq9z"]) for _ in range(rng.randint(1, 400))) for _ in range(20)]]
+    with open(attention.TOKENIZER, "rb") as file:
+        ranks = file.read()
+    coder = attention.Subwords(ranks)
+    want = []
+    for t in given:
+        ids = [*coder.encode([w.encode() for w in (t or "").lower().split()])[0].tolist(), coder.end]
+        for low in range(0, len(ids), attention.WINDOW):
+            want.append([ids[low - 1] if low else coder.end, *ids[low : low + attention.WINDOW]])
+    rows = spark.createDataFrame([(t,) for t in given], "text string")
+    sent = spark.sparkContext.broadcast(ranks)
+    got = attention.gather(rows, "text", sent).filter("ids IS NOT NULL").collect()
+    assert sorted(r.ids for r in got) == sorted(want)
+    assert {r.c for r in got} == set(range(attention.ROUNDS))
+
+
+def test_gradients_follow_the_loss():
+    """The slopes of all trained arrays, against differences of the loss."""
+    np = attention.np
+    rng = np.random.default_rng(5)
+    s, c, w = attention.SLOTS, attention.CLASSES, attention.WIDTH
+    small = lambda *shape: rng.standard_normal(shape) * 0.5
+    model = attention.Model(
+        slot=None, kind=None, log_slot=None, log_id=None, direct=small(s, c), near=small(attention.WINDOW),
+        query=small(s, w), key=small(s, w), value=small(s, w), out=small(w, c),
+    )
+    slots = rng.integers(0, 9, (attention.SCORED + 3, attention.WINDOW))
+    targets, counted = rng.integers(0, c, slots.shape), rng.random(slots.shape) < 0.7
+
+    def loss():
+        logits = attention.attend(model, slots, 0)[3].astype(np.float64)
+        log = np.take_along_axis(logits, targets[:, :, None], 2)[:, :, 0] - np.log(np.exp(logits).sum(axis=2))
+        return -(log * counted).sum() / counted.sum()
+
+    slopes = attention.gradients(model, slots, targets, counted)
+    for name in attention.Model.TRAINED:
+        place = np.unravel_index(np.abs(slopes[name]).argmax(), slopes[name].shape)
+        array, ends = getattr(model, name), []
+        for step in (1e-3, -2e-3):
+            array[place] += step
+            ends.append(loss())
+        array[place] += 1e-3
+        assert math.isclose((ends[0] - ends[1]) / 2e-3, slopes[name][place], rel_tol=2e-2), name
