@@ -692,17 +692,25 @@ def _windows_plain(windows: DataFrame) -> DataFrame:
 _NOW = {"availableNow": True}
 
 
+#: Messages in a file, at most: what one task of a stream reads does not grow with the input.
+_FILE_MESSAGES = 200_000
+
+
 def _message_files(messages: DataFrame, purpose: str, fewest: int = 6) -> str:
     """Messages as text files, one message per line.
 
-    Input of few files is spread over some more, so that a stream has several
-    batches; larger input keeps its partitions.
+    Each task writes its own, none of many messages.  Input that fills few files is spread
+    over some more, so that a stream has several batches.
     """
-    path = shared_dir(messages.sparkSession, purpose)
+    spark = messages.sparkSession
+    path = shared_dir(spark, purpose)
     lines = messages.select(F.col("value").cast("string").alias("value"))
-    if len(messages.inputFiles()) < fewest:
-        lines = lines.repartition(fewest)
-    lines.write.text(path)
+    lines.write.option("maxRecordsPerFile", _FILE_MESSAGES).text(path)
+    written = spark.read.text(path)
+    if len(written.inputFiles()) >= fewest:
+        return path
+    path = shared_dir(spark, purpose)
+    written.repartition(fewest).write.text(path)
     return path
 
 
