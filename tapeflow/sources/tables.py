@@ -91,10 +91,15 @@ def reach_of(rows: DataFrame, spec: StreamSpec) -> Reach | None:
     """
     partition, lead = F.col(spec.partition), F.col(spec.key[0])
     placed = rows.select(F.col("symbol").alias("s"), lead.alias("k"), spec.partition_value().alias("p"))
-    ends = [F.min("k").alias("low"), F.max("k").alias("high")]
     no_key = F.col("k").isNull() | F.col("s").isNull()
-    names = [F.min("s").alias("first"), F.max("s").alias("last"), F.max(no_key).alias("no_key")]
-    touched = placed.groupBy("p").agg(*ends, *names).collect()
+    # Symbols are a key here, not a figure, so the rows need no sort.
+    spans = placed.groupBy("p", "s").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.max(no_key).alias("no_key")
+    )
+    touched = spans.groupBy("p").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("s").alias("first"),
+        F.max("s").alias("last"), F.max("no_key").alias("no_key"),
+    ).collect()
     if not touched:
         return None
     if any(t.no_key or t.p is None for t in touched):
@@ -114,7 +119,7 @@ def reach_of(rows: DataFrame, spec: StreamSpec) -> Reach | None:
         lead.between(low, high) & symbols,
         low,
         high,
-        placed.groupBy("p", "s").agg(*ends),
+        spans.drop("no_key"),
     )
 
 
@@ -123,8 +128,8 @@ def held_within(spark: SparkSession, spec: StreamSpec, path: str, reach: Reach)
 
     The folders of the batch's partitions are listed; files are sorted by symbol and time and
     epochs are narrow in both, so the ends of the keys skip most row groups; a semi-join with
-    the spans, a row per partition and symbol, leaves out what lies between them.  It is
-    the same plan for a batch of any width.
+    the spans, a row per partition and symbol, leaves out what lies between them.  These few rows
+    are sent to the tasks, so what is stored stays where it is read.
     """
     stored = read_folders(spark, path, reach.folders, spec.stored_schema)
     if stored is None:
@@ -134,7 +139,7 @@ def held_within(spark: SparkSession, spec: StreamSpec, path: str, reach: Reach)
         & (F.col("symbol") == F.col("s"))
         & F.col(spec.key[0]).between(F.col("low"), F.col("high"))
     )
-    return stored.where(reach.partitions & reach.keys).join(reach.spans, inside, "left_semi")
+    return stored.where(reach.partitions & reach.keys).join(F.broadcast(reach.spans), inside, "left_semi")
 
 
 def write_epoch(

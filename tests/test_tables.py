@@ -358,3 +358,39 @@ def test_null_keys_are_refused(spark, path):
     )
     with pytest.raises(ValueError, match="NULL key"):
         S.append_once(rows, TRADES, path("trades"), "w", 0)
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().toString()
+
+
+def test_look_up_moves_and_sorts_no_stored_rows(spark, path):
+    """The spans of a batch go to the stored rows, and are found without a sort, whatever a
+    planner holds small."""
+    table = path("table")
+    trades = [(i, "AB"[i % 2], i, 1.0, 2.0) for i in (1, 2, 3, 10**7, 10**7 + 1)]
+    rows = spark.createDataFrame(trades, TRADES.table_schema)
+    S.append_once(rows, TRADES, table, "a", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reach = S.reach_of(rows.where("trade_id < 3"), TRADES)
+        held = S.held_within(spark, TRADES, table, reach)
+        assert sorted(r.trade_id for r in held.collect()) == [1, 2]
+        assert "SortMergeJoin" not in _plan(held) and "BroadcastHashJoin" in _plan(held)
+        assert "SortAggregate" not in _plan(reach.spans)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_message_files_by_size(spark, monkeypatch):
+    """Much input is written where it is, in files of bounded length; little is spread."""
+    from tapeflow.plans import registry
+
+    monkeypatch.setattr(registry, "_FILE_MESSAGES", 10, raising=False)
+    messages = spark.range(0, 700, 1, 3).select(F.col("id").cast("string").alias("value"))
+    lines = spark.read.text(registry._message_files(messages, "topic"))
+    sizes = [r["count"] for r in lines.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 700 and max(sizes) <= 10
+    assert sorted(int(r.value) for r in lines.collect()) == list(range(700))
+    few = spark.read.text(registry._message_files(messages.limit(30), "topic"))
+    assert len(few.inputFiles()) == 6 and few.count() == 30
