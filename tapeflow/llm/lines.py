@@ -590,9 +590,11 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sha
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
-    """``docs`` without the lines that repeat an earlier one; ``line_count`` and
-    ``removed_lines`` are added, or replaced."""
-    return beside(docs, lambda rows: _dedup_lines(rows, key, text, share), ["text_key", "removed", "doc"], ["line_count", "removed_lines"])
+    """``docs`` without the lines that repeat an earlier one; ``line_count`` is added, or
+    replaced, and ``removed_lines`` added: an earlier run's, which tells what is gone, is not replaced."""
+    if "removed_lines" in map(str.lower, docs.columns):
+        raise ValueError("rename the column removed_lines")
+    return beside(docs, lambda rows: _dedup_lines(rows, key, text, share), ["text_key", "removed", "doc"], ["line_count"])
 
 
 def _dedup_lines(docs: DataFrame, key: str, text: str, share: int) -> DataFrame:

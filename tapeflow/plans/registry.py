@@ -706,11 +706,10 @@ def _message_files(messages: DataFrame, purpose: str, fewest: int = 6) -> str:
     path = shared_dir(spark, purpose)
     lines = messages.select(F.col("value").cast("string").alias("value"))
     lines.write.option("maxRecordsPerFile", _FILE_MESSAGES).text(path)
-    written = spark.read.text(path)
-    if len(written.inputFiles()) >= fewest:
+    if len(spark.read.text(path).inputFiles()) >= fewest:
         return path
     path = shared_dir(spark, purpose)
-    written.repartition(fewest).write.text(path)
+    lines.repartition(fewest).write.text(path)
     return path
 
 
