@@ -51,41 +51,57 @@ def _uniform(*parts) -> Column:
     return bits.cast("double") / F.lit(float(1 << 53))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value reckoned once, and once only in the plan."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _hypergeometric(good: Column, pool: Column, drawn: Column, u: Column) -> Column:
     """The number of good ones among ``drawn`` of ``pool``, by inversion at ``u``.
 
     The distribution is summed by its ratio of neighbours over 12 standard deviations
     around the mean, beyond which a double holds nothing of it.
     """
-    good, pool, drawn = (c.cast("double") for c in (good, pool, drawn))
-    share = F.when(pool > 0, good / pool).otherwise(0.0)
-    mean = drawn * share
-    spread = F.sqrt(F.greatest(F.lit(0.0), mean * (1 - share) * (pool - drawn) / F.greatest(pool - 1, F.lit(1.0))))
-    low = F.greatest(F.lit(0.0), drawn - (pool - good), F.floor(mean - 12 * spread - 1).cast("double"))
-    high = F.greatest(low, F.least(good, drawn, F.ceil(mean + 12 * spread + 1).cast("double")))
-    steps = F.sequence(low.cast("long"), high.cast("long"))
-
-    def onward(k: Column, weight: Column) -> Column:
-        return weight * (good - k) * (drawn - k) / ((k + 1) * (pool - good - drawn + k + 1))
-
-    total = F.aggregate(
-        steps,
-        F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")),
-        lambda s, k: F.struct(onward(k, s.w).alias("w"), (s.sum + s.w).alias("sum")),
-        lambda s: s.sum,
-    )
-    picked = F.aggregate(
-        steps,
-        F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), low.cast("long").alias("at"), total.alias("total")),
-        lambda s, k: F.struct(
-            onward(k, s.w).alias("w"),
-            (s.sum + s.w).alias("sum"),
-            F.when(s.sum <= u * s.total, k).otherwise(s.at).alias("at"),
-            s.total.alias("total"),
+    names = ("good", "pool", "drawn", "u")
+    known = F.struct(*[c.cast("double").alias(n) for n, c in zip(names, (good, pool, drawn, u), strict=True)])
+
+    def add(name: str, number) -> None:
+        nonlocal known
+        known = _let(known, lambda g: g.withField(name, number(g)))
+
+    add("share", lambda g: F.when(g.pool > 0, g.good / g.pool).otherwise(0.0))
+    add("mean", lambda g: g.drawn * g.share)
+    add("spread", lambda g: F.sqrt(F.greatest(F.lit(0.0), g["mean"] * (1 - g.share) * (g.pool - g.drawn) / F.greatest(g.pool - 1, F.lit(1.0)))))
+    add("low", lambda g: F.greatest(F.lit(0.0), g.drawn - (g.pool - g.good), F.floor(g["mean"] - 12 * g.spread - 1).cast("double")))
+    add("high", lambda g: F.greatest(g.low, F.least(g.good, g.drawn, F.ceil(g["mean"] + 12 * g.spread + 1).cast("double"))))
+    add("steps", lambda g: F.sequence(g.low.cast("long"), g.high.cast("long")))
+
+    def onward(g: Column, k: Column, weight: Column) -> Column:
+        return weight * (g.good - k) * (g.drawn - k) / ((k + 1) * (g.pool - g.good - g.drawn + k + 1))
+
+    add(
+        "total",
+        lambda g: F.aggregate(
+            g.steps,
+            F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")),
+            lambda s, k: F.struct(onward(g, k, s.w).alias("w"), (s.sum + s.w).alias("sum")),
+            lambda s: s.sum,
         ),
-        lambda s: s.at,
     )
-    return F.when(high <= low, low.cast("long")).otherwise(picked)
+
+    def picked(g: Column) -> Column:
+        return F.aggregate(
+            g.steps,
+            F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), g.low.cast("long").alias("at")),
+            lambda s, k: F.struct(
+                onward(g, k, s.w).alias("w"),
+                (s.sum + s.w).alias("sum"),
+                F.when(s.sum <= g.u * g.total, k).otherwise(s.at).alias("at"),
+            ),
+            lambda s: s.at,
+        )
+
+    return _let(known, lambda g: F.when(g.high <= g.low, g.low.cast("long")).otherwise(picked(g)))
 
 
 def _seeded(level: int, q: Column) -> Column:
@@ -105,11 +121,13 @@ def split_tree(quotas: DataFrame, levels: int = LEVELS) -> DataFrame:
         node = F.col("node")
 
         def draw(state: Column, q: Column) -> Column:
-            left = _hypergeometric(q.blocks, state.pool, state.want, q.u)
-            return F.struct(
-                (state.pool - q.blocks).alias("pool"),
-                (state.want - left).alias("want"),
-                F.concat(state.left, F.array(left)).alias("left"),
+            return _let(
+                _hypergeometric(q.blocks, state.pool, state.want, q.u),
+                lambda left: F.struct(
+                    (state.pool - q.blocks).alias("pool"),
+                    (state.want - left).alias("want"),
+                    F.concat(state.left, F.array(left)).alias("left"),
+                ),
             )
 
         seeded = F.transform("quota", partial(_seeded, level))
@@ -181,13 +199,15 @@ def _taken(docs: DataFrame, weights, share, levels, source: str, text: str, keep
     )
     narrow = rows.drop("given")
 
-    parts = narrow.groupBy("source_key", "part").agg(F.sum("size").alias("part_size"))
+    # small tables are written too: what is used in several places would be planned in each, in the driver
+    parts = staged(narrow.groupBy("source_key", "part").agg(F.sum("size").alias("part_size")), "mix-parts")
     by_source = Window.partitionBy("source_key").orderBy("part")
     earlier = by_source.rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("part_size").over(earlier), F.lit(0))
     goals = targets(parts.groupBy("source_key").agg(F.sum("part_size").alias("source_size")), weights, share)
     block = F.greatest(F.lit(1), F.ceil(F.col("source_size") / BLOCK_SHARE)).cast("long")
     goals = goals.withColumn("block", block).withColumn("blocks", F.ceil(F.col("target") / F.col("block")).cast("long"))
+    goals = staged(goals, "mix-goals")
     goals = goals.join(split_tree(goals.select("source_key", "blocks"), levels), "source_key")
     # one row per source and range: it also spreads what is known of a source over its ranges
     starts = staged(parts.select("source_key", "part", before.alias("before")).join(goals, "source_key"), "mix-quotas")
@@ -217,7 +237,7 @@ def _taken(docs: DataFrame, weights, share, levels, source: str, text: str, keep
     kinds = kinds.withColumn("rest", F.col("gap") - filled + words)
     some = F.round(F.col("rest") / F.col("kind.size")).cast("long")
     cuts = kinds.filter(words > F.col("rest")).groupBy("source_key").agg(F.min(F.struct("kind", some.alias("some"))).alias("cut"))
-    able = able.join(ranges.join(cuts, "source_key"), ["source_key", "part"], "left")
+    able = able.join(staged(ranges.join(cuts, "source_key"), "mix-cuts"), ["source_key", "part"], "left")
     at_cut = able.filter("kind = cut.kind AND cut.some > 0")
     counts = at_cut.groupBy("source_key", "part").agg(F.count("*").alias("n"))
     counts = counts.select("source_key", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"))

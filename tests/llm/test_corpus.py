@@ -470,6 +470,16 @@ def test_split_tree(spark):
     assert max(shards) - min(shards) <= 1 and all(list(e) == sorted(e) for e in ends.values())
 
 
+def test_mix_plan_stays_small(spark):
+    """The driver plans the splitting tree and the fills without copies of what is used twice."""
+    quotas = spark.createDataFrame([("a", 300), ("b", 0), ("n", 17)], "source_key string, blocks long")
+    ends = {r.source_key: r.ends for r in mixing.split_tree(quotas).collect()}
+    assert {k: (len(v), v[-1]) for k, v in ends.items()} == {"a": (16, 300), "b": (16, 0), "n": (16, 17)}
+    plan = mixing.split_tree(quotas)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 50_000
+
+
+
 @pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80), (2, 50)])
 def test_jaccard(spark, docs, n, percent):
     given = rows_of(docs)
