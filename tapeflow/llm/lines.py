@@ -14,8 +14,8 @@ Before anything is shuffled, the indexed keys of all lines are gathered in a bit
 a probe leaves its task only if its key is marked there.  Lines that meet on a key are tied to the
 smallest one indexed under it.  The ties' connected components are brought together in
 groups of bounded size, where candidates come from the same keys, a count of characters rules most
-out, and the rest are verified with an edit distance that keeps a band of the matrix in the
-bits of one number, for many pairs at once.  Lines joined by such links are one class; its
+out, and the rest are verified with an edit distance that follows the diagonals of the matrix
+from edit to edit, for many pairs at once.  Lines joined by such links are one class; its
 first line, by document and line number, stays.
 
 Shorter lines are never removed, whether equal or near: a few words recur by chance in clean text.
@@ -44,17 +44,15 @@ from tapeflow.scratch import staged
 FLOOR_CHARS = 20
 TWO_FROM = 40
 SHARE = 2
-#: A band of twice as many and one fits one number.
 MOST_EDITS = 31
 GROUP_CHARS = 4 << 20
 MERGED_CHARS = 1 << 20
 _PAIRS = 1 << 17
 _AT_ONCE = 1 << 18
-_BANDS = (6, MOST_EDITS)
-_LOOK = 16
-#: Spans of so many characters are compared piece by piece.
-_LONG = 1024
-_FINE = 2
+#: Pairs compared at a time, and characters compared one by one before hashes are.
+_AT_A_TIME = 1 << 13
+_LOOK = 4
+_NOWHERE = -(1 << 40)
 _SOON = 1 << 13
 _ALL_PAIRS = 1 << 20
 _FEW_LINES = 1 << 13
@@ -183,159 +181,66 @@ def _in_common(hasher: Hasher, sums: np.ndarray, a: np.ndarray, b: np.ndarray, m
     return found
 
 
-def edits_within(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
-    """Whether pairs of spans of ``code`` are within some edits of each other, a number for each pair.
-
-    ``a`` and ``b`` are (starts, ends).  What a pair has in common at either end changes no
-    distance and is left out.  For the rest see ``_banded``.
-    """
-    a_at, a_end, b_at, b_end = a[0].copy(), a[1].copy(), b[0].copy(), b[1].copy()
-    shorter = lambda: np.minimum(a_end - a_at, b_end - b_at)
-    same = _in_common(hasher, sums, a_at, b_at, shorter(), 1)
-    a_at, b_at = a_at + same, b_at + same
-    same = _in_common(hasher, sums, a_end, b_end, shorter(), -1)
-    a_end, b_end = a_end - same, b_end - same
-    result = shorter() == 0
-    result &= np.abs((a_end - a_at) - (b_end - b_at)) <= within
-    left = (shorter() > 0) & (shorter() < _LONG)
-    owner, spans = [], []
-    for one in np.flatnonzero(shorter() >= _LONG).tolist():
-        pieces = _pieces(hasher, sums, (a_at[one], a_end[one]), (b_at[one], b_end[one]), int(within[one]))
-        if pieces is not None:
-            owner.append(np.full(len(pieces), one))
-            spans.append(pieces)
-    if spans:
-        owner, spans = np.concatenate(owner), np.concatenate(spans)
-        apart = distances(code, (spans[:, 0], spans[:, 1]), (spans[:, 2], spans[:, 3]), within[owner])
-        total = np.bincount(owner, apart, len(within))
-        long = np.unique(owner)
-        result[long] = total[long] <= within[long]
-        left[long] = ~result[long]  # another way through may be shorter
-    left = np.flatnonzero(left)
+def _common_from(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """``_in_common`` from ``a`` and ``b`` on; most have little, so the first characters are compared as such."""
+    found = np.zeros(len(a), np.int64)
+    left = np.flatnonzero(room > 0)
+    for _ in range(_LOOK):
+        left = left[code[a[left] + found[left]] == code[b[left] + found[left]]]
+        found[left] += 1
+        left = left[found[left] < room[left]]
     if len(left):
-        result[left] = distances(code, (a_at[left], a_end[left]), (b_at[left], b_end[left]), within[left]) <= within[left]
-    return result
+        at = found[left]
+        found[left] += _in_common(hasher, sums, a[left] + at, b[left] + at, room[left] - at, 1)
+    return found
 
 
-def _pieces(hasher: Hasher, sums: np.ndarray, a: tuple, b: tuple, within: int) -> np.ndarray | None:
-    """What lies between the segments that two long spans have in common, as rows of start and end
-    in the first and in the second span, one empty row at least; None if the two are
-    further apart than ``within``.
+def edits_within(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
+    """Whether pairs of spans of ``code`` are within some edits of each other, a number for each pair.
 
-    The first span is cut into ``_FINE`` segments per edit; an edit spoils one at most, and
-    the others are in the second span, moved by ``within`` places at most.  The distances
-    of what lies between add up to no less than that of the spans.
-    """
-    m = _FINE * (within + 1)
-    width = (a[1] - a[0]) // m
-    place = a[0] + np.arange(m) * width
-    moves = np.arange(-within, within + 1)
-    begin = place[:, None] - a[0] + b[0] + moves
-    inside = (begin >= b[0]) & (begin + width <= b[1])
-    at = np.where(inside, begin, b[0])
-    same = inside & (hasher.cut(sums, place, place + width)[:, None] == hasher.cut(sums, at, at + width))
-    if m - int(same.any(axis=1).sum()) > within:
-        return None
-    ends, move, a_to, b_to = [], 0, a[0], b[0]
-    for i in np.flatnonzero(same.any(axis=1)).tolist():
-        unmoved = place[i] - a[0] + b[0]
-        if not (same[i, move + within] and unmoved + move >= b_to):
-            options = moves[same[i]]
-            options = options[unmoved + options >= b_to]
-            if not len(options):
-                continue
-            move = int(options[np.argmin(np.abs(options - move))])
-        there = unmoved + move
-        ends.append((a_to, place[i], b_to, there))
-        a_to, b_to = place[i] + width, there + width
-    ends.append((a_to, a[1], b_to, b[1]))
-    spans = np.array(ends, np.int64)
-    keep = (spans[:, 0] < spans[:, 1]) | (spans[:, 2] < spans[:, 3])
-    keep[-1] = True
-    return spans[keep]
-
-
-def distances(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
-    """Edit distances of pairs of spans; more than ``within`` where they are more."""
-    result = np.maximum(a[1] - a[0], b[1] - b[0])  # right where one is empty
-    left = np.flatnonzero(np.minimum(a[1] - a[0], b[1] - b[0]) > 0)
-    for low, high in zip((0, *_BANDS), _BANDS, strict=False):  # narrow bands for few edits
-        some = left[(within[left] > low) & (within[left] <= high)]
-        if len(some):
-            result[some] = _banded(code, (a[0][some], a[1][some]), (b[0][some], b[1][some]), within[some])
+    ``a`` and ``b`` are (starts, ends).  See ``_reached``."""
+    result = np.zeros(len(within), bool)
+    for low in range(0, len(within), _AT_A_TIME):
+        some = slice(low, low + _AT_A_TIME)
+        result[some] = _reached(code, sums, hasher, (a[0][some], a[1][some]), (b[0][some], b[1][some]), within[some])
     return result
 
 
-def _banded(code: np.ndarray, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
-    """Edit distances in a band; ``within`` and one where they are more.
-
-    The differences between neighbours in a column of the distance matrix are two bits
-    each; a band of them, twice the largest number of edits wide and one, moves down the
-    diagonal, one column for each character of the shorter span.  Every ``_LOOK`` columns pairs
-    go all of whose band is beyond their number.
-    """
-    most = int(within.max())
-    swap = (a[1] - a[0]) < (b[1] - b[0])
-    long_at, long_end = np.where(swap, b[0], a[0]), np.where(swap, b[1], a[1])
-    short_at, short_end = np.where(swap, a[0], b[0]), np.where(swap, a[1], b[1])
-    rows, columns = long_end - long_at, short_end - short_at
-    result = within + 1
-    order = np.argsort(-columns, kind="stable")
-    order = order[(rows - columns)[order] <= within[order]]
-    band = 2 * most + 1
-    full = np.uint64((1 << band) - 1)
-    one, middle = np.uint64(1), np.uint64(1 << most)
-    bits = np.arange(band)
-    wide = -(-band // 8) * 8
-    rise = np.full(len(order), (full >> np.uint64(most)) << np.uint64(most), np.uint64)
-    fall = np.zeros(len(order), np.uint64)
-    away = np.zeros(len(order), np.int64)
-    long_at, short_at, rows, columns, within = (x[order] for x in (long_at, short_at, rows, columns, within))
-    equal = np.zeros((len(order), 64), bool)
-    j = 0
-    while len(order) and j < columns[0]:
-        n = int(np.searchsorted(-columns, -j, "left"))  # pairs with a column j
-        row = j - most + bits
-        letter = code[short_at[:n] + j][:, None]
-        if j >= most and j + most < columns[n - 1]:  # the band lies inside of all spans
-            equal[:n, :band] = code[long_at[:n, None] + row] == letter
-        else:
-            at = np.minimum(np.maximum(long_at[:n, None] + row, 0), len(code) - 1)
-            equal[:n, :band] = (code[at] == letter) & (row >= 0) & (row < rows[:n, None])
-        if wide < 64:
-            match = np.zeros((n, 8), np.uint8)
-            match[:, : wide // 8] = np.packbits(equal[:n, :wide], axis=1, bitorder="little")
-        else:
-            match = np.packbits(equal[:n], axis=1, bitorder="little")
-        match = match.view("<u8")[:, 0]
-        up, down = rise[:n], fall[:n]
-        same = ((((match & up) + up) ^ up) | match | down) & full
-        right_up = (down | ~(same | up)) & full
-        right_down = same & up
-        away[:n] += (same & middle) == 0
-        rise[:n] = (right_down | ~((same >> one) | right_up)) & full
-        fall[:n] = (same >> one) & right_up
-        j += 1
-        if j % _LOOK == 0 and n:
-            # the band's values beside the middle one, from the differences
-            unpacked = lambda x: np.unpackbits(x[:n].astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :band]
-            steps = unpacked(rise).astype(np.int64) - unpacked(fall)
-            values = np.cumsum(steps, axis=1)
-            values += (away[:n] - (values[:, most - 1] if most else 0))[:, None]
-            least = np.minimum(values.min(axis=1), values[:, 0] - steps[:, 0])
-            stay = np.concatenate([least <= within[:n], np.ones(len(order) - n, bool)])
-            if not stay.all():
-                order, rise, fall, away, long_at, short_at, rows, columns, within = (
-                    x[stay] for x in (order, rise, fall, away, long_at, short_at, rows, columns, within)
-                )
-                equal = equal[: len(order)]
-    if not len(order):
-        return result
-    for extra in range(most):
-        bit = np.uint64(most + extra)
-        step = ((rise >> bit) & one).astype(np.int64) - ((fall >> bit) & one).astype(np.int64)
-        away += np.where(rows - columns > extra, step, 0)
-    result[order] = np.minimum(away, within + 1)
+def _reached(code: np.ndarray, sums: np.ndarray, hasher: Hasher, a: tuple, b: tuple, within: np.ndarray) -> np.ndarray:
+    """``edits_within`` by diagonals of the distance matrix: with each further edit, how far down each
+    diagonal one comes; equal characters that follow cost nothing and are found by their hashes.
+    So a pair takes about the square of its edits, whatever its length, and diagonals too far from
+    the last one for the edits that are left are not looked at."""
+    result = np.zeros(len(within), bool)
+    a_at, b_at, a_size, b_size = a[0], b[0], a[1] - a[0], b[1] - b[0]
+    pair = np.flatnonzero(np.abs(b_size - a_size) <= within)
+    a_at, b_at, a_size, b_size, within = (x[pair] for x in (a_at, b_at, a_size, b_size, within))
+    middle = int(within.max(initial=0)) + 1
+    reach = np.full((len(pair), 2 * middle + 1), _NOWHERE)
+    reach[:, middle] = 0
+    edits = 0
+    while len(pair):
+        moves = np.arange(-edits, edits + 1)
+        here = reach[:, middle - edits : middle + edits + 1]
+        if edits:
+            before = reach[:, middle - edits - 1 : middle + edits + 2]
+            here = np.maximum(np.maximum(before[:, 1:-1], before[:, 2:]) + 1, before[:, :-2])
+        last = np.minimum(a_size[:, None], b_size[:, None] - moves)
+        here = np.minimum(here, last)
+        usable = here >= np.maximum(0, -moves)
+        usable &= np.abs((b_size - a_size)[:, None] - moves) <= (within - edits)[:, None]
+        here = np.where(usable, here, _NOWHERE)
+        row, column = np.nonzero(usable)
+        at = here[row, column]
+        here[row, column] += _common_from(
+            code, sums, hasher, a_at[row] + at, b_at[row] + at + moves[column], last[row, column] - at
+        )
+        reach[:, middle - edits : middle + edits + 1] = here
+        done = reach[np.arange(len(pair)), middle + b_size - a_size] >= a_size
+        result[pair[done]] = True
+        stay = ~done & (within > edits)
+        pair, reach, a_at, b_at, a_size, b_size, within = (x[stay] for x in (pair, reach, a_at, b_at, a_size, b_size, within))
+        edits += 1
     return result
 
 

@@ -314,6 +314,23 @@ def test_distances_of_long_spans_by_pieces():
         assert 3 < got.sum() < len(got)
 
 
+def test_few_edits_of_long_lines_take_no_look_at_each_character():
+    """Pairs cost their edits, not their length, also in calls of one pair; both answers are right."""
+    rng = random.Random(8)
+    hasher, took = lines.Hasher(), 0.0
+    for n in range(120):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(1000))
+        other = edited(rng, line, 20 if n % 2 else 24)
+        code = lines.np.frombuffer((line + other).encode("utf-32-le"), lines.np.uint32)
+        sums, end = hasher.sums(code), lines.np.array([1000, len(code)])
+        began = time.process_time()
+        got = lines.edits_within(code, sums, hasher, (end[:1] * 0, end[:1]), (end[:1], end[1:]), lines.np.array([20]))
+        took += time.process_time() - began
+        if n < 6:
+            assert got.tolist() == [levenshtein(line, other) <= 20]
+    assert took < 1.2
+
+
 def test_edits_that_collect_in_one_half():
     """All edits in the first or the last half of a line leave a segment in the other."""
     rng = random.Random(2)
@@ -726,6 +743,26 @@ def test_all_ids_train(spark):
     assert {r.c for r in got} == set(range(attention.ROUNDS))
 
 
+def test_training_runs_as_one_value_each(spark):
+    """The job writes the ids of a run as bytes, not as a number each; they are the same ids."""
+    rng = random.Random(6)
+    given = [None, "", "One", "x" * 700, *[" ".join(rng.choice(["aa", "Bcd", "\u00e9x", "zq9z"]) for _ in range(rng.randint(1, 300))) for _ in range(20)]]
+    with open(attention.TOKENIZER, "rb") as file:
+        ranks = file.read()
+    end = attention.Subwords(ranks).end
+    rows = spark.createDataFrame([(t,) for t in given], "text string")
+    sent = spark.sparkContext.broadcast(ranks)
+    want = attention.gather(rows, "text", sent).filter("ids IS NOT NULL").select("ids").collect()
+    packed = attention.gather(rows, "text", sent, as_bytes=True).filter("ids IS NOT NULL").select("ids").toArrow()
+    got = []
+    for column in packed.column("ids").chunks:
+        flat, at = attention._unpacked(column, end)
+        got += [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert sorted(got) == sorted(r.ids for r in want)
+    # a number of two bytes for each id
+    assert attention._number(end) == attention.np.uint16 and attention._number(1 << 16) == attention.np.int32
+
+
 def test_gradients_follow_the_loss():
     """The slopes of all trained arrays, against differences of the loss."""
     np = attention.np
