@@ -30,6 +30,7 @@ import base64
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,8 @@ FREQUENT_WORDS = 1 << 20
 _HELD_WORDS = 1 << 20
 _CACHED_WORDS = 1 << 18
 _ADDED = 0.1
+#: Rows of a slot from which they are summed by a product.
+_OFTEN = 64
 _LIMIT = np.float32(30)
 
 
@@ -93,21 +96,34 @@ class Subwords:
         Words are encoded as one text, as a space before a word always begins a new piece; where
         the words lie in it follows from the lengths of the ids.  Only long words are cut first."""
         parts, of = words, None
-        if any(len(w) > PIECE for w in words):
+        if max(map(len, words), default=0) > PIECE:
             cut = [_pieces(w) for w in words]
             parts = [p for pieces in cut for p in pieces]
             of = np.array([len(pieces) for pieces in cut])
         if not parts:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        text = b" " + b" ".join(parts)
-        ids = np.array(self.coder.encode_ordinary(text.decode("utf-8", "replace")), np.int32)
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-        at = np.searchsorted(np.cumsum(self.bytes[ids]), ends, "left") + 1
+        ids, at = self._coded(b" " + b" ".join(parts), ends)
         if of is not None:
             at = at[np.cumsum(of) - 1]
         return ids, np.diff(at, prepend=0)
 
-    def places(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _coded(self, text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a text, and how many there are up to each of some ends of words."""
+        ids = np.array(self.coder.encode_ordinary(text.decode("utf-8", "replace")), np.int32)
+        return ids, np.searchsorted(np.cumsum(self.bytes[ids]), ends, "left") + 1
+
+    def _encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of words of no more than ``PIECE`` bytes that lie in ``data``."""
+        if not len(starts):
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        ends = np.cumsum(sizes + 1)
+        text = np.full(ends[-1], 32, np.uint8)
+        text[_spans(ends - sizes, sizes)] = data[_spans(starts, sizes)]
+        ids, at = self._coded(text.tobytes(), ends)
+        return ids, np.diff(at, prepend=0)
+
+    def places(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where the ids of distinct words, given by sorted hashes and spans, are held."""
         if len(self.known) > _CACHED_WORDS:
             self._clear()
@@ -116,12 +132,18 @@ class Subwords:
         inside = near < len(self.known)
         new[inside] = self.known[near[inside]] != hashes[inside]
         if new.any():
-            coded, own = self.encode([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            first, sizes = starts[new], ends[new] - starts[new]
+            own, begin = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
+            short, long = np.flatnonzero(sizes <= PIECE), np.flatnonzero(sizes > PIECE)
+            coded, own[short] = self._encode_spans(data, first[short], sizes[short])
+            more, own[long] = self.encode([data[a : a + n].tobytes() for a, n in zip(first[long].tolist(), sizes[long].tolist(), strict=True)])
+            order = np.concatenate([short, long])
+            begin[order] = len(self.ids) + np.cumsum(own[order]) - own[order]
             at = near[new]
             self.known = np.insert(self.known, at, hashes[new])
-            self.first = np.insert(self.first, at, len(self.ids) + np.cumsum(own) - own)
+            self.first = np.insert(self.first, at, begin)
             self.size = np.insert(self.size, at, own)
-            self.ids = np.concatenate([self.ids, coded])
+            self.ids = np.concatenate([self.ids, coded, more])
         return np.searchsorted(self.known, hashes)
 
 
@@ -145,14 +167,21 @@ def _spans(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _distinct(words: Words, hashes: np.ndarray):
     """Sorted distinct hashes, where each word is among them, and one span of each."""
-    names, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    return names, inverse, words.starts[first], words.ends[first]
+    coded = pa.array(hashes).dictionary_encode()
+    codes, names = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    first = np.empty(len(names), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    order = np.argsort(names)  # few beside the words
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    first = first[order]
+    return names[order], place[codes], words.starts[first], words.ends[first]
 
 
 # counting
 
 
-def _word_counts(held: list[tuple[np.ndarray, np.ndarray, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+def _word_counts(held: list[tuple[np.ndarray, np.ndarray, list[bytes]]], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     if not held:
         return
     hashes = np.concatenate([h[0] for h in held])
@@ -160,7 +189,7 @@ def _word_counts(held: list[tuple[np.ndarray, np.ndarray, list[bytes]]]) -> Iter
     texts = pa.concat_arrays([h[2] for h in held])
     names, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     total = np.bincount(inverse, counts).astype(np.int64)
-    none = pa.nulls(len(names), pa.list_(pa.int32()))
+    none = pa.nulls(len(names), kind)
     yield pa.RecordBatch.from_arrays(
         [pa.array(names.view(np.int64)), texts.take(pa.array(first)).cast(pa.string()), pa.array(total), none], _COUNTED
     )
@@ -176,9 +205,9 @@ def _cut_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(at), pa.py_buffer(flat))
 
 
-def gather(training: DataFrame, text: str, ranks) -> DataFrame:
+def gather(training: DataFrame, text: str, ranks, as_bytes: bool = False) -> DataFrame:
     """Rows (hash, word, c) of word counts by task, and rows (c, ids) of training runs, where c is
-    the round to train in."""
+    the round to train in.  ``as_bytes`` gives the ids of a run as one value, for ``_unpacked``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table, subwords = Hasher(), space_words(), Subwords(ranks.value)
@@ -191,17 +220,31 @@ def gather(training: DataFrame, text: str, ranks) -> DataFrame:
                 held.append((names, np.bincount(inverse, minlength=len(names)), _cut_words(data, starts, ends)))
                 size += len(names)
                 if size > _HELD_WORDS:
-                    yield from _word_counts(held)
+                    yield from _word_counts(held, kind)
                     held, size = [], 0
-                yield _runs(words, hashes, *_ids(words, names, inverse, starts, ends, data, subwords), subwords.end)
-        yield from _word_counts(held)
+                yield _runs(words, hashes, *_ids(words, names, inverse, starts, ends, data, subwords), subwords.end, as_bytes)
+        yield from _word_counts(held, kind)
+
+    kind = pa.binary() if as_bytes else pa.list_(pa.int32())
+    return training.select(text).mapInArrow(run, f"hash long, word string, c long, ids {'binary' if as_bytes else 'array<int>'}")
 
-    return training.select(text).mapInArrow(run, "hash long, word string, c long, ids array<int>")
+
+def _number(end: int) -> type:
+    """The kind of number that ids are held in."""
+    return np.uint16 if end < 1 << 16 else np.int32
+
+
+def _unpacked(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of runs as bytes, and where those of each run are."""
+    column = column.cast(pa.large_binary())
+    kind = np.dtype(_number(end))
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // kind.itemsize
+    return np.frombuffer(column.buffers()[2], kind), at
 
 
 def _ids(words: Words, names, inverse, starts, ends, data: np.ndarray, subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
     """All ids of some texts, each with its end, and where those of each text are."""
-    place = np.append(subwords.places(names, data.tobytes(), starts, ends)[inverse], -1)
+    place = np.append(subwords.places(names, data, starts, ends)[inverse], -1)
     sizes = np.append(subwords.size, 1)
     begins = np.append(subwords.first, len(subwords.ids))
     stream = place[np.insert(np.arange(len(words.starts)), words.word_at[1:], -1)]
@@ -210,7 +253,7 @@ def _ids(words: Words, names, inverse, starts, ends, data: np.ndarray, subwords:
     return ids, token_at[words.word_at + np.arange(len(words.word_at))]
 
 
-def _runs(words: Words, hashes: np.ndarray, ids: np.ndarray, at: np.ndarray, end: int) -> pa.RecordBatch:
+def _runs(words: Words, hashes: np.ndarray, ids: np.ndarray, at: np.ndarray, end: int, as_bytes: bool = False) -> pa.RecordBatch:
     """The ids of every text as runs of ``WINDOW`` at most, each after the id before it."""
     sizes = np.diff(at)
     n_runs = -(-sizes // WINDOW)
@@ -222,7 +265,13 @@ def _runs(words: Words, hashes: np.ndarray, ids: np.ndarray, at: np.ndarray, end
     seeds = np.append(hashes, np.uint64(0))[words.word_at[:-1]] + words.counts.astype(np.uint64)
     number = mix(seeds[owner] + place.astype(np.uint64)) % np.uint64(ROUNDS)
     none = pa.nulls(len(owner))
-    column = ragged(np.insert(ids, begin, before).astype(np.int32), np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    flat, ends = np.insert(ids, begin, before), np.concatenate([[0], np.cumsum(lengths)])
+    if as_bytes:
+        flat = flat.astype(_number(end))
+        ends = (ends * flat.itemsize).astype(np.int32)
+        column = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+    else:
+        column = ragged(flat.astype(np.int32), ends, pa.int32())
     return pa.RecordBatch.from_arrays(
         [none.cast(pa.int64()), none.cast(pa.string()), pa.array(number.astype(np.int64)), column], _COUNTED
     )
@@ -269,6 +318,11 @@ class Model:
     direct: np.ndarray
     near: np.ndarray  # score added for each distance
 
+    @cached_property
+    def top(self) -> float:
+        """The largest direct part, which is not trained."""
+        return float(self.direct.max())
+
     TRAINED = ("query", "key", "value", "out", "near")
 
     def weights(self) -> np.ndarray:
@@ -375,25 +429,47 @@ def attend(model: Model, slots: np.ndarray, from_place: int):
 
     The logits hold what speaks for each class of the next id."""
     asked = slots[:, from_place:]
-    scores = model.query.take(asked, axis=0) @ model.key.take(slots, axis=0).transpose(0, 2, 1)
+    scores = model.query.take(asked, axis=0) @ _turned(model.key.take(slots, axis=0))
     scores += _bias(model, np.arange(from_place, slots.shape[1]), slots.shape[1])
-    np.minimum(scores, _LIMIT, out=scores)
+    if not _most(model.query, model.key) + model.near.max() < _LIMIT:
+        np.minimum(scores, _LIMIT, out=scores)
     np.exp(scores, out=scores)
-    mixed = scores @ model.value.take(slots, axis=0)
-    total = scores.sum(axis=2, keepdims=True)
-    mixed /= total
+    # the sums of the scores come out of the product, as values of 1
+    mixed = scores @ np.concatenate([model.value, np.ones((SLOTS, 1), np.float32)], axis=1).take(slots, axis=0)
+    total = mixed[:, :, WIDTH:]
+    mixed = mixed[:, :, :WIDTH] / total
     logits = (mixed.reshape(-1, WIDTH) @ model.out).reshape(*asked.shape, CLASSES)
     logits += model.direct.take(asked, axis=0)
-    np.minimum(logits, _LIMIT, out=logits)
+    if not _most(model.value, model.out.T) + model.top < _LIMIT:
+        np.minimum(logits, _LIMIT, out=logits)
     return scores, total, mixed, logits
 
 
+def _turned(x: np.ndarray) -> np.ndarray:
+    """The matrices of ``x`` transposed and copied, which makes products of small ones faster."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
+
+
+def _most(one: np.ndarray, other: np.ndarray) -> float:
+    """No product of rows is more than this, by their lengths and a little for rounding."""
+    square = lambda rows: float(np.einsum("ij,ij->i", rows, rows).max())
+    return 1.001 * (square(one) * square(other)) ** 0.5
+
+
 def _by_slot(where: np.ndarray, what: np.ndarray) -> np.ndarray:
     """Sums of rows by slot."""
     order = np.argsort(where.astype(np.int16), kind="stable")  # as short numbers, by their digits
-    names, first = np.unique(where[order], return_index=True)
+    ordered = where[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    size = np.diff(np.append(first, len(ordered)))
     out = np.zeros((SLOTS, what.shape[1]), np.float32)
-    out[names] = np.add.reduceat(what[order], first, axis=0)
+    # the rows of a frequent slot are summed by a product, which is faster
+    often = size >= _OFTEN
+    for low, n in zip(first[often].tolist(), size[often].tolist(), strict=True):
+        out[ordered[low]] = np.ones(n, np.float32) @ what.take(order[low : low + n], axis=0)
+    if not often.all():
+        rest, few = order[np.repeat(~often, size)], size[~often]
+        out[ordered[first[~often]]] = np.add.reduceat(what.take(rest, axis=0), np.cumsum(few) - few, axis=0)
     return out
 
 
@@ -415,15 +491,19 @@ def _gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np
     mixed = mixed.reshape(-1, WIDTH)
     share = share.reshape(-1, CLASSES)
     np.exp(share, out=share)
-    share *= counted.reshape(-1, 1) / (n * share.sum(axis=1, keepdims=True))
-    share[np.arange(len(share)), targets.reshape(-1)] -= counted.reshape(-1) / np.float32(n)
-    d_mixed = (share @ model.out.T).reshape(*slots.shape, WIDTH)
+    mass = share @ np.ones(CLASSES, np.float32)
+    share.reshape(-1)[np.arange(len(share)) * CLASSES + targets.reshape(-1)] -= mass
+    # the slope of a place is its row by this; the narrow factors are scaled, not the rows
+    scale = (counted.reshape(-1) / (n * mass))[:, None]
+    d_mixed = share @ model.out.T
+    d_mixed *= scale
+    d_mixed = d_mixed.reshape(*slots.shape, WIDTH)
     weights /= total
     value, key, query = (x.take(slots, axis=0) for x in (model.value, model.key, model.query))
     d_value = weights.transpose(0, 2, 1) @ d_mixed
-    d_score = d_mixed @ value.transpose(0, 2, 1)
+    d_score = d_mixed @ _turned(value)
     # the mean of what comes to the places of a row, by their weights, is what comes through the mixed values
-    d_score -= (d_mixed * mixed.reshape(d_mixed.shape)).sum(axis=2, keepdims=True)
+    d_score -= np.einsum("btw,btw->bt", d_mixed, mixed.reshape(d_mixed.shape))[:, :, None]
     d_score *= weights
     length = slots.shape[1]
     back = np.arange(length)[:, None] - np.arange(length)[None, :]
@@ -435,7 +515,8 @@ def _gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np
         "query": by_slot[:, :WIDTH],
         "key": by_slot[:, WIDTH : 2 * WIDTH],
         "value": by_slot[:, 2 * WIDTH :],
-        "out": mixed.T @ share,
+        # by windows, as one product over all places is slower
+        "out": (_turned((mixed * scale).reshape(*slots.shape, WIDTH)) @ share.reshape(*slots.shape, CLASSES)).sum(axis=0),
         "near": near.astype(np.float32),
     }
 
@@ -464,10 +545,18 @@ class Trainer:
     def _change(self, slopes: dict[str, np.ndarray]) -> None:
         self.step += 1
         for name, g in slopes.items():
-            mean = self.mean[name] = 0.9 * self.mean[name] + 0.1 * g
-            square = self.square[name] = 0.99 * self.square[name] + 0.01 * g * g
-            change = (mean / (1 - 0.9**self.step)) / (np.sqrt(square / (1 - 0.99**self.step)) + 1e-6)
-            setattr(self.model, name, (getattr(self.model, name) - np.float32(self.rate) * change).astype(np.float32))
+            mean, square = self.mean[name], self.square[name]
+            mean *= np.float32(0.9)
+            mean += np.float32(0.1) * g
+            square *= np.float32(0.99)
+            g = g * g
+            g *= np.float32(0.01)
+            square += g
+            change = np.sqrt(square / np.float32(1 - 0.99**self.step))
+            change += np.float32(1e-6)
+            np.divide(mean, change, out=change)
+            change *= np.float32(self.rate / (1 - 0.9**self.step))
+            setattr(self.model, name, getattr(self.model, name) - change)
 
 
 def train(runs: DataFrame, model: Model, end: int) -> Model:
@@ -480,8 +569,7 @@ def train(runs: DataFrame, model: Model, end: int) -> Model:
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
             trainer, weight = Trainer(pickle.loads(sent.value), end, rate), 0
             for batch in batches:
-                column = batch.column(0)
-                weight += trainer.train(column.values.to_numpy(), column.offsets.to_numpy())
+                weight += trainer.train(*_unpacked(batch.column(0), end))
             if weight:
                 total = weight * trainer.model.weights().astype(np.float64)
                 index = np.arange(len(total) + 1)
@@ -520,7 +608,7 @@ class Scorer:
     def share(self, slots: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Probability of the given classes at the scored places of each window."""
         asked = slots[:, WINDOW - STRIDE :]
-        scores = self.query.take(asked, axis=0) @ self.key.take(slots, axis=0).transpose(0, 2, 1)
+        scores = self.query.take(asked, axis=0) @ _turned(self.key.take(slots, axis=0))
         np.exp(scores, out=scores)
         scores *= self.near
         mixed = scores @ self.value.take(slots, axis=0)
@@ -620,8 +708,8 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     ranks = spark.sparkContext.broadcast(raw)  # the tokenizer's ranks, one megabyte
     end = len([line for line in raw.splitlines() if line])
     training = docs.filter(~held_out(F.col(key)))
-    gathered = staged(gather(training, text, ranks), "gathered")
-    counts = gathered.filter("hash IS NOT NULL").groupBy("hash").agg(F.first("word").alias("word"), F.sum("c").alias("c"))
+    gathered = staged(gather(training, text, ranks, as_bytes=True), "gathered")
+    counts = gathered.filter("hash IS NOT NULL").groupBy("hash", "word").agg(F.sum("c").alias("c"))  # by both, as a text among the sums would be sorted for
     counts = staged(counts.withColumn("level", F.floor(F.log2("c")).cast("int")), "counts")
     runs = gathered.filter("ids IS NOT NULL").select("c", "ids")
     documents = training.count()
