@@ -113,10 +113,12 @@ class Subwords:
         ids = np.array(self.coder.encode_ordinary(text.decode("utf-8", "replace")), np.int32)
         return ids, np.searchsorted(np.cumsum(self.bytes[ids]), ends, "left") + 1
 
-    def _encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``encode`` of words of no more than ``PIECE`` bytes that lie in ``data``."""
+    def encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of words that lie in ``data``."""
         if not len(starts):
             return np.empty(0, np.int32), np.empty(0, np.int64)
+        if sizes.max() > PIECE:
+            return self.encode([data[a : a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)])
         ends = np.cumsum(sizes + 1)
         text = np.full(ends[-1], 32, np.uint8)
         text[_spans(ends - sizes, sizes)] = data[_spans(starts, sizes)]
@@ -131,20 +133,17 @@ class Subwords:
         new = np.ones(len(hashes), bool)
         inside = near < len(self.known)
         new[inside] = self.known[near[inside]] != hashes[inside]
+        place = near + np.cumsum(new) - new  # new ones come before those of larger hashes
         if new.any():
             first, sizes = starts[new], ends[new] - starts[new]
-            own, begin = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-            short, long = np.flatnonzero(sizes <= PIECE), np.flatnonzero(sizes > PIECE)
-            coded, own[short] = self._encode_spans(data, first[short], sizes[short])
-            more, own[long] = self.encode([data[a : a + n].tobytes() for a, n in zip(first[long].tolist(), sizes[long].tolist(), strict=True)])
-            order = np.concatenate([short, long])
-            begin[order] = len(self.ids) + np.cumsum(own[order]) - own[order]
+            coded, own = self.encode_spans(data, first, sizes)
+            begin = len(self.ids) + np.cumsum(own) - own
             at = near[new]
             self.known = np.insert(self.known, at, hashes[new])
             self.first = np.insert(self.first, at, begin)
             self.size = np.insert(self.size, at, own)
-            self.ids = np.concatenate([self.ids, coded, more])
-        return np.searchsorted(self.known, hashes)
+            self.ids = np.concatenate([self.ids, coded])
+        return place
 
 
 def _pieces(word: bytes) -> list[bytes]:
@@ -285,19 +284,32 @@ def _collect(rows: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
     return out.reshape(shape)
 
 
-def _coded(counts: DataFrame, ranks, weigh) -> DataFrame:
-    """Sparse sums (i, n) over the ids of counted words."""
+def _coded(counts: DataFrame, ranks, size: int, weigh) -> DataFrame:
+    """Sums (i, n) over the ids of counted words; ``i`` is below ``size``, so a task gives as many rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(ranks.value)
+        subwords, total = Subwords(ranks.value), np.zeros(size)
+        held, n_held = [], 0
+
+        def add() -> None:
+            if held:
+                where, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                np.add(total, np.bincount(where, n, size), out=total)
+                held.clear()
+
         for batch in batches:
-            ids, sizes = subwords.encode([w.as_buffer().to_pybytes() for w in batch.column(0)])
-            ids = ids.astype(np.int64)
-            where, n = weigh(ids, sizes, batch.column(1).to_numpy().astype(np.float64))
-            names, inverse = np.unique(where, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(inverse, n, len(names)))], ["i", "n"])
+            for low, high, data, at in chunks(batch.column(0)):
+                ids, sizes = subwords.encode_spans(data, at[:-1], np.diff(at))
+                held.append(weigh(ids.astype(np.int64), sizes, batch.column(1)[low:high].to_numpy().astype(np.float64)))
+                n_held += len(held[-1][0])
+                if n_held > size:
+                    add()
+                    n_held = 0
+        add()
+        names = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(total[names])], ["i", "n"])
 
-    return counts.select(F.col("word").cast("binary"), "c").mapInArrow(run, "i long, n double")
+    return counts.select("word", "c").mapInArrow(run, "i long, n double")
 
 
 # the model
@@ -365,7 +377,7 @@ def start_model(counts: DataFrame, ranks, end: int, documents: int, rng: np.rand
     def unigrams(ids, sizes, n):
         return ids, np.repeat(n, sizes)
 
-    by_id = _collect(_coded(counts, ranks, unigrams), (total_ids,))
+    by_id = _collect(_coded(counts, ranks, total_ids, unigrams), (total_ids,))
     by_id[end] = documents
     frequent = np.argsort(-by_id[:end], kind="stable")[: SLOTS - 2]
     slot = np.full(total_ids, SLOTS - 1, np.int64)  # the last slot holds the others
@@ -382,7 +394,8 @@ def start_model(counts: DataFrame, ranks, end: int, documents: int, rng: np.rand
         where = [s[pairs] * SLOTS + s[pairs + 1], SLOTS * SLOTS + s[last - sizes + 1], SLOTS * SLOTS + SLOTS + s[last]]
         return np.concatenate(where), np.concatenate([weight[pairs], n, n])
 
-    sums = _collect(_coded(counts, ranks, neighbours), (SLOTS * SLOTS + 2 * SLOTS,))
+    n_sums = SLOTS * SLOTS + 2 * SLOTS
+    sums = _collect(_coded(counts, ranks, n_sums, neighbours), (n_sums,))
     bigrams = sums[: SLOTS * SLOTS].reshape(SLOTS, SLOTS)
     first, last = sums[SLOTS * SLOTS : SLOTS * (SLOTS + 1)], sums[SLOTS * (SLOTS + 1) :]
     words = max(first.sum(), 1.0)
@@ -424,23 +437,33 @@ def _bias(model: Model, rows: np.ndarray, length: int) -> np.ndarray:
     return np.where(back >= 0, model.near[np.clip(back, 0, WINDOW - 1)], np.float32(-1e9)).astype(np.float32)
 
 
-def attend(model: Model, slots: np.ndarray, from_place: int):
-    """(attention, mixed values, logits) for the places from ``from_place`` of each window.
+def _fixed(model: Model, from_place: int, length: int):
+    """What ``attend`` needs that is the same for all windows of a length: what is added to the scores,
+    the values with a column of ones, and whether scores and logits stay below the limit."""
+    bias = _bias(model, np.arange(from_place, length), length)
+    value = np.concatenate([model.value, np.ones((SLOTS, 1), np.float32)], axis=1)
+    low_scores = _most(model.query, model.key) + model.near.max() < _LIMIT
+    return bias, value, low_scores, _most(model.value, model.out.T) + model.top < _LIMIT
+
+
+def attend(model: Model, slots: np.ndarray, from_place: int, fixed=None):
+    """(attention, its sums, mixed values, logits) for the places from ``from_place`` of each window.
 
     The logits hold what speaks for each class of the next id."""
+    bias, value, low_scores, low_logits = fixed or _fixed(model, from_place, slots.shape[1])
     asked = slots[:, from_place:]
     scores = model.query.take(asked, axis=0) @ _turned(model.key.take(slots, axis=0))
-    scores += _bias(model, np.arange(from_place, slots.shape[1]), slots.shape[1])
-    if not _most(model.query, model.key) + model.near.max() < _LIMIT:
+    scores += bias
+    if not low_scores:
         np.minimum(scores, _LIMIT, out=scores)
     np.exp(scores, out=scores)
     # the sums of the scores come out of the product, as values of 1
-    mixed = scores @ np.concatenate([model.value, np.ones((SLOTS, 1), np.float32)], axis=1).take(slots, axis=0)
+    mixed = scores @ value.take(slots, axis=0)
     total = mixed[:, :, WIDTH:]
     mixed = mixed[:, :, :WIDTH] / total
     logits = (mixed.reshape(-1, WIDTH) @ model.out).reshape(*asked.shape, CLASSES)
     logits += model.direct.take(asked, axis=0)
-    if not _most(model.value, model.out.T) + model.top < _LIMIT:
+    if not low_logits:
         np.minimum(logits, _LIMIT, out=logits)
     return scores, total, mixed, logits
 
@@ -476,49 +499,56 @@ def _by_slot(where: np.ndarray, what: np.ndarray) -> np.ndarray:
 def gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
     """The gradients of the trained arrays for the mean loss over the counted places.
 
-    Parts of the batch are taken one by one, as short arrays stay in the processor's cache."""
-    n = max(1, int(counted.sum()))
-    total: dict[str, np.ndarray] = {}
+    Parts of the batch are taken one by one, as short arrays stay in the processor's cache; what
+    they have in common, and the sums by slot, are made once."""
+    n, length = max(1, int(counted.sum())), slots.shape[1]
+    fixed = _fixed(model, 0, length)
+    rows = np.empty((*slots.shape, 3 * WIDTH), np.float32)
+    out, scored = np.zeros_like(model.out), np.zeros((length, length), np.float32)
     for low in range(0, len(slots), SCORED):
         part = slice(low, low + SCORED)
-        for name, g in _gradients(model, slots[part], targets[part], counted[part], n).items():
-            total[name] = total[name] + g if name in total else g
-    return total
+        d_out, d_scored = _slopes(model, slots[part], targets[part], counted[part], n, fixed, rows[part])
+        out += d_out
+        scored += d_scored
+    by_slot = _by_slot(slots.reshape(-1), rows.reshape(-1, 3 * WIDTH))
+    back = np.arange(length)[:, None] - np.arange(length)[None, :]
+    seen = back >= 0
+    near = np.bincount(np.clip(back, 0, WINDOW - 1)[seen], scored[seen], WINDOW)
+    return {
+        "query": by_slot[:, :WIDTH],
+        "key": by_slot[:, WIDTH : 2 * WIDTH],
+        "value": by_slot[:, 2 * WIDTH :],
+        "out": out,
+        "near": near.astype(np.float32),
+    }
 
 
-def _gradients(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np.ndarray, n: int) -> dict[str, np.ndarray]:
-    weights, total, mixed, share = attend(model, slots, 0)
-    mixed = mixed.reshape(-1, WIDTH)
+def _slopes(model: Model, slots: np.ndarray, targets: np.ndarray, counted: np.ndarray, n: int, fixed, rows: np.ndarray):
+    """Fills ``rows`` with the slopes of the query, key and value of each place; gives those of
+    ``out`` and of the scores by place."""
+    weights, total, mixed, share = attend(model, slots, 0, fixed)
     share = share.reshape(-1, CLASSES)
     np.exp(share, out=share)
     mass = share @ np.ones(CLASSES, np.float32)
     share.reshape(-1)[np.arange(len(share)) * CLASSES + targets.reshape(-1)] -= mass
     # the slope of a place is its row by this; the narrow factors are scaled, not the rows
-    scale = (counted.reshape(-1) / (n * mass))[:, None]
-    d_mixed = share @ model.out.T
-    d_mixed *= scale
-    d_mixed = d_mixed.reshape(*slots.shape, WIDTH)
-    weights /= total
+    scale = (counted.reshape(-1) / (n * mass)).reshape(*counted.shape, 1)
+    d_mixed = (share @ model.out.T).reshape(mixed.shape)
+    # the attention is left undivided, and what meets it is divided by its sums
+    d_mixed *= scale / total
     value, key, query = (x.take(slots, axis=0) for x in (model.value, model.key, model.query))
-    d_value = weights.transpose(0, 2, 1) @ d_mixed
+    turned = weights.transpose(0, 2, 1)
+    np.matmul(turned, d_mixed, out=rows[:, :, 2 * WIDTH :])
     d_score = d_mixed @ _turned(value)
     # the mean of what comes to the places of a row, by their weights, is what comes through the mixed values
-    d_score -= np.einsum("btw,btw->bt", d_mixed, mixed.reshape(d_mixed.shape))[:, :, None]
+    d_score -= np.einsum("btw,btw->bt", d_mixed, mixed)[:, :, None]
     d_score *= weights
-    length = slots.shape[1]
-    back = np.arange(length)[:, None] - np.arange(length)[None, :]
-    seen = back >= 0
-    near = np.bincount(np.clip(back, 0, WINDOW - 1)[seen], d_score.sum(axis=0)[seen], WINDOW)
-    rows = np.concatenate([d_score @ key, d_score.transpose(0, 2, 1) @ query, d_value], axis=2)
-    by_slot = _by_slot(slots.reshape(-1), rows.reshape(-1, 3 * WIDTH))
-    return {
-        "query": by_slot[:, :WIDTH],
-        "key": by_slot[:, WIDTH : 2 * WIDTH],
-        "value": by_slot[:, 2 * WIDTH :],
-        # by windows, as one product over all places is slower
-        "out": (_turned((mixed * scale).reshape(*slots.shape, WIDTH)) @ share.reshape(*slots.shape, CLASSES)).sum(axis=0),
-        "near": near.astype(np.float32),
-    }
+    np.matmul(d_score, key, out=rows[:, :, :WIDTH])
+    np.matmul(d_score.transpose(0, 2, 1), query, out=rows[:, :, WIDTH : 2 * WIDTH])
+    mixed *= scale
+    # by windows, as one product over all places is slower
+    d_out = (mixed.transpose(0, 2, 1) @ share.reshape(*slots.shape, CLASSES)).sum(axis=0)
+    return d_out, d_score.sum(axis=0)
 
 
 class Trainer:
@@ -532,13 +562,14 @@ class Trainer:
     def train(self, flat: np.ndarray, at: np.ndarray) -> int:
         """Train on the runs ``flat[at[i]:at[i + 1]]``; gives the number of ids trained on."""
         model, total = self.model, 0
+        place, all_sizes = np.arange(WINDOW + 1)[None, :], np.diff(at)
+        slot = np.append(model.slot[flat], model.slot[self.end])  # the last is where a run has ended
         for low in range(0, len(at) - 1, BATCH):
-            first, sizes = at[:-1][low : low + BATCH], np.diff(at)[low : low + BATCH]
-            place = np.arange(WINDOW + 1)[None, :]
+            first, sizes = at[:-1][low : low + BATCH], all_sizes[low : low + BATCH]
             inside = place < sizes[:, None]
-            slots = model.slot[np.where(inside, flat[np.where(inside, first[:, None] + place, 0)], self.end)]
+            slots = slot.take(np.where(inside, first[:, None] + place, len(flat)))
             counted = inside[:, 1:]
-            self._change(gradients(model, slots[:, :-1], np.where(counted, model.kind[slots[:, 1:]], 0), counted))
+            self._change(gradients(model, slots[:, :-1], model.kind.take(slots[:, 1:]), counted))
             total += int(counted.sum())
         return total
 
@@ -623,26 +654,31 @@ class Scorer:
 def score_streams(scorer: Scorer, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log10 probability of each id stream, ``ids[at[i]:at[i + 1]]``, all of which end with the end."""
     model, end_slot = scorer.model, scorer.end_slot
-    slots, count = model.slot[ids], len(at) - 1
-    kinds = model.kind[slots]
+    slots, count = model.slot.take(ids), len(at) - 1
+    kinds = model.kind.take(slots)
     before = np.empty(len(ids), np.int64)
     before[1:] = slots[:-1]
     before[at[:-1]] = end_slot
-    total = (model.log_slot[before, slots] + model.log_id[ids]).astype(np.float64)
+    total = (model.log_slot.take(before * SLOTS + slots) + model.log_id.take(ids)).astype(np.float64)
     sizes = np.diff(at)
     n_windows = -(-sizes // STRIDE)
-    owner = np.repeat(np.arange(count), n_windows)
-    first = _spans(np.zeros(count, np.int64), n_windows) * STRIDE  # scored place in its stream
+    window_at = np.cumsum(n_windows) - n_windows
+    # every stream is padded to whole strides; a window is a stride and the end of the one before
+    place = _spans(window_at * STRIDE, sizes)
+    asked = np.full((int(n_windows.sum()), STRIDE), end_slot)
+    asked.reshape(-1)[place] = before
+    wanted = np.zeros(asked.shape, np.int64)
+    wanted.reshape(-1)[place] = kinds
     context = WINDOW - STRIDE
-    for low in range(0, len(owner), SCORED):
-        own, begin = owner[low : low + SCORED], first[low : low + SCORED]
-        place = begin[:, None] - context + np.arange(WINDOW)[None, :]
-        inside = (place >= 0) & (place < sizes[own][:, None])
-        window = np.where(inside, before[np.where(inside, at[own][:, None] + place, 0)], end_slot)
-        is_id = inside[:, context:]
-        where = np.where(is_id, at[own][:, None] + place[:, context:], 0)
-        share = scorer.share(window, kinds[where])
-        total[where[is_id]] += np.log(share[is_id])
+    window = np.empty((len(asked), WINDOW), np.int64)
+    window[:, context:] = asked
+    window[1:, :context] = asked[:-1, STRIDE - context :]
+    window[window_at, :context] = end_slot
+    share = np.empty(asked.shape, np.float32)
+    for low in range(0, len(asked), SCORED):
+        part = slice(low, low + SCORED)
+        share[part] = scorer.share(window[part], wanted[part])
+    total += np.log(share.reshape(-1)[place])
     return np.add.reduceat(total, at[:-1]) / np.log(10) if count else np.empty(0)
 
 
