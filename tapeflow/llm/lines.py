@@ -8,14 +8,17 @@ Of two lines within k edits, one segment of the shorter occurs unedited in the l
 more places than there are segments before it (behind it, for those counted from the end): were it
 otherwise, each half would hold an edit per segment, k + 1 in all.  So a line is indexed under its
 segments, and probes its class, and the one below if a line there can be near, with the
-substrings at those places only.
-
-Before anything is shuffled, the indexed keys of all lines are gathered in a bit map of fixed size;
-a probe leaves its task only if its key is marked there.  Lines that meet on a key are tied to the
-smallest one indexed under it.  The ties' connected components are brought together in
-groups of bounded size, where candidates come from the same keys, a count of characters rules most
-out, and the rest are verified with an edit distance that follows the diagonals of the matrix
-from edit to edit, for many pairs at once.  Lines joined by such links are one class; its
+substrings at those places only.  Of a segment of ``SPAN`` characters and more the key is the least
+hash of the ``GRAM``-character pieces that begin in its first ``WINDOW`` characters: an unedited segment
+has the same one wherever it is, and places next to each other mostly share theirs, so that
+the keys of a line are about as many as its segments.
+
+Keys are packed in the task and dealt by their first bits to ranges that each hold a share of all
+lines.  With each goes its line's length and a count of ``LANES`` kinds of characters, so that lines that meet
+on a key by chance, whose number grows with the square of the table, are not tied.  The ties' connected
+components are brought together in groups of bounded size, where candidates come from the same
+keys, a finer count of characters rules most out, and the rest are verified with an edit distance
+that follows the diagonals of the matrix from edit to edit, for many pairs at once.  Lines joined by such links are one class; its
 first line, by document and line number, stays.
 
 Shorter lines are never removed, whether equal or near: a few words recur by chance in clean text.
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeflow.llm.columns import beside
@@ -57,9 +60,24 @@ _SOON = 1 << 13
 _ALL_PAIRS = 1 << 20
 _FEW_LINES = 1 << 13
 _CLASS_RATIO = 1.2
-#: The bit map of indexed keys: blocks of numbers of 64 bits.
-MAP_BLOCKS = 1 << 12
-BLOCK_WORDS = 1 << 10
+#: Pieces whose least hash stands for a segment, and the places of a segment where they begin.
+GRAM = 24
+WINDOW = 15
+SPAN = GRAM + WINDOW - 1
+#: Of a key 43 bits are kept: the first tell its range, the others are packed with the line.  Lines
+#: that meet on them by chance are only compared.
+RANGE_BITS = 12
+_REST_BITS = 31
+#: Kinds of characters counted for a tie, in 6 bits each: lines within ``MOST_EDITS`` differ by at most 31 in each.
+LANES = 8
+_MIDDLE = np.uint64(sum(32 << 6 * lane for lane in range(LANES)))
+_CHARS = np.uint64(6 * LANES)
+_PACKED = np.dtype([("rest", "<u4"), ("look", "<u8"), ("node", "<i8")])
+#: Keys packed, or compared, at a time; lines of a key of which all pairs are compared at once, and
+#: above which lines of like lengths are tied without a count.
+_HELD = 1 << 20
+_FEW = 64
+_IN_FULL = 1 << 13
 _SEEN = 1 << 18
 
 
@@ -126,30 +144,41 @@ def _class_edges() -> np.ndarray:
 _EDGES = _class_edges()
 
 
-def _substrings(k: int, indexes: bool, probes: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _substrings(k: int, indexes: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment, move, is indexed) of what a line looks at in a class of threshold ``k``."""
     segment, move = [], []
     for j in range(k + 1):
-        reach = (j if j <= k // 2 else k - j) if probes else 0
+        reach = j if j <= k // 2 else k - j
         segment += [j] * (2 * reach + 1)
         move += range(-reach, reach + 1)
     segment, move = np.array(segment), np.array(move)
     return segment, move, (move == 0) & indexes
 
 
-def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, share: int = SHARE, probes: bool = True):
-    """(line, key, is indexed) for all keys of some lines, a class of lengths at a time; without
-    ``probes`` the indexed ones only."""
+def _least_grams(hasher: Hasher, sums: np.ndarray) -> np.ndarray:
+    """For every place, the least hash of the grams that begin there or in the places after it, ``WINDOW`` in all."""
+    least = sums[GRAM:] - sums[: max(0, len(sums) - GRAM)]
+    least *= hasher.inverse[: len(least)]
+    width = 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        least = np.minimum(least[: max(0, len(least) - step)], least[step:])
+        width += step
+    return least
+
+
+def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.ndarray, share: int = SHARE):
+    """(line, key, is indexed) for all keys of some lines, a class of lengths at a time."""
     length = end - start
     own = np.searchsorted(_EDGES, length, "right") - 1
     reaches_down = (own > 0) & (length - limits(length, share) < _EDGES[own])
     visits = [(c, np.flatnonzero(own == c), True) for c in np.unique(own).tolist()]
-    if probes:
-        visits += [(c - 1, np.flatnonzero(reaches_down & (own == c)), False) for c in np.unique(own[reaches_down]).tolist()]
+    visits += [(c - 1, np.flatnonzero(reaches_down & (own == c)), False) for c in np.unique(own[reaches_down]).tolist()]
+    least = _least_grams(hasher, sums)
     for c, lines, indexes in visits:
         k = int(limits(_EDGES[c + 1 : c + 2] - 1, share)[0])
         width = int(_EDGES[c]) // (k + 1)
-        segment, move, indexed = _substrings(k, indexes, probes)
+        segment, move, indexed = _substrings(k, indexes)
         behind = segment > k // 2
         offset = np.where(behind, (segment - k - 1) * width, segment * width) + move
         name = mix((c * 64 + segment).astype(np.uint64))
@@ -157,14 +186,20 @@ def segment_keys(hasher: Hasher, sums: np.ndarray, start: np.ndarray, end: np.nd
         for first in range(0, len(lines), step):
             some = lines[first : first + step]
             begin = np.where(behind, end[some][:, None], start[some][:, None]) + offset
-            inside = (begin >= start[some][:, None]) & (begin + width <= end[some][:, None])
-            if inside.all():
-                which, column = np.divmod(np.arange(begin.size), len(offset))
-                begin = begin.ravel()
+            use = (begin >= start[some][:, None]) & (begin + width <= end[some][:, None])
+            if width >= SPAN:
+                found = least[np.where(use, begin, 0)]
+                # moves in a row with one key: the one nearest to the segment's own place is enough
+                again = (found[:, 1:] == found[:, :-1]) & use[:, 1:] & use[:, :-1]
+                use[:, 1:] &= ~(again & (move[1:] > 0))
+                use[:, :-1] &= ~(again & (move[:-1] < 0))
+                which, column = np.nonzero(use)
+                found = found[which, column]
             else:
-                which, column = np.nonzero(inside)
-                begin = begin[inside]
-            yield some[which], (hasher.cut(sums, begin, begin + width) ^ name[column]).view(np.int64), indexed[column]
+                which, column = np.nonzero(use)
+                begin = begin[which, column]
+                found = hasher.cut(sums, begin, begin + width)
+            yield some[which], mix(found ^ name[column]).view(np.int64), indexed[column]
 
 
 def _in_common(hasher: Hasher, sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray, side: int) -> np.ndarray:
@@ -259,76 +294,130 @@ class _Seen:
         return first[fresh]
 
 
-def _packed(bits: np.ndarray) -> pa.Array:
-    """The numbers of each block that are not 0, with their places."""
-    met = np.flatnonzero(bits)
-    cuts = np.searchsorted(met, np.arange(MAP_BLOCKS + 1) * BLOCK_WORDS)
-    place = (met % BLOCK_WORDS).astype(np.uint16)
-    return pa.array(
-        [place[a:b].tobytes() + bits[met[a:b]].tobytes() if b > a else None for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-        pa.binary(),
-    )
-
-
-def _joined(group: pa.Table) -> pa.Table:
-    """One block from all tasks."""
-    bits = np.zeros(BLOCK_WORDS, np.uint64)
-    for packed in group.column("packed").to_pylist():
-        n = len(packed) // 10
-        np.bitwise_or.at(bits, np.frombuffer(packed, np.uint16, n), np.frombuffer(packed, np.uint64, n, 2 * n))
-    return pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
-
-
-def _place(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    word = (key >> 6) & (MAP_BLOCKS * BLOCK_WORDS - 1)
-    return word, np.uint64(1) << (key & 63).astype(np.uint64)
+def _look(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Length, at most 16 bits of it, and counts of ``LANES`` kinds of characters, as digits that carry over, of each span."""
+    lane = (np.arange(1 << 16, dtype=np.uint32) * np.uint32(2654435761) >> np.uint32(16)).astype(np.uint64) % np.uint64(LANES)
+    sums = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum((np.uint64(1) << np.uint64(6) * lane)[code & np.uint32(0xFFFF)], out=sums[1:])
+    counts = (sums[end] - sums[start]) & np.uint64((1 << 6 * LANES) - 1)
+    return counts | np.minimum(end - start, 0xFFFF).astype(np.uint64) << _CHARS
+
+
+def _alike(x: np.ndarray, y: np.ndarray, share: int) -> np.ndarray:
+    """Whether lines may be within their limits, by their looks: never false if they are."""
+    a, b = (x >> _CHARS).astype(np.int64), (y >> _CHARS).astype(np.int64)
+    within = limits(np.minimum(a, b), share)
+    result = np.abs(a - b) <= within
+    place = np.flatnonzero(result)
+    apart, total = (x - y + _MIDDLE)[place], np.zeros(len(place), np.int64)
+    for lane in range(LANES):
+        total += np.abs(((apart >> np.uint64(6 * lane)) & np.uint64(63)).astype(np.int64) - 32)
+    result[place] = total <= 2 * within[place]
+    return result
 
 
-def scan_lines(docs: DataFrame, key: str, text: str, share: int = SHARE) -> tuple[DataFrame, np.ndarray]:
-    """(doc, text_key, line_number, node) of every line of ``FLOOR_CHARS`` and more, written; and
-    the bit map of all lines' indexed keys, from the same pass over the texts."""
+def _packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """(range, content): for each range the rest of its keys, with a bit for indexed ones, and their lines."""
+    key, look, node, indexed = (np.concatenate([h[i] for h in held]) for i in range(4))
+    key = key.view(np.uint64) >> np.uint64(64 - RANGE_BITS - _REST_BITS)
+    order = np.argsort(key >> np.uint64(_REST_BITS))
+    key = key[order]
+    rows = np.empty(len(key), _PACKED)
+    rows["rest"] = ((key << np.uint64(1)) | indexed[order]).astype(np.uint32)
+    rows["look"], rows["node"] = look[order], node[order]
+    part = (key >> np.uint64(_REST_BITS)).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else [0]
+    content = [rows[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]], pa.int32()), pa.array(content, pa.binary())], ["range", "content"])
+
+
+def _ties_of(name: list[int], content: list[bytes], share: int) -> pa.RecordBatch:
+    """(a, b): lines of whole ranges that meet on a key and are alike, each tied to one of them."""
+    rows = np.frombuffer(b"".join(content), _PACKED)
+    part = np.repeat(np.array(name, np.uint64), [len(c) // _PACKED.itemsize for c in content])
+    key, indexed = part << np.uint64(_REST_BITS) | rows["rest"] >> np.uint32(1), rows["rest"] & np.uint32(1)
+    order = np.argsort(key)
+    firsts = np.flatnonzero(np.concatenate([[True], key[order[1:]] != key[order[:-1]]]))
+    size = np.diff(np.append(firsts, len(key)))
+    order = order[np.repeat((size > 1) & (np.maximum.reduceat(indexed[order], firsts) > 0), size)]
+    key, rows = key[order], rows[order]
+    order = np.lexsort((rows["node"], key))  # a line may have a key several times
+    key, rows = key[order], rows[order]
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (rows["node"][1:] != rows["node"][:-1])])[: len(key)]
+    key, look, node = key[once], rows["look"][once], rows["node"][once]
+    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+    size = np.diff(cuts)
+    labels = np.arange(len(key))
+    # few lines: each with all that come after it
+    after = np.where(np.repeat(size, size) <= _FEW, np.repeat(cuts[1:], size) - labels - 1, 0)
+    upto = np.cumsum(after)
+    low = 0
+    while low < len(key):
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] - after[low] + _HELD, "right")))
+        x = np.repeat(np.arange(low, high), after[low:high])
+        y = x + 1 + np.arange(len(x)) - np.repeat(upto[low:high] - after[low:high] - (upto[low] - after[low]), after[low:high])
+        near = _alike(look[x], look[y], share)
+        _settle(labels, x[near], y[near])
+        low = high
+    for first, n in zip(cuts[:-1][size > _FEW].tolist(), size[size > _FEW].tolist(), strict=True):
+        _spread(labels, look, np.arange(first, first + n), share)
+    moved = labels != np.arange(len(labels))
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[labels[moved]])], ["a", "b"])
+
+
+def _settle(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """The smallest place of a component becomes the label of all its places, with links added."""
+    while len(a):
+        x, y = labels[a], labels[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(labels, np.maximum(x, y), np.minimum(x, y))
+        while (labels[labels] != labels).any():
+            labels[:] = labels[labels]
+
+
+def _spread(labels: np.ndarray, look: np.ndarray, places: np.ndarray, share: int) -> None:
+    """Labels of many lines of one key: from a line to all that are like it, and on from them."""
+    if len(places) > _IN_FULL:
+        places = places[np.argsort(look[places])]
+        chars = (look[places] >> _CHARS).astype(np.int64)
+        near = np.diff(chars) <= limits(chars[:-1], share)
+        _settle(labels, places[:-1][near], places[1:][near])
+        return
+    while len(places):
+        root, todo, places = places[0], [places[0]], places[1:]
+        while todo and len(places):
+            near = _alike(look[todo.pop()], look[places], share)
+            labels[places[near]] = root
+            todo += places[near].tolist()
+            places = places[~near]
+
+
+def scan_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, text_key, line_number, node) of every line of ``FLOOR_CHARS`` and more, written."""
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, bits, doc_type = Hasher(), np.zeros(MAP_BLOCKS * BLOCK_WORDS, np.uint64), None
-        names = ["doc", "text_key", "line_number", "node", "block", "packed"]
+        hasher = Hasher()
         for batch in batches:
-            doc_type = batch.column(0).type
             for low, _, data, at in chunks(batch.column(2)):
                 lines = Lines(data, at)
-                sums = hasher.sums(lines.code)
                 pick = np.flatnonzero(lines.length >= FLOOR_CHARS)
-                start, end = lines.start[pick], lines.end[pick]
-                for _, segment, _ in segment_keys(hasher, sums, start, end, share, probes=False):
-                    word, bit = _place(segment)
-                    np.bitwise_or.at(bits, word, bit)
+                node = _line_key(hasher, hasher.sums(lines.code), lines.start[pick], lines.end[pick])
                 number = lines.row[pick]
                 row = pa.array(number + low)
                 columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(pick - lines.row_at[number], pa.int64())]
-                columns += [pa.array(_line_key(hasher, sums, start, end)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names)
-        if doc_type is not None:
-            packed, block = _packed(bits), np.arange(MAP_BLOCKS, dtype=np.int32)
-            columns = [pa.nulls(MAP_BLOCKS, t) for t in (doc_type, pa.int64(), pa.int64(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(block), packed], names)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(node)], ["doc", "text_key", "line_number", "node"])
 
     given = docs.select(key, F.xxhash64(text).alias("text_key"), text)
-    schema = f"doc {kind}, text_key long, line_number long, node long, block int, packed binary"
-    rows = staged(given.mapInArrow(run, schema), "lines")
-    blocks = rows.filter("packed IS NOT NULL").select("block", "packed")
-    joined = blocks.groupBy("block").applyInArrow(_joined, "block int, bits binary").toArrow()  # of a fixed size
-    bits = np.zeros((MAP_BLOCKS, BLOCK_WORDS), np.uint64)
-    for block, packed in zip(joined.column("block").to_pylist(), joined.column("bits").to_pylist(), strict=True):
-        bits[block] = np.frombuffer(packed, np.uint64)
-    return rows.filter("node IS NOT NULL").drop("block", "packed"), bits.ravel()
+    return staged(given.mapInArrow(run, f"doc {kind}, text_key long, line_number long, node long"), "lines")
 
 
-def _ties(docs: DataFrame, text: str, bits: np.ndarray, share: int) -> DataFrame:
-    """(a, b): lines that share a key, tied to the smallest line indexed under it."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+def _ties(docs: DataFrame, text: str, share: int) -> DataFrame:
+    """(a, b): lines that share a key that one of them is indexed under, and are alike."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), _Seen()
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen, held, size = Hasher(), _Seen(), [], 0
         for batch in batches:
             for _, _, data, at in chunks(batch.column(0)):
                 lines = Lines(data, at)
@@ -336,20 +425,31 @@ def _ties(docs: DataFrame, text: str, bits: np.ndarray, share: int) -> DataFrame
                 pick = np.flatnonzero(lines.length >= FLOOR_CHARS)
                 node = _line_key(hasher, sums, lines.start[pick], lines.end[pick])
                 new = seen.new(node)
-                node, pick = node[new], pick[new]
-                found = []
-                for which, key, indexed in segment_keys(hasher, sums, lines.start[pick], lines.end[pick], share):
-                    word, bit = _place(key)
-                    use = np.flatnonzero(indexed | ((sent.value[word] & bit) > 0))
-                    found.append((key[use], node[which[use]], indexed[use]))
-                if found:
-                    columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "indexed"])
-
-    rows = docs.select(text).mapInArrow(run, "key long, node long, indexed boolean")
-    least = F.min(F.when(F.col("indexed"), F.col("node"))).over(Window.partitionBy("key"))
-    met = rows.withColumn("least", least).filter("least IS NOT NULL AND node != least")
-    return met.select(F.col("node").alias("a"), F.col("least").alias("b"))
+                start, end, node = lines.start[pick[new]], lines.end[pick[new]], node[new]
+                look = _look(lines.code, start, end)
+                for which, key, indexed in segment_keys(hasher, sums, start, end, share):
+                    held.append((key, look[which], node[which], indexed))
+                    size += len(key)
+                    if size >= _HELD:
+                        yield _packed(held)
+                        held, size = [], 0
+        if held:
+            yield _packed(held)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, content, size = [], [], 0
+        for run in runs(batches, 1):
+            name += run.column(0).to_pylist()
+            content += run.column(1).to_pylist()
+            size += run.column(1).nbytes
+            if size >= _PACKED.itemsize * _HELD:
+                yield _ties_of(name, content, share)
+                name, content, size = [], [], 0
+        if name:
+            yield _ties_of(name, content, share)
+
+    packed = docs.select(text).mapInArrow(keys, "range int, content binary")
+    return packed.repartition("range").sortWithinPartitions("range").mapInArrow(meet, "a long, b long")
 
 
 def _histogram(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -438,9 +538,9 @@ def _links(nodes: np.ndarray, code: np.ndarray, at: np.ndarray, chunk: np.ndarra
     return nodes[moved], nodes[labels[moved]]
 
 
-def line_classes(docs: DataFrame, bits: np.ndarray, text: str = "text", share: int = SHARE) -> DataFrame:
+def line_classes(docs: DataFrame, text: str = "text", share: int = SHARE) -> DataFrame:
     """(node, line_class): lines that are within their ``limits`` of others, by their keys."""
-    cluster = staged(components(_ties(docs, text, bits, share)).toDF("node", "cluster"), "clusters")
+    cluster = staged(components(_ties(docs, text, share)).toDF("node", "cluster"), "clusters")
     tied = docs.sparkSession.sparkContext.broadcast(bitmap(cluster))
 
     def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,8 +581,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sha
 
     A document is its id and a hash of its text; only documents that lose a line occur.
     """
-    rows, bits = scan_lines(docs, key, text, share)
-    classes = line_classes(docs, bits, text, share)
+    rows = scan_lines(docs, key, text)
+    classes = line_classes(docs, text, share)
     # most lines are the only one of their class: they go before anything is ordered
     often = rows.groupBy("node").agg(F.count("*").alias("copies")).filter("copies > 1").select("node")
     classed = often.withColumn("line_class", F.lit(None).cast("long")).union(classes).groupBy("node")

@@ -352,6 +352,54 @@ def test_edits_that_collect_in_one_half():
         assert all(keys[i] & own for i in range(1, 5))
 
 
+def test_keys_of_a_line_are_about_as_many_as_its_segments():
+    """What is shuffled for a line depends neither on its moves nor on how many other lines there are."""
+    rng = random.Random(5)
+    made = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(200, 2500))).strip() for _ in range(300)]
+    code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
+    at = lines.np.cumsum([0, *map(len, made)])
+    hasher = lines.Hasher()
+    found = [indexed for _, _, indexed in lines.segment_keys(hasher, hasher.sums(code), at[:-1], at[1:])]
+    indexed = lines.np.concatenate(found)
+    assert len(indexed) < 3.5 * indexed.sum()
+
+
+def test_lines_with_one_passage_in_common_are_not_tied(spark):
+    """A passage at the same place makes lines neither a cluster nor, for many, a comparison of all with all;
+    lines that are near stay tied, whatever way the lines of a key are compared."""
+    rng = random.Random(6)
+    start = "the same forty-six characters begin every line "
+    made = [start + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(204)) for _ in range(150)]
+    near = [edited(rng, line, 4) for line in made[:30]]
+    frame = spark.createDataFrame(list(enumerate(made + near)), "doc_id long, text string").repartition(4)
+    want = list(range(150))
+    ties = lines._ties(frame, "text", lines.SHARE).distinct().count()
+    assert 0 < ties <= 90
+    for few, full in ((lines._FEW, lines._IN_FULL), (1, 1 << 13), (1, 4), (1 << 13, 1 << 13)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lines, "_FEW", few)
+            patch.setattr(lines, "_IN_FULL", full)
+            got = lines.dedup_lines(frame).collect()
+        assert sorted(r.doc_id for r in got if not r.removed_lines) == want
+
+
+def test_alike_is_never_false_for_near_lines():
+    rng = random.Random(7)
+    made = []
+    for _ in range(400):
+        line = "".join(rng.choice("abcdeé\U0001f600 ") for _ in range(rng.randint(20, 2500)))
+        made += [line, edited(rng, line, int(lines.limits(lines.np.array([len(line)]))[0]), rng.choice(["i", "d", "r", "idr"]))]
+    code = lines.np.frombuffer("".join(made).encode("utf-32-le"), lines.np.uint32)
+    at = lines.np.cumsum([0, *map(len, made)])
+    a, b = (at[:-1][::2], at[1:][::2]), (at[:-1][1::2], at[1:][1::2])
+    limit = lines.limits(lines.np.minimum(a[1] - a[0], b[1] - b[0]))
+    hasher = lines.Hasher()
+    near = lines.edits_within(code, hasher.sums(code), hasher, a, b, limit)
+    look = lines._look(code, at[:-1], at[1:])
+    assert near.sum() > 250 and lines._alike(look[::2], look[1::2], lines.SHARE)[near].all()
+    assert lines._alike(look[:-2:2], look[2::2], lines.SHARE).sum() < 5
+
+
 def test_quality_measures(spark, docs):
     labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(60)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     ratio, threshold = quality.fit(docs, labels)
